@@ -37,6 +37,19 @@ def canonical(u: str) -> str:
       else {v} end)"""
 
 
+FOLLOW_SCHEMES_SQL = "('http', 'https', 'ftp', 'file')"
+
+
+def followable(u: str) -> str:
+    from webkb.conf import DENIED_EXTENSIONS
+
+    denied = ", ".join(f"'{e}'" for e in DENIED_EXTENSIONS)
+    path = f"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+    ext = f"lower(regexp_extract({path}, '/\\.*[^/.][^/]*\\.([^./]*)$', 1))"
+    return (f"(lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) in {FOLLOW_SCHEMES_SQL} "
+            f"and {ext} not in ({denied}))")
+
+
 def host(u: str) -> str:
     return f"lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
 
@@ -46,11 +59,13 @@ def fx_cte() -> str:
 
 
 def anchors_cte(src: str = "fx") -> str:
-    """``anchors(page_id, page_url, pos, href)`` by regex."""
+    """``anchors(page_id, page_url, pos, href, nofollow)`` by regex over the tags."""
     return f"""anchors as (
-      select page_id, page_url, cast(unnest(range(len(hs))) as integer) as pos, unnest(hs) as href
-      from (select page_id, url as page_url,
-                   regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) as hs from {src}) t)"""
+      select page_id, page_url, pos, regexp_extract(tag, 'href="([^"]*)"', 1) as href,
+             regexp_matches(tag, 'rel="[^"]*nofollow') as nofollow
+      from (select page_id, page_url, cast(unnest(range(len(ts))) as integer) as pos, unnest(ts) as tag
+            from (select page_id, url as page_url,
+                         regexp_extract_all(html, '<a\\s[^>]*href="[^"]*"[^>]*>', 0) as ts from {src}) t0) t)"""
 
 
 def images_cte(src: str = "fx") -> str:

@@ -51,3 +51,117 @@ from webkb.operators import elements as EL  # noqa: E402
 def q_elements_union(spark, sf_dir):
     """Page, PDF and image elements of every fx page."""
     return EL.elements(FX.fx(spark, sf_dir), JOB)
+
+
+# ---------------------------------------------------------------------------
+# Step 2: link graph and crawl
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from webkb.functions import urls as U  # noqa: E402
+from webkb.operators import crawl as CR  # noqa: E402
+from webkb.operators import links as LK  # noqa: E402
+from webkb.sources import tables as TB  # noqa: E402
+
+
+def _parsed_fx(spark, sf_dir):
+    return LK.parse_pages(FX.fx(spark, sf_dir))
+
+
+@register(
+    "extract_links",
+    f"""with {O.fx_cte()}, {O.anchors_cte()}
+    select page_id, page_url, pos, 'a' as kind, href, {O.resolve('page_url', 'trim(href)')} as link_url, nofollow
+    from anchors""",
+)
+def q_extract_links(spark, sf_dir):
+    """Every a/area link of every fx page, document order."""
+    return LK.extract_links(_parsed_fx(spark, sf_dir))
+
+
+@register(
+    "extract_pdfs",
+    f"""with {O.fx_cte()}, {O.anchors_cte()}
+    select page_id, page_url as parent_url, pos, {O.resolve('page_url', 'href')} as url from anchors
+    where contains(href, '.pdf') and contains(lower(split_part(href, '?', 1)), '.pdf')""",
+)
+def q_extract_pdfs(spark, sf_dir):
+    """PDF links per page, duplicates kept."""
+    return LK.extract_pdfs(_parsed_fx(spark, sf_dir))
+
+
+@register(
+    "extract_images",
+    f"""with {O.fx_cte()}, {O.images_cte()}
+    select page_id, page_url as parent_url, pos, {O.resolve('page_url', 'src')} as url from imgs where src <> ''""",
+)
+def q_extract_images(spark, sf_dir):
+    """Images with a non-empty src per page."""
+    return LK.extract_images(_parsed_fx(spark, sf_dir))
+
+
+def _edges_sql():
+    link = O.resolve("page_url", "trim(href)")
+    return f"""{O.anchors_cte()},
+    edges as (
+      select {O.canonical('page_url')} as src, {O.canonical(link)} as dst, bool_and(nofollow) as nofollow
+      from anchors where {O.followable(link)} group by all)"""
+
+
+@register("link_edges", f"with {O.fx_cte()}, {_edges_sql()} select src, dst, nofollow from edges")
+def q_link_edges(spark, sf_dir):
+    """Distinct followable edges between canonical URLs."""
+    return LK.link_edges(_parsed_fx(spark, sf_dir))
+
+
+def _crawl_sql(max_depth: int) -> str:
+    return f"""with recursive {O.fx_cte()}, {_edges_sql()},
+    keys as (select {O.canonical('url')} as url_key, min(page_id) as page_id from fx group by all),
+    pe as (select e.src, e.dst from edges e join keys k on k.url_key = e.dst),
+    seed as (select {O.canonical('url')} as url_key from fx where page_id = (select min(page_id) from fx)),
+    r(u, d) as (select k.url_key, 0 from seed s join keys k on k.url_key = s.url_key
+                union select pe.dst, r.d + 1 from r join pe on pe.src = r.u where r.d < {max_depth}),
+    reach as (select u, min(d) as d from r group by u)
+    select c.u as url_key, k.page_id, cast(c.d as integer) as depth,
+           (select min(pe.src) from pe join reach p on p.u = pe.src and p.d = c.d - 1 where pe.dst = c.u) as parent_key
+    from reach c join keys k on k.url_key = c.u"""
+
+
+def _crawl(spark, sf_dir, max_depth, follow=True):
+    fxp = FX.fx(spark, sf_dir)
+    store = TB.page_store(fxp)
+    first = fxp.groupBy().agg(F.min("page_id").alias("page_id"))
+    seed_df = TB.seeds(spark, fxp.join(first, "page_id").select("url"))
+    edges = LK.link_edges(LK.parse_pages(store))
+    out = CR.crawl(seed_df, store, edges, max_depth, follow)
+    return out.select("url_key", "page_id", "depth", "parent_key")
+
+
+@register("crawl_depth6", _crawl_sql(6))
+def q_crawl_depth6(spark, sf_dir):
+    """BFS from the first page to depth 6."""
+    return _crawl(spark, sf_dir, 6)
+
+
+@register("crawl_depth1", _crawl_sql(1))
+def q_crawl_depth1(spark, sf_dir):
+    """BFS to depth 1."""
+    return _crawl(spark, sf_dir, 1)
+
+
+@register("crawl_nofollow", _crawl_sql(0))
+def q_crawl_nofollow(spark, sf_dir):
+    """Follow toggle off: the seed page only."""
+    return _crawl(spark, sf_dir, 6, follow=False)
+
+
+@register(
+    "canonical_urls",
+    f"""select page_id, url, {O.canonical('url')} as url_key, {O.host('url')} as host,
+    {O.followable('url')} as followable from pages""",
+)
+def q_canonical_urls(spark, sf_dir):
+    """Canonical request URL, host and follow test of every raw page URL."""
+    p = TB.read_table(spark, sf_dir, "pages")
+    return p.select("page_id", "url", U.canonical_url("url").alias("url_key"), U.host("url").alias("host"),
+                    U.is_followable("url").alias("followable"))
