@@ -1,0 +1,165 @@
+"""PDF text-layer reading for one document (runs inside mapInPandas).
+
+No PDF library is available, so this reads what a text-layer PDF carries:
+objects, plain or Flate streams, and the string operands of the text
+operators (Tj, TJ, ' and \"). Scanned (image-only) files have no text
+layer; they need the caller's extractor (the ``ocr`` method).
+"""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+_OBJ_RE = re.compile(rb"(\d+)\s+(\d+)\s+obj\b(.*?)\bendobj", re.S)
+_STREAM_RE = re.compile(rb"^(.*?)\bstream\r?\n(.*?)\r?\n?endstream", re.S)
+_PAGE_RE = re.compile(rb"/Type\s*/Page(?![a-zA-Z])")
+_CONTENTS_RE = re.compile(rb"/Contents\s*(?:(\d+)\s+\d+\s+R|\[([^\]]*)\])")
+_REF_RE = re.compile(rb"(\d+)\s+\d+\s+R")
+_TOKEN_RE = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|\[|\]|/[^\s/\[\]()<>]+|[-+]?\d*\.?\d+|[A-Za-z'\"*]+", re.S)
+
+_ESC = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"(": b"(", b")": b")", b"\\": b"\\"}
+
+
+class PdfError(ValueError):
+    pass
+
+
+def _literal(tok: bytes) -> str:
+    body = tok[1:-1]
+    out = bytearray()
+    i = 0
+    while i < len(body):
+        c = body[i:i + 1]
+        if c == b"\\" and i + 1 < len(body):
+            n = body[i + 1:i + 2]
+            if n in _ESC:
+                out += _ESC[n]
+                i += 2
+                continue
+            m = re.match(rb"[0-7]{1,3}", body[i + 1:i + 4])
+            if m:
+                out.append(int(m.group(0), 8) & 0xFF)
+                i += 1 + len(m.group(0))
+                continue
+            if n in (b"\n", b"\r"):
+                i += 2
+                continue
+            out += n
+            i += 2
+            continue
+        out += c
+        i += 1
+    return out.decode("latin-1")
+
+
+def _hexstr(tok: bytes) -> str:
+    h = re.sub(rb"\s+", b"", tok[1:-1])
+    if len(h) % 2:
+        h += b"0"
+    raw = bytes.fromhex(h.decode("ascii"))
+    if raw.startswith(b"\xfe\xff"):
+        return raw[2:].decode("utf-16-be", "replace")
+    return raw.decode("latin-1")
+
+
+def _text_of_stream(data: bytes) -> list[str]:
+    """Lines of text shown by one content stream."""
+    lines: list[str] = []
+    cur: list[str] = []
+    operands: list = []
+    in_array = None
+    for m in _TOKEN_RE.finditer(data):
+        t = m.group(0)
+        if t.startswith(b"("):
+            s = _literal(t)
+            (in_array if in_array is not None else operands).append(s)
+        elif t.startswith(b"<"):
+            s = _hexstr(t)
+            (in_array if in_array is not None else operands).append(s)
+        elif t == b"[":
+            in_array = []
+        elif t == b"]":
+            operands.append(in_array or [])
+            in_array = None
+        elif t[:1].isalpha() or t in (b"'", b'"'):
+            op = t
+            if op == b"Tj" and operands and isinstance(operands[-1], str):
+                cur.append(operands[-1])
+            elif op == b"TJ" and operands and isinstance(operands[-1], list):
+                cur.append("".join(x for x in operands[-1] if isinstance(x, str)))
+            elif op in (b"'", b'"') and operands and isinstance(operands[-1], str):
+                if cur:
+                    lines.append("".join(cur))
+                cur = [operands[-1]]
+            elif op in (b"T*", b"ET"):
+                if cur:
+                    lines.append("".join(cur))
+                cur = []
+            elif op in (b"Td", b"TD") and len(operands) >= 2:
+                try:
+                    if float(operands[-1]) != 0 and cur:
+                        lines.append("".join(cur))
+                        cur = []
+                except (TypeError, ValueError):
+                    pass
+            operands = []
+        else:
+            if in_array is not None:
+                continue
+            operands.append(t.decode("latin-1"))
+    if cur:
+        lines.append("".join(cur))
+    return [ln for ln in (x.strip() for x in lines) if ln]
+
+
+def read_pdf(data: bytes) -> dict:
+    """``{'n_pages', 'has_text_layer', 'blocks': [(type, text, page_idx)]}``.
+
+    Raises PdfError for a file that is not a PDF or is cut short."""
+    if data is None or not data.startswith(b"%PDF-"):
+        raise PdfError("not a pdf")
+    if b"%%EOF" not in data[-1024:]:
+        raise PdfError("truncated pdf")
+    objs: dict[int, bytes] = {}
+    for m in _OBJ_RE.finditer(data):
+        objs[int(m.group(1))] = m.group(3)
+    if not objs:
+        raise PdfError("no objects")
+
+    def stream_of(num: int) -> bytes | None:
+        body = objs.get(num)
+        if body is None:
+            return None
+        sm = _STREAM_RE.match(body.strip())
+        if not sm:
+            return None
+        head, raw = sm.group(1), sm.group(2)
+        if b"/FlateDecode" in head:
+            try:
+                return zlib.decompress(raw)
+            except zlib.error as e:
+                raise PdfError(f"bad flate stream: {e}") from None
+        if b"/Filter" in head:
+            return None  # image or unsupported encoding
+        return raw
+
+    pages = [num for num, body in sorted(objs.items()) if _PAGE_RE.search(body)]
+    blocks = []
+    for idx, num in enumerate(pages):
+        cm = _CONTENTS_RE.search(objs[num])
+        if not cm:
+            continue
+        refs = [int(cm.group(1))] if cm.group(1) else [int(r) for r in _REF_RE.findall(cm.group(2))]
+        for r in refs:
+            s = stream_of(r)
+            if s is None:
+                continue
+            for line in _text_of_stream(s):
+                blocks.append(("text", line, idx))
+    return {"n_pages": len(pages), "has_text_layer": bool(blocks), "blocks": blocks}
+
+
+def blocks_to_markdown(blocks) -> str:
+    """Uniform content list -> Markdown: one paragraph per text block."""
+    return "\n\n".join(b[1] for b in blocks if b[1])

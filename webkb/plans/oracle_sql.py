@@ -96,3 +96,62 @@ __all__ = [
     "JOB", "resolve", "canonical", "host", "fx_cte", "anchors_cte", "images_cte", "elements_cte",
     "duck_fx_attempts", "duck_fx_pdfs", "duck_fx_robots", "pdf_bytes_sql",
 ]
+
+
+KIND_RANK_SQL = "(case type when 'URL' then 0 when 'PDF' then 1 else 2 end)"
+
+
+def ext_sql(c: str) -> str:
+    return (f"(case when instr({c}, '.') > 0 then concat('.', lower(regexp_extract({c}, '([^.]*)$', 1))) "
+            f"else '.jpeg' end)")
+
+
+def raw_path_sql(job: str, eid: str, typ: str) -> str:
+    return (f"concat({job}, '/raw/', {eid}, case {typ} when 'URL' then '.html' when 'PDF' then '.pdf' "
+            f"else {ext_sql(eid)} end)")
+
+
+def processed_path_sql(job: str, eid: str, typ: str) -> str:
+    return f"(case when {typ} = 'Image' then '' else concat({job}, '/processed/', {eid}, '.md') end)"
+
+
+def assets_cte() -> str:
+    """fx_assets over the distinct PDF/Image URLs of ``els``."""
+    body = "trim(regexp_replace(url, '[^A-Za-z0-9 .,/:]+', ' ', 'g'))"
+    return f"""assets as (
+      select url,
+        case when length(url) % 7 = 0 then 404 else 200 end as status,
+        case when length(url) % 3 = 0 then null when type = 'PDF' then 'application/pdf' else 'image/png' end
+          as content_type,
+        case when type = 'PDF' then {pdf_bytes_sql(body, 'duckdb')} else encode(concat('asset:', url)) end as content
+      from (select distinct url, type from els where type <> 'URL') d)"""
+
+
+def rows_cte() -> str:
+    """Elements of fx with checksum and paths filled (status 200 gates)."""
+    ok = "(e.type = 'URL' or a.status = 200)"
+    return f"""rows as (
+      select e.element_id, e.url, e.type, e.parent_url, e.parent_id, e.depth, e.pos, e.page_id, e.job_id,
+        case when e.type = 'URL' then sha256(f.html) when a.status = 200 then sha256(a.content) else '' end
+          as checksum,
+        case when {ok} then {raw_path_sql('e.job_id', 'e.element_id', 'e.type')} else '' end as raw_content_path,
+        case when {ok} then {processed_path_sql('e.job_id', 'e.element_id', 'e.type')} else '' end
+          as processed_content_path,
+        case when e.type = 'URL' then 200 else a.status end as status
+      from els e
+      left join fx f on e.type = 'URL' and f.page_id = e.page_id
+      left join assets a on e.type <> 'URL' and a.url = e.url)"""
+
+
+def ranked_cte(desc: bool = False) -> str:
+    d = " desc" if desc else ""
+    return f"""ranked as (
+      select *, row_number() over (partition by element_id order by depth{d}, coalesce(parent_url, ''){d},
+             {KIND_RANK_SQL}{d}, pos{d}, page_id{d}) as rn from rows)"""
+
+
+def metadata_sql() -> str:
+    """The first-writer metadata rows of fx (all CTEs)."""
+    return f"""{fx_cte()}, {elements_cte()}, {assets_cte()}, {rows_cte()}, {ranked_cte()},
+    meta as (select element_id, url as URL, type, raw_content_path, processed_content_path, checksum, parent_id
+             from ranked where rn = 1)"""

@@ -165,3 +165,263 @@ def q_canonical_urls(spark, sf_dir):
     p = TB.read_table(spark, sf_dir, "pages")
     return p.select("page_id", "url", U.canonical_url("url").alias("url_key"), U.host("url").alias("host"),
                     U.is_followable("url").alias("followable"))
+
+
+# ---------------------------------------------------------------------------
+# Step 3: content fields, assets, dispatch
+# ---------------------------------------------------------------------------
+from webkb.functions import paths as PA  # noqa: E402
+from webkb.operators import assets as AS  # noqa: E402
+from webkb.operators import store as ST  # noqa: E402
+from webkb.session import scratch_path  # noqa: E402
+
+
+@register(
+    "checksums",
+    f"""select page_id, concat(sha256(url), '_', '{JOB}') as element_id, sha256(html) as checksum,
+    sha256(encode(html)) as checksum_bytes, octet_length(encode(html)) as n_bytes from pages""",
+)
+def q_checksums(spark, sf_dir):
+    """Element id and SHA-256 of every raw page, as text and as UTF-8 bytes."""
+    p = TB.read_table(spark, sf_dir, "pages")
+    b = F.encode("html", "UTF-8")
+    return p.select("page_id", PA.element_id("url", F.lit(JOB)).alias("element_id"),
+                    PA.checksum("html").alias("checksum"), PA.checksum(b).alias("checksum_bytes"),
+                    F.octet_length(b).alias("n_bytes"))
+
+
+@register("job_ids", "select event_id, strftime(ts, '%Y%m%d_%H%M%S') as job_id from events")
+def q_job_ids(spark, sf_dir):
+    """Job id of every event timestamp."""
+    e = TB.read_table(spark, sf_dir, "events")
+    return e.select("event_id", PA.job_id(F.col("ts")).alias("job_id"))
+
+
+@register(
+    "object_keys",
+    f"""with {O.fx_cte()}, {O.elements_cte()}
+    select element_id, type, {O.raw_path_sql('job_id', 'element_id', 'type')} as raw_path,
+      {O.processed_path_sql('job_id', 'element_id', 'type')} as processed_path,
+      {O.ext_sql('url')} as url_extension,
+      split_part(regexp_extract(url, '([^/]*)$', 1), '.', 1) as url_stem,
+      regexp_extract(url, '^(.*)/[^/]*$', 1) as url_dir,
+      concat_ws('/', job_id, 'raw', element_id) as joined
+    from els""",
+)
+def q_object_keys(spark, sf_dir):
+    """Raw/processed keys, extension, stem and dirname per fx element."""
+    e = EL.elements(FX.fx(spark, sf_dir), JOB)
+    return e.select(
+        "element_id", "type",
+        PA.raw_path("job_id", "element_id", "type").alias("raw_path"),
+        PA.processed_path("job_id", "element_id", "type").alias("processed_path"),
+        PA.extension("url").alias("url_extension"),
+        PA.stem("url").alias("url_stem"),
+        PA.dirname("url").alias("url_dir"),
+        PA.join_path("job_id", F.lit("raw"), "element_id").alias("joined"),
+    )
+
+
+def _mime_case(ext: str) -> str:
+    from webkb.conf import MIME_BY_EXTENSION
+
+    whens = " ".join(f"when '{k}' then '{v}'" for k, v in MIME_BY_EXTENSION.items())
+    return f"(case {ext} {whens} else null end)"
+
+
+@register(
+    "content_types",
+    f"""with {O.fx_cte()}, {O.elements_cte()},
+    paths as (select element_id, type, {O.raw_path_sql('job_id', 'element_id', 'type')} as p from els
+              union all
+              select element_id, type, concat(job_id, '/processed/', element_id, '.md') from els where type <> 'Image'
+              union all
+              select element_id, type, url from els)
+    select element_id, type, p as path,
+      {_mime_case("regexp_extract(p, '(?:^|/)\\.*[^/.][^/]*\\.([^./]*)$', 1)")} as content_type,
+      replace(url_encode(p), '%2F', '/') as quoted
+    from paths""",
+)
+def q_content_types(spark, sf_dir):
+    """Guessed content type and percent-encoding of raw keys, processed keys and URLs."""
+    e = EL.elements(FX.fx(spark, sf_dir), JOB)
+    paths = (
+        e.select("element_id", "type", PA.raw_path("job_id", "element_id", "type").alias("path"))
+        .unionByName(e.filter(F.col("type") != "Image").select(
+            "element_id", "type", PA.processed_path("job_id", "element_id", "type").alias("path")))
+        .unionByName(e.select("element_id", "type", F.col("url").alias("path")))
+    )
+    return paths.select("element_id", "type", "path", PA.content_type("path").alias("content_type"),
+                        U.percent_encode("path").alias("quoted"))
+
+
+def _fx_inputs(spark, sf_dir):
+    pages = FX.fx(spark, sf_dir)
+    els = EL.elements(pages, JOB)
+    return pages, els, AS.fx_assets(els)
+
+
+@register(
+    "asset_status",
+    f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()}, {O.rows_cte()}
+    select r.element_id, r.url, r.type, r.status, r.checksum, r.raw_content_path, r.processed_content_path,
+      case when r.status = 200 and r.type = 'Image' then coalesce(a.content_type, 'image/jpeg')
+           when r.status = 200 then 'application/pdf' end as content_type
+    from rows r left join assets a on a.url = r.url where r.type <> 'URL'""",
+)
+def q_asset_status(spark, sf_dir):
+    """PDF/Image elements joined with their responses, status 200 gating."""
+    _, els, assets = _fx_inputs(spark, sf_dir)
+    r = AS.attach_assets(els, assets)
+    return r.select("element_id", "url", "type", "status", "checksum", "raw_content_path",
+                    "processed_content_path", "content_type")
+
+
+# ---------------------------------------------------------------------------
+# Step 4: store
+# ---------------------------------------------------------------------------
+def _processed_fx(spark, sf_dir):
+    pages, els, assets = _fx_inputs(spark, sf_dir)
+    return AS.process_elements(els, pages, assets, JOB)
+
+
+@register(
+    "metadata_first_writer",
+    f"with {O.metadata_sql()} select * from meta",
+)
+def q_metadata_first_writer(spark, sf_dir):
+    """Seven-column metadata rows after the content pipeline, first writer per element_id
+    (F06, C07, P12, P13, W01, K08)."""
+    rows = _processed_fx(spark, sf_dir)["rows"]
+    winners, _ = ST.first_writer(rows)
+    return EL.to_metadata(winners)
+
+
+@register(
+    "pk_conflicts",
+    f"""with {O.metadata_sql()}
+    select element_id, url as URL, type, parent_id, page_id, pos, 'duplicate element_id in batch' as reason
+    from ranked where rn > 1""",
+)
+def q_pk_conflicts(spark, sf_dir):
+    """Rows that lose the primary-key race, with a reason."""
+    rows = _processed_fx(spark, sf_dir)["rows"]
+    _, losers = ST.first_writer(rows)
+    return losers.select("element_id", F.col("url").alias("URL"), "type", "parent_id", "page_id", "pos",
+                         F.lit("duplicate element_id in batch").alias("reason"))
+
+
+@register(
+    "object_last_writer",
+    f"""with {O.fx_cte()}, {O.elements_cte()},
+    k as (select *, {O.raw_path_sql('job_id', 'element_id', 'type')} as path from els),
+    r as (select *, row_number() over (partition by path order by depth desc, coalesce(parent_url, '') desc,
+                 {O.KIND_RANK_SQL} desc, pos desc, page_id desc) as rn from k)
+    select path, element_id, page_id, pos, parent_url from r where rn = 1""",
+)
+def q_object_last_writer(spark, sf_dir):
+    """Winner per object key when several elements upload the same key."""
+    e = EL.elements(FX.fx(spark, sf_dir), JOB).withColumn("path", PA.raw_path("job_id", "element_id", "type"))
+    winners, _ = ST.last_writer(e, "path")
+    return winners.select("path", "element_id", "page_id", "pos", "parent_url")
+
+
+@register(
+    "metadata_incremental",
+    f"""with {O.metadata_sql()}
+    select *, case when type = 'Image' then 2 else 1 end as batch from meta""",
+)
+def q_metadata_incremental(spark, sf_dir):
+    """Two inserts into one table: pages and PDFs, then everything again; the second adds only
+    the images, re-inserted keys add nothing (X01, K06, K08, S06)."""
+    rows = _processed_fx(spark, sf_dir)["rows"]
+    root = scratch_path(spark, "metadata")
+    ST.ensure_table(spark, root)
+    first = ST.insert_metadata(rows.filter(F.col("type") != "Image"), root)
+    first["inserted"].count()
+    second = ST.insert_metadata(rows, root)
+    b2 = second["inserted"].select("element_id")
+    stored = TB.read_metadata(spark, root)
+    return stored.join(b2.withColumn("batch", F.lit(2)), "element_id", "left").select(
+        *stored.columns, F.coalesce("batch", F.lit(1)).alias("batch"))
+
+
+@register(
+    "metadata_validate",
+    f"""with {O.metadata_sql()}
+    select element_id, type,
+      case when not regexp_full_match(element_id, '[0-9a-f]{{64}}_[0-9]{{8}}_[0-9]{{6}}') then 'element_id malformed'
+           when not regexp_full_match(checksum, '([0-9a-f]{{64}})?') then 'checksum malformed' end as reason
+    from meta""",
+)
+def q_metadata_validate(spark, sf_dir):
+    """Row validation with a reason per row."""
+    rows = _processed_fx(spark, sf_dir)["rows"]
+    winners, _ = ST.first_writer(rows)
+    v = ST.validate_metadata(EL.to_metadata(winners))
+    return v.select("element_id", "type", "reason")
+
+
+@register(
+    "object_manifest",
+    f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()},
+    objs as (
+      select concat('{JOB}/raw/', concat(sha256(url), '_', '{JOB}'), '.html') as path, encode(html) as content,
+             'text/html' as content_type from fx
+      union all
+      select distinct {O.raw_path_sql("'" + JOB + "'", "concat(sha256(a.url), '_', '" + JOB + "')", 't.type')},
+             a.content, case when t.type = 'PDF' then 'application/pdf' else coalesce(a.content_type, 'image/jpeg') end
+      from assets a join (select distinct url, type from els where type <> 'URL') t on t.url = a.url
+      where a.status = 200)
+    select path, sha256(content) as checksum, content_type, octet_length(content) as size from objs""",
+)
+def q_object_manifest(spark, sf_dir):
+    """Write raw and processed objects partitioned by job and stage, read the raw ones back with
+    partition pruning, and list path, checksum, type and size (K01-K05, K07, S05)."""
+    out = _processed_fx(spark, sf_dir)
+    root = scratch_path(spark, "objects")
+    ST.write_objects(out["objects"], root)
+    back = TB.read_objects(spark, root, job_id=JOB, stage="raw")
+    return ST.manifest(back).select("path", "checksum", "content_type", "size")
+
+
+def _meta_fx(spark, sf_dir):
+    rows = _processed_fx(spark, sf_dir)["rows"]
+    winners, _ = ST.first_writer(rows)
+    return EL.to_metadata(winners)
+
+
+@register(
+    "parents_resolved",
+    f"""with {O.metadata_sql()}
+    select c.element_id, c.type, c.parent_id, p.URL as parent_URL, p.URL is not null as parent_found
+    from meta c left join (select element_id, URL from meta where type = 'URL') p on p.element_id = c.parent_id
+    where c.parent_id is not null""",
+)
+def q_parents_resolved(spark, sf_dir):
+    """Children joined with their parent page row."""
+    return EL.resolve_parents(_meta_fx(spark, sf_dir))
+
+
+@register(
+    "children_rollup",
+    f"""with {O.metadata_sql()}
+    select parent_id, cast(count(*) filter (where type = 'PDF') as bigint) as n_pdf,
+      cast(count(*) filter (where type = 'Image') as bigint) as n_image, count(*) as n_children
+    from meta where parent_id is not null group by parent_id""",
+)
+def q_children_rollup(spark, sf_dir):
+    """Children per parent page by type."""
+    return EL.children_rollup(_meta_fx(spark, sf_dir))
+
+
+@register(
+    "job_summary",
+    f"""with {O.metadata_sql()}
+    select split_part(element_id, '_', 2) || '_' || split_part(element_id, '_', 3) as job_id, type,
+      count(*) as n_elements, count(*) filter (where checksum = '') as n_unfetched
+    from meta group by all""",
+)
+def q_job_summary(spark, sf_dir):
+    """Rows by job and type, with the unfetched count."""
+    return EL.job_summary(_meta_fx(spark, sf_dir))
