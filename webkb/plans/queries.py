@@ -425,3 +425,77 @@ def q_children_rollup(spark, sf_dir):
 def q_job_summary(spark, sf_dir):
     """Rows by job and type, with the unfetched count."""
     return EL.job_summary(_meta_fx(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Step 5: fetch log
+# ---------------------------------------------------------------------------
+from webkb.operators import fetchlog as FL  # noqa: E402
+
+DOMAIN_CAP_N = 5
+
+
+@register(
+    "robots_allowed",
+    f"""with robots as ({O.duck_fx_robots()}),
+    u as (select page_id, url, {O.host('url')} as host,
+      case when starts_with(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1), '/')
+           then regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1)
+           else concat('/', regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1)) end as pq
+      from pages),
+    m as (select u.page_id, max(length(r.path) * 2 + case when r.directive = 'allow' then 1 else 0 end) as best
+          from u join robots r on r.host = u.host and starts_with(u.pq, r.path) group by u.page_id)
+    select u.page_id, u.url, coalesce(m.best % 2 = 1, true) as allowed from u left join m on m.page_id = u.page_id""",
+)
+def q_robots_allowed(spark, sf_dir):
+    """Robots exclusion of every page URL: longest rule wins, allow wins ties."""
+    pages = TB.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return FL.robots_filter(pages, FX.fx_robots(spark, sf_dir)).select("page_id", "url", "allowed")
+
+
+@register(
+    "retry_fold",
+    f"""with a as ({O.duck_fx_attempts()}),
+    n as (select *, cast(ts as date) as day,
+                 row_number() over (partition by url, cast(ts as date) order by ts, attempt_id) as attempt from a),
+    g as (select url, day,
+            min(attempt) filter (where status not in (500, 502, 503, 504, 408, 429)) as first_ok,
+            max(attempt) as last_n
+          from n where attempt <= 4 group by url, day)
+    select g.url, g.day, n.status as final_status, cast(n.attempt as integer) as attempts,
+           n.attempt_id as final_attempt_id, g.first_ok is null as exhausted
+    from g join n on n.url = g.url and n.day = g.day and n.attempt = coalesce(g.first_ok, g.last_n)""",
+)
+def q_retry_fold(spark, sf_dir):
+    """Retry outcome per (url, day): 1 + 3 attempts, first non-retryable status wins."""
+    return FL.fold_retries(FX.fx_attempts(spark, sf_dir))
+
+
+@register(
+    "cache_asof",
+    f"""with a as ({O.duck_fx_attempts()}),
+    k as (select attempt_id, url, ts from a where status = 200),
+    q as (select attempt_id, url, ts from a where status = 404)
+    select q.attempt_id, q.url, q.ts, k.attempt_id as cached_attempt_id, k.ts as cached_ts,
+           epoch_us(q.ts) - epoch_us(k.ts) as age_us,
+           coalesce(epoch_us(q.ts) - epoch_us(k.ts) <= 86400000000, false) as fresh
+    from q asof left join k on q.url = k.url and q.ts >= k.ts""",
+)
+def q_cache_asof(spark, sf_dir):
+    """Latest cached 200 response at or before each 404 request, and its freshness."""
+    a = FX.fx_attempts(spark, sf_dir)
+    cache = a.filter(FL.is_cacheable("status") & (F.col("status") == 200))
+    req = a.filter(F.col("status") == 404)
+    return FL.cache_lookup(req, cache)
+
+
+@register(
+    "domain_cap",
+    f"""select url, {O.host('url')} as host, cast(r as integer) as rank from (
+      select url, row_number() over (partition by {O.host('url')} order by url) as r from pages) t
+    where r <= {DOMAIN_CAP_N}""",
+)
+def q_domain_cap(spark, sf_dir):
+    """At most 5 requests per host over all page URLs (W03; the job default is 1000)."""
+    p = TB.read_table(spark, sf_dir, "pages").select("url")
+    return FL.domain_cap(p, DOMAIN_CAP_N).select("url", "host", F.col("rank").cast("int"))
