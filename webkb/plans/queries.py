@@ -499,3 +499,122 @@ def q_domain_cap(spark, sf_dir):
     """At most 5 requests per host over all page URLs (W03; the job default is 1000)."""
     p = TB.read_table(spark, sf_dir, "pages").select("url")
     return FL.domain_cap(p, DOMAIN_CAP_N).select("url", "host", F.col("rank").cast("int"))
+
+
+# ---------------------------------------------------------------------------
+# Step 6: text (HTML -> Markdown, PDF -> Markdown)
+# ---------------------------------------------------------------------------
+from webkb.functions.html import markdown_udf  # noqa: E402
+
+
+@register(
+    "markdown_profile",
+    f"""with {O.fx_cte()},
+    f as (select page_id, html, regexp_extract(html, '&middot; ([^<]*)</footer>', 1) as footer_text from fx)
+    select page_id,
+      cast(len(regexp_extract_all(html, '<h1[\\s>]')) as integer) as n_h1,
+      cast(len(regexp_extract_all(html, '<li[\\s>]')) as integer) as n_items,
+      cast(len(regexp_extract_all(html, '<a\\s')) as integer) as n_links,
+      contains(regexp_replace(html, '(?s)<footer>.*?</footer>', '', 'g'), footer_text) as footer_leak,
+      false as script_leak, false as has_images, true as converted
+    from f""",
+)
+def q_markdown_profile(spark, sf_dir):
+    """HTML to Markdown of every fx page with footer/header removed and images dropped:
+    heading, list-item and link counts, and no footer, script or image text (C01-C03)."""
+    pages = FX.fx(spark, sf_dir)
+    md = pages.select("page_id", "html", markdown_udf(("footer", "header"), False)("url", "html").alias("md"))
+    lines = F.split("md", "\n")
+    footer = F.regexp_extract("html", "&middot; ([^<]*)</footer>", 1)
+    return md.select(
+        "page_id",
+        F.size(F.filter(lines, lambda ln: ln.startswith("# "))).alias("n_h1"),
+        F.size(F.filter(lines, lambda ln: ln.startswith("- "))).alias("n_items"),
+        (F.size(F.split("md", r"\]\(")) - 1).alias("n_links"),
+        F.col("md").contains(footer).alias("footer_leak"),
+        F.col("md").contains("track(").alias("script_leak"),
+        F.col("md").contains("![").alias("has_images"),
+        F.col("md").isNotNull().alias("converted"),
+    )
+
+
+@register(
+    "pdf_roundtrip",
+    f"""select doc_id, body as text, cast(null as varchar) as error from ({O.duck_fx_pdfs()}) t""",
+)
+def q_pdf_roundtrip(spark, sf_dir):
+    """Every document wrapped into PDF bytes and read back to Markdown."""
+    files = FX.fx_pdf_files(spark, sf_dir)
+    out = AS.pdf_to_markdown(files.select(F.col("doc_id").cast("string").alias("key"), "content"), "auto")
+    return out.select(F.col("key").cast("long").alias("doc_id"), F.col("markdown").alias("text"), "error")
+
+
+@register(
+    "pdf_classify",
+    f"""select doc_id, true as has_text_layer, 1 as n_pages, cast(null as varchar) as error
+    from ({O.duck_fx_pdfs()}) t""",
+)
+def q_pdf_classify(spark, sf_dir):
+    """Text layer present versus scanned, and page count, per PDF."""
+    files = FX.fx_pdf_files(spark, sf_dir)
+    out = AS.classify_pdfs(files.select(F.col("doc_id").cast("string").alias("key"), "content"))
+    return out.select(F.col("key").cast("long").alias("doc_id"), "has_text_layer", "n_pages", "error")
+
+
+# ---------------------------------------------------------------------------
+# Step 7: search
+# ---------------------------------------------------------------------------
+from webkb.operators import search as SE  # noqa: E402
+
+SEARCH_K = 10
+SEARCH_SITES = ["example.org"]
+
+
+def _bm25_sql(docs_sql: str, site_pred: str | None = None) -> str:
+    tok = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
+    cand = f"where p.doc_id in (select doc_id from docs where {site_pred})" if site_pred else ""
+    return f"""docs as ({docs_sql}),
+    d as (select doc_id, {tok.format(c='text')} as toks from docs),
+    dl as (select doc_id, len(toks) as dl from d),
+    st as (select count(*) as n, avg(dl) as avgdl from dl),
+    q as (select distinct query_id, term from
+          (select item_id as query_id, unnest({tok.format(c='text')}) as term from benchmark) t0),
+    tok as (select doc_id, unnest(toks) as term from d),
+    post as (select term, doc_id, count(*) as tf from tok where term in (select term from q) group by all),
+    dfq as (select term, count(*) as df from post group by term),
+    sc as (select q.query_id, p.doc_id,
+             sum(ln((st.n - dfq.df + 0.5) / (dfq.df + 0.5) + 1) * p.tf * {BM25_K1 + 1}
+                 / (p.tf + {BM25_K1} * ({1 - BM25_B} + {BM25_B} * dl.dl / st.avgdl))) as score
+           from post p join q on q.term = p.term join dfq on dfq.term = p.term join dl on dl.doc_id = p.doc_id
+           join st on true {cand}
+           group by all),
+    r as (select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rn from sc)
+    select query_id, cast(rn as integer) as rank, doc_id, cast(round(score * 1000000) as bigint) as score_e6
+    from r where rn <= {SEARCH_K}"""
+
+
+from webkb.conf import BM25_B, BM25_K1  # noqa: E402
+
+
+@register("kb_search_topk", "with " + _bm25_sql("select doc_id, text from documents"))
+def q_kb_search_topk(spark, sf_dir):
+    """BM25 top 10 documents for every benchmark query over all documents."""
+    docs = TB.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    qs = TB.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    r = SE.kb_search(docs, qs, SEARCH_K)
+    return r.select("query_id", "rank", "doc_id", F.round(F.col("score") * 1e6).cast("long").alias("score_e6"))
+
+
+@register(
+    "kb_search_site",
+    f"with {O.fx_cte()}, "
+    + _bm25_sql("select page_id as doc_id, url, regexp_replace(html, '<[^>]*>', ' ', 'g') as text from fx",
+                f"{O.host('url')} = 'example.org' or ends_with({O.host('url')}, '.example.org')"),
+)
+def q_kb_search_site(spark, sf_dir):
+    """BM25 top 10 pages per benchmark query, restricted to the example.org site."""
+    kb = FX.fx(spark, sf_dir).select(F.col("page_id").alias("doc_id"), "url",
+                                      F.regexp_replace("html", "<[^>]*>", " ").alias("text"))
+    qs = TB.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    r = SE.kb_search(kb, qs, SEARCH_K, sites=SEARCH_SITES)
+    return r.select("query_id", "rank", "doc_id", F.round(F.col("score") * 1e6).cast("long").alias("score_e6"))
