@@ -58,9 +58,9 @@ def fx_cte() -> str:
     return f"fx as ({duck_fx()})"
 
 
-def anchors_cte(src: str = "fx") -> str:
+def anchors_cte(src: str = "fx", name: str = "anchors") -> str:
     """``anchors(page_id, page_url, pos, href, nofollow)`` by regex over the tags."""
-    return f"""anchors as (
+    return f"""{name} as (
       select page_id, page_url, pos, regexp_extract(tag, 'href="([^"]*)"', 1) as href,
              regexp_matches(tag, 'rel="[^"]*nofollow') as nofollow
       from (select page_id, page_url, cast(unnest(range(len(ts))) as integer) as pos, unnest(ts) as tag
@@ -68,28 +68,29 @@ def anchors_cte(src: str = "fx") -> str:
                          regexp_extract_all(html, '<a\\s[^>]*href="[^"]*"[^>]*>', 0) as ts from {src}) t0) t)"""
 
 
-def images_cte(src: str = "fx") -> str:
-    return f"""imgs as (
+def images_cte(src: str = "fx", name: str = "imgs") -> str:
+    return f"""{name} as (
       select page_id, page_url, cast(unnest(range(len(ss))) as integer) as pos, unnest(ss) as src
       from (select page_id, url as page_url,
                    regexp_extract_all(html, '<img\\s[^>]*src="([^"]+)"', 1) as ss from {src}) t)"""
 
 
-def elements_cte(job: str = JOB) -> str:
-    """``els(element_id, url, type, parent_url, parent_id, depth, pos, page_id, job_id)`` over fx."""
-    return f"""{anchors_cte()}, {images_cte()},
+def elements_cte(job: str = JOB, src: str = "fx", depth: str = "0") -> str:
+    """``els(element_id, url, type, parent_url, parent_id, depth, pos, page_id, job_id)`` over ``src``
+    (``src`` has page_id, url, html and the column named by ``depth``)."""
+    return f"""{anchors_cte(src, src + '_a')}, {images_cte(src, src + '_i')},
     els0 as (
-      select page_id, url, 'URL' as type, cast(null as varchar) as parent_url, 0 as pos from fx
+      select page_id, url, 'URL' as type, cast(null as varchar) as parent_url, 0 as pos from {src}
       union all
-      select page_id, {resolve('page_url', 'href')} as url, 'PDF', page_url, pos from anchors
+      select page_id, {resolve('page_url', 'href')} as url, 'PDF', page_url, pos from {src}_a
        where contains(href, '.pdf') and contains(lower(split_part(href, '?', 1)), '.pdf')
       union all
-      select page_id, {resolve('page_url', 'src')} as url, 'Image', page_url, pos from imgs where src <> ''),
+      select page_id, {resolve('page_url', 'src')} as url, 'Image', page_url, pos from {src}_i where src <> ''),
     els as (
-      select concat(sha256(url), '_', '{job}') as element_id, url, type, parent_url,
-             case when parent_url is not null then concat(sha256(parent_url), '_', '{job}') end as parent_id,
-             cast(0 as integer) as depth, cast(pos as integer) as pos, page_id, '{job}' as job_id
-      from els0)"""
+      select concat(sha256(e.url), '_', '{job}') as element_id, e.url, e.type, e.parent_url,
+             case when e.parent_url is not null then concat(sha256(e.parent_url), '_', '{job}') end as parent_id,
+             cast(s.d as integer) as depth, cast(e.pos as integer) as pos, e.page_id, '{job}' as job_id
+      from els0 e join (select page_id, {depth} as d from {src}) s on s.page_id = e.page_id)"""
 
 
 __all__ = [
@@ -150,8 +151,10 @@ def ranked_cte(desc: bool = False) -> str:
              {KIND_RANK_SQL}{d}, pos{d}, page_id{d}) as rn from rows)"""
 
 
-def metadata_sql() -> str:
-    """The first-writer metadata rows of fx (all CTEs)."""
-    return f"""{fx_cte()}, {elements_cte()}, {assets_cte()}, {rows_cte()}, {ranked_cte()},
+def metadata_sql(prefix: str | None = None, src: str = "fx", depth: str = "0") -> str:
+    """First-writer metadata rows (all CTEs) of the pages in ``src``;
+    assets are those of all fx elements."""
+    head = prefix if prefix is not None else fx_cte()
+    return f"""{head}, {elements_cte(src=src, depth=depth)}, {assets_cte()}, {rows_cte()}, {ranked_cte()},
     meta as (select element_id, url as URL, type, raw_content_path, processed_content_path, checksum, parent_id
              from ranked where rn = 1)"""
