@@ -1,0 +1,46 @@
+"""PDF text layer: plain, Flate, truncated, image-only, hex/array text."""
+
+import zlib
+
+import pytest
+
+from webkb.functions.pdf import PdfError, blocks_to_markdown, read_pdf
+
+
+def make_pdf(stream: bytes, flate: bool = False, extra_obj: bytes = b"") -> bytes:
+    data = zlib.compress(stream) if flate else stream
+    filt = b" /Filter /FlateDecode" if flate else b""
+    return (b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n"
+            b"2 0 obj << /Type /Pages /Kids [3 0 R] /Count 1 >> endobj\n"
+            b"3 0 obj << /Type /Page /Parent 2 0 R /Contents 4 0 R >> endobj\n"
+            b"4 0 obj << /Length " + str(len(data)).encode() + filt + b" >> stream\n" + data +
+            b"\nendstream endobj\n" + extra_obj + b"trailer << /Root 1 0 R >>\n%%EOF\n")
+
+
+def test_plain():
+    r = read_pdf(make_pdf(b"BT /F1 12 Tf 72 720 Td (Hello world) Tj ET"))
+    assert r["n_pages"] == 1 and r["has_text_layer"]
+    assert blocks_to_markdown(r["blocks"]) == "Hello world"
+
+
+def test_flate_and_operators():
+    s = b"BT (A \\(paren\\) \\101) Tj T* [(Hel) -20 (lo)] TJ 0 -14 Td <48690a> Tj ET BT (Two) Tj ET"
+    r = read_pdf(make_pdf(s, flate=True))
+    assert [b[1] for b in r["blocks"]] == ["A (paren) A", "Hello", "Hi", "Two"]
+
+
+def test_truncated():
+    data = make_pdf(b"BT (x) Tj ET")
+    with pytest.raises(PdfError):
+        read_pdf(data[: len(data) // 2])
+
+
+def test_image_only():
+    img = b"5 0 obj << /Type /XObject /Subtype /Image /Filter /DCTDecode /Length 3 >> stream\nabc\nendstream endobj\n"
+    r = read_pdf(make_pdf(b"q 100 0 0 100 0 0 cm /Im1 Do Q", extra_obj=img))
+    assert r["n_pages"] == 1 and not r["has_text_layer"] and r["blocks"] == []
+
+
+def test_not_pdf():
+    with pytest.raises(PdfError):
+        read_pdf(b"asset:http://x")

@@ -136,6 +136,7 @@ class _Markdown(HTMLParser):
         self.lists: list[list] = []  # [kind, counter]
         self.links: list[tuple[int, str]] = []
         self.pre = 0
+        self.inline: list[str] = []  # open ** / * marks, closed at block ends
         self.table_rows: list[list[str]] | None = None
         self.cell: list[str] | None = None
         self.row: list[str] | None = None
@@ -147,7 +148,26 @@ class _Markdown(HTMLParser):
         else:
             self.out.append(s)
 
+    def _close_inline(self):
+        """Close open ** / * marks (unclosed tags end with their block),
+        placing them before trailing whitespace."""
+        if not self.inline:
+            return
+        sink = self.cell if self.cell is not None else self.out
+        tail = []
+        while sink and sink[-1].strip() == "":
+            tail.append(sink.pop())
+        if sink:
+            stripped = sink[-1].rstrip()
+            if len(stripped) < len(sink[-1]):
+                tail.append(sink[-1][len(stripped):])
+                sink[-1] = stripped
+        while self.inline:
+            sink.append(self.inline.pop())
+        sink.extend(reversed(tail))
+
     def _block(self):
+        self._close_inline()
         if self.cell is None:
             self.out.append("\n\n")
 
@@ -190,8 +210,10 @@ class _Markdown(HTMLParser):
             self._block()
         elif tag in ("b", "strong"):
             self._emit("**")
+            self.inline.append("**")
         elif tag in ("i", "em"):
             self._emit("*")
+            self.inline.append("*")
         elif tag == "code" and not self.pre:
             self._emit("`")
         elif tag == "pre":
@@ -243,10 +265,14 @@ class _Markdown(HTMLParser):
             return
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self._block()
-        elif tag in ("b", "strong"):
-            self._emit("**")
-        elif tag in ("i", "em"):
-            self._emit("*")
+        elif tag in ("b", "strong", "i", "em"):
+            mark = "**" if tag in ("b", "strong") else "*"
+            if mark in self.inline:
+                while self.inline:
+                    m = self.inline.pop()
+                    self._emit(m)
+                    if m == mark:
+                        break
         elif tag == "code" and not self.pre:
             self._emit("`")
         elif tag == "pre":
@@ -319,8 +345,15 @@ class _Markdown(HTMLParser):
             self.handle_endtag("a")
         if self.table_rows is not None:
             self._close_table()
+        self._close_inline()
         text = "".join(self.out)
-        lines = [ln.strip() if not ln.startswith("    ") else ln.rstrip() for ln in text.split("\n")]
+        lines, fenced = [], False
+        for ln in text.split("\n"):
+            if ln.strip().startswith("```"):
+                fenced = not fenced
+                lines.append(ln.strip())
+            else:
+                lines.append(ln.rstrip() if fenced else ln.strip())
         text = "\n".join(lines)
         text = re.sub(r"\n{3,}", "\n\n", text)
         return text.strip()

@@ -16,7 +16,7 @@ _STREAM_RE = re.compile(rb"^(.*?)\bstream\r?\n(.*?)\r?\n?endstream", re.S)
 _PAGE_RE = re.compile(rb"/Type\s*/Page(?![a-zA-Z])")
 _CONTENTS_RE = re.compile(rb"/Contents\s*(?:(\d+)\s+\d+\s+R|\[([^\]]*)\])")
 _REF_RE = re.compile(rb"(\d+)\s+\d+\s+R")
-_TOKEN_RE = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|\[|\]|/[^\s/\[\]()<>]+|[-+]?\d*\.?\d+|[A-Za-z'\"*]+", re.S)
+_TOKEN_RE = re.compile(rb"\((?:[^\\()]++|\\.|\((?:[^\\()]++|\\.)*+\))*+\)|<[0-9A-Fa-f\s]*>|\[|\]|/[^\s/\[\]()<>]+|[-+]?\d*\.?\d+|[A-Za-z'\"*]+", re.S)
 
 _ESC = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"(": b"(", b")": b")", b"\\": b"\\"}
 
@@ -27,6 +27,8 @@ class PdfError(ValueError):
 
 def _literal(tok: bytes) -> str:
     body = tok[1:-1]
+    if b"\\" not in body:
+        return body.decode("latin-1")
     out = bytearray()
     i = 0
     while i < len(body):

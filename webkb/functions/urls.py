@@ -70,11 +70,16 @@ def canonical_url(col) -> Column:
     return F.when(hierarchical, F.concat(sch, F.lit("://"), auth, path, tail)).otherwise(u)
 
 
+def denied_extension_regex() -> str:
+    """Lower-cased path ends with '.' + a denied extension."""
+    return r"\.(?:" + "|".join(e.replace(".", r"\.") for e in DENIED_EXTENSIONS) + r")$"
+
+
 def is_followable(col) -> Column:
-    """Default link extractor filter: allowed scheme, extension not denied."""
+    """Default link extractor filter: allowed scheme, and the lower-cased
+    path does not end with a denied extension."""
     ok_scheme = scheme(col).isin(*FOLLOW_SCHEMES)
-    ext = path_extension(url_path(col))
-    return ok_scheme & ~ext.isin(*DENIED_EXTENSIONS)
+    return ok_scheme & ~F.lower(url_path(col)).rlike(denied_extension_regex())
 
 
 def is_pdf_href(col) -> Column:

@@ -70,7 +70,9 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
         frontier = checkpoint(new.repartition(n, "url_key"))
         if frontier.isEmpty():
             break
-        visited = checkpoint(visited.unionByName(frontier))
+        # The visited set is the union of checkpointed levels: nothing is
+        # recomputed and no second copy is written per level.
+        visited = visited.unionByName(frontier)
     return visited
 
 

@@ -41,13 +41,11 @@ FOLLOW_SCHEMES_SQL = "('http', 'https', 'ftp', 'file')"
 
 
 def followable(u: str) -> str:
-    from webkb.conf import DENIED_EXTENSIONS
+    from webkb.functions.urls import denied_extension_regex
 
-    denied = ", ".join(f"'{e}'" for e in DENIED_EXTENSIONS)
     path = f"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
-    ext = f"lower(regexp_extract({path}, '/\\.*[^/.][^/]*\\.([^./]*)$', 1))"
     return (f"(lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) in {FOLLOW_SCHEMES_SQL} "
-            f"and {ext} not in ({denied}))")
+            f"and not regexp_matches(lower({path}), '{denied_extension_regex()}'))")
 
 
 def host(u: str) -> str:
