@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webkb.conf import ELEMENT_TYPES
 from webkb.operators.elements import order_struct, to_metadata
@@ -34,16 +35,24 @@ def first_writer(rows: DataFrame, key: str = "element_id", last: bool = False,
                  order: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """``(winners, losers)`` per ``key`` by the declared arrival order.
 
-    The winner is a ``min``/``max`` over a struct (partial aggregation,
-    safe when one key holds a large share of rows); losers come from a join
-    back on the key, which adaptive execution splits when a key is hot."""
+    The winner is a ``min_by``/``max_by`` over the order (a partial
+    aggregation, safe when one key holds a large share of rows); a hash of
+    the row breaks ties so the choice is deterministic. Losers come from a
+    join back on the key, which adaptive execution splits when a key is
+    hot."""
     o = order if order is not None else order_struct()
-    cols = [c for c in rows.columns]
-    packed = rows.select(F.col(key).alias("_k"), F.struct(o.alias("o"), F.struct(*cols).alias("r")).alias("_v"))
-    agg = F.max("_v") if last else F.min("_v")
-    win = packed.groupBy("_k").agg(agg.alias("_w"))
-    winners = win.select("_w.r.*")
-    losers = packed.join(win, "_k").filter(F.col("_v") != F.col("_w")).select("_v.r.*")
+    cols = list(rows.columns)
+    hashable = [c for c in cols if not isinstance(rows.schema[c].dataType, T.MapType)]
+    packed = rows.select(
+        F.col(key).alias("_k"),
+        F.struct(o.alias("o"), F.xxhash64(*hashable).alias("h")).alias("_o"),
+        F.struct(*cols).alias("_r"),
+    )
+    pick = F.max_by if last else F.min_by
+    best = F.max if last else F.min
+    win = packed.groupBy("_k").agg(pick("_r", "_o").alias("_w"), best("_o").alias("_wo"))
+    winners = win.select("_w.*")
+    losers = packed.join(win.select("_k", "_wo"), "_k").filter(F.col("_o") != F.col("_wo")).select("_r.*")
     return winners, losers
 
 

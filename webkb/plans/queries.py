@@ -100,9 +100,9 @@ def q_extract_images(spark, sf_dir):
     return LK.extract_images(_parsed_fx(spark, sf_dir))
 
 
-def _edges_sql():
+def _edges_sql(src: str = "fx"):
     link = O.resolve("page_url", "trim(href)")
-    return f"""{O.anchors_cte()},
+    return f"""{O.anchors_cte(src)},
     edges as (
       select {O.canonical('page_url')} as src, {O.canonical(link)} as dst, bool_and(nofollow) as nofollow
       from anchors where {O.followable(link)} group by all)"""
@@ -115,8 +115,12 @@ def q_link_edges(spark, sf_dir):
 
 
 def _crawl_ctes(max_depth: int) -> str:
-    return f"""{O.fx_cte()}, {_edges_sql()},
+    # a fetch returns one page per canonical URL (the lowest page_id): only
+    # the links of that page are followed
+    return f"""{O.fx_cte()},
     keys as (select {O.canonical('url')} as url_key, min(page_id) as page_id from fx group by all),
+    fxk as (select * from fx where page_id in (select page_id from keys)),
+    {_edges_sql('fxk')},
     pe as (select e.src, e.dst from edges e join keys k on k.url_key = e.dst),
     seed as (select {O.canonical('url')} as url_key from fx where page_id = (select min(page_id) from fx)),
     r(u, d) as (select k.url_key, 0 from seed s join keys k on k.url_key = s.url_key
