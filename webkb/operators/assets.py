@@ -20,6 +20,7 @@ from webkb.functions.paths import checksum, element_id, processed_path, raw_path
 from webkb.functions.pdf import PdfError, blocks_to_markdown, read_pdf
 from webkb.schema import PDF_BLOCK
 from webkb.sources.fixtures import pdf_bytes_sql
+from webkb.session import bounded_broadcast, checkpoint
 
 PDF_RESULT_SCHEMA = (
     "key string, markdown string, n_pages int, has_text_layer boolean, "
@@ -190,10 +191,14 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
         "page_id", "url", "html", element_id("url", job_lit).alias("element_id"),
         checksum("html").alias("page_checksum"),
     )
+    if "page_checksum" in elements.columns:  # taken in the parse pass
+        url_rows = elements.filter(F.col("type") == "URL")
+        elements = elements.drop("page_checksum")
+    else:
+        url_rows = elements.filter(F.col("type") == "URL").join(
+            page_level.select("page_id", "page_checksum"), "page_id", "left")
     url_rows = (
-        elements.filter(F.col("type") == "URL")
-        .join(page_level.select("page_id", "page_checksum"), "page_id", "left")
-        .withColumn("checksum", F.coalesce("page_checksum", F.lit("")))
+        url_rows.withColumn("checksum", F.coalesce("page_checksum", F.lit("")))
         .withColumn("raw_content_path", raw_path("job_id", "element_id", "type"))
         .withColumn("processed_content_path", processed_path("job_id", "element_id", "type"))
         .withColumn("status", F.lit(200))
@@ -202,11 +207,14 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     )
     asset_rows = attach_assets(elements, assets)
 
-    # PDFs: one conversion per distinct fetched URL.
-    pdf_urls = elements.filter(F.col("type") == "PDF").select("url").distinct()
-    pdf_assets = assets.filter(F.col("status") == 200).join(pdf_urls, "url", "left_semi")
-    converted = pdf_to_markdown(pdf_assets.select(F.col("url").alias("key"), "content"), pdf_method,
-                                extractor_factory)
+    # Fetched assets with their element type: one join (a broadcast when the
+    # distinct URL set is proven small). PDFs are converted once per URL and
+    # the result is checkpointed: metadata and objects both read it.
+    types = bounded_broadcast(elements.filter(F.col("type") != "URL").select("url", "type").distinct())
+    ok_assets = assets.filter(F.col("status") == 200).join(types, "url")
+    converted = checkpoint(pdf_to_markdown(
+        ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content"), pdf_method,
+        extractor_factory))
     conv_status = converted.select(F.col("key").alias("url"), F.col("error").alias("pdf_error"))
     asset_rows = asset_rows.join(conv_status, "url", "left")
     failed = (F.col("type") == "PDF") & F.col("pdf_error").isNotNull()
@@ -230,8 +238,6 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
         F.lit(None).cast("string").alias("checksum"), F.lit("processed").alias("stage"),
         F.col("page_id").alias("order_key"),
     )
-    types = elements.filter(F.col("type") != "URL").select("url", "type").distinct()
-    ok_assets = assets.filter(F.col("status") == 200).join(types, "url")
     asset_raw = ok_assets.select(
         element_id("url", job_lit).alias("element_id"), "type", "content", "content_type"
     ).select(

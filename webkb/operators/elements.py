@@ -17,10 +17,11 @@ from webkb.schema import METADATA_COLUMNS
 ELEMENT_COLUMNS = ["element_id", "url", "type", "parent_url", "parent_id", "depth", "pos", "page_id", "job_id"]
 
 
-def _el(type_: str, url: Column, parent: Column, pos: Column) -> Column:
-    return F.struct(
-        F.lit(type_).alias("type"), url.alias("url"), parent.alias("parent_url"), pos.cast("int").alias("pos")
-    )
+def _el(type_: str, url: Column, parent: Column, pos: Column, page_sum: Column | None = None) -> Column:
+    fields = [F.lit(type_).alias("type"), url.alias("url"), parent.alias("parent_url"), pos.cast("int").alias("pos")]
+    if page_sum is not None:
+        fields.append(page_sum.alias("page_checksum"))
+    return F.struct(*fields)
 
 
 def kind_rank(type_col) -> Column:
@@ -42,10 +43,13 @@ def elements_from_parsed(parsed: DataFrame, job: str, parent_as_url: bool = Fals
     items = F.col("items")
     page_url = F.col("url")
     null_s = F.lit(None).cast("string")
+    has_sum = "page_checksum" in parsed.columns
+    psum = F.col("page_checksum") if has_sum else None
+    nsum = null_s if has_sum else None
     arr = F.concat(
-        F.array(_el("URL", page_url, null_s, F.lit(0))),
-        F.transform(pdf_items(items), lambda i: _el("PDF", i["abs_url"], page_url, i["pos"])),
-        F.transform(image_items(items), lambda i: _el("Image", i["abs_url"], page_url, i["pos"])),
+        F.array(_el("URL", page_url, null_s, F.lit(0), psum)),
+        F.transform(pdf_items(items), lambda i: _el("PDF", i["abs_url"], page_url, i["pos"], nsum)),
+        F.transform(image_items(items), lambda i: _el("Image", i["abs_url"], page_url, i["pos"], nsum)),
     )
     e = parsed.select("page_id", depth.cast("int").alias("depth"), F.explode(arr).alias("e")).select(
         "page_id", "depth", "e.*"
@@ -53,6 +57,8 @@ def elements_from_parsed(parsed: DataFrame, job: str, parent_as_url: bool = Fals
     if extra:
         for fn in extra:
             more = fn(parsed).select("page_id", "depth", "type", "url", "parent_url", F.col("pos").cast("int"))
+            if has_sum:
+                more = more.withColumn("page_checksum", null_s)
             e = e.unionByName(more)
     job_lit = F.lit(job)
     parent_id = F.col("parent_url") if parent_as_url else F.when(
@@ -68,14 +74,19 @@ def elements_from_parsed(parsed: DataFrame, job: str, parent_as_url: bool = Fals
         "pos",
         "page_id",
         job_lit.alias("job_id"),
+        *(["page_checksum"] if has_sum else []),
     )
 
 
 def elements(pages: DataFrame, job: str, parent_as_url: bool = False,
-             extra: list[Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
-    """Elements of every page in ``pages`` ``(page_id, url, html[, depth])``."""
+             extra: list[Callable[[DataFrame], DataFrame]] | None = None,
+             with_checksum: bool = False) -> DataFrame:
+    """Elements of every page in ``pages`` ``(page_id, url, html[, depth])``.
+
+    ``with_checksum`` adds ``page_checksum`` (set on URL rows), taken in
+    the parse pass so the content step needs no join back to the pages."""
     keep = ("depth",) if "depth" in pages.columns else ()
-    return elements_from_parsed(parse_pages(pages, keep), job, parent_as_url, extra)
+    return elements_from_parsed(parse_pages(pages, keep, with_checksum), job, parent_as_url, extra)
 
 
 def writer_order(desc: bool = False) -> list[Column]:

@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webkb.functions.html import parse_html_udf
+from webkb.functions.paths import checksum
 from webkb.functions.urls import canonical_url, is_followable, is_image_src, is_pdf_href
 
 
-def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(page_id, url, items, *keep)`` with ``items`` = parsed links/images."""
-    return pages.select("page_id", "url", *keep, parse_html_udf("url", "html").alias("items"))
+def parse_pages(pages: DataFrame, keep: tuple[str, ...] = (), with_checksum: bool = False) -> DataFrame:
+    """``(page_id, url, *keep, [page_checksum,] items)``; ``items`` = parsed
+    links/images. The page checksum is taken in the same scan, before the
+    HTML is dropped."""
+    extra = [checksum("html").alias("page_checksum")] if with_checksum else []
+    return pages.select("page_id", "url", *keep, *extra, parse_html_udf("url", "html").alias("items"))
 
 
 def pdf_items(items: Column) -> Column:

@@ -53,7 +53,7 @@ def build_kb(spark: SparkSession, pages: DataFrame, assets: DataFrame, conf: Job
     store = TB.page_store(pages)
     if robots is not None:
         store = FL.robots_filter(store, robots).filter("allowed").drop("allowed", "rule")
-    parsed = checkpoint(LK.parse_pages(store, ("url_key",)))
+    parsed = checkpoint(LK.parse_pages(store, ("url_key",), with_checksum=True))
     edges = LK.link_edges(parsed, edge_filter)
     seed_df = TB.seeds(spark, seeds if seeds is not None else conf.seeds)
     crawled = CR.crawl(seed_df, store, edges, conf.max_depth, conf.follow, conf.partitions)

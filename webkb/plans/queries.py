@@ -290,7 +290,7 @@ def q_asset_status(spark, sf_dir):
 # ---------------------------------------------------------------------------
 def _processed_fx(spark, sf_dir):
     pages, els, assets = _fx_inputs(spark, sf_dir)
-    return AS.process_elements(els, pages, assets, JOB)
+    return AS.process_elements(EL.elements(pages, JOB, with_checksum=True), pages, assets, JOB)
 
 
 @register(

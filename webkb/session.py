@@ -85,3 +85,16 @@ def checkpoint(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (never localCheckpoint)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast hint only when the row count is proven to be at most
+    ``max_rows`` (a bounded count: it stops after ``max_rows + 1`` rows);
+    beyond the bound the plain (shuffle) join is left to the planner."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -46,7 +46,7 @@ def write_new_objects(objects: DataFrame, root: str) -> None:
 def ingest_batch(pages: DataFrame, assets: DataFrame, job: str, meta_root: str, objects_root: str,
                  pdf_method: str = "auto") -> None:
     """One micro-batch (or one batch job) of pages into the stores."""
-    els = EL.elements(pages, job)
+    els = EL.elements(pages, job, with_checksum=True)
     out = AS.process_elements(els, pages, assets, job, pdf_method)
     write_new_objects(out["objects"], objects_root)
     ST.insert_metadata(out["rows"], meta_root)
