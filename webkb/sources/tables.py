@@ -73,7 +73,7 @@ def fetch_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
     """Stored objects; ``job_id``/``stage`` filters prune partitions."""
-    df = spark.read.schema(OBJECT).parquet(root)
+    df = spark.read.schema(OBJECT).parquet(root).select(*OBJECT.fieldNames())
     if job_id is not None:
         df = df.filter(F.col("job_id") == job_id)
     if stage is not None:
@@ -85,7 +85,7 @@ def read_metadata(spark: SparkSession, root: str, type_: str | None = None, elem
                   with_job: bool = False) -> DataFrame:
     """Stored metadata; ``type`` prunes partitions, ``element_id`` is pushed
     to the Parquet reader."""
-    df = spark.read.schema(METADATA_STORED).parquet(root)
+    df = spark.read.schema(METADATA_STORED).parquet(root).select(*METADATA_STORED.fieldNames())
     if type_ is not None:
         df = df.filter(F.col("type") == type_)
     if element_id is not None:
