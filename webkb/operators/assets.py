@@ -20,7 +20,7 @@ from webkb.functions.paths import checksum, element_id, processed_path, raw_path
 from webkb.functions.pdf import PdfError, blocks_to_markdown, read_pdf
 from webkb.schema import PDF_BLOCK
 from webkb.sources.fixtures import pdf_bytes_sql
-from webkb.session import bounded_broadcast, checkpoint
+from webkb.session import bounded_broadcast, checkpoint, spread_for_python
 
 PDF_RESULT_SCHEMA = (
     "key string, markdown string, n_pages int, has_text_layer boolean, "
@@ -155,6 +155,8 @@ def pdf_to_markdown(pdfs: DataFrame, method: str = "auto", extractor_factory: Ca
             "blocks",
             F.lit(None).cast("string").alias("error"),
         )
+    if not src.isStreaming:
+        src = spread_for_python(src)
     out = src.mapInPandas(_pdf_partition(method, extractor_factory), PDF_RESULT_SCHEMA)
     return out.unionByName(parsed_part) if parsed_part is not None else out
 
@@ -186,8 +188,11 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     conversion failed: no metadata row, as the stored job does)."""
     _check_method(pdf_method, extractor_factory)
     job_lit = F.lit(job)
+    # Element rows are narrow and read by four branches below: materialize
+    # them once so the HTML parse behind them runs once.
+    elements = checkpoint(elements)
     # URL elements: page-level values, the HTML is read once here.
-    page_level = pages.select(
+    page_level = (pages if pages.isStreaming else spread_for_python(pages)).select(
         "page_id", "url", "html", element_id("url", job_lit).alias("element_id"),
         checksum("html").alias("page_checksum"),
     )
