@@ -376,6 +376,7 @@ def q_metadata_validate(spark, sf_dir):
     objs as (
       select concat('{JOB}/raw/', concat(sha256(url), '_', '{JOB}'), '.html') as path, encode(html) as content,
              'text/html' as content_type from fx
+      where page_id in (select max(page_id) from fx group by url)  -- last writer per object key
       union all
       select distinct {O.raw_path_sql("'" + JOB + "'", "concat(sha256(a.url), '_', '" + JOB + "')", 't.type')},
              a.content, case when t.type = 'PDF' then 'application/pdf' else coalesce(a.content_type, 'image/jpeg') end
