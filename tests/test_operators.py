@@ -312,3 +312,35 @@ def test_stream_replay_adds_nothing(spark):
     batch = sorted(tuple(r) for r in EL.to_metadata(w).collect())
     streamed = sorted(tuple(r) for r in TB.read_metadata(spark, meta).collect())
     assert batch == streamed
+
+
+def test_binary_file_asset_store(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 x")
+    (tmp_path / "b.png").write_bytes(b"img")
+    got = {r.url.rsplit("/", 1)[-1]: (r.status, bytes(r.content)) for r in TB.asset_store(spark, str(tmp_path), "binaryFile").collect()}
+    assert got == {"a.pdf": (200, b"%PDF-1.4 x"), "b.png": (200, b"img")}
+
+
+def test_ensure_table_catalog(spark):
+    root = scratch_path(spark, "t-cat")
+    t = ST.ensure_table(spark, root, name="webkb_t_meta")
+    assert t.count() == 0 and "element_id" in t.columns
+    assert spark.catalog.tableExists("webkb_t_meta")
+    ST.ensure_table(spark, root, name="webkb_t_meta")  # second call: left as is
+
+
+def test_build_kb_robots_and_cap(spark):
+    from webkb.plans.pipeline import build_kb
+
+    fxp = FX.fx(spark, SF001)
+    assets = AS.fx_assets(EL.elements(fxp, JOB))
+    robots = FX.fx_robots(spark, SF001)
+    seeds = fxp.select("url")
+    out = build_kb(spark, fxp, assets, JobConf(job_ts="2024-01-02 03:04:05", max_depth=0,
+                                               max_requests_per_domain=1),
+                   scratch_path(spark, "t-kb2"), seeds=seeds, robots=robots)
+    pages = out["metadata"].filter("type = 'URL'").select("URL")
+    allowed = FL.robots_filter(pages.withColumnRenamed("URL", "url"), robots)
+    assert allowed.filter("not allowed").count() == 0
+    hosts = pages.select(F.lower(F.regexp_extract("URL", r"^[a-z]+://([^/?#:]+)", 1)).alias("h"))
+    assert hosts.groupBy("h").count().filter("count > 1").count() == 0

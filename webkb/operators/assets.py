@@ -20,7 +20,7 @@ from webkb.functions.paths import checksum, element_id, processed_path, raw_path
 from webkb.functions.pdf import PdfError, blocks_to_markdown, read_pdf
 from webkb.schema import PDF_BLOCK
 from webkb.sources.fixtures import pdf_bytes_sql
-from webkb.session import bounded_broadcast, checkpoint, spread_for_python
+from webkb.session import checkpoint, spread_for_python
 
 PDF_RESULT_SCHEMA = (
     "key string, markdown string, n_pages int, has_text_layer boolean, "
@@ -212,10 +212,11 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     )
     asset_rows = attach_assets(elements, assets)
 
-    # Fetched assets with their element type: one join (a broadcast when the
-    # distinct URL set is proven small). PDFs are converted once per URL and
-    # the result is checkpointed: metadata and objects both read it.
-    types = bounded_broadcast(elements.filter(F.col("type") != "URL").select("url", "type").distinct())
+    # Fetched assets with their element type: one join (adaptive execution
+    # turns it into a broadcast when the distinct URL set measures small).
+    # PDFs are converted once per URL and the result is checkpointed:
+    # metadata and objects both read it.
+    types = elements.filter(F.col("type") != "URL").select("url", "type").distinct()
     ok_assets = assets.filter(F.col("status") == 200).join(types, "url")
     converted = checkpoint(pdf_to_markdown(
         ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content"), pdf_method,

@@ -111,7 +111,7 @@ def ensure_table(spark: SparkSession, root: str, name: str | None = None) -> Dat
     return spark.read.schema(METADATA_STORED).parquet(root)
 
 
-def insert_metadata(rows: DataFrame, root: str) -> dict[str, DataFrame]:
+def insert_metadata(rows: DataFrame, root: str, job_ids: list[str] | None = None) -> dict[str, DataFrame]:
     """Insert element rows into the metadata table at ``root``.
 
     ``rows`` are elements with metadata fields and the order columns.
@@ -122,6 +122,8 @@ def insert_metadata(rows: DataFrame, root: str) -> dict[str, DataFrame]:
     winners, losers = first_writer(rows)
     meta = to_metadata(winners).withColumn("job_id", F.substring_index("element_id", "_", -2))
     table = ensure_table(spark, root)
+    if job_ids:
+        table = table.filter(F.col("job_id").isin(*job_ids))
     stored = table.select("element_id")
     new = checkpoint(meta.join(stored, "element_id", "left_anti"))
     existing = meta.join(stored, "element_id", "left_semi")

@@ -68,7 +68,7 @@ def build_kb(spark: SparkSession, pages: DataFrame, assets: DataFrame, conf: Job
     for t in transforms or []:
         rows = rows.transform(t)
     ST.write_objects(out["objects"], os.path.join(root, "objects"))
-    ins = ST.insert_metadata(rows, os.path.join(root, "metadata"))
+    ins = ST.insert_metadata(rows, os.path.join(root, "metadata"), job_ids=[job])
     out["quarantine"].write.mode("append").partitionBy("job_id").parquet(os.path.join(root, "quarantine"))
     return {
         "job_id": job,

@@ -34,11 +34,12 @@ def read_page_stream(spark: SparkSession, folder: str, glob: str | None = None,
     return r.parquet(folder)
 
 
-def write_new_objects(objects: DataFrame, root: str) -> None:
-    """Append objects whose path is not stored yet (replay-safe)."""
+def write_new_objects(objects: DataFrame, root: str, job: str) -> None:
+    """Append objects whose path is not stored yet (replay-safe). Paths
+    start with the job id: only that job's partition is read."""
     spark = objects.sparkSession
     if ST._exists(spark, root):
-        stored = spark.read.schema(OBJECT).parquet(root).select("path")
+        stored = spark.read.schema(OBJECT).parquet(root).filter(F.col("job_id") == job).select("path")
         objects = objects.join(stored, "path", "left_anti")
     ST.write_objects(objects, root)
 
@@ -51,12 +52,13 @@ def ingest_batch(pages: DataFrame, assets: DataFrame, job: str, meta_root: str,
     if ST._exists(spark, meta_root):
         # Keys already stored win anyway (first writer): drop them before any
         # content work, so a replayed batch costs one parse and one anti-join.
-        stored = spark.read.schema(METADATA_STORED).parquet(meta_root).select("element_id")
+        stored = (spark.read.schema(METADATA_STORED).parquet(meta_root)
+                  .filter(F.col("job_id") == job).select("element_id"))
         els = els.join(stored, "element_id", "left_anti")
         pages = pages.join(els.filter(F.col("type") == "URL").select("page_id"), "page_id", "left_semi")
     out = AS.process_elements(els, pages, assets, job, pdf_method)
-    write_new_objects(out["objects"], objects_root)
-    ST.insert_metadata(out["rows"], meta_root)
+    write_new_objects(out["objects"], objects_root, job)
+    ST.insert_metadata(out["rows"], meta_root, job_ids=[job])
 
 
 def stream_ingest(pages_stream: DataFrame, assets: DataFrame, job: str, meta_root: str, objects_root: str,
