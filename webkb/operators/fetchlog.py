@@ -115,14 +115,15 @@ def _micros(c) -> Column:
 # response cache: as-of join
 # ---------------------------------------------------------------------------
 def cache_lookup(requests: DataFrame, cache: DataFrame, ttl_secs: int = CACHE_EXPIRATION_SECS,
-                 bucket_secs: int | None = None) -> DataFrame:
+                 bucket_secs: int | None = 3600) -> DataFrame:
     """For each request ``(attempt_id, url, ts)`` the latest cached response
     ``(attempt_id, url, ts)`` of the same URL with ``cache.ts <= req.ts``,
     its age in microseconds and ``fresh = age <= ttl``.
 
-    Rows are partitioned by ``(url, time bucket)`` so one busy URL spreads
-    over many tasks; the latest entry of earlier buckets is carried over
-    by a window over a one-row-per-(url, bucket) summary."""
+    Rows are partitioned by ``(url, time bucket)`` (an hour by default) so
+    one busy URL spreads over many tasks; the latest entry of earlier
+    buckets is carried over by a window over a one-row-per-(url, bucket)
+    summary, so the result does not depend on the bucket width."""
     b_us = int((bucket_secs or ttl_secs) * 1_000_000)
     ts_type = cache.schema["ts"].dataType.simpleString()
     ent_type = f"struct<ts:{ts_type},attempt_id:bigint>"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webkb.functions.urls import canonical_url
+from webkb.session import bounded_broadcast
 from webkb.schema import ASSET, FETCH, METADATA_STORED, OBJECT
 
 
@@ -34,20 +35,20 @@ def seeds(spark: SparkSession, urls) -> DataFrame:
 def page_store(pages: DataFrame) -> DataFrame:
     """``(page_id, url, url_key, html)``, one page per canonical URL.
 
-    When two pages share a canonical URL the lowest ``page_id`` is kept.
-    Only the narrow ``(page_id, url_key)`` columns are shuffled to find the
-    losers; the HTML never moves."""
+    When several pages share a canonical URL the lowest ``page_id`` is
+    kept. Only the narrow ``(page_id, url_key)`` columns are aggregated (a
+    partial ``min``, so one URL stored many times still combines map-side);
+    the losing ids are removed by an anti-join that is a broadcast when
+    their number is proven small, so the HTML does not move."""
     keyed = pages.select("page_id", "url", "html").withColumn("url_key", canonical_url("url"))
     keys = keyed.select("page_id", "url_key")
-    w = Window.partitionBy("url_key").orderBy("page_id")
-    dup_keys = keys.groupBy("url_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("url_key")
+    firsts = keys.groupBy("url_key").agg(F.min("page_id").alias("keep"), F.count(F.lit(1)).alias("n"))
     losers = (
-        keys.join(dup_keys, "url_key", "left_semi")
-        .withColumn("_rn", F.row_number().over(w))
-        .filter("_rn > 1")
+        keys.join(firsts.filter("n > 1").select("url_key", "keep"), "url_key")
+        .filter(F.col("page_id") != F.col("keep"))
         .select("page_id")
     )
-    return keyed.join(losers, "page_id", "left_anti")
+    return keyed.join(bounded_broadcast(losers), "page_id", "left_anti")
 
 
 def asset_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
