@@ -180,9 +180,13 @@ def pdf_blocks(results: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, job: str,
                      pdf_method: str = "auto", extractor_factory: Callable | None = None,
-                     remove=("footer", "header"), retain_images: bool = False) -> dict[str, DataFrame]:
+                     remove=("footer", "header"), retain_images: bool = False,
+                     materialized: bool = False) -> dict[str, DataFrame]:
     """Fill checksum and content paths per element and build the objects.
 
+    ``materialized=True`` says ``elements`` is already a checkpoint (it is
+    then read as is instead of being checkpointed again).
+
     Returns ``rows`` (elements with metadata fields, before first-writer),
     ``objects`` (raw and processed content) and ``quarantine`` (PDFs whose
     conversion failed: no metadata row, as the stored job does)."""
@@ -190,7 +194,8 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     job_lit = F.lit(job)
     # Element rows are narrow and read by four branches below: materialize
     # them once so the HTML parse behind them runs once.
-    elements = checkpoint(elements)
+    if not materialized:
+        elements = checkpoint(elements)
     # URL elements: page-level values, the HTML is read once here.
     page_level = (pages if pages.isStreaming else spread_for_python(pages)).select(
         "page_id", "url", "html", element_id("url", job_lit).alias("element_id"),

@@ -181,7 +181,7 @@ def q_canonical_urls(spark, sf_dir):
 from webkb.functions import paths as PA  # noqa: E402
 from webkb.operators import assets as AS  # noqa: E402
 from webkb.operators import store as ST  # noqa: E402
-from webkb.session import scratch_path  # noqa: E402
+from webkb.session import checkpoint, scratch_path  # noqa: E402
 
 
 @register(
@@ -263,9 +263,9 @@ def q_content_types(spark, sf_dir):
                         U.percent_encode("path").alias("quoted"))
 
 
-def _fx_inputs(spark, sf_dir):
+def _fx_inputs(spark, sf_dir, with_checksum=False):
     pages = FX.fx(spark, sf_dir)
-    els = EL.elements(pages, JOB)
+    els = EL.elements(pages, JOB, with_checksum=with_checksum)
     return pages, els, AS.fx_assets(els)
 
 
@@ -289,8 +289,11 @@ def q_asset_status(spark, sf_dir):
 # Step 4: store
 # ---------------------------------------------------------------------------
 def _processed_fx(spark, sf_dir):
-    pages, els, assets = _fx_inputs(spark, sf_dir)
-    return AS.process_elements(EL.elements(pages, JOB, with_checksum=True), pages, assets, JOB)
+    # elements are parsed once: the checkpointed rows feed both the asset
+    # fixture and the content step
+    pages, els, _ = _fx_inputs(spark, sf_dir, with_checksum=True)
+    els = checkpoint(els)
+    return AS.process_elements(els, pages, AS.fx_assets(els), JOB, materialized=True)
 
 
 @register(
