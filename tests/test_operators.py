@@ -344,3 +344,9 @@ def test_build_kb_robots_and_cap(spark):
     assert allowed.filter("not allowed").count() == 0
     hosts = pages.select(F.lower(F.regexp_extract("URL", r"^[a-z]+://([^/?#:]+)", 1)).alias("h"))
     assert hosts.groupBy("h").count().filter("count > 1").count() == 0
+
+
+def test_seeds_from_text(spark, tmp_path):
+    (tmp_path / "seeds.txt").write_text("https://A.example/x#f\n\n  https://a.example/x \nhttps://b.example/\n")
+    got = sorted((r.url_key, r.depth) for r in TB.seeds_from_text(spark, str(tmp_path / "seeds.txt")).collect())
+    assert got == [("https://a.example/x", 0), ("https://b.example/", 0)]

@@ -68,7 +68,7 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
             F.col("dst").alias("url_key"), "url", "page_id", F.lit(d).alias("depth"), "parent_key"
         )
         frontier = checkpoint(new.repartition(n, "url_key"))
-        if frontier.isEmpty():
+        if d < max_depth and frontier.isEmpty():
             break
         # The visited set is the union of checkpointed levels: nothing is
         # recomputed and no second copy is written per level.

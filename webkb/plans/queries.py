@@ -264,9 +264,12 @@ def q_content_types(spark, sf_dir):
 
 
 def _fx_inputs(spark, sf_dir, with_checksum=False):
+    """fx pages, their elements and the derived asset table; elements and
+    assets are materialized once (checkpoints) since several steps read
+    them."""
     pages = FX.fx(spark, sf_dir)
-    els = EL.elements(pages, JOB, with_checksum=with_checksum)
-    return pages, els, AS.fx_assets(els)
+    els = checkpoint(EL.elements(pages, JOB, with_checksum=with_checksum))
+    return pages, els, checkpoint(AS.fx_assets(els))
 
 
 @register(
@@ -291,9 +294,8 @@ def q_asset_status(spark, sf_dir):
 def _processed_fx(spark, sf_dir):
     # elements are parsed once: the checkpointed rows feed both the asset
     # fixture and the content step
-    pages, els, _ = _fx_inputs(spark, sf_dir, with_checksum=True)
-    els = checkpoint(els)
-    return AS.process_elements(els, pages, AS.fx_assets(els), JOB, materialized=True)
+    pages, els, assets = _fx_inputs(spark, sf_dir, with_checksum=True)
+    return AS.process_elements(els, pages, assets, JOB, materialized=True)
 
 
 @register(

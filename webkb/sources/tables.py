@@ -32,6 +32,13 @@ def seeds(spark: SparkSession, urls) -> DataFrame:
     )
 
 
+def seeds_from_text(spark: SparkSession, path: str) -> DataFrame:
+    """Seed requests from text files with one URL per line (blank lines
+    and surrounding blanks ignored)."""
+    lines = spark.read.text(path).select(F.trim("value").alias("url")).filter(F.col("url") != "")
+    return seeds(spark, lines)
+
+
 def page_store(pages: DataFrame) -> DataFrame:
     """``(page_id, url, url_key, html)``, one page per canonical URL.
 
