@@ -155,7 +155,7 @@ def manifest(objects: DataFrame) -> DataFrame:
         F.sha2("content", 256).alias("checksum"),
         "content_type",
         "metadata",
-        F.length("content").alias("size"),
+        F.length("content").cast("bigint").alias("size"),
     )
 
 

@@ -195,7 +195,7 @@ def q_checksums(spark, sf_dir):
     b = F.encode("html", "UTF-8")
     return p.select("page_id", PA.element_id("url", F.lit(JOB)).alias("element_id"),
                     PA.checksum("html").alias("checksum"), PA.checksum(b).alias("checksum_bytes"),
-                    F.octet_length(b).alias("n_bytes"))
+                    F.octet_length(b).cast("bigint").alias("n_bytes"))
 
 
 @register("job_ids", "select event_id, strftime(ts, '%Y%m%d_%H%M%S') as job_id from events")
