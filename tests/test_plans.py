@@ -91,3 +91,34 @@ def test_first_writer_is_partial_aggregate(spark):
     p = plan(w)
     assert "partial_min_by" in p  # combined map-side before the shuffle
     assert "Window " not in p
+
+
+def test_bfs_level_moves_only_candidates(spark):
+    """With broadcasts off (a huge frontier), one BFS level shuffles only the
+    candidate aggregation: edges and visited are bucketed tables."""
+    import re
+
+    old = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"),
+           spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        fxp = FX.fx(spark, SF001)
+        store = TB.page_store(fxp)
+        pe = CR.page_edges(LK.link_edges(LK.parse_pages(store)), store, 8)
+        level0 = store.select("url_key", "url", "page_id", F.lit(None).cast("string").alias("parent_key"),
+                              F.lit(0).alias("depth"))
+        visited = spark.table(CR._bucketed(level0, "url_key", 8, partition_by="depth"))
+        cand = (visited.filter("depth = 0").select(F.col("url_key").alias("src")).join(pe, "src")
+                .groupBy("dst").agg(F.min("src").alias("p")))
+        new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti")
+        new.write.format("noop").mode("overwrite").save()
+        p = plan(new)
+        assert len(re.findall(r"^\(\d+\) Exchange\b", p, re.M)) == 1
+        assert "Bucketed: true" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        if old[1] is not None:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
+        else:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -1,18 +1,23 @@
 """Breadth-first crawl over the stored link graph.
 
-The only driver loop is over depth. The HTML never enters it: the loop
-joins a narrow frontier with a narrow edge table that is hash-partitioned
-by source once and checkpointed, so each level shuffles only the frontier
-and its candidates. Every level is checkpointed into the shared folder,
-which cuts lineage and lets a lost executor recompute one level only.
+The only driver loop is over depth. The HTML never enters it. The narrow
+edge table and the visited set are written once as tables bucketed by URL
+key in the shared folder (a written table keeps its hash layout across
+jobs, which a checkpoint does not under adaptive execution). A level then
+shuffles only the frontier and its candidate edges: neither the edges nor
+the visited set move again. Each level is appended to the visited table
+(partitioned by depth), which cuts lineage and lets a lost executor
+recompute one level only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webkb.session import checkpoint
+from webkb.session import scratch_path
 
 
 def _parts(df: DataFrame, partitions: int | None) -> int:
@@ -21,14 +26,29 @@ def _parts(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _bucketed(df: DataFrame, key: str, n: int, name: str | None = None, partition_by: str | None = None,
+              mode: str = "overwrite") -> str:
+    """Write ``df`` as a table bucketed by ``key`` into the shared folder;
+    returns the table name."""
+    spark = df.sparkSession
+    name = name or f"webkb_tmp_{uuid.uuid4().hex[:12]}"
+    w = df.write.mode(mode).bucketBy(n, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    if mode == "overwrite":
+        w = w.option("path", scratch_path(spark, name))
+    w.saveAsTable(name)
+    return name
+
+
 def page_edges(edges: DataFrame, store: DataFrame, partitions: int | None = None) -> DataFrame:
     """Edges whose target is in the page store, with the target's page,
-    hash-partitioned by source and checkpointed (reused by every level)."""
+    as a table bucketed by source (read by every level without a shuffle)."""
     n = _parts(edges, partitions)
     keys = store.select(F.col("url_key").alias("dst"), F.col("page_id").alias("dst_page_id"),
                         F.col("url").alias("dst_url"))
-    pe = edges.select("src", "dst").join(keys, "dst").repartition(n, "src")
-    return checkpoint(pe)
+    pe = edges.select("src", "dst").join(keys, "dst")
+    return edges.sparkSession.table(_bucketed(pe, "src", n))
 
 
 def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int, follow: bool = True,
@@ -41,39 +61,38 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
     at its first-arrival depth, ``parent_key`` = smallest parent at the
     previous level. A request without a stored page is not fetched and is
     not expanded."""
+    spark: SparkSession = store.sparkSession
     n = _parts(store, partitions)
     keys = store.select("url_key", "page_id", "url")
-    level = (
+    level0 = (
         seeds.select("url_key")
         .join(keys, "url_key")  # fetch: frontier joined with the page store
-        .select("url_key", "url", "page_id", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_key"))
-        .repartition(n, "url_key")
+        .select("url_key", "url", "page_id", F.lit(None).cast("string").alias("parent_key"),
+                F.lit(0).alias("depth"))
     )
-    visited = checkpoint(level)
+    visited_name = _bucketed(level0, "url_key", n, partition_by="depth")
+    cols = ["url_key", "url", "page_id", "depth", "parent_key"]
     if not follow or max_depth <= 0:
-        return visited
+        return spark.table(visited_name).select(*cols)
     if edge_filter is not None:
         edges = edges.filter(edge_filter)
     pe = page_edges(edges, store, n)
-    frontier = visited
     for d in range(1, max_depth + 1):
+        visited = spark.table(visited_name)
+        frontier = visited.filter(F.col("depth") == d - 1).select(F.col("url_key").alias("src"))
         cand = (
-            frontier.select(F.col("url_key").alias("src"))
-            .join(pe, "src")
+            frontier.join(pe, "src")
             .groupBy("dst")  # partial aggregation collapses duplicate arrivals map-side
             .agg(F.min("src").alias("parent_key"), F.first("dst_page_id").alias("page_id"),
                  F.first("dst_url").alias("url"))
         )
         new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti").select(
-            F.col("dst").alias("url_key"), "url", "page_id", F.lit(d).alias("depth"), "parent_key"
+            F.col("dst").alias("url_key"), "url", "page_id", "parent_key", F.lit(d).alias("depth")
         )
-        frontier = checkpoint(new.repartition(n, "url_key"))
-        if d < max_depth and frontier.isEmpty():
+        _bucketed(new, "url_key", n, name=visited_name, partition_by="depth", mode="append")
+        if d < max_depth and spark.table(visited_name).filter(F.col("depth") == d).isEmpty():
             break
-        # The visited set is the union of checkpointed levels: nothing is
-        # recomputed and no second copy is written per level.
-        visited = visited.unionByName(frontier)
-    return visited
+    return spark.table(visited_name).select(*cols)
 
 
 def crawl_pages(crawled: DataFrame, store: DataFrame) -> DataFrame:
