@@ -32,7 +32,7 @@ def _bucketed(df: DataFrame, key: str, n: int, name: str | None = None, partitio
     returns the table name."""
     spark = df.sparkSession
     name = name or f"webkb_tmp_{uuid.uuid4().hex[:12]}"
-    w = df.write.mode(mode).bucketBy(n, key).sortBy(key)
+    w = df.write.mode(mode).bucketBy(n, key)
     if partition_by:
         w = w.partitionBy(partition_by)
     if mode == "overwrite":
