@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webkb.functions.urls import canonical_url
@@ -24,12 +24,9 @@ def seeds(spark: SparkSession, urls) -> DataFrame:
     else:
         df = spark.createDataFrame([(u,) for u in urls], "url string")
     df = df.withColumn("url_key", canonical_url("url"))
-    w = Window.partitionBy("url_key").orderBy("url")
-    return (
-        df.withColumn("_rn", F.row_number().over(w))
-        .filter("_rn = 1")
-        .select("url", "url_key", F.lit(0).alias("depth"))
-    )
+    # smallest raw URL per canonical key: a partial aggregate (a seed table
+    # may be large and hold many copies of one URL)
+    return df.groupBy("url_key").agg(F.min("url").alias("url")).select("url", "url_key", F.lit(0).alias("depth"))
 
 
 def seeds_from_text(spark: SparkSession, path: str) -> DataFrame:
