@@ -362,3 +362,27 @@ def test_bm25_pruning_is_exact(spark):
     a = {(r.query_id, r.rank): (r.doc_id, round(r.score, 9)) for r in SE.kb_search(docs, qs, 10, prune=True).collect()}
     b = {(r.query_id, r.rank): (r.doc_id, round(r.score, 9)) for r in SE.kb_search(docs, qs, 10, prune=False).collect()}
     assert a == b and len(a) == 400
+
+
+def test_asof_and_retry_boundaries(spark):
+    from datetime import datetime as dt
+
+    log = spark.createDataFrame([
+        (1, "u", dt(2024, 1, 1, 0, 0, 0), 200),
+        (2, "u", dt(2024, 1, 2, 0, 0, 0), 404),   # exactly the TTL later: fresh
+        (3, "u", dt(2024, 1, 2, 0, 0, 1), 404),   # one second more: stale
+        (4, "v", dt(2024, 1, 1, 0, 0, 0), 503), (5, "v", dt(2024, 1, 1, 0, 0, 1), 503),
+        (6, "v", dt(2024, 1, 1, 0, 0, 2), 429), (7, "v", dt(2024, 1, 1, 0, 0, 3), 500),
+        (8, "v", dt(2024, 1, 1, 0, 0, 4), 200),   # fifth attempt: beyond 1 + 3
+    ], "attempt_id long, url string, ts timestamp, status int")
+    got = {r.attempt_id: r.fresh for r in FL.cache_lookup(log.filter("status = 404"), log.filter("status = 200")).collect()}
+    assert got == {2: True, 3: False}
+    f = {r.url: (r.final_status, r.attempts, r.exhausted) for r in FL.fold_retries(log).collect()}
+    assert f["v"] == (500, 4, True)
+
+
+def test_default_domain_cap_is_group_limit(spark):
+    from test_plans import plan
+
+    p = TB.read_table(spark, SF001, "pages").select("url")
+    assert "WindowGroupLimit" in plan(FL.domain_cap(p, 1000))
