@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
     for batch in batches:
         values = batch.column(column)
         n, start, held = batch.num_rows, 0, 0
-        lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(values), 0).to_pylist()
         for i in range(n):
             if held and held + lengths[i] > most_bytes:
                 yield batch.slice(start, i - start)

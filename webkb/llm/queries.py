@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webkb.llm import simhash
+from webkb.llm import decontam, mixing, quality, simhash, substrings
 from webkb.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(read(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -18,6 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {
+        "op1_decontamination": op1_decontamination,
+        "op2_quality": op2_quality,
+        "op4_mixing": op4_mixing,
+        "op5_substring_dedup": op5_substring_dedup,
         "op9_simhash": op9_simhash,
         "pipeline": corpus_pipeline.run,
     }
