@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webkb.llm import decontam, mixing, quality, simhash, substrings
+from webkb.llm import (
+    arc, decontam, mixing, order_minhash, quality, simhash, substrings, suffix_tree, token_counts, toxicity)
 from webkb.llm.common import read
 
 
@@ -18,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.histogram(read(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -26,19 +31,40 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(read(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.archive_pages(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {
         "op1_decontamination": op1_decontamination,
         "op2_quality": op2_quality,
+        "op3_token_histogram": op3_token_histogram,
         "op4_mixing": op4_mixing,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_toxicity": op6_toxicity,
+        "op7_order_minhash": op7_order_minhash,
+        "op8_suffix_tree": op8_suffix_tree,
         "op9_simhash": op9_simhash,
+        "op10_arc_to_warc": op10_arc_to_warc,
         "pipeline": corpus_pipeline.run,
     }
 
