@@ -14,16 +14,17 @@ def auc(pairs):
     return np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
 
 
-@pytest.mark.parametrize("module, label, folds, fold, cut", [(quality, "quality", 4, 2, 0.7), (toxicity, "toxic", 5, 0, 0.5)])
-def test_held_out(spark, module, label, folds, fold, cut):
-    docs, labels = (spark.read.parquet(f"{PATH}/{t}.parquet") for t in ("documents", "labels"))
+@pytest.mark.parametrize("module, label, folds, fold, cut, limit", [
+    (quality, "quality", 4, 2, 0.7, 0.98), (toxicity, "toxic", 5, 0, 0.5, 0.8)])
+def test_held_out(spark, module, label, folds, fold, cut, limit):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = module.score_documents(docs, labels).collect()
     assert len(got) == docs.count()
     truth = {r.doc_id: r[label] for r in labels.collect()}
     for r in got:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= cut)
-    assert auc([(r.score, truth[r.doc_id]) for r in got if r.held_out and r.doc_id in truth]) > 0.85
+    assert auc([(r.score, truth[r.doc_id]) for r in got if r.held_out and r.doc_id in truth]) > limit
 
 
 @pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])

@@ -3,17 +3,19 @@
 One dictionary is trained on toxic text, one on ordinary text. A window that
 compresses shorter with the toxic dictionary resembles toxic text. Every
 window of the whole document is compressed with both; the largest gains, the
-mean gain and the number of windows are calibrated into one probability.
+mean gain and the number of windows are calibrated into one score, shifted so
+that 0.5 is the threshold that tells the two labels apart best.
 
 Most of a toxic document reads like any other, so each dictionary is trained
-on what sets its side apart: the runs of bytes whose ``GRAM``-byte grams the
-other side's sample lacks. Both are followed by the same base, trained on all
+on what sets its side apart: the runs of bytes whose ``GRAM``-byte grams occur
+in ``TIMES`` times as many of its sample's texts as of the other side's. Both are followed by the same base, trained on all
 of the ordinary sample, which explains common text alike on both sides and so
 keeps it out of the difference.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +32,8 @@ WINDOW, STRIDE = 96, 72
 #: Bytes of a side's own dictionary and of the base that both share.
 OWN, BASE = 2048, 16384
 GRAM = 5
+#: How much more frequent a gram must be among a side's texts to belong to it.
+TIMES = 3
 
 
 def windows(text: bytes) -> list[bytes]:
@@ -37,15 +41,19 @@ def windows(text: bytes) -> list[bytes]:
     return [text[i:i + WINDOW] for i in range(0, max(1, len(text) - (WINDOW - STRIDE)), STRIDE)]
 
 
-def grams(texts: list[bytes]) -> set[bytes]:
-    return {t[i:i + GRAM] for t in texts for i in range(len(t) - GRAM + 1)}
+def grams(texts: list[bytes]) -> Counter:
+    """In how many of the texts each gram occurs."""
+    out: Counter = Counter()
+    for t in texts:
+        out.update({t[i:i + GRAM] for i in range(len(t) - GRAM + 1)})
+    return out
 
 
-def apart(text: bytes, other: set[bytes]) -> list[bytes]:
-    """The runs of ``text`` whose grams are not in ``other``, with a byte on either side."""
+def apart(text: bytes, wanted: set[bytes]) -> list[bytes]:
+    """The runs of ``text`` that ``wanted`` grams cover, with a byte on either side."""
     keep = np.zeros(len(text) + 2, np.int64)
     for i in range(len(text) - GRAM + 1):
-        if text[i:i + GRAM] not in other:
+        if text[i:i + GRAM] in wanted:
             keep[max(0, i - 1)] += 1
             keep[min(len(text), i + GRAM + 1)] -= 1
     inside = np.concatenate([[False], np.cumsum(keep[:len(text)]) > 0, [False]])
@@ -121,28 +129,53 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def train(texts: list[bytes], labels: list[int], odds: float = 1.0) -> Model:
-    """Dictionaries from two thirds of the texts of each label, the calibration from the others."""
+def _dictionaries(part: dict[int, list[bytes]]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary of the texts of label 1 and 0."""
+    known = {v: grams(part[v]) for v in part}
+    own = {}
+    for v in part:
+        scale = TIMES * len(part[v]) / (len(part[1 - v]) + 1)
+        wanted = {g for g, n in known[v].items() if n > 1 and n >= scale * (known[1 - v][g] + 1)}
+        own[v] = _dictionary([r for t in part[v] for r in apart(t, wanted)], OWN, 10)
+    base = _dictionary(part[0], BASE, 32)
+    return own[1] + base, own[0] + base
+
+
+def train(texts: list[bytes], labels: list[int], odds: float = 1.0, parts: int = 3) -> Model:
+    """Dictionaries from all texts; the calibration from each text's gains
+    under dictionaries that were trained without its part of the texts."""
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         bias = 0.0 if not len(y) else 1.0 if y[0] else -1.0
         return Model(b"toxic" * 9, b"ordinary" * 9, np.zeros(5), np.ones(5), np.array([0, 0, 0, 0, 0, bias]))
     part = {v: [t for t, label in zip(texts, y) if label == v] for v in (0, 1)}
-    learn = {v: p[:max(1, 2 * len(p) // 3)] for v, p in part.items()}
-    known = {v: grams(learn[v]) for v in learn}
-    own = {v: _dictionary([r for t in learn[v] for r in apart(t, known[1 - v])], OWN, 10) for v in learn}
-    base = _dictionary(learn[0], BASE, 32)
-    model = Model(own[1] + base, own[0] + base, np.zeros(5), np.ones(5), np.zeros(6))
-    features = model.features()
-    held = [(t, v) for v in (0, 1) for t in (part[v][len(learn[v]):] or part[v])]
-    x, z = np.array([features(t) for t, _ in held]), np.array([v for _, v in held], float)
+    model = Model(*_dictionaries(part), np.zeros(5), np.ones(5), np.zeros(6))
+    x, z = [], []
+    for k in range(parts):
+        rest = {v: [t for i, t in enumerate(p) if i % parts != k] or p for v, p in part.items()}
+        features = Model(*_dictionaries(rest), model.mean, model.scale, model.weights).features()
+        for v, p in part.items():
+            x += [features(t) for t in p[k::parts]]
+            z += [v] * len(p[k::parts])
+    x, z = np.array(x), np.array(z, float)
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     weight = np.where(z == 1, odds / (1 + odds) / z.mean(), 1 / (1 + odds) / (1 - z.mean()))
-    model.weights = _logistic(np.column_stack([(x - model.mean) / model.scale, np.ones(len(x))]), z, weight)
+    x = np.column_stack([(x - model.mean) / model.scale, np.ones(len(x))])
+    model.weights = _logistic(x, z, weight)
+    model.weights[-1] -= _threshold(x @ model.weights, z, weight)
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, rows: int = 1500, most_bytes: int = 16_384) -> Model:
+def _threshold(logits: np.ndarray, z: np.ndarray, weight: np.ndarray) -> float:
+    """The logit at which precision and recall of label 1 are best together (F1)."""
+    order = np.argsort(-logits, kind="stable")
+    hits, all_ones = np.cumsum((weight * z)[order]), (weight * z).sum()
+    best = int(np.argmax(2 * hits / (np.cumsum(weight[order]) + all_ones)))
+    after = logits[order[best + 1]] if best + 1 < len(order) else logits[order[best]] - 1
+    return float((logits[order[best]] + after) / 2)
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, rows: int = 1000, most_bytes: int = 16_384) -> Model:
     """Model fitted on at most ``rows`` documents of each label, none longer
     than ``most_bytes``. Scoring has no such bounds."""
     chosen, odds = sample(docs, labels, "toxic", train_rows, rows, most_bytes)
