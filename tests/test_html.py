@@ -89,3 +89,23 @@ def test_markdown_remove_selectors():
     html = "<div class='ad'>AD</div><div id='x'>X</div><section>S</section>"
     md = html_to_markdown_text(html, "https://h/", remove=(".ad", "#x"))
     assert md == "S"
+
+
+def test_omitted_end_tags_keep_the_body():
+    page = "<html><head><title>x</title><meta a=b><script>var s='<h1>no</h1>'</script><body><h1>Hi</h1><p>there"
+    assert html_to_markdown_text(page, "https://h/") == "# Hi\n\nthere"
+    assert html_to_markdown_text("<html><head><title>x</title><h1>Hi</h1>", "https://h/") == "# Hi"
+    kept = html_to_markdown_text("<ul><li>a<li class=ad>drop<ul><li>in</ul><li>c</ul>d", "https://h/", remove=("li.ad",))
+    assert "drop" not in kept and "in" not in kept and "- a" in kept and "- c" in kept and kept.endswith("d")
+    assert html_to_markdown_text("<div><p class=ad>drop</div>kept", "https://h/", remove=(".ad",)) == "kept"
+
+
+def test_failures_have_reasons():
+    from webkb.functions.html import convert_page, scan_page
+
+    assert scan_page("https://h/", None) == ([], "html is null")
+    assert convert_page(None) == (None, "html is null")
+    items, error = scan_page("https://h/", '<a href="http://[x.pdf">a</a><a href="/ok.pdf">b</a>')
+    assert error is None and [i["abs_url"] for i in items] == [None, "https://h/ok.pdf"]
+    items, error = scan_page("https://h/", '<base href="http://["><a href="/ok.pdf">b</a>')
+    assert error is None and items[0]["link_url"] == "https://h/ok.pdf"

@@ -79,7 +79,7 @@ def test_page_store_keeps_lowest_id(spark):
 def _rows(spark):
     fxp = FX.fx(spark, SF001)
     els = EL.elements(fxp, JOB)
-    return AS.process_elements(els, fxp, AS.fx_assets(els), JOB)
+    return AS.process_elements(els, fxp, FX.fx_assets(els), JOB, extractor_factory=FX.fx_extractor)
 
 
 def test_insert_idempotent_and_reasons(spark):
@@ -242,19 +242,95 @@ def test_bm25_site_filter(spark):
 def test_pdf_methods_and_precomputed(spark):
     files = FX.fx_pdf_files(spark, SF001).select(F.col("doc_id").cast("string").alias("key"), "content")
     with pytest.raises(ValueError):
-        AS.pdf_to_markdown(files, "magic")
+        AS.pdf_to_markdown(files, "magic", FX.fx_extractor)
     with pytest.raises(ValueError):
         AS.pdf_to_markdown(files, "ocr")
-    ocr = AS.pdf_to_markdown(files.limit(3), "ocr", extractor_factory=lambda: (lambda b: "OCR TEXT"))
-    assert {r.markdown for r in ocr.collect()} == {"OCR TEXT"}
-    pre = spark.createDataFrame([("0", '[{"type":"text","text":"given","page_idx":0}]')], "key string, model_json string")
-    out = {r.key: r.markdown for r in AS.pdf_to_markdown(files, "auto", precomputed=pre).collect()}
-    assert out["0"] == "given" and len(out) == files.count()
-    bad = spark.createDataFrame([("x", b"%PDF-1.4 truncated")], "key string, content binary")
-    r = AS.pdf_to_markdown(bad).first()
-    assert r.markdown is None and "truncated" in r.error
-    blocks = AS.pdf_blocks(AS.pdf_to_markdown(files))
-    assert blocks.count() == files.count()
+    ocr = AS.pdf_to_markdown(files.limit(3), "ocr", extractor_factory=lambda method: (lambda b: f"by {method}"))
+    assert {r.markdown for r in ocr.collect()} == {"by ocr"}
+    pre = spark.createDataFrame([("0", '[{"type":"text","text":"given","page_idx":0}]'), ("1", "{nonsense")],
+                                "key string, model_json string")
+    out = {r.key: r for r in AS.pdf_to_markdown(files, "auto", FX.fx_extractor, precomputed=pre).collect()}
+    assert out["0"].markdown == "given" and len(out) == files.count()
+    assert out["1"].markdown is None and out["1"].error
+    bad = spark.createDataFrame([("x", bytearray(b"truncated")), ("y", None)], "key string, content binary")
+    assert all(r.markdown is None and "not a PDF file" in r.error
+               for r in AS.pdf_to_markdown(bad, extractor_factory=FX.fx_extractor).collect())
+    empty = spark.createDataFrame([("x", bytearray(b"%PDF-1.4\n"))], "key string, content binary")
+    assert AS.pdf_to_markdown(empty, "txt", FX.fx_extractor).first().error == "ValueError: no text layer"
+    scanned = AS.pdf_to_markdown(empty, "auto", FX.fx_extractor).first()
+    assert scanned.error is None and scanned.has_text_layer is False and scanned.n_pages == 0
+
+
+def test_failures_reach_quarantine(spark):
+    from webkb.plans.pipeline import build_kb
+
+    pages = spark.createDataFrame([
+        (1, "http://a.example/", '<a href="http://b.example/">b</a><a href="http://[x.pdf">bad</a><img src="/i.png">'),
+        (2, "http://b.example/", None), (3, None, "<p>no url</p>")], "page_id long, url string, html string")
+    assets = spark.createDataFrame([], "url string, status int, content_type string, content binary")
+    root = scratch_path(spark, "t-q")
+
+    def run():
+        return build_kb(spark, pages, assets, JobConf(seeds=["http://a.example/", "http://b.example/"], max_depth=2), root)
+
+    out = run()
+    got = {(r.url, r.type, r.stage, r.reason) for r in out["quarantine"].collect()}
+    assert got == {("http://[x.pdf", "PDF", "parse", "reference cannot be resolved"),
+                   ("http://b.example/", "URL", "parse", "html is null"),
+                   ("http://b.example/", "URL", "processed", "html is null")}
+    assert {r.URL for r in out["metadata"].collect()} == {"http://a.example/", "http://a.example/i.png"}
+    assert out["objects"].filter("content is null").count() == 0
+    n = {t: spark.read.parquet(f"{root}/{t}").count() for t in ("metadata", "quarantine")}
+    again = run()
+    assert n == {t: spark.read.parquet(f"{root}/{t}").count() for t in ("metadata", "quarantine")}
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert rejects.filter("reason = 'element_id already stored'").count() == n["metadata"]
+    run()
+    assert spark.read.parquet(f"{root}/rejects").count() == rejects.count()
+    assert again["objects"].count() == again["objects"].select("path").distinct().count() == 2
+
+
+def test_null_keys_are_rejected(spark):
+    rows = spark.createDataFrame([(None, None, "PDF", None, None, 0, 0, 1, JOB), (None, None, "PDF", None, None, 0, 0, 2, JOB)],
+                                 "element_id string, url string, type string, parent_url string, parent_id string, "
+                                 "depth int, pos int, page_id long, job_id string")
+    root = scratch_path(spark, "t-null")
+    for _ in range(2):
+        out = ST.insert_metadata(rows, root)
+        assert out["inserted"].count() == 0
+        assert [r.reason for r in out["rejects"].collect()] == ["element_id is null"] * 2
+    assert TB.read_metadata(spark, root).count() == 0
+
+
+def test_cap_inside_the_crawl(spark):
+    pages = spark.createDataFrame([
+        (1, "http://a.example/0", '<a href="/1">1</a>'), (2, "http://a.example/1", '<a href="http://b.example/2">2</a>'),
+        (3, "http://b.example/2", "")], "page_id long, url string, html string")
+    store = TB.page_store(pages)
+    edges = LK.link_edges(LK.parse_pages(store))
+    seed = TB.seeds(spark, ["http://a.example/0"])
+    urls = lambda cap: sorted(r.url for r in CR.crawl(seed, store, edges, 5, max_per_host=cap).collect())
+    assert urls(1) == ["http://a.example/0"]  # a/1 is not fetched, hence b/2 is not found
+    assert urls(2) == ["http://a.example/0", "http://a.example/1", "http://b.example/2"]
+
+
+@pytest.mark.parametrize("parts", [3, 32])
+def test_bucketed_files_and_cleanup(spark, graph, parts):
+    store, edges, seed = graph
+    table = CR.page_edges(edges.repartition(parts), store, 4)
+    import os
+    assert len([f for f in os.listdir(table.path.removeprefix("file:")) if f.startswith("part-")]) == 4
+    table.drop(files=True)
+    before = {t.name for t in spark.catalog.listTables()}
+    CR.crawl(seed, store, edges, 2).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_final_responses(spark):
+    log = spark.createDataFrame([(1, "u", datetime(2024, 1, 1), 503), (2, "u", datetime(2024, 1, 2), 200),
+                                 (3, "v", datetime(2024, 1, 1), 404)], "attempt_id long, url string, ts timestamp, status int")
+    responses = log.drop("ts").withColumn("content", F.lit("x"))
+    assert sorted(r.attempt_id for r in FL.final_responses(responses, log).collect()) == [2, 3]
 
 
 def test_build_kb_hooks(spark):
@@ -269,9 +345,9 @@ def test_build_kb_hooks(spark):
         seen.append(1)
         return df
 
-    out = build_kb(spark, fxp, AS.fx_assets(els), JobConf(job_ts="2024-01-02 03:04:05", max_depth=2),
+    out = build_kb(spark, fxp, FX.fx_assets(els), JobConf(job_ts="2024-01-02 03:04:05", max_depth=2),
                    scratch_path(spark, "t-kb"), seeds=seeds, transforms=[tag],
-                   edge_filter=~F.col("dst").contains("/es/"))
+                   edge_filter=~F.col("dst").contains("/es/"), extractor_factory=FX.fx_extractor)
     seed_url = seeds.first().url
     urls = [r.URL for r in out["metadata"].filter("type = 'URL'").collect()]
     assert seen and seed_url in urls and len(urls) > 1
@@ -280,15 +356,14 @@ def test_build_kb_hooks(spark):
     assert out["objects"].filter("stage = 'processed'").count() > 0
 
 
-def test_export_objects_one_file_each(spark):
-    import os
-
+def test_export_objects_one_file_each(spark, tmp_path):
     df = spark.createDataFrame([("J/raw/a.html", bytearray(b"<p>a</p>")), ("J/processed/a.md", bytearray(b"a"))],
                                "path string, content binary")
-    root = scratch_path(spark, "t-export")
-    ST.export_objects(df, root)
-    assert open(os.path.join(root, "J/raw/a.html"), "rb").read() == b"<p>a</p>"
-    assert open(os.path.join(root, "J/processed/a.md"), "rb").read() == b"a"
+    with pytest.raises(ValueError):
+        ST.export_objects(df, str(tmp_path))
+    listing = ST.export_objects(df, f"file://{tmp_path}")
+    assert sorted(tuple(r) for r in listing.collect()) == [("J/processed/a.md", 1), ("J/raw/a.html", 8)]
+    assert (tmp_path / "J/raw/a.html").read_bytes() == b"<p>a</p>"
 
 
 def test_stream_replay_adds_nothing(spark):
@@ -296,24 +371,27 @@ def test_stream_replay_adds_nothing(spark):
 
     static = TB.read_table(spark, SF001, "pages").select("page_id", "url")
     fxp = FX.fx(spark, SF001)
-    assets = AS.fx_assets(EL.elements(fxp, JOB))
-    meta, objs = scratch_path(spark, "t-sm"), scratch_path(spark, "t-so")
+    assets = FX.fx_assets(EL.elements(fxp, JOB))
+    root = scratch_path(spark, "t-stream")
     stream = SI.read_page_stream(spark, SF001, glob="pages.parquet")
-    t = SI.neighbour_links(static, static.count())
+    t = FX.neighbour_links(static, static.count())
     ck = scratch_path(spark, "t-ck")
-    SI.stream_ingest(stream, assets, JOB, meta, objs, ck, t).awaitTermination()
-    n_meta, n_obj = TB.read_metadata(spark, meta).count(), spark.read.parquet(objs).count()
+
+    def run(checkpoint):
+        SI.stream_ingest(stream, assets, JOB, root, checkpoint, t, extractor_factory=FX.fx_extractor).awaitTermination()
+        return {**{n: spark.read.parquet(f"{root}/{n}").count() for n in ("metadata", "quarantine")},
+                "objects": TB.read_objects(spark, f"{root}/objects").count()}
+
+    first = run(ck)
     # same checkpoint: nothing new; fresh checkpoint (full replay): keys already stored
-    SI.stream_ingest(stream, assets, JOB, meta, objs, ck, t).awaitTermination()
-    SI.stream_ingest(stream, assets, JOB, meta, objs, scratch_path(spark, "t-ck2"), t).awaitTermination()
-    assert TB.read_metadata(spark, meta).count() == n_meta
-    assert spark.read.parquet(objs).count() == n_obj
+    assert run(ck) == first and run(scratch_path(spark, "t-ck2")) == first
     # stream result equals the batch result
-    out = AS.process_elements(EL.elements(fxp, JOB, with_checksum=True), fxp, assets, JOB)
+    out = AS.process_elements(EL.elements(fxp, JOB, with_checksum=True), fxp, assets, JOB,
+                              extractor_factory=FX.fx_extractor)
     w, _ = ST.first_writer(out["rows"])
     batch = sorted(tuple(r) for r in EL.to_metadata(w).collect())
-    streamed = sorted(tuple(r) for r in TB.read_metadata(spark, meta).collect())
-    assert batch == streamed
+    streamed = sorted(tuple(r) for r in TB.read_metadata(spark, f"{root}/metadata").collect())
+    assert batch == streamed and first["quarantine"] == out["quarantine"].distinct().count() > 0
 
 
 def test_binary_file_asset_store(spark, tmp_path):
@@ -335,7 +413,7 @@ def test_build_kb_robots_and_cap(spark):
     from webkb.plans.pipeline import build_kb
 
     fxp = FX.fx(spark, SF001)
-    assets = AS.fx_assets(EL.elements(fxp, JOB))
+    assets = FX.fx_assets(EL.elements(fxp, JOB))
     robots = FX.fx_robots(spark, SF001)
     seeds = fxp.select("url")
     out = build_kb(spark, fxp, assets, JobConf(job_ts="2024-01-02 03:04:05", max_depth=0,

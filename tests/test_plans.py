@@ -46,7 +46,8 @@ def test_crawl_keeps_html_out(spark):
     edges = LK.link_edges(LK.parse_pages(store))
     seed = TB.seeds(spark, fxp.filter("page_id = 0").select("url"))
     pe = CR.page_edges(edges, store, 4)
-    assert "html" not in pe.columns
+    assert "html" not in pe.read().columns
+    pe.drop(files=True)
     c = CR.crawl(seed, store, edges, 2)
     assert "html" not in c.columns
     assert "html" not in plan(c)  # levels are checkpointed narrow tables
@@ -57,7 +58,7 @@ def test_metadata_pushdown_and_pruning(spark):
 
     fxp = FX.fx(spark, SF001)
     els = EL.elements(fxp, "20240102_030405")
-    out = AS.process_elements(els, fxp, AS.fx_assets(els), "20240102_030405")
+    out = AS.process_elements(els, fxp, FX.fx_assets(els), "20240102_030405")
     root = scratch_path(spark, "t-plan-meta")
     ST.insert_metadata(out["rows"], root)
     eid = TB.read_metadata(spark, root).first().element_id
@@ -68,9 +69,9 @@ def test_metadata_pushdown_and_pruning(spark):
 
 
 def test_objects_partition_pruning(spark):
-    df = spark.createDataFrame([("J/raw/a.html", "a", bytearray(b"x"), "text/html", None, None, "J", "raw")],
+    df = spark.createDataFrame([("J/raw/a.html", "a", bytearray(b"x"), "text/html", "c", "J", "raw")],
                                "path string, element_id string, content binary, content_type string, "
-                               "checksum string, metadata map<string,string>, job_id string, stage string")
+                               "checksum string, job_id string, stage string")
     root = scratch_path(spark, "t-plan-obj")
     ST.write_objects(df, root)
     p = plan(TB.read_objects(spark, root, job_id="J", stage="raw"))
@@ -78,6 +79,20 @@ def test_objects_partition_pruning(spark):
     assert ST.manifest(TB.read_objects(spark, root, "J", "raw")).first().size == 1
 
 
+def test_object_writes_move_no_content(spark, monkeypatch):
+    """The write is appended as it comes: neither a shuffle nor an aggregate above the input."""
+    seen = []
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    keep = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(plan(self._df)), keep(self, *a, **b)))
+    df = spark.range(5).selectExpr("cast(id as string) as path", "cast(id as string) as element_id",
+                                   "encode(cast(id as string), 'UTF-8') as content", "'t' as content_type",
+                                   "sha2('x', 256) as checksum", "'J' as job_id", "'raw' as stage")
+    ST.write_objects(df, scratch_path(spark, "t-move"))
+    assert seen and all("Exchange" not in p and "Aggregate" not in p for p in seen)
+
+
 def test_rank_filters_are_group_limits(spark):
     a = FX.fx_attempts(spark, SF001)
     assert "WindowGroupLimit" in plan(FL.fold_retries(a))
@@ -105,20 +120,37 @@ def test_bfs_level_moves_only_candidates(spark):
     try:
         fxp = FX.fx(spark, SF001)
         store = TB.page_store(fxp)
-        pe = CR.page_edges(LK.link_edges(LK.parse_pages(store)), store, 8)
+        pe_table = CR.page_edges(LK.link_edges(LK.parse_pages(store)), store, 8)
         level0 = store.select("url_key", "url", "page_id", F.lit(None).cast("string").alias("parent_key"),
                               F.lit(0).alias("depth"))
-        visited = spark.table(CR._bucketed(level0, "url_key", 8, partition_by="depth"))
-        cand = (visited.filter("depth = 0").select(F.col("url_key").alias("src")).join(pe, "src")
+        visited_table = CR.Bucketed(spark, "url_key", 8, "depth").append(level0)
+        visited = visited_table.read()
+        cand = (visited.filter("depth = 0").select(F.col("url_key").alias("src")).join(pe_table.read(), "src")
                 .groupBy("dst").agg(F.min("src").alias("p")))
         new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti")
-        new.write.format("noop").mode("overwrite").save()
-        p = plan(new)
-        assert len(re.findall(r"^\(\d+\) Exchange\b", p, re.M)) == 1
-        assert "Bucketed: true" in p
+        new.collect()
+        p = new._jdf.queryExecution().executedPlan().toString()  # the plan that ran
+        assert "isFinalPlan=true" in p
+        final = p[:p.index("== Initial Plan ==")]
+        assert len(re.findall(r"\bExchange hashpartitioning", final)) == 1
+        assert "Bucketed: true" in final
+        pe_table.drop(files=True)
+        visited_table.drop(files=True)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
         if old[1] is not None:
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
         else:
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_search_postings_are_not_joined_unsplit(spark):
+    """With broadcasts off, the only shuffles of postings are by term before counting is done
+    and by document; the common word's rows are plain join input that a skew split can take."""
+    from webkb.operators import search as SE
+
+    docs = spark.createDataFrame([(i, "the cat " + "the " * i) for i in range(50)], "doc_id long, text string")
+    rows = SE.term_counts(docs.select("doc_id", SE.tokenize("text").alias("toks")))
+    assert {(r.doc_id, r.term): (r.tf, r.dl) for r in rows.collect()} == {
+        **{(i, "the"): (i + 1, i + 2) for i in range(50)}, **{(i, "cat"): (1, i + 2) for i in range(50)}}
+    assert "Exchange" not in plan(rows)

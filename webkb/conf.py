@@ -91,4 +91,5 @@ class JobConf:
     retain_images: bool = False
     pdf_method: str = "auto"
     max_requests_per_domain: int | None = None
+    user_agent: str = "*"
     partitions: int | None = None

@@ -14,7 +14,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import functions as F
 
-from webkb.schema import PARSED
+from webkb.schema import PARSED_PAGE
 
 _HTML5_WS = " \t\n\r\x0c"
 
@@ -51,23 +51,25 @@ class _LinkScan(HTMLParser):
             self.items.append(("img", _first_attr(attrs, "src"), False))
 
 
-def parse_page(url: str | None, html: str | None) -> list[dict]:
-    """Links, areas and images of one page.
+def scan_page(url: str | None, html: str | None) -> tuple[list[dict], str | None]:
+    """Links, areas and images of one page, and why the page could not be
+    read to its end (None when it was).
 
     ``abs_url`` joins the attribute value with the page URL (how PDF and
     image elements are resolved); ``link_url`` strips HTML whitespace and
     joins with the ``<base>`` href when present (how followed links are
-    resolved). ``pos`` counts links (a, area) and images separately."""
+    resolved). A reference that cannot be joined has NULL there. ``pos``
+    counts links (a, area) and images separately."""
     if html is None:
-        return []
+        return [], "html is null"
     url = url or ""
-    p = _LinkScan()
+    p, error = _LinkScan(), None
     try:
         p.feed(html)
         p.close()
-    except Exception:  # noqa: BLE001 - a broken page yields what was read
-        pass
-    base = urljoin(url, p.base.strip(_HTML5_WS)) if p.base else url
+    except Exception as e:  # noqa: BLE001 - what was read is kept, the failure is reported
+        error = f"{type(e).__name__}: {e}"
+    base = _join(url, p.base.strip(_HTML5_WS)) or url if p.base else url
     out = []
     n_link = n_img = 0
     for kind, value, nofollow in p.items:
@@ -75,26 +77,30 @@ def parse_page(url: str | None, html: str | None) -> list[dict]:
             pos, n_img = n_img, n_img + 1
         else:
             pos, n_link = n_link, n_link + 1
-        if value is None:
-            abs_url = link_url = None
-        else:
-            try:
-                abs_url = urljoin(url, value)
-            except ValueError:
-                abs_url = None
-            try:
-                link_url = urljoin(base, value.strip(_HTML5_WS))
-            except ValueError:
-                link_url = None
+        abs_url = link_url = None
+        if value is not None:
+            abs_url, link_url = _join(url, value), _join(base, value.strip(_HTML5_WS))
         out.append(
             {"kind": kind, "pos": pos, "value": value, "abs_url": abs_url, "link_url": link_url, "nofollow": nofollow}
         )
-    return out
+    return out, error
+
+
+def _join(base: str, ref: str) -> str | None:
+    try:
+        return urljoin(base, ref)
+    except ValueError:
+        return None
+
+
+def parse_page(url: str | None, html: str | None) -> list[dict]:
+    return scan_page(url, html)[0]
 
 
-@F.pandas_udf(PARSED)
-def parse_html_udf(url: pd.Series, html: pd.Series) -> pd.Series:
-    return pd.Series([parse_page(u, h) for u, h in zip(url, html)])
+@F.pandas_udf(PARSED_PAGE)
+def parse_html_udf(url: pd.Series, html: pd.Series) -> pd.DataFrame:
+    found = [scan_page(u, h) for u, h in zip(url, html)]
+    return pd.DataFrame({"items": [f[0] for f in found], "error": [f[1] for f in found]})
 
 
 # ---------------------------------------------------------------------------
@@ -108,6 +114,26 @@ _BLOCK = {
     "figure", "figcaption", "form", "dl", "dt", "dd", "address", "details", "summary", "body", "html",
 }
 _WS_RE = re.compile(r"[ \t\r\n\x0c]+")
+_HEAD_CONTENT = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
+# elements whose end tag may be left out: the start tags that end them
+_ENDED_BY = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "p": _BLOCK | {"pre", "hr", "h1", "h2", "h3", "h4", "h5", "h6"},
+    "option": {"option", "optgroup"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
+    "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"},
+}
+# ... and the end tags of the elements that hold them
+_HELD_BY = {
+    "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "p": _BLOCK - {"p"}, "option": {"select", "datalist"},
+    "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table", "tbody"}, "th": {"tr", "table", "tbody"},
+    "thead": {"table"}, "tbody": {"table"},
+}
+
+
+def _ends(skipped: str, tag: str) -> bool:
+    """Whether a start tag ends the dropped element whose end tag is missing."""
+    if skipped == "head":
+        return tag not in _HEAD_CONTENT and tag != "head"
+    return tag in _ENDED_BY.get(skipped, ())
 
 
 def _selector_matches(sel: str, tag: str, attrs) -> bool:
@@ -132,7 +158,7 @@ class _Markdown(HTMLParser):
         self.remove = [s for s in remove if s and s.strip()]
         self.retain_images = retain_images
         self.out: list[str] = []
-        self.skip: list[list] = []  # [tag, nesting]
+        self.skip: list[list] = []  # [tag, nesting, containers open inside]
         self.lists: list[list] = []  # [kind, counter]
         self.links: list[tuple[int, str]] = []
         self.pre = 0
@@ -181,12 +207,17 @@ class _Markdown(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if self.skip:
             top = self.skip[-1]
-            if tag == top[0] and tag not in _VOID:
+            if top[1] == 1 and not top[2] and _ends(top[0], tag):
+                self.skip.pop()
+                return self.handle_starttag(tag, attrs)
+            if tag == top[0] and tag not in _ENDED_BY:
                 top[1] += 1
+            elif tag in _HELD_BY.get(top[0], ()):
+                top[2] += 1
             return
         if tag in _DROP_ALWAYS or any(_selector_matches(s, tag, attrs) for s in self.remove):
             if tag not in _VOID:
-                self.skip.append([tag, 1])
+                self.skip.append([tag, 1, 0])
             return
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self._block()
@@ -259,10 +290,17 @@ class _Markdown(HTMLParser):
         if self.skip:
             top = self.skip[-1]
             if tag == top[0]:
-                top[1] -= 1
+                if not top[2]:  # else it ends an element of an inner container
+                    top[1] -= 1
                 if top[1] == 0:
                     self.skip.pop()
-            return
+                return
+            if tag not in _HELD_BY.get(top[0], ()):
+                return
+            if top[2]:
+                top[2] -= 1
+                return
+            self.skip.pop()  # its container ends: its own end tag was left out
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self._block()
         elif tag in ("b", "strong", "i", "em"):
@@ -359,26 +397,32 @@ class _Markdown(HTMLParser):
         return text.strip()
 
 
-def html_to_markdown_text(html: str | None, base_url: str | None = None, remove=("footer", "header"),
-                          retain_images: bool = False) -> str | None:
-    """Markdown of one page; never raises (returns None on failure)."""
+def convert_page(html: str | None, base_url: str | None = None, remove=("footer", "header"),
+                 retain_images: bool = False) -> tuple[str | None, str | None]:
+    """Markdown of one page and, where there is none, the reason."""
     if html is None:
-        return None
+        return None, "html is null"
     try:
         p = _Markdown(base_url, remove, retain_images)
         p.feed(html)
         p.close()
-        return p.result()
-    except Exception:  # noqa: BLE001
-        return None
+        return p.result(), None
+    except Exception as e:  # noqa: BLE001 - failure is a row, never a task error
+        return None, f"{type(e).__name__}: {e}"
+
+
+def html_to_markdown_text(html: str | None, base_url: str | None = None, remove=("footer", "header"),
+                          retain_images: bool = False) -> str | None:
+    return convert_page(html, base_url, remove, retain_images)[0]
 
 
 def markdown_udf(remove=("footer", "header"), retain_images: bool = False):
-    """Arrow-batched UDF ``(url, html) -> markdown`` with fixed options."""
+    """Arrow-batched UDF ``(url, html) -> struct<markdown, error>`` with fixed options."""
     remove = tuple(remove)
 
-    @F.pandas_udf("string")
-    def _md(url: pd.Series, html: pd.Series) -> pd.Series:
-        return pd.Series([html_to_markdown_text(h, u, remove, retain_images) for u, h in zip(url, html)])
+    @F.pandas_udf("markdown string, error string")
+    def _md(url: pd.Series, html: pd.Series) -> pd.DataFrame:
+        done = [convert_page(h, u, remove, retain_images) for u, h in zip(url, html)]
+        return pd.DataFrame({"markdown": [d[0] for d in done], "error": [d[1] for d in done]})
 
     return _md

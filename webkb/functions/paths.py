@@ -28,11 +28,6 @@ def job_id(ts) -> Column:
     return F.date_format(t, JOB_ID_FORMAT)
 
 
-def job_of_element(element_id_col) -> Column:
-    """The job part of an element id (last two '_' parts)."""
-    return F.substring_index(_c(element_id_col), "_", -2)
-
-
 def extension(col) -> Column:
     """'.' + lower-cased text after the last dot; '.jpeg' when no dot."""
     c = _c(col)

@@ -20,11 +20,6 @@ def drop_fragment(col) -> Column:
     return F.regexp_replace(_c(col), "#.*$", "")
 
 
-def origin(col) -> Column:
-    """``scheme://authority`` of an absolute URL, '' otherwise."""
-    return F.regexp_extract(_c(col), rf"^({_SCHEME}://[^/?#]*)", 1)
-
-
 def scheme(col) -> Column:
     return F.lower(F.regexp_extract(_c(col), rf"^({_SCHEME}):", 1))
 

@@ -1,9 +1,10 @@
 """Assets (PDF and image responses), content dispatch by element type, and
-the PDF text job.
+the PDF text job around the caller's extractor.
 
-Binary content stays out of element-level shuffles: elements join the
-narrow asset keys ``(url, status, content_type, checksum)``; content is
-read only where an object is written or a PDF is converted, once per URL.
+Element rows are reduced to one per element and type before any join, and
+responses to one narrow row per URL ``(url, status, content_type, checksum)``:
+a logo on every page is one row on either side. Content is read only where an
+object is written or a PDF is converted.
 """
 
 from __future__ import annotations
@@ -17,10 +18,9 @@ from pyspark.sql import functions as F
 from webkb.conf import DEFAULT_IMAGE_CONTENT_TYPE, PDF_METHODS
 from webkb.functions.html import markdown_udf
 from webkb.functions.paths import checksum, element_id, processed_path, raw_path
-from webkb.functions.pdf import PdfError, blocks_to_markdown, read_pdf
-from webkb.schema import PDF_BLOCK
-from webkb.sources.fixtures import pdf_bytes_sql
-from webkb.session import checkpoint, spread_for_python
+from webkb.operators.store import first_writer
+from webkb.schema import PDF_BLOCK, QUARANTINE
+from webkb.session import checkpoint
 
 PDF_RESULT_SCHEMA = (
     "key string, markdown string, n_pages int, has_text_layer boolean, "
@@ -28,52 +28,34 @@ PDF_RESULT_SCHEMA = (
 )
 
 
-# ---------------------------------------------------------------------------
-# fixture: asset responses for the distinct PDF and image URLs of elements
-# ---------------------------------------------------------------------------
-def fx_assets(elements: DataFrame) -> DataFrame:
-    """``(url, status, content_type, content)``: 404 when ``length(url) % 7
-    = 0``; no content type when ``length(url) % 3 = 0``; PDFs carry a
-    one-page PDF whose text is the URL, images the bytes ``asset:<url>``."""
-    d = elements.filter(F.col("type") != "URL").select("url", "type").distinct()
-    pdf_text = "trim(regexp_replace(url, '[^A-Za-z0-9 .,/:]+', ' '))"
-    return d.select(
-        "url",
-        F.when(F.length("url") % 7 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
-        F.when(F.length("url") % 3 == 0, F.lit(None).cast("string"))
-        .when(F.col("type") == "PDF", F.lit("application/pdf"))
-        .otherwise(F.lit("image/png"))
-        .alias("content_type"),
-        F.when(F.col("type") == "PDF", F.expr(pdf_bytes_sql(pdf_text, "spark")))
-        .otherwise(F.encode(F.concat(F.lit("asset:"), F.col("url")), "UTF-8"))
-        .alias("content"),
-    )
-
-
-def asset_keys(assets: DataFrame) -> DataFrame:
-    """Narrow asset view; the checksum is computed before any shuffle."""
-    return assets.select(
-        "url",
-        F.col("status").alias("asset_status"),
-        F.col("content_type").alias("asset_content_type"),
-        checksum("content").alias("asset_checksum"),
-    )
+def one_response(assets: DataFrame) -> DataFrame:
+    """Narrow responses, one per URL: ``url, asset_status, asset_content_type,
+    asset_checksum``. A 200 is preferred to any other status, then the lower
+    status and checksum: a partial aggregate over narrow columns, the checksum
+    being taken before the shuffle."""
+    narrow = assets.select("url", F.struct(
+        (F.coalesce("status", F.lit(-1)) != 200).alias("failed"), F.col("status").alias("asset_status"),
+        checksum("content").alias("asset_checksum"), F.col("content_type").alias("asset_content_type")).alias("r"))
+    return narrow.groupBy("url").agg(F.min("r").alias("r")).select(
+        "url", "r.asset_status", "r.asset_content_type", "r.asset_checksum")
 
 
-def attach_assets(elements: DataFrame, assets: DataFrame) -> DataFrame:
-    """PDF/Image elements left-joined with their response by URL.
+def attach_assets(elements: DataFrame, assets: DataFrame, converts_pdfs: bool = True) -> DataFrame:
+    """PDF/Image elements left-joined with the response of their URL.
 
     Status 200 gates checksum and paths; other statuses (or no response)
-    keep the row with '' values."""
+    keep the row with '' values. Without a PDF extractor a PDF has no
+    processed path."""
     pdf_img = elements.filter(F.col("type") != "URL")
-    j = pdf_img.join(asset_keys(assets), "url", "left")
+    j = pdf_img.join(one_response(assets), "url", "left")
     ok = F.col("asset_status") == 200
+    processed = ok if converts_pdfs else ok & (F.col("type") != "PDF")
     return j.select(
         *elements.columns,
         F.col("asset_status").alias("status"),
         F.when(ok, F.col("asset_checksum")).otherwise(F.lit("")).alias("checksum"),
         F.when(ok, raw_path("job_id", "element_id", "type")).otherwise(F.lit("")).alias("raw_content_path"),
-        F.when(ok, processed_path("job_id", "element_id", "type")).otherwise(F.lit("")).alias(
+        F.when(processed, processed_path("job_id", "element_id", "type")).otherwise(F.lit("")).alias(
             "processed_content_path"),
         F.when(ok & (F.col("type") == "Image"),
                F.coalesce(F.col("asset_content_type"), F.lit(DEFAULT_IMAGE_CONTENT_TYPE)))
@@ -84,11 +66,13 @@ def attach_assets(elements: DataFrame, assets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # PDF -> Markdown
 # ---------------------------------------------------------------------------
-def _check_method(method: str, extractor_factory) -> None:
+def check_method(method: str) -> None:
     if method not in PDF_METHODS:
         raise ValueError(f"unknown parse method {method!r}, only auto, ocr, txt allowed")
-    if method == "ocr" and extractor_factory is None:
-        raise ValueError("method 'ocr' needs an extractor_factory")
+
+
+def blocks_to_markdown(blocks: list[tuple]) -> str:
+    return "\n\n".join(text for _, text, _ in blocks if text)
 
 
 def _pdf_partition(method: str, extractor_factory):
@@ -97,35 +81,24 @@ def _pdf_partition(method: str, extractor_factory):
         for pdf in batches:
             out = {"key": [], "markdown": [], "n_pages": [], "has_text_layer": [], "blocks": [], "error": []}
             for key, content in zip(pdf["key"], pdf["content"]):
-                md = err = None
-                n_pages, has_text, blocks = None, None, []
+                md, blocks, err = None, [], None
                 try:
-                    info = None
-                    if method != "ocr":
-                        info = read_pdf(bytes(content) if content is not None else None)
-                        n_pages, has_text = info["n_pages"], info["has_text_layer"]
-                    if method == "txt" or (method == "auto" and has_text):
-                        blocks = info["blocks"]
-                        if not blocks:
-                            raise PdfError("no text layer")
-                    else:
-                        if extractor_factory is None:
-                            raise PdfError("scanned pdf: an ocr extractor is needed")
-                        if extractor is None:
-                            extractor = extractor_factory()  # once per partition
-                        got = extractor(bytes(content))
-                        blocks = [("text", got, 0)] if isinstance(got, str) else list(got)
+                    if extractor is None:
+                        extractor = extractor_factory(method)  # once per partition
+                    got = extractor(bytes(content) if content is not None else b"")
+                    blocks = [("text", got, 0)] if isinstance(got, str) else [tuple(b) for b in got]
+                    if method == "txt" and not any(text for _, text, _ in blocks):
+                        raise ValueError("no text layer")
                     md = blocks_to_markdown(blocks)
                 except Exception as e:  # noqa: BLE001 - failure is a row, never a task error
-                    err = f"{type(e).__name__}: {e}"
-                    blocks = []
+                    blocks, err = [], f"{type(e).__name__}: {e}"
                 out["key"].append(key)
                 out["markdown"].append(md)
-                out["n_pages"].append(n_pages)
-                out["has_text_layer"].append(has_text)
+                out["n_pages"].append(None if err else max((int(b[2]) + 1 for b in blocks), default=0))
+                out["has_text_layer"].append(None if err else any((b[1] or "").strip() for b in blocks))
                 out["blocks"].append([{"type": b[0], "text": b[1], "page_idx": int(b[2])} for b in blocks])
                 out["error"].append(err)
-            yield pd.DataFrame(out)
+            yield pd.DataFrame(out).astype({"n_pages": "Int32", "has_text_layer": "boolean"})
 
     return run
 
@@ -134,38 +107,41 @@ def pdf_to_markdown(pdfs: DataFrame, method: str = "auto", extractor_factory: Ca
                     precomputed: DataFrame | None = None, key: str = "key") -> DataFrame:
     """``(key, markdown, n_pages, has_text_layer, blocks, error)`` per PDF.
 
-    ``pdfs`` has ``key`` and ``content``. ``precomputed`` (``key,
-    model_json``) supplies block lists as JSON; those rows skip parsing.
-    A failing file gives a row with ``error`` set, never a failed task."""
-    _check_method(method, extractor_factory)
+    ``pdfs`` has ``key`` and ``content``; ``extractor_factory(method)`` makes
+    the caller's extractor, once per partition, which turns the bytes of a
+    file into a text or into blocks ``(type, text, page_idx)``. ``precomputed``
+    (``key, model_json``) supplies block lists as JSON; those rows skip the
+    extractor. A failing file gives a row with ``error`` set, never a failed
+    task."""
+    check_method(method)
+    if extractor_factory is None and precomputed is None:
+        raise ValueError("PDFs need an extractor_factory or precomputed blocks")
     src = pdfs.select(F.col(key).alias("key"), "content")
-    parsed_part = None
+    done = None
     if precomputed is not None:
-        pre = precomputed.select(
-            F.col(key).alias("key"), F.from_json("model_json", PDF_BLOCK.simpleString().join(["array<", ">"])).alias(
-                "blocks")
-        )
-        src = src.join(pre.select("key"), "key", "left_anti")
-        parsed_part = pre.select(
+        given = precomputed.select(F.col(key).alias("key"), F.from_json(
+            "model_json", f"array<{PDF_BLOCK.simpleString()}>").alias("blocks"))
+        src = src.join(given.select("key"), "key", "left_anti")
+        texts = F.filter(F.transform("blocks", lambda b: b["text"]), lambda t: t.isNotNull() & (t != ""))
+        bad = F.col("blocks").isNull()
+        done = given.select(
             "key",
-            F.array_join(F.transform(F.filter("blocks", lambda b: b["text"].isNotNull()), lambda b: b["text"]),
-                         "\n\n").alias("markdown"),
-            F.lit(None).cast("int").alias("n_pages"),
-            F.lit(None).cast("boolean").alias("has_text_layer"),
+            F.when(~bad, F.array_join(texts, "\n\n")).alias("markdown"),
+            F.when(~bad, F.coalesce(F.array_max(F.transform("blocks", lambda b: b["page_idx"])) + 1, F.lit(0)))
+            .alias("n_pages"),
+            F.when(~bad, F.exists(texts, lambda t: F.trim(t) != "")).alias("has_text_layer"),
             "blocks",
-            F.lit(None).cast("string").alias("error"),
+            F.when(bad, F.lit("model_json is not a block list")).alias("error"),
         )
-    if not src.isStreaming:
-        src = spread_for_python(src)
+    if extractor_factory is None:
+        return done
     out = src.mapInPandas(_pdf_partition(method, extractor_factory), PDF_RESULT_SCHEMA)
-    return out.unionByName(parsed_part) if parsed_part is not None else out
+    return out.unionByName(done) if done is not None else out
 
 
-def classify_pdfs(pdfs: DataFrame, key: str = "key") -> DataFrame:
+def classify_pdfs(results: DataFrame) -> DataFrame:
     """``(key, has_text_layer, n_pages, error)``: text PDF versus scanned."""
-    r = pdf_to_markdown(pdfs, "auto", None, key=key)
-    return r.select("key", "has_text_layer", "n_pages",
-                    F.when(F.col("has_text_layer").isNull(), F.col("error")).alias("error"))
+    return results.select("key", "has_text_layer", "n_pages", "error")
 
 
 def pdf_blocks(results: DataFrame) -> DataFrame:
@@ -178,6 +154,14 @@ def pdf_blocks(results: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Content dispatch: type URL / PDF / Image
 # ---------------------------------------------------------------------------
+def first_per_type(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(firsts, again)``: the first writer of each element and type, and the
+    rows that come after it. What an element's content comes to depends on its
+    URL and type alone, so the later rows need no content."""
+    firsts, again = first_writer(elements.withColumn("_t", F.concat_ws(" ", "element_id", "type")), "_t")
+    return firsts.drop("_t"), again.drop("_t")
+
+
 def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, job: str,
                      pdf_method: str = "auto", extractor_factory: Callable | None = None,
                      remove=("footer", "header"), retain_images: bool = False,
@@ -187,86 +171,91 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     ``materialized=True`` says ``elements`` is already a checkpoint (it is
     then read as is instead of being checkpointed again).
 
-    Returns ``rows`` (elements with metadata fields, before first-writer),
-    ``objects`` (raw and processed content) and ``quarantine`` (PDFs whose
-    conversion failed: no metadata row, as the stored job does)."""
-    _check_method(pdf_method, extractor_factory)
+    Returns ``rows`` (the first element of each id and type, with metadata
+    fields), ``duplicates`` (the elements after it), ``objects`` (raw and
+    processed content) and ``quarantine`` (pages and PDFs whose conversion
+    failed, with the reason; they have no metadata row, as in the stored job).
+    Without an extractor PDFs are stored but not converted."""
+    check_method(pdf_method)
     job_lit = F.lit(job)
-    # Element rows are narrow and read by four branches below: materialize
+    # Element rows are narrow and read by several branches below: materialize
     # them once so the HTML parse behind them runs once.
     if not materialized:
         elements = checkpoint(elements)
-    # URL elements: page-level values, the HTML is read once here.
-    page_level = (pages if pages.isStreaming else spread_for_python(pages)).select(
-        "page_id", "url", "html", element_id("url", job_lit).alias("element_id"),
-        checksum("html").alias("page_checksum"),
-    )
-    if "page_checksum" in elements.columns:  # taken in the parse pass
-        url_rows = elements.filter(F.col("type") == "URL")
-        elements = elements.drop("page_checksum")
+    firsts, duplicates = first_per_type(elements)
+    firsts = checkpoint(firsts)
+
+    # Pages: the HTML is read once to be converted and once to be stored.
+    pages = pages.filter(F.col("url").isNotNull())
+    md = markdown_udf(remove, retain_images)
+    converted_pages = checkpoint(pages.select("page_id", "url", md("url", "html").alias("_d")).select(
+        "page_id", "url", "_d.markdown", "_d.error"))
+    page_errors = converted_pages.filter(F.col("error").isNotNull()).select("page_id", F.col("error").alias("page_error"))
+    url_rows = firsts.filter(F.col("type") == "URL")
+    if "page_checksum" in firsts.columns:  # taken in the parse pass
+        firsts = firsts.drop("page_checksum")
     else:
-        url_rows = elements.filter(F.col("type") == "URL").join(
-            page_level.select("page_id", "page_checksum"), "page_id", "left")
+        url_rows = url_rows.join(pages.select("page_id", checksum("html").alias("page_checksum")), "page_id", "left")
     url_rows = (
-        url_rows.withColumn("checksum", F.coalesce("page_checksum", F.lit("")))
+        url_rows.join(page_errors, "page_id", "left")
+        .withColumn("checksum", F.coalesce("page_checksum", F.lit("")))
         .withColumn("raw_content_path", raw_path("job_id", "element_id", "type"))
         .withColumn("processed_content_path", processed_path("job_id", "element_id", "type"))
         .withColumn("status", F.lit(200))
         .withColumn("content_type", F.lit("text/html"))
         .drop("page_checksum")
     )
-    asset_rows = attach_assets(elements, assets)
+    asset_rows = attach_assets(firsts, assets, extractor_factory is not None)
 
-    # Fetched assets with their element type: one join (adaptive execution
-    # turns it into a broadcast when the distinct URL set measures small).
-    # PDFs are converted once per URL and the result is checkpointed:
-    # metadata and objects both read it.
-    types = elements.filter(F.col("type") != "URL").select("url", "type").distinct()
+    # Fetched assets with their element type (adaptive execution broadcasts
+    # the distinct URLs where they measure small). PDFs are converted once and
+    # the result is checkpointed: metadata and objects both read it.
+    types = firsts.filter(F.col("type") != "URL").select("url", "type").distinct()
     ok_assets = assets.filter(F.col("status") == 200).join(types, "url")
-    converted = checkpoint(pdf_to_markdown(
-        ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content"), pdf_method,
-        extractor_factory))
-    conv_status = converted.select(F.col("key").alias("url"), F.col("error").alias("pdf_error"))
-    asset_rows = asset_rows.join(conv_status, "url", "left")
+    pdfs = ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content")
+    if extractor_factory is None:
+        converted = pages.sparkSession.createDataFrame([], PDF_RESULT_SCHEMA)
+    else:
+        converted = checkpoint(pdf_to_markdown(pdfs, pdf_method, extractor_factory))
+    pdf_errors = converted.groupBy(F.col("key").alias("url")).agg(F.min("error").alias("pdf_error"))
+    asset_rows = asset_rows.join(pdf_errors, "url", "left")
     failed = (F.col("type") == "PDF") & F.col("pdf_error").isNotNull()
-    quarantine = asset_rows.filter(failed).select(
-        "element_id", "url", "type", "parent_id", F.lit("processed").alias("stage"),
-        F.col("pdf_error").alias("reason"), "job_id",
-    )
-    asset_rows = asset_rows.filter(~failed | F.col("pdf_error").isNull()).drop("pdf_error")
-    rows = url_rows.unionByName(asset_rows)
+
+    def quarantined(rows: DataFrame, reason: str) -> DataFrame:
+        return rows.select("element_id", "url", "type", "parent_id", F.lit("processed").alias("stage"),
+                           F.col(reason).alias("reason"), "job_id")
+
+    quarantine = quarantined(asset_rows.filter(failed), "pdf_error").unionByName(
+        quarantined(url_rows.filter(F.col("page_error").isNotNull()), "page_error"))
+    rows = url_rows.filter(F.col("page_error").isNull()).drop("page_error").unionByName(
+        asset_rows.filter(~failed).drop("pdf_error"))
 
     # Objects
-    md = markdown_udf(remove, retain_images)
-    page_raw = page_level.select(
-        raw_path(job_lit, "element_id", F.lit("URL")).alias("path"), "element_id",
+    null_order = F.lit(None).cast("long").alias("order_key")
+    eid = element_id("url", job_lit)
+    page_raw = pages.filter(F.col("html").isNotNull()).select(
+        raw_path(job_lit, eid, F.lit("URL")).alias("path"), eid.alias("element_id"),
         F.encode("html", "UTF-8").alias("content"), F.lit("text/html").alias("content_type"),
-        F.col("page_checksum").alias("checksum"), F.lit("raw").alias("stage"), F.col("page_id").alias("order_key"),
+        F.lit("raw").alias("stage"), F.col("page_id").alias("order_key"),
     )
-    page_md = page_level.select(
-        processed_path(job_lit, "element_id", F.lit("URL")).alias("path"), "element_id",
-        F.encode(md("url", "html"), "UTF-8").alias("content"), F.lit("text/markdown").alias("content_type"),
-        F.lit(None).cast("string").alias("checksum"), F.lit("processed").alias("stage"),
-        F.col("page_id").alias("order_key"),
+    page_md = converted_pages.filter(F.col("error").isNull()).select(
+        processed_path(job_lit, eid, F.lit("URL")).alias("path"), eid.alias("element_id"),
+        F.encode("markdown", "UTF-8").alias("content"), F.lit("text/markdown").alias("content_type"),
+        F.lit("processed").alias("stage"), F.col("page_id").alias("order_key"),
     )
     asset_raw = ok_assets.select(
-        element_id("url", job_lit).alias("element_id"), "type", "content", "content_type"
-    ).select(
-        raw_path(job_lit, "element_id", "type").alias("path"), "element_id", "content",
+        raw_path(job_lit, eid, "type").alias("path"), eid.alias("element_id"), "content",
         F.when(F.col("type") == "PDF", F.lit("application/pdf"))
         .otherwise(F.coalesce("content_type", F.lit(DEFAULT_IMAGE_CONTENT_TYPE))).alias("content_type"),
-        F.lit(None).cast("string").alias("checksum"), F.lit("raw").alias("stage"),
-        F.lit(None).cast("long").alias("order_key"),
+        F.lit("raw").alias("stage"), null_order,
     )
+    pdf_id = element_id("key", job_lit)
     pdf_md = converted.filter(F.col("error").isNull()).select(
-        element_id("key", job_lit).alias("element_id"), "markdown"
-    ).select(
-        processed_path(job_lit, "element_id", F.lit("PDF")).alias("path"), "element_id",
+        processed_path(job_lit, pdf_id, F.lit("PDF")).alias("path"), pdf_id.alias("element_id"),
         F.encode("markdown", "UTF-8").alias("content"), F.lit("text/markdown").alias("content_type"),
-        F.lit(None).cast("string").alias("checksum"), F.lit("processed").alias("stage"),
-        F.lit(None).cast("long").alias("order_key"),
+        F.lit("processed").alias("stage"), null_order,
     )
     objects = page_raw.unionByName(page_md).unionByName(asset_raw).unionByName(pdf_md).withColumn(
-        "checksum", F.coalesce("checksum", checksum("content"))
-    ).withColumn("job_id", job_lit)
-    return {"rows": rows, "objects": objects, "quarantine": quarantine, "converted": converted}
+        "checksum", checksum("content")).withColumn("job_id", job_lit)
+    return {"rows": rows, "duplicates": duplicates, "objects": objects,
+            "quarantine": quarantine.select(*QUARANTINE.fieldNames()), "converted": converted}

@@ -5,54 +5,81 @@ edge table and the visited set are written once as tables bucketed by URL
 key in the shared folder (a written table keeps its hash layout across
 jobs, which a checkpoint does not under adaptive execution). A level then
 shuffles only the frontier and its candidate edges: neither the edges nor
-the visited set move again. Each level is appended to the visited table
-(partitioned by depth), which cuts lineage and lets a lost executor
-recompute one level only.
+the visited set move again, though each level reads them. Rows are dealt to
+their bucket before the write, so a write makes one file per bucket. Each
+level is appended to the visited table (partitioned by depth), which cuts
+lineage and lets a lost executor recompute one level only.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webkb.session import scratch_path
+from webkb.functions.urls import host
+from webkb.session import checkpoint, delete_path, scratch_path
 
+CRAWLED = "url_key string, url string, page_id bigint, parent_key string, depth int"
 
-def _parts(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
+def bucket_count(edges: DataFrame, rows_per_bucket: int = 2_000_000, least: int = 8) -> int:
+    """Buckets for a materialized edge table: some 2,000,000 edges each."""
+    return max(least, math.ceil(edges.count() / rows_per_bucket))
 
-def _bucketed(df: DataFrame, key: str, n: int, name: str | None = None, partition_by: str | None = None,
-              mode: str = "overwrite") -> str:
-    """Write ``df`` as a table bucketed by ``key`` into the shared folder;
-    returns the table name."""
-    spark = df.sparkSession
-    name = name or f"webkb_tmp_{uuid.uuid4().hex[:12]}"
-    w = df.write.mode(mode).bucketBy(n, key)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    if mode == "overwrite":
-        w = w.option("path", scratch_path(spark, name))
-    w.saveAsTable(name)
-    return name
 
+class Bucketed:
+    """A table of the shared folder bucketed by ``key``, in the catalog while it is used."""
 
-def page_edges(edges: DataFrame, store: DataFrame, partitions: int | None = None) -> DataFrame:
+    def __init__(self, spark: SparkSession, key: str, buckets: int, partition_by: str | None = None):
+        self.spark, self.key, self.buckets, self.partition_by = spark, key, buckets, partition_by
+        self.name = f"webkb_tmp_{uuid.uuid4().hex[:12]}"
+        self.path = scratch_path(spark, self.name)
+        self.made = False
+
+    def append(self, df: DataFrame) -> Bucketed:
+        w = df.repartition(self.buckets, self.key).write.mode("append").bucketBy(self.buckets, self.key)
+        if self.partition_by:
+            w = w.partitionBy(self.partition_by)
+        (w if self.made else w.option("path", self.path)).saveAsTable(self.name)
+        self.made = True
+        return self
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self, files: bool) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if files:
+            delete_path(self.spark, self.path)
+
+
+def page_edges(edges: DataFrame, store: DataFrame, buckets: int) -> Bucketed:
     """Edges whose target is in the page store, with the target's page,
-    as a table bucketed by source (read by every level without a shuffle)."""
-    n = _parts(edges, partitions)
+    bucketed by source (read by every level without a shuffle)."""
     keys = store.select(F.col("url_key").alias("dst"), F.col("page_id").alias("dst_page_id"),
                         F.col("url").alias("dst_url"))
-    pe = edges.select("src", "dst").join(keys, "dst")
-    return edges.sparkSession.table(_bucketed(pe, "src", n))
+    return Bucketed(edges.sparkSession, "src", buckets).append(edges.select("src", "dst").join(keys, "dst"))
+
+
+def _within_cap(new: DataFrame, visited: DataFrame | None, cap: int | None) -> DataFrame:
+    """The candidates of a level that their hosts still have room for, in
+    order of URL. Ranks above the cap are cut before the shuffle as well."""
+    if cap is None:
+        return new
+    ranked = new.withColumn("_host", host("url")).withColumn("_rank", F.row_number().over(
+        Window.partitionBy("_host").orderBy("url_key"))).filter(F.col("_rank") <= cap)
+    if visited is not None:
+        taken = visited.groupBy(host("url").alias("_host")).agg(F.count(F.lit(1)).alias("_taken"))
+        ranked = ranked.join(taken, "_host", "left").filter(F.col("_rank") + F.coalesce("_taken", F.lit(0)) <= cap)
+    return ranked.select(*new.columns)
 
 
 def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int, follow: bool = True,
-          partitions: int | None = None, edge_filter: Column | None = None) -> DataFrame:
+          partitions: int | None = None, edge_filter: Column | None = None,
+          max_per_host: int | None = None) -> DataFrame:
     """Pages reached from ``seeds`` within ``max_depth`` levels.
 
     ``seeds``: ``(url, url_key, depth=0)``; ``store``: page store
@@ -60,39 +87,50 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
     Returns ``(url_key, url, page_id, depth, parent_key)``: each page once,
     at its first-arrival depth, ``parent_key`` = smallest parent at the
     previous level. A request without a stored page is not fetched and is
-    not expanded."""
+    not expanded. ``max_per_host`` bounds the pages fetched from a host, level
+    by level: a page beyond it is not fetched, hence not expanded."""
     spark: SparkSession = store.sparkSession
-    n = _parts(store, partitions)
-    keys = store.select("url_key", "page_id", "url")
+    cols = ["url_key", "url", "page_id", "depth", "parent_key"]
+    if edge_filter is not None:
+        edges = edges.filter(edge_filter)
+    expand = follow and max_depth > 0
+    edges = checkpoint(edges.select("src", "dst")) if expand else edges
+    n = partitions or (bucket_count(edges) if expand else 8)
+    keys = store.filter(F.col("url_key").isNotNull()).select("url_key", "page_id", "url")
     level0 = (
         seeds.select("url_key")
         .join(keys, "url_key")  # fetch: frontier joined with the page store
         .select("url_key", "url", "page_id", F.lit(None).cast("string").alias("parent_key"),
                 F.lit(0).alias("depth"))
     )
-    visited_name = _bucketed(level0, "url_key", n, partition_by="depth")
-    cols = ["url_key", "url", "page_id", "depth", "parent_key"]
-    if not follow or max_depth <= 0:
-        return spark.table(visited_name).select(*cols)
-    if edge_filter is not None:
-        edges = edges.filter(edge_filter)
-    pe = page_edges(edges, store, n)
-    for d in range(1, max_depth + 1):
-        visited = spark.table(visited_name)
-        frontier = visited.filter(F.col("depth") == d - 1).select(F.col("url_key").alias("src"))
-        cand = (
-            frontier.join(pe, "src")
-            .groupBy("dst")  # partial aggregation collapses duplicate arrivals map-side
-            .agg(F.min("src").alias("parent_key"), F.first("dst_page_id").alias("page_id"),
-                 F.first("dst_url").alias("url"))
-        )
-        new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti").select(
-            F.col("dst").alias("url_key"), "url", "page_id", "parent_key", F.lit(d).alias("depth")
-        )
-        _bucketed(new, "url_key", n, name=visited_name, partition_by="depth", mode="append")
-        if d < max_depth and spark.table(visited_name).filter(F.col("depth") == d).isEmpty():
-            break
-    return spark.table(visited_name).select(*cols)
+    visited_table = Bucketed(spark, "url_key", n, "depth").append(_within_cap(level0, None, max_per_host))
+    if expand:
+        pe_table = page_edges(edges, store, n)
+        for d in range(1, max_depth + 1):
+            visited, pe = visited_table.read(), pe_table.read()
+            frontier = visited.filter(F.col("depth") == d - 1).select(F.col("url_key").alias("src"))
+            cand = (
+                frontier.join(pe, "src")
+                .groupBy("dst")  # partial aggregation collapses duplicate arrivals map-side
+                .agg(F.min("src").alias("parent_key"), F.first("dst_page_id").alias("page_id"),
+                     F.first("dst_url").alias("url"))
+            )
+            new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti").select(
+                F.col("dst").alias("url_key"), "url", "page_id", "parent_key", F.lit(d).alias("depth")
+            )
+            visited_table.append(_within_cap(new, visited, max_per_host))
+            if d < max_depth and visited_table.read().filter(F.col("depth") == d).isEmpty():
+                break
+        pe_table.drop(files=True)
+    visited_table.drop(files=False)  # the result reads the files
+    if not _has_files(spark, visited_table.path):
+        return spark.createDataFrame([], CRAWLED).select(*cols)
+    return spark.read.schema(CRAWLED).parquet(visited_table.path).select(*cols)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def crawl_pages(crawled: DataFrame, store: DataFrame) -> DataFrame:
@@ -100,7 +138,3 @@ def crawl_pages(crawled: DataFrame, store: DataFrame) -> DataFrame:
 
     The HTML joins back once, on ``page_id``, after the loop."""
     return crawled.select("page_id", "depth", "parent_key").join(store.select("page_id", "url", "html"), "page_id")
-
-
-def depth_histogram(crawled: DataFrame) -> DataFrame:
-    return crawled.groupBy("depth").agg(F.count(F.lit(1)).alias("n_urls"))

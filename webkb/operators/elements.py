@@ -60,6 +60,8 @@ def elements_from_parsed(parsed: DataFrame, job: str, parent_as_url: bool = Fals
             if has_sum:
                 more = more.withColumn("page_checksum", null_s)
             e = e.unionByName(more)
+    # a reference that could not be joined has no URL, hence no key: see parse_failures
+    e = e.filter(F.col("url").isNotNull())
     job_lit = F.lit(job)
     parent_id = F.col("parent_url") if parent_as_url else F.when(
         F.col("parent_url").isNotNull(), element_id("parent_url", job_lit)
@@ -78,6 +80,30 @@ def elements_from_parsed(parsed: DataFrame, job: str, parent_as_url: bool = Fals
     )
 
 
+def parse_failures(parsed: DataFrame, job: str) -> DataFrame:
+    """Quarantine rows of the parse step: pages that could not be read to
+    their end or have no URL, and PDF and image references without a URL."""
+    job_lit = F.lit(job)
+    null_s = F.lit(None).cast("string")
+    page_id = element_id("url", job_lit)
+
+    def row(eid: Column, url: Column, type_: Column, parent: Column, reason: Column) -> Column:
+        return F.struct(eid.alias("element_id"), url.alias("url"), type_.alias("type"), parent.alias("parent_id"),
+                        reason.alias("reason"))
+
+    def lost(items: Column, type_: str) -> Column:
+        return F.transform(F.filter(items, lambda i: i["abs_url"].isNull()), lambda i: row(
+            null_s, i["value"], F.lit(type_), page_id, F.lit("reference cannot be resolved")))
+
+    reason = F.when(F.col("url").isNull(), F.lit("page url is null")).otherwise(F.col("parse_error"))
+    page = F.filter(F.array(row(page_id, F.col("url"), F.lit("URL"), null_s, reason)), lambda r: r["reason"].isNotNull())
+    items = F.col("items")
+    return parsed.select(F.explode(F.concat(page, lost(pdf_items(items), "PDF"), lost(image_items(items), "Image")))
+                         .alias("r")).select(
+        "r.element_id", "r.url", "r.type", "r.parent_id", F.lit("parse").alias("stage"), "r.reason",
+        job_lit.alias("job_id"))
+
+
 def elements(pages: DataFrame, job: str, parent_as_url: bool = False,
              extra: list[Callable[[DataFrame], DataFrame]] | None = None,
              with_checksum: bool = False) -> DataFrame:
@@ -89,19 +115,6 @@ def elements(pages: DataFrame, job: str, parent_as_url: bool = False,
     return elements_from_parsed(parse_pages(pages, keep, with_checksum), job, parent_as_url, extra)
 
 
-def writer_order(desc: bool = False) -> list[Column]:
-    """Declared arrival order of elements: depth, parent URL, kind, position,
-    page id. First writer = smallest."""
-    cols = [
-        F.col("depth"),
-        F.coalesce(F.col("parent_url"), F.lit("")),
-        kind_rank("type"),
-        F.col("pos"),
-        F.col("page_id"),
-    ]
-    return [c.desc() for c in cols] if desc else [c.asc() for c in cols]
-
-
 def order_struct() -> Column:
     return F.struct(
         F.col("depth").alias("o_depth"),
@@ -112,21 +125,17 @@ def order_struct() -> Column:
     )
 
 
-def to_metadata(df: DataFrame) -> DataFrame:
+def meta_columns(df: DataFrame) -> list[Column]:
     """The seven stored columns; unset strings become ''; ``url`` -> ``URL``."""
-    out = df
-    for c in ("raw_content_path", "processed_content_path", "checksum"):
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(""))
-    return out.select(
-        F.col("element_id"),
-        F.col("url").alias("URL"),
-        F.col("type"),
-        F.coalesce(F.col("raw_content_path"), F.lit("")).alias("raw_content_path"),
-        F.coalesce(F.col("processed_content_path"), F.lit("")).alias("processed_content_path"),
-        F.coalesce(F.col("checksum"), F.lit("")).alias("checksum"),
-        F.col("parent_id"),
-    ).select(*METADATA_COLUMNS)
+    unset = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
+    found = {"element_id": F.col("element_id"), "URL": F.col("url"), "type": F.col("type"),
+             "raw_content_path": unset("raw_content_path"), "processed_content_path": unset("processed_content_path"),
+             "checksum": unset("checksum"), "parent_id": F.col("parent_id")}
+    return [found[c].alias(c) for c in METADATA_COLUMNS]
+
+
+def to_metadata(df: DataFrame) -> DataFrame:
+    return df.select(*meta_columns(df))
 
 
 def resolve_parents(meta: DataFrame) -> DataFrame:
@@ -141,12 +150,6 @@ def resolve_parents(meta: DataFrame) -> DataFrame:
     )
 
 
-def children_with_parent(meta: DataFrame) -> DataFrame:
-    """Children whose parent row is stored (semi join)."""
-    parents = meta.filter(F.col("type") == "URL").select(F.col("element_id").alias("parent_id"))
-    return meta.filter(F.col("parent_id").isNotNull()).join(parents, "parent_id", "left_semi")
-
-
 def job_summary(meta: DataFrame) -> DataFrame:
     """Rows per job and type, and how many were not fetched (checksum '')."""
     return (

@@ -104,11 +104,19 @@ def fold_retries(log: DataFrame, group: list[Column] | None = None, times: int =
     )
 
 
-def _micros(c) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ (the
-    session time zone is UTC, so both read the wall clock as UTC)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_micros(c.cast("timestamp"))
+def final_responses(responses: DataFrame, log: DataFrame) -> DataFrame:
+    """Responses ``(attempt_id, url, ...)`` of the attempts that end their
+    URL's retries: one per URL, what :func:`fold_retries` lets stand."""
+    final = fold_retries(log, [F.col("url")]).select(F.col("final_attempt_id").alias("attempt_id"))
+    return responses.join(final, "attempt_id", "left_semi")
+
+
+def _micros(c, df: DataFrame) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP, or of a TIMESTAMP_NTZ read
+    as UTC, whatever the session's time zone."""
+    if df.schema[c].dataType.typeName() == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)")
+    return F.unix_micros(c)
 
 
 # ---------------------------------------------------------------------------
@@ -127,10 +135,10 @@ def cache_lookup(requests: DataFrame, cache: DataFrame, ttl_secs: int = CACHE_EX
     b_us = int((bucket_secs or ttl_secs) * 1_000_000)
     ts_type = cache.schema["ts"].dataType.simpleString()
     ent_type = f"struct<ts:{ts_type},attempt_id:bigint>"
-    bucket = F.floor(_micros("ts") / F.lit(b_us)).cast("long")
+    bucket = lambda df: F.floor(_micros("ts", df) / F.lit(b_us)).cast("long")
     ent = F.struct(F.col("ts").alias("ts"), F.col("attempt_id").cast("bigint").alias("attempt_id"))
-    k = cache.select("url", "ts", "attempt_id").withColumn("bucket", bucket)
-    q = requests.select("url", "ts", "attempt_id").withColumn("bucket", bucket)
+    k = cache.select("url", "ts", "attempt_id").withColumn("bucket", bucket(cache))
+    q = requests.select("url", "ts", "attempt_id").withColumn("bucket", bucket(requests))
     both = k.select("url", "bucket", "ts", F.lit(0).alias("kind"), "attempt_id", ent.alias("entry")).unionByName(
         q.select("url", "bucket", "ts", F.lit(1).alias("kind"), "attempt_id",
                  F.lit(None).cast(ent_type).alias("entry"))
@@ -149,11 +157,12 @@ def cache_lookup(requests: DataFrame, cache: DataFrame, ttl_secs: int = CACHE_EX
         "url", "bucket", "carry")
     j = in_bucket.join(carry, ["url", "bucket"], "left")
     m = F.coalesce(F.col("hit"), F.col("carry"))
-    age = _micros(F.col("ts")) - _micros(m["ts"])
+    j = j.select("attempt_id", "url", "ts", m["attempt_id"].alias("cached_attempt_id"), m["ts"].alias("cached_ts"))
+    age = _micros("ts", j) - _micros("cached_ts", j)
     return j.select(
         "attempt_id", "url", "ts",
-        m["attempt_id"].alias("cached_attempt_id"),
-        m["ts"].alias("cached_ts"),
+        "cached_attempt_id",
+        "cached_ts",
         age.alias("age_us"),
         F.coalesce(age <= F.lit(int(ttl_secs * 1_000_000)), F.lit(False)).alias("fresh"),
     )

@@ -13,17 +13,16 @@ from pyspark.sql import functions as F
 from webkb.functions.html import parse_html_udf
 from webkb.functions.paths import checksum
 from webkb.functions.urls import canonical_url, is_followable, is_image_src, is_pdf_href
-from webkb.session import spread_for_python
 
 
 def parse_pages(pages: DataFrame, keep: tuple[str, ...] = (), with_checksum: bool = False) -> DataFrame:
-    """``(page_id, url, *keep, [page_checksum,] items)``; ``items`` = parsed
-    links/images. The page checksum is taken in the same scan, before the
-    HTML is dropped."""
+    """``(page_id, url, *keep, [page_checksum,] items, parse_error)``;
+    ``items`` = parsed links/images. The page checksum is taken in the same
+    scan, before the HTML is dropped."""
     extra = [checksum("html").alias("page_checksum")] if with_checksum else []
-    if not pages.isStreaming:
-        pages = spread_for_python(pages)
-    return pages.select("page_id", "url", *keep, *extra, parse_html_udf("url", "html").alias("items"))
+    p = pages.select("page_id", "url", *keep, *extra, parse_html_udf("url", "html").alias("_p"))
+    return p.select("page_id", "url", *keep, *(["page_checksum"] if with_checksum else []),
+                    F.col("_p.items").alias("items"), F.col("_p.error").alias("parse_error"))
 
 
 def pdf_items(items: Column) -> Column:

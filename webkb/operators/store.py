@@ -1,23 +1,25 @@
 """Keyed sinks: objects, manifest, metadata insert with a primary key,
-validation and rejects.
-
-Parquet has no primary key or MERGE: the key is enforced by a
-first-writer aggregation inside the batch plus an anti-join against the
-stored keys, then an append. One writer per table at a time is assumed.
-Re-running an insert adds no rows.
+validation, quarantine and rejects.
+
+Parquet has no primary key or MERGE. Metadata keys are enforced by
+validation, a first-writer aggregation inside the batch and an anti-join
+against the stored keys, then an append: re-running an insert adds no rows.
+Objects are appended with a version and the last writer of a path is what
+readers see, so a later upload of a key replaces the earlier one, in batch
+re-runs and in the stream. One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webkb.conf import ELEMENT_TYPES
-from webkb.operators.elements import order_struct, to_metadata
-from webkb.schema import METADATA_COLUMNS, METADATA_STORED, OBJECT
+from webkb.operators.elements import meta_columns, order_struct
+from webkb.schema import METADATA_COLUMNS, METADATA_STORED, OBJECT, QUARANTINE, REJECT
 from webkb.session import checkpoint
 
 
@@ -63,18 +65,15 @@ def last_writer(rows: DataFrame, key: str = "path", order: Column | None = None)
 # ---------------------------------------------------------------------------
 # validation and rejects
 # ---------------------------------------------------------------------------
-def validation_reason(df: DataFrame) -> Column:
-    """First failing check of a metadata row, null when valid."""
-    checks = [
-        (F.col("element_id").isNull(), "element_id is null"),
-        (F.col("URL").isNull(), "URL is null"),
-        (F.col("type").isNull(), "type is null"),
-        (F.col("raw_content_path").isNull(), "raw_content_path is null"),
-        (F.col("processed_content_path").isNull(), "processed_content_path is null"),
-        (F.col("checksum").isNull(), "checksum is null"),
-        (~F.col("type").isin(*ELEMENT_TYPES), "type not in URL/PDF/Image"),
-        (~F.col("element_id").rlike(r"^[0-9a-f]{64}_[0-9]{8}_[0-9]{6}$"), "element_id malformed"),
-        (~F.col("checksum").rlike(r"^([0-9a-f]{64})?$"), "checksum malformed"),
+def validation_reason(row: str | None = None) -> Column:
+    """First failing check of a metadata row (or of the struct column
+    ``row`` that holds one), null when valid."""
+    col = lambda c: F.col(f"{row}.{c}" if row else c)
+    required = ("element_id", "URL", "type", "raw_content_path", "processed_content_path", "checksum")
+    checks = [(col(c).isNull(), f"{c} is null") for c in required] + [
+        (~col("type").isin(*ELEMENT_TYPES), "type not in URL/PDF/Image"),
+        (~col("element_id").rlike(r"^[0-9a-f]{64}_[0-9]{8}_[0-9]{6}$"), "element_id malformed"),
+        (~col("checksum").rlike(r"^([0-9a-f]{64})?$"), "checksum malformed"),
     ]
     reason = F.lit(None).cast("string")
     for cond, text in reversed(checks):
@@ -84,7 +83,7 @@ def validation_reason(df: DataFrame) -> Column:
 
 def validate_metadata(df: DataFrame) -> DataFrame:
     """Rows with ``reason`` (null = valid)."""
-    return df.withColumn("reason", validation_reason(df))
+    return df.withColumn("reason", validation_reason())
 
 
 def split_rejects(df: DataFrame, reason_col: str = "reason") -> tuple[DataFrame, DataFrame]:
@@ -111,40 +110,94 @@ def ensure_table(spark: SparkSession, root: str, name: str | None = None) -> Dat
     return spark.read.schema(METADATA_STORED).parquet(root)
 
 
-def insert_metadata(rows: DataFrame, root: str, job_ids: list[str] | None = None) -> dict[str, DataFrame]:
+def insert_metadata(rows: DataFrame, root: str, job_ids: list[str] | None = None,
+                    duplicates: DataFrame | None = None) -> dict[str, DataFrame]:
     """Insert element rows into the metadata table at ``root``.
 
     ``rows`` are elements with metadata fields and the order columns.
-    Steps: first writer per element_id in the batch (W01), anti-join with
-    stored keys (X01), append partitioned by ``job_id, type``. Returns the
-    ``inserted`` rows and ``rejects`` with a reason."""
+    Steps: validation (F13; a NULL key never reaches the table), first writer
+    per element_id in the batch (W01), anti-join with stored keys (X01),
+    append partitioned by ``job_id, type``. Returns the ``inserted`` rows and
+    ``rejects`` with a reason and the job: every row of ``rows`` is in exactly
+    one of the two. ``duplicates`` are elements already known to come after a
+    row of ``rows``; they are listed among the rejects."""
     spark = rows.sparkSession
-    winners, losers = first_writer(rows)
-    meta = to_metadata(winners).withColumn("job_id", F.substring_index("element_id", "_", -2))
+    tagged = checkpoint(rows.select("element_id", "depth", "parent_url", "pos", "page_id", "job_id",
+                                    F.struct(*meta_columns(rows)).alias("_m")).withColumn(
+        "_reason", validation_reason("_m")))
+    valid = tagged.filter(F.col("_reason").isNull())
+    winners, losers = first_writer(_ordered(valid))
+    job = F.substring_index("element_id", "_", -2)
+    meta = winners.select("_m.*").withColumn("job_id", job)
     table = ensure_table(spark, root)
     if job_ids:
         table = table.filter(F.col("job_id").isin(*job_ids))
     stored = table.select("element_id")
-    new = checkpoint(meta.join(stored, "element_id", "left_anti"))
+    new = checkpoint(meta.join(stored, "element_id", "left_anti").select(*METADATA_STORED.fieldNames()))
     existing = meta.join(stored, "element_id", "left_semi")
-    new.select(*[f.name for f in METADATA_STORED.fields]).write.mode("append").partitionBy("job_id", "type").parquet(
-        root)
-    rejects = to_metadata(losers).withColumn("reason", F.lit("duplicate element_id in batch")).unionByName(
-        existing.drop("job_id").withColumn("reason", F.lit("element_id already stored"))
-    )
+    rejects = checkpoint(
+        tagged.filter(F.col("_reason").isNotNull()).select("_m.*", F.col("_reason").alias("reason"), "job_id")
+        .unionByName(losers.select("_m.*", F.lit("duplicate element_id in batch").alias("reason"), "job_id"))
+        .unionByName(existing.withColumn("reason", F.lit("element_id already stored")))
+        .select(*REJECT.fieldNames()))
+    if duplicates is not None:
+        rejects = rejects.unionByName(duplicates.select(
+            *meta_columns(duplicates), F.lit("duplicate element_id in batch").alias("reason"), "job_id"))
+    new.write.mode("append").partitionBy("job_id", "type").parquet(root)
     return {"inserted": new.drop("job_id"), "rejects": rejects}
 
 
-def write_objects(objects: DataFrame, root: str) -> None:
+def _ordered(rows: DataFrame) -> DataFrame:
+    """The columns the arrival order needs, the metadata row and the job."""
+    return rows.select("element_id", "depth", "parent_url", F.col("_m.type").alias("type"), "pos", "page_id", "_m",
+                       "job_id")
+
+
+def append_new(df: DataFrame, root: str, schema) -> None:
+    """Append the rows that are not stored yet; re-running adds nothing."""
+    spark = df.sparkSession
+    names = schema.fieldNames()
+    hashed = df.select(*names).distinct().withColumn("_h", F.xxhash64(*names)).withColumn(
+        "_h2", F.xxhash64(F.lit(1), *names))
+    if _exists(spark, root):
+        jobs = [r[0] for r in hashed.select("job_id").distinct().collect()]
+        old = spark.read.schema(schema).parquet(root).filter(F.col("job_id").isin(*jobs)).select(*names)
+        hashed = hashed.join(old.select(F.xxhash64(*names).alias("_h"), F.xxhash64(F.lit(1), *names).alias("_h2")),
+                             ["_h", "_h2"], "left_anti")
+    hashed.select(*names).write.mode("append").partitionBy("job_id").parquet(root)
+
+
+def write_quarantine(df: DataFrame, root: str) -> None:
+    append_new(df, root, QUARANTINE)
+
+
+def write_rejects(df: DataFrame, root: str) -> None:
+    append_new(df, root, REJECT)
+
+
+def next_version(spark: SparkSession, root: str) -> int:
+    """One more than the largest version stored (reads that column alone)."""
+    if not _exists(spark, root):
+        return 0
+    top = spark.read.schema(OBJECT).parquet(root).agg(F.max("version")).first()[0]
+    return 0 if top is None else top + 1
+
+
+def write_objects(objects: DataFrame, root: str, version: int | None = None) -> None:
     """Append objects (one row per object, not one file per object),
-    partitioned by ``job_id, stage``; last writer per path wins (W02).
-    Read the manifest back with ``manifest(read_objects(...))``."""
-    if "order_key" not in objects.columns:
-        objects = objects.withColumn("order_key", F.lit(None).cast("long"))
-    winners, _ = last_writer(objects, "path", order=F.struct(F.coalesce("order_key", F.lit(-1)).alias("k")))
-    if "metadata" not in winners.columns:
-        winners = winners.withColumn("metadata", F.lit(None).cast("map<string,string>"))
-    out = winners.select(*[f.name for f in OBJECT.fields])
+    partitioned by ``job_id, stage``. The content is written where it was
+    made: no aggregate and no shuffle moves it. The last writer of a path wins
+    when the store is read (W02): the largest ``version`` (this run's, or a
+    micro-batch's number, so that a replay is no new writer), then the largest
+    ``order_key``."""
+    spark = objects.sparkSession
+    for c, kind in (("order_key", "long"), ("metadata", "map<string,string>")):
+        if c not in objects.columns:
+            objects = objects.withColumn(c, F.lit(None).cast(kind))
+    out = objects.withColumn("version", F.lit(next_version(spark, root) if version is None else version).cast("long"))
+    # tells apart the rows of all writes, a replayed micro-batch's included
+    row = F.xxhash64(F.lit(uuid.uuid4().hex), F.monotonically_increasing_id())
+    out = out.withColumn("row", row).select(*OBJECT.fieldNames())
     out.write.mode("append").partitionBy("job_id", "stage").parquet(root)
 
 
@@ -159,26 +212,38 @@ def manifest(objects: DataFrame) -> DataFrame:
     )
 
 
-def export_objects(objects: DataFrame, root: str) -> None:
+def export_objects(objects: DataFrame, root: str) -> DataFrame:
     """One file per object under ``root/<path>`` (the folder layout of the
-    object store), written by the executors through the Hadoop file
-    system; each task writes its own objects."""
-    conf_root = root
+    object store); each task writes its own objects in Arrow batches and the
+    listing ``(path, size)`` of what was written is returned.
+
+    ``root`` is a URI with a scheme that pyarrow can write and every executor
+    reaches; a bare path would name each executor's own disk and is refused.
+    A path is written whole or replaced, so a retried task leaves no doubles."""
+    if "://" not in root:
+        raise ValueError(f"export needs a URI with a scheme, not {root!r}")
 
-    def write_part(rows):
+    def write(batches):
+        import pyarrow as pa
         import pyarrow.fs as pafs
 
-        fs, base = pafs.FileSystem.from_uri(conf_root if "://" in conf_root else "file://" + os.path.abspath(conf_root))
-        for r in rows:
-            target = f"{base}/{r['path']}"
-            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            with fs.open_output_stream(target) as f:
-                f.write(bytes(r["content"]) if r["content"] is not None else b"")
+        fs, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            paths, sizes = batch.column("path").to_pylist(), []
+            for path, content in zip(paths, batch.column("content").to_pylist()):
+                target = f"{base}/{path}"
+                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(target) as f:
+                    f.write(content or b"")
+                sizes.append(len(content or b""))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())],
+                                             names=["path", "size"])
 
-    objects.select("path", "content").foreachPartition(write_part)
+    return checkpoint(objects.select("path", "content").mapInArrow(write, "path string, size bigint"))
 
 
 __all__ = [
     "first_writer", "last_writer", "validate_metadata", "split_rejects", "ensure_table", "insert_metadata",
-    "write_objects", "manifest", "export_objects", "METADATA_COLUMNS",
+    "write_objects", "write_quarantine", "write_rejects", "append_new", "manifest", "export_objects",
+    "METADATA_COLUMNS",
 ]

@@ -3,7 +3,7 @@ as an independent second path to the HTML parser."""
 
 from __future__ import annotations
 
-from webkb.sources.fixtures import duck_fx, duck_fx_attempts, duck_fx_pdfs, duck_fx_robots, pdf_bytes_sql
+from webkb.sources.fixtures import BROKEN_ASSET, duck_fx, duck_fx_attempts, duck_fx_robots, pdf_bytes_sql
 
 JOB = "20240102_030405"
 
@@ -41,11 +41,16 @@ FOLLOW_SCHEMES_SQL = "('http', 'https', 'ftp', 'file')"
 
 
 def followable(u: str) -> str:
-    from webkb.functions.urls import denied_extension_regex
+    """Scheme and extension rules, told by the last dotted parts of the path
+    rather than by a pattern: ``tar.gz`` is the one entry of two parts."""
+    from webkb.conf import DENIED_EXTENSIONS
 
-    path = f"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+    path = f"lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1))"
+    denied = ", ".join(f"'{e}'" for e in DENIED_EXTENSIONS)
+    parts = f"string_split({path}, '.')"
     return (f"(lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) in {FOLLOW_SCHEMES_SQL} "
-            f"and not regexp_matches(lower({path}), '{denied_extension_regex()}'))")
+            f"and not (contains({path}, '.') and ({parts}[-1] in ({denied}) "
+            f"or (len({parts}) > 2 and concat({parts}[-2], '.', {parts}[-1]) in ({denied})))))")
 
 
 def host(u: str) -> str:
@@ -93,7 +98,7 @@ def elements_cte(job: str = JOB, src: str = "fx", depth: str = "0") -> str:
 
 __all__ = [
     "JOB", "resolve", "canonical", "host", "fx_cte", "anchors_cte", "images_cte", "elements_cte",
-    "duck_fx_attempts", "duck_fx_pdfs", "duck_fx_robots", "pdf_bytes_sql",
+    "duck_fx_attempts", "duck_fx_robots", "pdf_bytes_sql",
 ]
 
 
@@ -116,18 +121,22 @@ def processed_path_sql(job: str, eid: str, typ: str) -> str:
 
 def assets_cte() -> str:
     """fx_assets over the distinct PDF/Image URLs of ``els``."""
-    body = "trim(regexp_replace(url, '[^A-Za-z0-9 .,/:]+', ' ', 'g'))"
     return f"""assets as (
       select url,
         case when length(url) % 7 = 0 then 404 else 200 end as status,
         case when length(url) % 3 = 0 then null when type = 'PDF' then 'application/pdf' else 'image/png' end
           as content_type,
-        case when type = 'PDF' then {pdf_bytes_sql(body, 'duckdb')} else encode(concat('asset:', url)) end as content
+        case when type = 'PDF' then {pdf_bytes_sql('url', 'duckdb', BROKEN_ASSET)} else encode(concat('asset:', url)) end
+          as content
       from (select distinct url, type from els where type <> 'URL') d)"""
 
 
-def rows_cte() -> str:
-    """Elements of fx with checksum and paths filled (status 200 gates)."""
+FAILED_PDF = f"(e.type = 'PDF' and a.status = 200 and {BROKEN_ASSET.replace('url', 'a.url')})"
+
+
+def rows_cte(keep: str = f"not coalesce({FAILED_PDF}, false)") -> str:
+    """Elements of fx with checksum and paths filled (status 200 gates);
+    PDFs that cannot be converted have no row."""
     ok = "(e.type = 'URL' or a.status = 200)"
     return f"""rows as (
       select e.element_id, e.url, e.type, e.parent_url, e.parent_id, e.depth, e.pos, e.page_id, e.job_id,
@@ -139,7 +148,8 @@ def rows_cte() -> str:
         case when e.type = 'URL' then 200 else a.status end as status
       from els e
       left join fx f on e.type = 'URL' and f.page_id = e.page_id
-      left join assets a on e.type <> 'URL' and a.url = e.url)"""
+      left join assets a on e.type <> 'URL' and a.url = e.url
+      where {keep})"""
 
 
 def ranked_cte(desc: bool = False) -> str:

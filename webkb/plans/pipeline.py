@@ -21,7 +21,7 @@ from webkb.operators import elements as EL
 from webkb.operators import fetchlog as FL
 from webkb.operators import links as LK
 from webkb.operators import store as ST
-from webkb.session import checkpoint, tune
+from webkb.session import checkpoint
 from webkb.sources import tables as TB
 
 
@@ -35,32 +35,39 @@ def build_kb(spark: SparkSession, pages: DataFrame, assets: DataFrame, conf: Job
              edge_filter: Column | None = None,
              extractors: list[Callable[[DataFrame], DataFrame]] | None = None,
              transforms: list[Callable[[DataFrame], DataFrame]] | None = None,
-             extractor_factory: Callable | None = None) -> dict:
+             extractor_factory: Callable | None = None, attempts: DataFrame | None = None) -> dict:
     """Run one crawl-and-ingest job over stored pages and assets.
 
     - ``pages``: page store input ``(page_id, url, html)``;
     - ``assets``: responses ``(url, status, content_type, content)``;
     - ``seeds``: seed table with ``url`` (else ``conf.seeds``);
-    - ``robots``: optional rules ``(host, agent, directive, path)``; a
-      disallowed URL is never fetched, hence never expanded;
+    - ``robots``: rules ``(host, agent, directive, path)``, applied for
+      ``conf.user_agent``; a disallowed URL is never fetched, hence never
+      expanded;
+    - ``attempts``: fetch log; ``assets`` then carry ``attempt_id`` and the
+      attempt that ends a URL's retries is its response;
     - ``edge_filter``: request hook, a predicate over ``src, dst, href``;
     - ``extractors``: extra element generators over the parsed pages;
     - ``transforms``: ordered item pipelines applied to element rows.
 
-    Writes ``root/objects``, ``root/metadata`` and ``root/quarantine``."""
-    tune(spark)
+    ``conf.max_requests_per_domain`` bounds the pages fetched from a host
+    level by level. Writes ``root/objects``, ``root/metadata``,
+    ``root/quarantine`` and ``root/rejects``; a re-run of the job adds no rows
+    to them but new versions of the objects, and readers see the newest."""
     job = job_id_of(conf.job_ts)
     store = TB.page_store(pages)
     if robots is not None:
-        store = FL.robots_filter(store, robots).filter("allowed").drop("allowed", "rule")
+        store = FL.robots_filter(store, robots, conf.user_agent).filter("allowed").drop("allowed", "rule")
     parsed = checkpoint(LK.parse_pages(store, ("url_key",), with_checksum=True))
     edges = LK.link_edges(parsed, edge_filter)
     seed_df = TB.seeds(spark, seeds if seeds is not None else conf.seeds)
-    crawled = CR.crawl(seed_df, store, edges, conf.max_depth, conf.follow, conf.partitions)
-    if conf.max_requests_per_domain:
-        crawled = FL.domain_cap(crawled, conf.max_requests_per_domain).drop("host", "rank")
+    crawled = CR.crawl(seed_df, store, edges, conf.max_depth, conf.follow, conf.partitions,
+                       max_per_host=conf.max_requests_per_domain)
     levels = crawled.select("page_id", "depth")
-    els = EL.elements_from_parsed(parsed.join(levels, "page_id"), job, conf.parent_as_url, extractors)
+    reached = parsed.join(levels, "page_id")
+    els = EL.elements_from_parsed(reached, job, conf.parent_as_url, extractors)
+    if attempts is not None:
+        assets = FL.final_responses(assets, attempts)
     crawled_pages = store.join(levels, "page_id", "left_semi")
     out = AS.process_elements(els, crawled_pages, assets, job, conf.pdf_method, extractor_factory,
                               conf.remove_selectors, conf.retain_images)
@@ -68,13 +75,16 @@ def build_kb(spark: SparkSession, pages: DataFrame, assets: DataFrame, conf: Job
     for t in transforms or []:
         rows = rows.transform(t)
     ST.write_objects(out["objects"], os.path.join(root, "objects"))
-    ins = ST.insert_metadata(rows, os.path.join(root, "metadata"), job_ids=[job])
-    out["quarantine"].write.mode("append").partitionBy("job_id").parquet(os.path.join(root, "quarantine"))
+    ins = ST.insert_metadata(rows, os.path.join(root, "metadata"), [job], out["duplicates"])
+    quarantine = out["quarantine"].unionByName(EL.parse_failures(reached, job))
+    ST.write_quarantine(quarantine, os.path.join(root, "quarantine"))
+    ST.write_rejects(ins["rejects"], os.path.join(root, "rejects"))
     return {
         "job_id": job,
         "crawled": crawled,
         "inserted": ins["inserted"],
         "rejects": ins["rejects"],
+        "quarantine": quarantine,
         "metadata": TB.read_metadata(spark, os.path.join(root, "metadata")),
         "objects": TB.read_objects(spark, os.path.join(root, "objects"), job_id=job),
     }

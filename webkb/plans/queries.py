@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webkb.plans import oracle_sql as O
-from webkb.session import tune
 from webkb.sources import fixtures as FX
 
 JOB_TS = "2024-01-02 03:04:05"
@@ -23,16 +22,10 @@ ORACLES: dict[str, str] = {}
 
 def register(key: str, oracle: str | None = None):
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
-            return fn(spark, sf_dir)
-
-        run.__name__ = key
-        run.__doc__ = fn.__doc__
-        QUERIES[key] = run
+        QUERIES[key] = fn
         if oracle is not None:
             ORACLES[key] = oracle
-        return run
+        return fn
 
     return deco
 
@@ -135,13 +128,13 @@ def _crawl_sql(max_depth: int) -> str:
     from reach c join keys k on k.url_key = c.u"""
 
 
-def _crawl(spark, sf_dir, max_depth, follow=True):
+def _crawl(spark, sf_dir, max_depth, follow=True, cap=None):
     fxp = FX.fx(spark, sf_dir)
     store = TB.page_store(fxp)
     first = fxp.groupBy().agg(F.min("page_id").alias("page_id"))
     seed_df = TB.seeds(spark, fxp.join(first, "page_id").select("url"))
     edges = LK.link_edges(LK.parse_pages(store))
-    out = CR.crawl(seed_df, store, edges, max_depth, follow)
+    out = CR.crawl(seed_df, store, edges, max_depth, follow, max_per_host=cap)
     return out.select("url_key", "page_id", "depth", "parent_key")
 
 
@@ -163,6 +156,40 @@ def q_crawl_nofollow(spark, sf_dir):
     return _crawl(spark, sf_dir, 6, follow=False)
 
 
+CRAWL_CAP = 2
+
+
+def _capped_sql(max_depth: int, cap: int) -> str:
+    """The capped crawl level by level: a host's pages so far leave room for
+    ``cap`` in all, taken in order of URL."""
+    keyed = f"""{O.fx_cte()},
+    keys as (select {O.canonical('url')} as url_key, min(page_id) as page_id from fx group by all),
+    fxk as (select * from fx where page_id in (select page_id from keys)),
+    hosts as (select k.url_key, k.page_id, {O.host('fxk.url')} as host from keys k join fxk on fxk.page_id = k.page_id),
+    {_edges_sql('fxk')},
+    pe as (select e.src, e.dst from edges e join keys k on k.url_key = e.dst),
+    v0 as (select h.*, 0 as depth, cast(null as varchar) as parent_key from hosts h
+           where h.url_key = (select {O.canonical('url')} from fx where page_id = (select min(page_id) from fx)))"""
+    for d in range(1, max_depth + 1):
+        keyed += f""",
+    c{d} as (select pe.dst, min(pe.src) as parent_key from pe join v{d - 1} v on v.url_key = pe.src and v.depth = {d - 1}
+             where pe.dst not in (select url_key from v{d - 1}) group by pe.dst),
+    r{d} as (select h.*, c.parent_key, row_number() over (partition by h.host order by h.url_key) as rn
+             from c{d} c join hosts h on h.url_key = c.dst),
+    v{d} as (select * from v{d - 1} union all
+             select r.url_key, r.page_id, r.host, {d}, r.parent_key from r{d} r
+             left join (select host, count(*) as n from v{d - 1} group by host) t on t.host = r.host
+             where r.rn + coalesce(t.n, 0) <= {cap})"""
+    return f"with {keyed} select url_key, page_id, cast(depth as integer) as depth, parent_key from v{max_depth}"
+
+
+@register("crawl_capped", _capped_sql(6, CRAWL_CAP))
+def q_crawl_capped(spark, sf_dir):
+    """BFS to depth 6 with at most 2 pages per host: a page beyond its host's cap is not
+    fetched, hence not expanded (W03)."""
+    return _crawl(spark, sf_dir, 6, cap=CRAWL_CAP)
+
+
 @register(
     "canonical_urls",
     f"""select page_id, url, {O.canonical('url')} as url_key, {O.host('url')} as host,
@@ -269,21 +296,28 @@ def _fx_inputs(spark, sf_dir, with_checksum=False):
     them."""
     pages = FX.fx(spark, sf_dir)
     els = checkpoint(EL.elements(pages, JOB, with_checksum=with_checksum))
-    return pages, els, checkpoint(AS.fx_assets(els))
+    return pages, els, checkpoint(FX.fx_assets(els))
 
 
 @register(
     "asset_status",
-    f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()}, {O.rows_cte()}
+    f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()}, {O.rows_cte('true')}
     select r.element_id, r.url, r.type, r.status, r.checksum, r.raw_content_path, r.processed_content_path,
       case when r.status = 200 and r.type = 'Image' then coalesce(a.content_type, 'image/jpeg')
            when r.status = 200 then 'application/pdf' end as content_type
     from rows r left join assets a on a.url = r.url where r.type <> 'URL'""",
 )
 def q_asset_status(spark, sf_dir):
-    """PDF/Image elements joined with their responses, status 200 gating."""
+    """PDF/Image elements joined with their responses, read from a stored asset table in which
+    fetched URLs also have a failed and a repeated response; status 200 gates
+    (S03, J05, F03, E11, K03)."""
     _, els, assets = _fx_inputs(spark, sf_dir)
-    r = AS.attach_assets(els, assets)
+    path = scratch_path(spark, "assets")
+    failed = assets.filter("status = 200").select(
+        "url", F.lit(500).alias("status"), F.lit("text/plain").alias("content_type"),
+        F.encode(F.lit("error"), "UTF-8").alias("content"))
+    assets.unionByName(failed).unionByName(assets).write.parquet(path)
+    r = AS.attach_assets(els, TB.asset_store(spark, path))
     return r.select("element_id", "url", "type", "status", "checksum", "raw_content_path",
                     "processed_content_path", "content_type")
 
@@ -295,7 +329,7 @@ def _processed_fx(spark, sf_dir):
     # elements are parsed once: the checkpointed rows feed both the asset
     # fixture and the content step
     pages, els, assets = _fx_inputs(spark, sf_dir, with_checksum=True)
-    return AS.process_elements(els, pages, assets, JOB, materialized=True)
+    return AS.process_elements(els, pages, assets, JOB, extractor_factory=FX.fx_extractor, materialized=True)
 
 
 @register(
@@ -318,9 +352,13 @@ def q_metadata_first_writer(spark, sf_dir):
 )
 def q_pk_conflicts(spark, sf_dir):
     """Rows that lose the primary-key race, with a reason."""
-    rows = _processed_fx(spark, sf_dir)["rows"]
-    _, losers = ST.first_writer(rows)
-    return losers.select("element_id", F.col("url").alias("URL"), "type", "parent_id", "page_id", "pos",
+    out = _processed_fx(spark, sf_dir)
+    cols = ["element_id", "url", "type", "parent_id", "parent_url", "depth", "page_id", "pos"]
+    failed = out["quarantine"].select("element_id", "type").distinct()
+    again = out["duplicates"].join(failed, ["element_id", "type"], "left_anti").select(*cols)
+    # the first of a type may still come after the first of another type
+    _, losers = ST.first_writer(out["rows"].select(*cols))
+    return again.unionByName(losers).select("element_id", F.col("url").alias("URL"), "type", "parent_id", "page_id", "pos",
                          F.lit("duplicate element_id in batch").alias("reason"))
 
 
@@ -375,28 +413,145 @@ def q_metadata_validate(spark, sf_dir):
     return v.select("element_id", "type", "reason")
 
 
+@register(
+    "quarantine_rows",
+    f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()}
+    select distinct e.element_id, e.url, e.type, 'processed' as stage, 'ValueError: not a PDF file' as reason,
+      e.job_id from els e left join assets a on e.type <> 'URL' and a.url = e.url where {O.FAILED_PDF}""",
+)
+def q_quarantine_rows(spark, sf_dir):
+    """PDFs whose conversion fails: no metadata row, a quarantine row with the reason."""
+    return _processed_fx(spark, sf_dir)["quarantine"].select("element_id", "url", "type", "stage", "reason", "job_id")
+
+
+FAULTS = ["URL is null", "type not in URL/PDF/Image", "element_id malformed", "checksum malformed",
+          "element_id is null", "checksum is null"]
+
+
+@register(
+    "metadata_invalid",
+    f"""with p as (select page_id, url, concat(sha256(url), '_', '{JOB}') as eid, page_id % 8 as f from pages),
+    r as (select page_id,
+            case when f = 4 then null when f = 2 then substr(eid, 2) else eid end as element_id,
+            case when f <> 0 then url end as "URL", case when f = 1 then 'Video' else 'URL' end as type,
+            case f when 0 then '{FAULTS[0]}' when 1 then '{FAULTS[1]}' when 2 then '{FAULTS[2]}' when 3 then '{FAULTS[3]}'
+                   when 4 then '{FAULTS[4]}' end as reason from p),
+    n as (select *, row_number() over (partition by element_id, reason is null order by page_id) as rn from r)
+    select element_id, "URL", type,
+      case when reason is null and rn > 1 then 'duplicate element_id in batch' else reason end as reason,
+      reason is null and rn = 1 as stored from n""",
+)
+def q_metadata_invalid(spark, sf_dir):
+    """One insert of all pages of which five in eight break a check: broken and duplicate rows are
+    rejects with a reason, the others are what the table holds; a NULL key never gets in; inserting
+    again adds nothing (F13, K08, X01)."""
+    p = TB.read_table(spark, sf_dir, "pages")
+    fault = F.col("page_id") % 8
+    eid = PA.element_id("url", F.lit(JOB))
+    rows = p.select(
+        F.when(fault == 4, F.lit(None).cast("string")).when(fault == 2, F.substring(eid, 2, 1000)).otherwise(eid)
+        .alias("element_id"),
+        F.when(fault != 0, F.col("url")).alias("url"), F.when(fault == 1, "Video").otherwise("URL").alias("type"),
+        F.lit(None).cast("string").alias("parent_url"), F.lit(None).cast("string").alias("parent_id"),
+        F.lit(0).alias("depth"), F.lit(0).alias("pos"), "page_id", F.lit(JOB).alias("job_id"),
+        F.when(fault == 3, F.lit("xyz")).otherwise(PA.checksum("html")).alias("checksum"),
+        F.lit("raw").alias("raw_content_path"), F.lit("md").alias("processed_content_path"))
+    root = scratch_path(spark, "invalid")
+    rejects = ST.insert_metadata(rows, root)["rejects"]
+    ST.insert_metadata(rows, root)
+    cols = ["element_id", "URL", "type"]
+    return TB.read_metadata(spark, root).select(*cols, F.lit(None).cast("string").alias("reason"),
+                                                F.lit(True).alias("stored")).unionByName(
+        rejects.select(*cols, "reason", F.lit(False).alias("stored")))
+
+
 @register(
     "object_manifest",
     f"""with {O.fx_cte()}, {O.elements_cte()}, {O.assets_cte()},
+    t as (select distinct url, type from els where type <> 'URL'),
+    page as (select concat(sha256(url), '_', '{JOB}') as id, html from fx
+             where page_id in (select max(page_id) from fx group by url)),  -- last writer per object key
+    file as (select concat(sha256(a.url), '_', '{JOB}') as id, a.*, t.type from assets a join t on t.url = a.url
+             where a.status = 200),
     objs as (
-      select concat('{JOB}/raw/', concat(sha256(url), '_', '{JOB}'), '.html') as path, encode(html) as content,
-             'text/html' as content_type from fx
-      where page_id in (select max(page_id) from fx group by url)  -- last writer per object key
+      select 'raw' as stage, concat('{JOB}/raw/', id, '.html') as path, encode(html) as content,
+             'text/html' as content_type from page
+      union all
+      select 'processed', concat('{JOB}/processed/', id, '.md'), null, 'text/markdown' from page
       union all
-      select distinct {O.raw_path_sql("'" + JOB + "'", "concat(sha256(a.url), '_', '" + JOB + "')", 't.type')},
-             a.content, case when t.type = 'PDF' then 'application/pdf' else coalesce(a.content_type, 'image/jpeg') end
-      from assets a join (select distinct url, type from els where type <> 'URL') t on t.url = a.url
-      where a.status = 200)
-    select path, sha256(content) as checksum, content_type, octet_length(content) as size from objs""",
+      select 'raw', {O.raw_path_sql("'" + JOB + "'", 'id', 'type')}, content,
+             case when type = 'PDF' then 'application/pdf' else coalesce(content_type, 'image/jpeg') end from file
+      union all
+      select 'processed', concat('{JOB}/processed/', id, '.md'), encode(url), 'text/markdown' from file
+      where type = 'PDF' and not {FX.BROKEN_ASSET})
+    select stage, path, sha256(content) as checksum, content_type, octet_length(content) as size from objs""",
 )
 def q_object_manifest(spark, sf_dir):
-    """Write raw and processed objects partitioned by job and stage, read the raw ones back with
-    partition pruning, and list path, checksum, type and size (K01-K05, K07, S05)."""
+    """Write raw and processed objects partitioned by job and stage, read both back with partition
+    pruning, and list path, checksum, type and size; the Markdown of pages is listed without its
+    digest, which SQL has no second path to (K01-K05, K07, S05)."""
     out = _processed_fx(spark, sf_dir)
     root = scratch_path(spark, "objects")
     ST.write_objects(out["objects"], root)
-    back = TB.read_objects(spark, root, job_id=JOB, stage="raw")
-    return ST.manifest(back).select("path", "checksum", "content_type", "size")
+    raw, done = (ST.manifest(TB.read_objects(spark, root, job_id=JOB, stage=s)).withColumn("stage", F.lit(s))
+                 for s in ("raw", "processed"))
+    pages = TB.read_objects(spark, root, job_id=JOB, stage="raw").filter("content_type = 'text/html'").select(
+        F.replace(F.replace("path", F.lit("/raw/"), F.lit("/processed/")), F.lit(".html"), F.lit(".md")).alias("path"),
+        F.lit(True).alias("of_page"))
+    done = done.join(pages, "path", "left")
+    hidden = F.col("of_page").isNull()
+    done = done.withColumn("checksum", F.when(hidden, F.col("checksum"))).withColumn("size", F.when(hidden, F.col("size")))
+    cols = ["stage", "path", "checksum", "content_type", "size"]
+    return raw.select(*cols).unionByName(done.select(*cols))
+
+
+@register(
+    "objects_rerun",
+    f"""with o as (
+      select concat('{JOB}/raw/', sha256(url), '_{JOB}.html') as path, page_id, 0 as version, encode(html) as content
+      from pages
+      union all
+      select concat('{JOB}/raw/', sha256(url), '_{JOB}.html'), page_id, 1, encode(concat(html, '<!-- again -->')) from pages
+      where length(html) % 2 = 0),
+    n as (select *, row_number() over (partition by path order by version desc, page_id desc) as rn from o)
+    select path, sha256(content) as checksum, octet_length(content) as size from n where rn = 1""",
+)
+def q_objects_rerun(spark, sf_dir):
+    """The raw pages written by one run, and the pages of even length again with other content by
+    a second: one row per path, the newest content (W02, K01)."""
+    p = TB.read_table(spark, sf_dir, "pages").withColumn("element_id", PA.element_id("url", F.lit(JOB)))
+    root = scratch_path(spark, "rerun")
+
+    def write(pages, html):
+        content = F.encode(html, "UTF-8")
+        ST.write_objects(pages.select(
+            PA.raw_path(F.lit(JOB), "element_id", F.lit("URL")).alias("path"), "element_id", content.alias("content"),
+            F.lit("text/html").alias("content_type"), PA.checksum(content).alias("checksum"),
+            F.col("page_id").alias("order_key"), F.lit(JOB).alias("job_id"), F.lit("raw").alias("stage")), root)
+
+    write(p, F.col("html"))
+    write(p.filter(F.length("html") % 2 == 0), F.concat("html", F.lit("<!-- again -->")))
+    return ST.manifest(TB.read_objects(spark, root, JOB)).select("path", "checksum", "size")
+
+
+@register(
+    "objects_exported",
+    f"""select concat('{JOB}/raw/', sha256(url), '_{JOB}.html') as path, octet_length(encode(html)) as size from pages
+    where page_id in (select max(page_id) from pages group by url)""",
+)
+def q_objects_exported(spark, sf_dir):
+    """One file per raw page object under a URI of the shared folder, listed by reading the files
+    back (K10)."""
+    p = TB.read_table(spark, sf_dir, "pages").select("page_id", "html", PA.element_id("url", F.lit(JOB)).alias("id"))
+    last = p.groupBy("id").agg(F.max_by(F.encode("html", "UTF-8"), "page_id").alias("content"))
+    root = scratch_path(spark, "export")
+    root = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    ST.export_objects(last.select(PA.raw_path(F.lit(JOB), "id", F.lit("URL")).alias("path"), "content"),
+                      root.replace("file:/", "file:///", 1) if not root.startswith("file://") and root.startswith("file:/")
+                      else root)
+    files = TB.asset_store(spark, f"{root}/{JOB}/raw", "binaryFile")
+    return files.select(F.concat(F.lit(f"{JOB}/raw/"), F.substring_index("url", "/", -1)).alias("path"),
+                        F.length("content").cast("long").alias("size"))
 
 
 def _meta_fx(spark, sf_dir):
@@ -444,6 +599,7 @@ def q_job_summary(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Step 5: fetch log
 # ---------------------------------------------------------------------------
+from webkb.conf import JobConf  # noqa: E402
 from webkb.operators import fetchlog as FL  # noqa: E402
 
 DOMAIN_CAP_N = 5
@@ -481,26 +637,51 @@ def q_robots_allowed(spark, sf_dir):
     from g join n on n.url = g.url and n.day = g.day and n.attempt = coalesce(g.first_ok, g.last_n)""",
 )
 def q_retry_fold(spark, sf_dir):
-    """Retry outcome per (url, day): 1 + 3 attempts, first non-retryable status wins."""
-    return FL.fold_retries(FX.fx_attempts(spark, sf_dir))
+    """Retry outcome per (url, day) over a stored fetch log: 1 + 3 attempts, first non-retryable
+    status wins (S04, A03, W04, F08)."""
+    path = scratch_path(spark, "fetch-log")
+    FX.fx_attempts(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
+    return FL.fold_retries(TB.fetch_log(spark, path))
 
 
 @register(
     "cache_asof",
     f"""with a as ({O.duck_fx_attempts()}),
-    k as (select attempt_id, url, ts from a where status = 200),
-    q as (select attempt_id, url, ts from a where status = 404)
+    k as (select url, ts, max(attempt_id) as attempt_id from a
+          where status not in (503, 504, 505, 500, 400, 401, 402, 403, 404) group by url, ts)
     select q.attempt_id, q.url, q.ts, k.attempt_id as cached_attempt_id, k.ts as cached_ts,
            epoch_us(q.ts) - epoch_us(k.ts) as age_us,
            coalesce(epoch_us(q.ts) - epoch_us(k.ts) <= 86400000000, false) as fresh
-    from q asof left join k on q.url = k.url and q.ts >= k.ts""",
+    from a q asof left join k on q.url = k.url and q.ts >= k.ts""",
 )
 def q_cache_asof(spark, sf_dir):
-    """Latest cached 200 response at or before each 404 request, and its freshness."""
-    a = FX.fx_attempts(spark, sf_dir)
-    cache = a.filter(FL.is_cacheable("status") & (F.col("status") == 200))
-    req = a.filter(F.col("status") == 404)
-    return FL.cache_lookup(req, cache)
+    """Latest cacheable response at or before every attempt of the log, and its freshness: 429 may
+    be cached, 404 and 503 may not (J04, F09)."""
+    a = checkpoint(FX.fx_attempts(spark, sf_dir))
+    return FL.cache_lookup(a, a.filter(FL.is_cacheable("status")))
+
+
+@register(
+    "robots_agent",
+    f"""with robots as (select *, '*' as grp from ({O.duck_fx_robots()}) t union all
+      select distinct {O.host('url')}, 'KbBot', 'disallow', '/fr/', 'own' from pages where length({O.host('url')}) % 4 = 0),
+    g as (select host, max(grp = 'own') as own from robots group by host),
+    rules as (select r.* from robots r join g on g.host = r.host where (r.grp = 'own') = g.own),
+    u as (select page_id, url, {O.host('url')} as host,
+      regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) as rest from pages),
+    m as (select u.page_id, max(length(r.path) * 2 + case when r.directive = 'allow' then 1 else 0 end) as best
+          from u join rules r on r.host = u.host
+           and starts_with(case when starts_with(u.rest, '/') then u.rest else concat('/', u.rest) end, r.path)
+          group by u.page_id)
+    select u.page_id, u.url, coalesce(m.best % 2 = 1, true) as allowed from u left join m on m.page_id = u.page_id""",
+)
+def q_robots_agent(spark, sf_dir):
+    """Robots exclusion for the job's own agent: a host's own group replaces its * group."""
+    pages = TB.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    own = pages.select(U.host("url").alias("host")).distinct().filter(F.length("host") % 4 == 0).select(
+        "host", F.lit("KbBot").alias("agent"), F.lit("disallow").alias("directive"), F.lit("/fr/").alias("path"))
+    rules = FX.fx_robots(spark, sf_dir).unionByName(own)
+    return FL.robots_filter(pages, rules, JobConf(user_agent="KbBot").user_agent).select("page_id", "url", "allowed")
 
 
 @register(
@@ -537,7 +718,8 @@ def q_markdown_profile(spark, sf_dir):
     """HTML to Markdown of every fx page with footer/header removed and images dropped:
     heading, list-item and link counts, and no footer, script or image text (C01-C03)."""
     pages = FX.fx(spark, sf_dir)
-    md = pages.select("page_id", "html", markdown_udf(("footer", "header"), False)("url", "html").alias("md"))
+    md = pages.select("page_id", "html", markdown_udf(("footer", "header"), False)("url", "html").alias("d")).select(
+        "page_id", "html", F.col("d.markdown").alias("md"))
     lines = F.split("md", "\n")
     footer = F.regexp_extract("html", "&middot; ([^<]*)</footer>", 1)
     return md.select(
@@ -552,29 +734,62 @@ def q_markdown_profile(spark, sf_dir):
     )
 
 
+GIVEN = "doc_id % 3 = 0"  # documents whose blocks were computed before
+
+
+def _pdf_results(spark, sf_dir):
+    """Every document's whole text as a file, through the caller's extractor, but for those whose
+    blocks are given as JSON (one block with the text)."""
+    files = FX.fx_pdf_files(spark, sf_dir).withColumn("key", F.col("doc_id").cast("string"))
+    docs = TB.read_table(spark, sf_dir, "documents")
+    block = F.array(F.struct(F.lit("text").alias("type"), F.col("text"), F.lit(2).alias("page_idx")))
+    given = docs.filter(GIVEN).select(F.col("doc_id").cast("string").alias("key"), F.to_json(block).alias("model_json"))
+    return AS.pdf_to_markdown(files, "auto", FX.fx_extractor, given)
+
+
+_PDF_CTE = f"""lines as (select doc_id, case when {GIVEN} then [text] when text = '' then [] else string_split(text, chr(10))
+             end as ls, ({FX.BROKEN_DOC}) and not ({GIVEN}) as broken, {GIVEN} as given from documents)"""
+
+
 @register(
     "pdf_roundtrip",
-    f"""select doc_id, body as text, cast(null as varchar) as error from ({O.duck_fx_pdfs()}) t""",
+    f"""with {_PDF_CTE}
+    select doc_id, case when not broken then array_to_string(list_filter(ls, lambda l: l <> ''), chr(10) || chr(10)) end
+      as text, case when broken then 'ValueError: not a PDF file' end as error from lines""",
 )
 def q_pdf_roundtrip(spark, sf_dir):
-    """Every document wrapped into PDF bytes and read back to Markdown."""
-    files = FX.fx_pdf_files(spark, sf_dir)
-    out = AS.pdf_to_markdown(files.select(F.col("doc_id").cast("string").alias("key"), "content"), "auto")
+    """Markdown of every document's file by the extractor, or from blocks given as JSON; broken files
+    are rows with an error (H04, F12, C06, C08, E14)."""
+    out = _pdf_results(spark, sf_dir)
     return out.select(F.col("key").cast("long").alias("doc_id"), F.col("markdown").alias("text"), "error")
 
 
 @register(
     "pdf_classify",
-    f"""select doc_id, true as has_text_layer, 1 as n_pages, cast(null as varchar) as error
-    from ({O.duck_fx_pdfs()}) t""",
+    f"""with {_PDF_CTE}
+    select doc_id, case when not broken then len(list_filter(ls, lambda l: trim(l) <> '')) > 0 end as has_text_layer,
+      cast(case when broken then null when given then 3 else (len(ls) + {FX.LINES_PER_PAGE - 1}) // {FX.LINES_PER_PAGE} end
+           as integer) as n_pages, case when broken then 'ValueError: not a PDF file' end as error from lines""",
 )
 def q_pdf_classify(spark, sf_dir):
-    """Text layer present versus scanned, and page count, per PDF."""
-    files = FX.fx_pdf_files(spark, sf_dir)
-    out = AS.classify_pdfs(files.select(F.col("doc_id").cast("string").alias("key"), "content"))
+    """Text layer present versus scanned, and page count, per file."""
+    out = AS.classify_pdfs(_pdf_results(spark, sf_dir))
     return out.select(F.col("key").cast("long").alias("doc_id"), "has_text_layer", "n_pages", "error")
 
 
+@register(
+    "pdf_blocks",
+    f"""with {_PDF_CTE}
+    select doc_id, cast(i - 1 as integer) as idx, ls[i] as text,
+      cast(case when given then 2 else (i - 1) // {FX.LINES_PER_PAGE} end as integer) as page_idx
+    from (select *, unnest(range(1, len(ls) + 1)) as i from lines where not broken) t""",
+)
+def q_pdf_blocks(spark, sf_dir):
+    """Block list of every file, extracted or given."""
+    out = AS.pdf_blocks(_pdf_results(spark, sf_dir))
+    return out.select(F.col("key").cast("long").alias("doc_id"), "idx", "text", "page_idx")
+
+
 # ---------------------------------------------------------------------------
 # Step 7: search
 # ---------------------------------------------------------------------------
@@ -637,7 +852,6 @@ def q_kb_search_site(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Steps 8 and 9: streaming ingest, whole job
 # ---------------------------------------------------------------------------
-from webkb.conf import JobConf  # noqa: E402
 from webkb.plans.pipeline import build_kb  # noqa: E402
 from webkb.streaming import ingest as SI  # noqa: E402
 
@@ -649,12 +863,49 @@ def q_stream_ingest(spark, sf_dir):
     static = TB.read_table(spark, sf_dir, "pages").select("page_id", "url")
     n_pages = static.count()
     _, _, assets = _fx_inputs(spark, sf_dir)
-    meta_root, obj_root = scratch_path(spark, "stream-meta"), scratch_path(spark, "stream-objects")
+    root = scratch_path(spark, "stream")
     stream = SI.read_page_stream(spark, sf_dir, glob="pages.parquet")
-    t = SI.neighbour_links(static, n_pages)
-    q = SI.stream_ingest(stream, assets, JOB, meta_root, obj_root, scratch_path(spark, "stream-ckpt"), t)
+    t = FX.neighbour_links(static, n_pages)
+    q = SI.stream_ingest(stream, assets, JOB, root, scratch_path(spark, "stream-ckpt"), t,
+                         extractor_factory=FX.fx_extractor)
     q.awaitTermination()  # replays adding nothing is a test (tests/test_operators.py)
-    return TB.read_metadata(spark, meta_root)
+    return TB.read_metadata(spark, f"{root}/metadata")
+
+
+@register(
+    "stream_two_batches",
+    f"""with {O.metadata_sql()},
+    page as (select concat(sha256(url), '_', '{JOB}') as id, html from fx
+             where page_id in (select max(page_id) from fx group by url)),
+    again as (select element_id, 'element_id already stored' as reason from meta)
+    select 'metadata' as kind, element_id as key, checksum as value from meta
+    union all select 'object', concat('{JOB}/raw/', id, '.html'), sha256(encode(concat(html, '<!-- again -->'))) from page
+    union all select distinct 'quarantine', e.element_id, 'ValueError: not a PDF file'
+      from els e left join assets a on e.type <> 'URL' and a.url = e.url where {O.FAILED_PDF}
+    union all select 'reject', element_id, reason from again""",
+)
+def q_stream_two_batches(spark, sf_dir):
+    """Two landed files, two micro-batches, the second with every page again and other content:
+    metadata keeps the first writer, page objects the last, refused rows and broken PDFs are listed
+    once (T01, T02, W01, W02, K09)."""
+    pages, _, assets = _fx_inputs(spark, sf_dir)
+    pages = checkpoint(pages)
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    pages.coalesce(1).write.parquet(landing)
+    pages.withColumn("html", F.concat("html", F.lit("<!-- again -->"))).coalesce(1).write.mode("append").parquet(landing)
+    stream = SI.read_page_stream(spark, landing, max_files_per_trigger=1)
+    SI.stream_ingest(stream, assets, JOB, root, scratch_path(spark, "stream-ckpt"),
+                     extractor_factory=FX.fx_extractor).awaitTermination()
+    kind = lambda df, name, key, value: df.select(
+        F.lit(name).alias("kind"), F.col(key).alias("key"), F.col(value).alias("value"))
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    objects = ST.manifest(TB.read_objects(spark, f"{root}/objects", JOB, "raw").filter("content_type = 'text/html'"))
+    stored = read("rejects").filter("reason = 'element_id already stored'")
+    return (kind(TB.read_metadata(spark, f"{root}/metadata"), "metadata", "element_id", "checksum")
+            .unionByName(kind(objects, "object", "path", "checksum"))
+            .unionByName(kind(read("quarantine").select("element_id", "reason").distinct(), "quarantine", "element_id",
+                              "reason"))
+            .unionByName(kind(stored.select("element_id", "reason").distinct(), "reject", "element_id", "reason")))
 
 
 def _build_kb_sql(max_depth: int) -> str:
@@ -664,13 +915,57 @@ def _build_kb_sql(max_depth: int) -> str:
     return f"with {O.metadata_sql(prefix=head, src='fxc', depth='depth')} select * from meta"
 
 
+def _kb(spark, sf_dir, **hooks):
+    pages, _, assets = _fx_inputs(spark, sf_dir)
+    first = pages.groupBy().agg(F.min("page_id").alias("page_id"))
+    conf = JobConf(job_ts=JOB_TS, max_depth=6)
+    return build_kb(spark, pages, assets, conf, scratch_path(spark, "kb"),
+                    seeds=pages.join(first, "page_id").select("url"), extractor_factory=FX.fx_extractor, **hooks)
+
+
 @register("build_kb", _build_kb_sql(6))
 def q_build_kb(spark, sf_dir):
     """Whole job from the first fx page: crawl to depth 6, elements with depths, content,
-    objects and metadata; the stored metadata is returned (H01-H03, K10)."""
-    pages, els, assets = _fx_inputs(spark, sf_dir)
-    first = pages.groupBy().agg(F.min("page_id").alias("page_id"))
-    seeds = pages.join(first, "page_id").select("url")
-    conf = JobConf(job_ts=JOB_TS, max_depth=6)
-    out = build_kb(spark, pages, assets, conf, scratch_path(spark, "kb"), seeds=seeds)
-    return out["metadata"]
+    objects and metadata; the stored metadata is returned."""
+    return _kb(spark, sf_dir)["metadata"]
+
+
+def _hooks_sql(max_depth: int) -> str:
+    """As build_kb, over pages reached without links to /es/; every page also yields an element
+    for its print form; images are dropped by the item pipeline."""
+    sql = _build_kb_sql(max_depth)
+    sql = sql.replace("pe as (select e.src, e.dst from edges e join keys k on k.url_key = e.dst)",
+                      "pe as (select e.src, e.dst from edges e join keys k on k.url_key = e.dst "
+                      "where not contains(e.dst, '/es/'))")
+    sql = sql.replace("els as (\n      select concat", """elsx as (select * from els0 union all
+      select page_id, concat(url, '#print.pdf'), 'PDF', url, 0 from fxc),
+    els as (\n      select concat""").replace("from els0 e join", "from elsx e join")
+    # the assets are those of all fx elements, the print forms have no response
+    return sql.replace("select * from meta", "select * from meta").replace(
+        "partition by element_id order by", "partition by element_id, type = 'Image' order by").replace(
+        "from ranked where rn = 1", "from ranked where rn = 1 and type <> 'Image'").replace(
+        "from (select distinct url, type from els where type <> 'URL') d)",
+        "from (select distinct url, type from els where type <> 'URL' and not contains(url, '#print.pdf')) d)")
+
+
+@register("build_kb_hooks", _hooks_sql(6))
+def q_build_kb_hooks(spark, sf_dir):
+    """The whole job with a page callback that adds an element per page, a request hook that keeps
+    links to /es/ from being followed, and an item pipeline that drops images (H01-H03)."""
+    def printed(parsed):
+        return parsed.select("page_id", "depth", F.lit("PDF").alias("type"),
+                             F.concat("url", F.lit("#print.pdf")).alias("url"), F.col("url").alias("parent_url"),
+                             F.lit(0).alias("pos"))
+
+    return _kb(spark, sf_dir, extractors=[printed], edge_filter=~F.col("dst").contains("/es/"),
+               transforms=[lambda rows: rows.filter("type <> 'Image'")])["metadata"]
+
+
+@register("kb_search_built")
+def q_kb_search_built(spark, sf_dir):
+    """BM25 top 10 over what the job stored: the processed Markdown of the built knowledge base."""
+    objects = _kb(spark, sf_dir)["objects"].filter("stage = 'processed'")
+    kb = objects.select("path", F.decode("content", "UTF-8").alias("text"))
+    qs = TB.read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    r = SE.kb_search(kb, qs, SEARCH_K, doc_key="path")
+    return r.select("query_id", "rank", F.col("doc_id").alias("path"), "score")

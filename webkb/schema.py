@@ -23,20 +23,6 @@ METADATA_COLUMNS = [f.name for f in METADATA.fields]
 # Stored metadata adds the partition column job_id.
 METADATA_STORED = T.StructType(METADATA.fields + [T.StructField("job_id", S, False)])
 
-# Element before the content pipeline (one per page / PDF link / image).
-ELEMENT = T.StructType(
-    [
-        T.StructField("element_id", S, False),
-        T.StructField("url", S, False),
-        T.StructField("type", S, False),
-        T.StructField("parent_url", S, True),
-        T.StructField("depth", T.IntegerType(), False),
-        T.StructField("pos", T.IntegerType(), False),
-        T.StructField("page_id", T.LongType(), True),
-        T.StructField("job_id", S, False),
-    ]
-)
-
 # Parsed items of one page: links, areas and images in document order.
 PARSED_ITEM = T.StructType(
     [
@@ -50,15 +36,12 @@ PARSED_ITEM = T.StructType(
 )
 PARSED = T.ArrayType(PARSED_ITEM)
 
-EDGE = T.StructType(
-    [
-        T.StructField("src", S, False),
-        T.StructField("dst", S, False),
-        T.StructField("nofollow", T.BooleanType(), False),
-    ]
-)
+# One parsed page: its items, and why it could not be read to its end.
+PARSED_PAGE = T.StructType([T.StructField("items", PARSED, False), T.StructField("error", S, True)])
 
 # Stored object (raw or processed content), partitioned by job_id, stage.
+# ``version`` counts the writes (runs or micro-batches), ``row`` tells all
+# rows apart: the last writer of a path has the largest (version, order_key).
 OBJECT = T.StructType(
     [
         T.StructField("path", S, False),
@@ -67,6 +50,9 @@ OBJECT = T.StructType(
         T.StructField("content_type", S, True),
         T.StructField("checksum", S, True),
         T.StructField("metadata", T.MapType(S, S), True),
+        T.StructField("order_key", T.LongType(), True),
+        T.StructField("version", T.LongType(), False),
+        T.StructField("row", T.LongType(), False),
         T.StructField("job_id", S, False),
         T.StructField("stage", S, False),
     ]
@@ -97,3 +83,18 @@ PDF_BLOCK = T.StructType(
         T.StructField("page_idx", T.IntegerType(), False),
     ]
 )
+
+# Rows that did not become metadata, with the stage and the reason.
+QUARANTINE = T.StructType(
+    [
+        T.StructField("element_id", S, True),
+        T.StructField("url", S, True),
+        T.StructField("type", S, True),
+        T.StructField("parent_id", S, True),
+        T.StructField("stage", S, False),
+        T.StructField("reason", S, False),
+        T.StructField("job_id", S, False),
+    ]
+)
+REJECT = T.StructType([T.StructField(f.name, f.dataType, True) for f in METADATA.fields]
+                      + [T.StructField("reason", S, False), T.StructField("job_id", S, False)])

@@ -43,15 +43,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def tune(spark: SparkSession) -> None:
-    """Session settings the jobs rely on; applied by every public plan."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # HTML and PDF rows are wide: keep Arrow batches small.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
@@ -90,49 +81,7 @@ def checkpoint(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast hint only when the row count is proven to be at most
-    ``max_rows`` (a bounded count: it stops after ``max_rows + 1`` rows);
-    beyond the bound the plain (shuffle) join is left to the planner."""
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _bytes(v: str) -> int:
-    v = v.strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("b", "kb", "mb", "gb", "tb", "k", "m", "g", "t"):
-        if v.endswith(suffix) and v[: -len(suffix)].strip().isdigit():
-            return int(v[: -len(suffix)]) * units.get(suffix[0], 1)
-    return int(v)
-
-
-def spread_for_python(df):
-    """Round-robin the rows over the cores before a CPU-bound Python step,
-    but only when the scan cannot: fewer input files than cores and too few
-    bytes to be split into one partition per core. At cluster scale the
-    input has far more files/splits than cores and the plan is unchanged."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    cores = sc.defaultParallelism
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - streaming or non-file sources
-        return df
-    if not files or len(files) >= cores:
-        return df
-    jvm = sc._jvm
-    hconf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(hconf).getFileStatus(p).getLen()
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if total >= split * cores:
-        return df
-    return df.repartition(cores)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

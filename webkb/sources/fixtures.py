@@ -4,13 +4,20 @@ Spark and in DuckDB (``{pages}``-style placeholders name the inputs).
 - ``fx``: pages with linked neighbours, PDF links and images injected;
 - ``fx_attempts``: a fetch-attempt log made from ``events``;
 - ``fx_robots``: robots rules per host;
-- ``fx_pdfs``: whole document texts to wrap into PDF bytes;
-- ``fx_assets`` (in ``webkb.operators.assets``): PDF and image responses.
+- ``fx_assets``: PDF and image responses of elements;
+- ``fx_pdf_files``: whole document texts as files for an extractor.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# what the files of these fixtures start with, and where their extractor ends a page
+PDF_HEADER = "%PDF-1.4"
+LINES_PER_PAGE = 40
 
 FX_SQL = """
 select p.page_id, regexp_replace(p.url, '#.*$', '') as url,
@@ -45,43 +52,40 @@ union all select host, '*', 'allow', '/en/5' from h where length(host) % 3 = 0
 union all select host, '*', 'disallow', '/de' from h where length(host) % 5 = 0
 """
 
-FX_PDFS_SQL = """
-select doc_id, trim(regexp_replace(text, '[^A-Za-z0-9 .,]+', ' '{G})) as body from {documents}
-"""
+def sql_text(template: str, dialect: str, **names: str) -> str:
+    """Fill the table placeholders."""
+    return template.format(**names)
 
 
-def sql_text(template: str, dialect: str, **names: str) -> str:
-    """Fill the table placeholders; ``{G}`` is DuckDB's all-matches flag."""
-    g = ", 'g'" if dialect == "duckdb" else ""
-    return template.replace("{G}", g).format(**names)
-
-
-def pdf_bytes_sql(body: str, dialect: str) -> str:
-    """SQL expression: a minimal one-page PDF whose text layer is ``body``
-    (``body`` must be free of parentheses and backslashes)."""
-    nl = "chr(10)"
-    stream = f"concat('BT /F1 12 Tf 72 720 Td (', {body}, ') Tj ET')"
-    text = (
-        "concat('%PDF-1.4', {nl}, "
-        "'1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj', {nl}, "
-        "'2 0 obj << /Type /Pages /Kids [3 0 R] /Count 1 >> endobj', {nl}, "
-        "'3 0 obj << /Type /Page /Parent 2 0 R /MediaBox [0 0 612 792] /Contents 4 0 R "
-        "/Resources << /Font << /F1 5 0 R >> >> >> endobj', {nl}, "
-        "'4 0 obj << /Length ', cast(length({stream}) as string), ' >> stream', {nl}, "
-        "{stream}, {nl}, 'endstream endobj', {nl}, "
-        "'5 0 obj << /Type /Font /Subtype /Type1 /BaseFont /Helvetica >> endobj', {nl}, "
-        "'trailer << /Root 1 0 R >>', {nl}, '%%EOF', {nl})"
-    ).format(nl=nl, stream=stream)
+def pdf_bytes_sql(body: str, dialect: str, broken: str = "false") -> str:
+    """SQL expression: a file that the fixtures' extractor reads as ``body``,
+    or refuses where ``broken`` holds."""
+    text = f"concat(case when {broken} then 'no header' else '{PDF_HEADER}' end, chr(10), {body})"
     return f"encode({text}, 'UTF-8')" if dialect == "spark" else f"encode({text})"
 
 
+def fx_extractor(method: str) -> Callable[[bytes], list[tuple]]:
+    """The fixtures' extractor: a block per line, a page per 40 lines."""
+    def extract(content: bytes) -> list[tuple]:
+        head, found, body = content.decode("utf-8").partition("\n")
+        if head != PDF_HEADER:
+            raise ValueError("not a PDF file")
+        lines = body.split("\n") if body else []
+        return [("text", line, i // LINES_PER_PAGE) for i, line in enumerate(lines)]
+
+    return extract
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt by page id, as a page table of many files would be: the driver's
+    small tables are one file each."""
     pages = _read(spark, sf_dir, "pages")
-    return spark.sql(sql_text(FX_SQL, "spark", pages="{pages}"), pages=pages)
+    made = spark.sql(sql_text(FX_SQL, "spark", pages="{pages}"), pages=pages)
+    return made.repartition(spark.sparkContext.defaultParallelism, "page_id")
 
 
 def fx_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,14 +100,53 @@ def fx_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql_text(FX_ROBOTS_SQL, "spark", pages="{pages}"), pages=pages)
 
 
-def fx_pdfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
-    return spark.sql(sql_text(FX_PDFS_SQL, "spark", documents="{documents}"), documents=docs)
+BROKEN_DOC = "doc_id % 50 = 7"
+BROKEN_ASSET = "length(url) % 11 = 0"
 
 
 def fx_pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, body, content)``: each document wrapped into PDF bytes."""
-    return fx_pdfs(spark, sf_dir).selectExpr("doc_id", "body", f"{pdf_bytes_sql('body', 'spark')} as content")
+    """``(doc_id, content)``: each document's whole text as a file; every
+    fiftieth file is broken."""
+    return _read(spark, sf_dir, "documents").selectExpr(
+        "doc_id", f"{pdf_bytes_sql('text', 'spark', BROKEN_DOC)} as content")
+
+
+def fx_assets(elements: DataFrame) -> DataFrame:
+    """``(url, status, content_type, content)``: 404 when ``length(url) % 7
+    = 0``; no content type when ``length(url) % 3 = 0``; PDFs carry a file
+    whose text is the URL (broken when ``length(url) % 11 = 0``), images the
+    bytes ``asset:<url>``."""
+    d = elements.filter(F.col("type") != "URL").select("url", "type").distinct()
+    return d.select(
+        "url",
+        F.when(F.length("url") % 7 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+        F.when(F.length("url") % 3 == 0, F.lit(None).cast("string"))
+        .when(F.col("type") == "PDF", F.lit("application/pdf"))
+        .otherwise(F.lit("image/png"))
+        .alias("content_type"),
+        F.when(F.col("type") == "PDF", F.expr(pdf_bytes_sql("url", "spark", BROKEN_ASSET)))
+        .otherwise(F.encode(F.concat(F.lit("asset:"), F.col("url")), "UTF-8"))
+        .alias("content"),
+    )
+
+
+def neighbour_links(static_pages: DataFrame, n_pages: int) -> Callable[[DataFrame], DataFrame]:
+    """Stream-static form of ``fx``: each arriving page gets links to two
+    stored neighbour pages, two PDFs and images."""
+    n1 = static_pages.select(F.col("page_id").alias("n1_id"), F.col("url").alias("n1_url"))
+    n2 = static_pages.select(F.col("page_id").alias("n2_id"), F.col("url").alias("n2_url"))
+    # the same literals as FX_SQL
+    body = FX_SQL[FX_SQL.index("regexp_replace(p.url"):FX_SQL.index("\nfrom (select")]
+    body = body.replace("p.", "").replace("n1.url", "n1_url").replace("n2.url", "n2_url")
+    url_sql, _, html_sql = body.partition(" as url,")
+
+    def t(p: DataFrame) -> DataFrame:
+        p = p.withColumn("k1", (F.col("page_id") * 3 + 1) % F.lit(n_pages)).withColumn(
+            "k2", (F.col("page_id") * 7 + 2) % F.lit(n_pages))
+        j = p.join(n1, F.col("k1") == F.col("n1_id")).join(n2, F.col("k2") == F.col("n2_id"))
+        return j.selectExpr("page_id", f"{url_sql} as url", html_sql)
+
+    return t
 
 
 # DuckDB forms (the oracle side), as CTE bodies over the driver views.
@@ -117,7 +160,3 @@ def duck_fx_attempts() -> str:
 
 def duck_fx_robots() -> str:
     return sql_text(FX_ROBOTS_SQL, "duckdb", pages="pages")
-
-
-def duck_fx_pdfs() -> str:
-    return sql_text(FX_PDFS_SQL, "duckdb", documents="documents")

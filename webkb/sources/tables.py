@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webkb.functions.urls import canonical_url
-from webkb.session import bounded_broadcast
 from webkb.schema import ASSET, FETCH, METADATA_STORED, OBJECT
 
 
@@ -41,9 +40,10 @@ def page_store(pages: DataFrame) -> DataFrame:
 
     When several pages share a canonical URL the lowest ``page_id`` is
     kept. Only the narrow ``(page_id, url_key)`` columns are aggregated (a
-    partial ``min``, so one URL stored many times still combines map-side);
-    the losing ids are removed by an anti-join that is a broadcast when
-    their number is proven small, so the HTML does not move."""
+    partial ``min``, so one URL stored many times still combines map-side).
+    Adaptive execution broadcasts the losing ids where their measured size
+    allows it, and the HTML then does not move. A page without a URL is kept
+    under a NULL key, for the parse step to report."""
     keyed = pages.select("page_id", "url", "html").withColumn("url_key", canonical_url("url"))
     keys = keyed.select("page_id", "url_key")
     firsts = keys.groupBy("url_key").agg(F.min("page_id").alias("keep"), F.count(F.lit(1)).alias("n"))
@@ -52,7 +52,7 @@ def page_store(pages: DataFrame) -> DataFrame:
         .filter(F.col("page_id") != F.col("keep"))
         .select("page_id")
     )
-    return keyed.join(bounded_broadcast(losers), "page_id", "left_anti")
+    return keyed.join(losers, "page_id", "left_anti")
 
 
 def asset_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -76,8 +76,9 @@ def fetch_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCH).parquet(path)
 
 
-def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
-    """Stored objects; ``job_id``/``stage`` filters prune partitions."""
+def read_object_rows(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
+    """All stored object rows, overwritten ones included; ``job_id`` and
+    ``stage`` filters prune partitions."""
     df = spark.read.schema(OBJECT).parquet(root).select(*OBJECT.fieldNames())
     if job_id is not None:
         df = df.filter(F.col("job_id") == job_id)
@@ -86,6 +87,20 @@ def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stag
     return df
 
 
+def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
+    """Stored objects, the last writer of each path.
+
+    Writers only append. Which rows were overwritten is decided on the narrow
+    columns, and those rows are taken out by an anti-join: their number is
+    that of the overwrites, so the content of the others stays in place."""
+    df = read_object_rows(spark, root, job_id, stage)
+    order = F.struct("version", F.coalesce("order_key", F.lit(-1)).alias("o"), "checksum", "row")
+    keys = df.select("path", "version", "order_key", "checksum", "row")
+    last = keys.groupBy("path").agg(F.max(order).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    old = keys.join(last, "path").filter(order != F.col("last")).select("path", "version", "row")
+    return df.join(old, ["path", "version", "row"], "left_anti").select(*OBJECT.fieldNames())
+
+
 def read_metadata(spark: SparkSession, root: str, type_: str | None = None, element_id: str | None = None,
                   with_job: bool = False) -> DataFrame:
     """Stored metadata; ``type`` prunes partitions, ``element_id`` is pushed

@@ -1,111 +1,68 @@
 """Incremental ingest with Structured Streaming.
 
 Pages arrive as files in a landing folder; each micro-batch is turned into
-elements, processed, and written through the same keyed sinks as the
-batch job. The metadata insert anti-joins the stored keys, and objects are
-written only for paths not stored yet, so a replayed micro-batch (after a
-driver or executor loss) adds nothing. Progress is tracked by the
+elements, processed, and written through the same keyed sinks as the batch
+job. Metadata keeps the first writer of a key: the insert anti-joins the
+stored keys. Objects keep the last: they are appended under the micro-batch's
+number and readers see the newest of a path. Failures go to the quarantine and
+refused rows to the rejects, both without doubles, so a replayed micro-batch
+(after a driver or executor loss) changes nothing. Progress is tracked by the
 checkpoint in the shared folder.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from webkb.operators import assets as AS
 from webkb.operators import elements as EL
+from webkb.operators import links as LK
 from webkb.operators import store as ST
-from webkb.schema import METADATA_STORED, OBJECT
-from webkb.sources.tables import read_objects
+from webkb.session import checkpoint
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
 
 
 def read_page_stream(spark: SparkSession, folder: str, glob: str | None = None,
-                     max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming scan of page files ``(page_id, url, html)``."""
-    r = spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming scan of page files ``(page_id, url, html)``: all files that
+    have landed make a micro-batch, unless the caller bounds their number."""
+    r = spark.readStream.schema(PAGES_SCHEMA)
+    if max_files_per_trigger is not None:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.parquet(folder)
 
 
-def write_new_objects(objects: DataFrame, root: str, job: str) -> None:
-    """Append objects whose path is not stored yet (replay-safe). Paths
-    start with the job id: only that job's partition is read."""
-    spark = objects.sparkSession
-    if ST._exists(spark, root):
-        stored = spark.read.schema(OBJECT).parquet(root).filter(F.col("job_id") == job).select("path")
-        objects = objects.join(stored, "path", "left_anti")
-    ST.write_objects(objects, root)
-
-
-def ingest_batch(pages: DataFrame, assets: DataFrame, job: str, meta_root: str, objects_root: str,
-                 pdf_method: str = "auto") -> None:
-    """One micro-batch (or one batch job) of pages into the stores."""
-    els = EL.elements(pages, job, with_checksum=True)
-    spark = pages.sparkSession
-    if ST._exists(spark, meta_root):
-        # Keys already stored win anyway (first writer): drop them before any
-        # content work, so a replayed batch costs one parse and one anti-join.
-        stored = (spark.read.schema(METADATA_STORED).parquet(meta_root)
-                  .filter(F.col("job_id") == job).select("element_id"))
-        els = els.join(stored, "element_id", "left_anti")
-        pages = pages.join(els.filter(F.col("type") == "URL").select("page_id"), "page_id", "left_semi")
-    out = AS.process_elements(els, pages, assets, job, pdf_method)
-    write_new_objects(out["objects"], objects_root, job)
-    ST.insert_metadata(out["rows"], meta_root, job_ids=[job])
-
-
-def stream_ingest(pages_stream: DataFrame, assets: DataFrame, job: str, meta_root: str, objects_root: str,
-                  checkpoint_location: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """Start the ingest: ``transform`` runs on the stream before the sink
-    (e.g. a stream-static join), then each micro-batch goes through
-    ``ingest_batch``."""
+def ingest_batch(pages: DataFrame, assets: DataFrame, job: str, root: str, version: int,
+                 pdf_method: str = "auto", extractor_factory: Callable | None = None) -> None:
+    """One micro-batch (or one batch job) of pages into the stores under ``root``."""
+    parsed = checkpoint(LK.parse_pages(pages, (), with_checksum=True))
+    els = checkpoint(EL.elements_from_parsed(parsed, job))
+    out = AS.process_elements(els, pages, assets, job, pdf_method, extractor_factory, materialized=True)
+    ST.write_objects(out["objects"], os.path.join(root, "objects"), version)
+    ins = ST.insert_metadata(out["rows"], os.path.join(root, "metadata"), [job], out["duplicates"])
+    ST.write_quarantine(out["quarantine"].unionByName(EL.parse_failures(parsed, job)), os.path.join(root, "quarantine"))
+    ST.write_rejects(ins["rejects"], os.path.join(root, "rejects"))
+
+
+def stream_ingest(pages_stream: DataFrame, assets: DataFrame, job: str, root: str, checkpoint_location: str,
+                  transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True,
+                  extractor_factory: Callable | None = None) -> StreamingQuery:
+    """Start the ingest into ``root/metadata``, ``root/objects``,
+    ``root/quarantine`` and ``root/rejects``: ``transform`` runs on the stream
+    before the sink (e.g. a stream-static join), then each micro-batch goes
+    through ``ingest_batch``."""
     s = transform(pages_stream) if transform is not None else pages_stream
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, assets, job, meta_root, objects_root)
+        ingest_batch(batch, assets, job, root, batch_id, extractor_factory=extractor_factory)
 
     w = s.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
-
-
-def neighbour_links(static_pages: DataFrame, n_pages: int) -> Callable[[DataFrame], DataFrame]:
-    """Stream-static form of the ``fx`` page derivation: each arriving page
-    gets links to two stored neighbour pages, two PDFs and images."""
-    n1 = static_pages.select(F.col("page_id").alias("n1_id"), F.col("url").alias("n1_url"))
-    n2 = static_pages.select(F.col("page_id").alias("n2_id"), F.col("url").alias("n2_url"))
-
-    def t(p: DataFrame) -> DataFrame:
-        pid = F.col("page_id")
-        p = p.withColumn("k1", (pid * 3 + 1) % F.lit(n_pages)).withColumn("k2", (pid * 7 + 2) % F.lit(n_pages))
-        j = p.join(n1, F.col("k1") == F.col("n1_id")).join(n2, F.col("k2") == F.col("n2_id"))
-        m17 = (pid % 17).cast("string")
-        m10 = (pid % 10).cast("string")
-        inj = F.concat(
-            F.lit('<a href="'), F.col("n1_url"), F.lit('">next</a>'),
-            F.lit('<a href="'), F.col("n2_url"), F.lit('" rel="nofollow">alt</a>'),
-            F.lit('<a href="'), F.col("n1_url"), F.lit('">again</a>'),
-            F.lit('<a href="/files/'), m17, F.lit('.pdf?v=1">doc</a>'),
-            F.lit('<a href="/files/'), m17, F.lit('.pdf#sec">doc</a>'),
-            F.lit('<a href="/BROCHURE.PDF">no</a><a href="/view?f=x.pdf">no</a><a href="mailto:a@b">m</a>'),
-            F.lit('<img src="/img/'), m10, F.lit('.png"><img src=""><img alt="x"></article>'),
-        )
-        return j.select(
-            "page_id",
-            F.regexp_replace("url", "#.*$", "").alias("url"),
-            F.replace(F.col("html"), F.lit("</article>"), inj).alias("html"),
-        )
-
-    return t
-
-
-def read_back(spark: SparkSession, objects_root: str, job: str) -> DataFrame:
-    return read_objects(spark, objects_root, job_id=job)
