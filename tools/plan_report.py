@@ -1,77 +1,46 @@
-"""Physical-plan summary of every registered query (final adaptive plans).
+"""Physical plans that ran: node counts per registered query.
 
-Runs each query at the given sf folder (noop write), then reads the final
-plan and counts the operators that matter at scale. Writes PLANS.md.
-Usage: python tools/plan_report.py [sf_dir]
+``counts`` reads the executed plan of a DataFrame that has been collected, so
+adaptive decisions are in it. ``tools/check_oracle.py`` calls it for every
+query it runs when PLANS=1 is set, and writes PLANS.md.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
 import os
 import re
-import sys
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+COLUMNS = ["shuffles", "broadcasts", "sort-merge joins", "split by skew", "broadcast joins", "Python nodes",
+           "group limits", "partial aggs", "file scans", "scans reading html", "checkpoint scans"]
 
 
-def plan_text(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
+def executed(df) -> str:
+    """The final plan of a collected DataFrame (the initial plan left out)."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    if "AdaptiveSparkPlan" in text and "isFinalPlan=true" not in text:
+        raise ValueError("the DataFrame was not run")
+    return re.sub(r"== Initial Plan ==.*", "", text, flags=re.S)
 
 
-def nodes(p: str, name: str) -> int:
-    return len(re.findall(rf"^\(\d+\) {name}\b", p, re.M))
+def counts(df) -> list[int]:
+    p = executed(df)
+    n = lambda pattern: len(re.findall(pattern, p))
+    scans = re.findall(r"FileScan .*", p)
+    return [n(r"\bExchange (?:hash|range|single|RoundRobin)"), n(r"\bBroadcastExchange\b"), n(r"\bSortMergeJoin\b"),
+            n(r"skew=true"), n(r"\bBroadcastHashJoin\b"), n(r"\b(?:ArrowEvalPython|MapInPandas|MapInArrow|BatchEvalPython)\b"),
+            n(r"\bWindowGroupLimit\b"), n(r"functions=\[partial_"), len(scans),
+            sum("html:string" in s for s in scans), n(r"Scan ExistingRDD")]
 
 
-def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from webkb.session import local_session
-    import __spark_entry__ as E
-
-    spark = local_session(8)
-    rows = []
-    for k, fn in E.queries().items():
-        df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        p = plan_text(df)
-        shuffles = len(re.findall(r"^\(\d+\) Exchange\b", p, re.M))
-        bcast = nodes(p, "BroadcastExchange")
-        smj = nodes(p, "SortMergeJoin")
-        bhj = nodes(p, "BroadcastHashJoin")
-        py = nodes(p, "ArrowEvalPython") + nodes(p, "MapInPandas") + nodes(p, "BatchEvalPython")
-        wgl = nodes(p, "WindowGroupLimit")
-        partial = len(re.findall(r"partial_", p))
-        scans = re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
-        html_read = sum("html:string" in s for s in scans)
-        ckpt = nodes(p, "Scan ExistingRDD") + len(re.findall(r"^\(\d+\) Scan parquet .*checkpoint", p, re.M))
-        rows.append((k, shuffles, bcast, smj, bhj, py, wgl, partial, len(scans), html_read, ckpt))
-        print(k, rows[-1][1:], flush=True)
+def write(rows: list[tuple[str, list[int]]], sf: str) -> None:
     out = ["# PLANS", "",
-           "Final adaptive physical plans of the registered queries at "
-           f"`{os.path.basename(sf_dir)}` (`tools/plan_report.py`). Counts are plan nodes of the last job "
-           "that produces the result; checkpointed inputs (BFS levels, element rows, PDF conversions, "
-           "postings) appear as `Scan ExistingRDD` and their own jobs are not counted.", "",
-           "| query | shuffles | broadcasts | sort-merge joins | broadcast joins | Python nodes | group limits "
-           "| partial aggs | scans | scans reading html | checkpoint scans |",
-           "|---|---|---|---|---|---|---|---|---|---|---|"]
-    for r in rows:
-        out.append("| " + " | ".join(str(x) for x in r) + " |")
-    out += ["", "Reading the table:", "",
-            "- `scans reading html` is non-zero only where the HTML is the input of a Python step or a "
-            "checksum/object write; graph, crawl and metadata plans read narrow columns or checkpoints.",
-            "- Rank filters (`retry_fold`, `domain_cap`, the search top k) show a `WindowGroupLimit`: the "
-            "limit runs before the shuffle as well.",
-            "- First/last writer, link edges, postings and rollups show `partial_` aggregates: hot keys "
-            "combine map-side before their shuffle.",
-            "- Broadcasts come from adaptive execution (runtime sizes) or from `bounded_broadcast` "
-            "(row count proven below a bound first)."]
-    open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w").write(
-        "\n".join(out) + "\n")
-
-
-if __name__ == "__main__":
-    main()
+           f"Node counts of the plans that ran, per registered query at `{sf}` (`PLANS=1 python tools/check_oracle.py`).",
+           "They are read from the collected DataFrame after adaptive execution. Jobs before the last one (BFS levels,",
+           "checkpoints, written tables) are not counted; what they wrote appears as scans.", "",
+           "| query | " + " | ".join(COLUMNS) + " |", "|---" * (len(COLUMNS) + 1) + "|"]
+    out += [f"| {k} | " + " | ".join(map(str, r)) + " |" for k, r in rows]
+    out += ["", "Broadcasts are adaptive execution's, from measured sizes, but for the query weights of the search, which are",
+            "broadcast in slices of a fixed number of rows.", ""]
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with open(os.path.join(root, "PLANS.md"), "w") as f:
+        f.write("\n".join(out))

@@ -119,8 +119,8 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
                 F.col("dst").alias("url_key"), "url", "page_id", "parent_key", F.lit(d).alias("depth")
             )
             visited_table.append(_within_cap(new, visited, max_per_host))
-            if d < max_depth and visited_table.read().filter(F.col("depth") == d).isEmpty():
-                break
+            if not _has_files(spark, f"{visited_table.path}/depth={d}"):
+                break  # an empty level makes no partition
         pe_table.drop(files=True)
     visited_table.drop(files=False)  # the result reads the files
     if not _has_files(spark, visited_table.path):
