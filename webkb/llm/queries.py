@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webkb.llm import (
-    arc, decontam, mixing, order_minhash, quality, simhash, substrings, suffix_tree, token_counts, toxicity)
+    arc, decontam, mixing, oracles, order_minhash, quality, simhash, substrings, suffix_tree, token_counts, toxicity)
 from webkb.llm.common import read
 
 
@@ -72,4 +72,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    return {k: v for k, v in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if v}
+    found = {
+        "op1_decontamination": oracles.DECONTAMINATION,
+        "op5_substring_dedup": oracles.SUBSTRINGS,
+        "op10_arc_to_warc": oracles.ARCHIVES,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {k: v for k, v in found.items() if v}
