@@ -1,0 +1,94 @@
+"""The pipeline's stages against brute force, each on what the one before it kept."""
+
+from collections import defaultdict
+
+import pytest
+import test_decontam as TD
+import test_mixing as TM
+import test_simhash as TS
+import test_substrings as TX
+
+import corpus_pipeline as P
+from webkb.llm import decontam, quality
+
+PATH = "/root/testdata/sf0.001"
+
+
+def leaks(rows, items):
+    """Texts with a verified overlap: brute force on the pairs that share a seed."""
+    known = defaultdict(set)
+    for i, t in items:
+        w = TD.WORDS.findall((t or "").lower())
+        for at in range(len(w) - decontam.SPAN + 1):
+            for m, mask in enumerate(decontam.MASKS):
+                known[(m, tuple(w[at + p] for p in mask))].add((i, t))
+    out = set()
+    for _, t in rows:
+        w = TD.WORDS.findall((t or "").lower())
+        near = {x for at in range(len(w) - decontam.SPAN + 1) for m, mask in enumerate(decontam.MASKS)
+                for x in known.get((m, tuple(w[at + p] for p in mask)), ())}
+        if near and TD.brute([(0, t)], list(near)):
+            out.add(t)
+    return out
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{PATH}/documents.parquet")
+    assert [n for n, _ in P.STAGES] == ["quality classifier", "simhash near-dedup", "substring dedup",
+                                        "benchmark decontamination", "mixing to target weights"]
+    stages = dict(P.STAGES)
+    order = lambda rows: sorted(rows, key=str)
+
+    good = stages["quality classifier"](spark, docs, PATH).cache()
+    scored = quality.score_documents(docs, spark.read.parquet(f"{PATH}/labels.parquet"))
+    kept = {r.doc_id for r in scored.collect() if r.score >= 0.7}
+    assert order(pairs(good)) == order(x for x in pairs(docs) if x[0] in kept) and len(kept) > 100
+
+    once = stages["simhash near-dedup"](spark, good, PATH).cache()
+    firsts = {c for _, _, c in TS.brute(pairs(good))}
+    assert order(pairs(once)) == order(x for x in pairs(good) if x[0] in firsts)
+
+    cut = stages["substring dedup"](spark, once, PATH).cache()
+    rows = pairs(once)
+    want = [(d, t if len(k) == n else " ".join(k)) for (d, t), (_, n, k) in zip(rows, TX.brute(rows)) if k or not n]
+    assert order(pairs(cut)) == order(want)
+
+    clean = stages["benchmark decontamination"](spark, cut, PATH).cache()
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{PATH}/benchmark.parquet").collect()]
+    bad = leaks(pairs(cut), items)
+    assert order(pairs(clean)) == order(x for x in pairs(cut) if x[1] not in bad)
+
+    mix = stages["mixing to target weights"](spark, clean, PATH).collect()
+    by = {r.doc_id: r for r in clean.collect()}
+    sizes, targets = TM.brute_targets([(r.doc_id, r.text, r.source) for r in by.values()])
+    taken = dict.fromkeys(sizes, 0)
+    for r in mix:
+        assert r.text == by[r.doc_id].text and r.repetition in (1, 2)
+        taken[r.source] += TM.size(r.text)
+    assert len({(r.doc_id, r.repetition) for r in mix}) == len(mix)
+    assert sum(abs(taken[s] - targets[s]) for s in sizes) < 0.1 * sum(targets.values())
+    for stage in (good, once, cut, clean):
+        assert stage.columns == docs.columns
+
+    assert order(tuple(r) for r in P.run(spark, PATH).collect()) == order(tuple(r) for r in mix)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, spans string, fp long, row string"
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_edge_rows(spark, empty):
+    rows = [(None, None), (1, ""), (1, ""), (2, " \n"), (3, "one"), (4, "the of and " * 30_000), (4, "the of and " * 30_000),
+            (5, "a plain text, with words. " * 9), (None, "a plain text, with words. " * 9)]
+    docs = spark.createDataFrame([(d, t, None, None if i % 2 else "s", None, 1, "x", 2, "y") for i, (d, t) in enumerate(rows)]
+                                 if not empty else [], SCHEMA)
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, PATH)
+        got = out.collect()
+        extra = ["repetition"] if name == P.STAGES[-1][0] else []
+        assert out.columns == docs.columns + extra and (got or not rows or empty or name == "quality classifier")
+        assert all(tuple(r)[5:9] == (1, "x", 2, "y") for r in got)
