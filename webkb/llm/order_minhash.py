@@ -82,39 +82,48 @@ def printed(signature: str) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def _ranges(docs: DataFrame) -> Column:
-    """Number of the range that ``doc_id`` falls into, rising as the id falls
-    (NULL ids: after the last). Ranges hold about as many documents each, one
-    per shuffle partition; only their bounds come to the driver."""
-    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _ranged(docs: DataFrame, per_partition: int = 4) -> DataFrame:
+    """``docs`` with ``range``, the number of the id range a row falls into,
+    rising as the id falls (NULL ids: after the last), and ``hash`` of its
+    text. Ranges hold about as many documents each, a few per shuffle
+    partition so that they spread evenly; only their bounds come to the driver."""
+    n = per_partition * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = 1 << max(n - 1, 1).bit_length()
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / steps for i in range(1, steps)], 10 * steps)).first()[0] or []
+    bounds = docs.agg(F.percentile_approx("doc_id", [i / steps for i in range(1, steps)], 10 * steps)).first()[0]
+    rows = docs.withColumn("hash", F.xxhash64("text"))
     if not bounds:
-        return F.lit(0)
-    array = F.array(*[F.lit(int(b)) for b in bounds])
+        return rows.withColumn("range", F.lit(0))
+    array = F.from_json(F.lit(str(bounds)), "array<bigint>")  # folded to a constant
     # binary search: how many bounds lie below the id
     below = F.aggregate(F.array(*[F.lit(steps >> i) for i in range(1, steps.bit_length())]), F.lit(0),
                         lambda low, step: F.when(F.get(array, low + step - 1) < F.col("doc_id"), low + step).otherwise(low))
-    return F.when(F.col("doc_id").isNull(), steps).otherwise(steps - 1 - below)
-
-
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next_<column>`` from the next document in descending
-    doc_id (NULL ids last, equal ids by the hash of their text; after the last
-    the first). One shuffle by ranges of ids; the first document of every range
-    is handed to the range before it."""
-    ordered = docs.withColumn("range", _ranges(docs))
-    window = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text"))
-    row = F.struct(*columns)
-    placed = ordered.select("*", F.row_number().over(window).alias("place"), F.lead(row).over(window).alias("after"))
-    ranges = sorted(r[0] for r in ordered.select("range").distinct().collect())
-    if not ranges:
-        ranges = [0]
-    follows = docs.sparkSession.createDataFrame(list(zip(ranges[1:] + ranges[:1], ranges)), "range int, before int")
-    firsts = placed.filter("place = 1").join(F.broadcast(follows), "range").select("before", row.alias("first"))
-    joined = placed.join(firsts, placed.range == firsts.before, "left")
+    return rows.withColumn("range", F.when(F.col("doc_id").isNull(), steps).otherwise(steps - 1 - below))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``signature``, ``next_text`` and
+    ``next_signature`` of the next document in descending doc_id (NULL ids
+    last, equal ids by the hash of their text; after the last the first).
+
+    One shuffle by ranges of ids. The head of each range is found on narrow
+    columns and handed to the range before it: a row per range."""
+    ranged = _ranged(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("id"), "hash")
+    heads = sorted((r["range"], r["h"]["id"], r["h"]["hash"]) for r in
+                   ranged.groupBy("range").agg(F.min(key).alias("h")).collect()) if not docs.isEmpty() else []
+    ranges = [h[0] for h in heads]
+    handed = docs.sparkSession.createDataFrame(
+        [(b, None if i is None else ~i, h) for b, (_, i, h) in zip(ranges[-1:] + ranges[:-1], heads)],
+        "before int, head_id long, head_hash long")
+    found = ranged.join(F.broadcast(handed), F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("hash") == F.col("head_hash")))
+    firsts = signature(found.groupBy("before").agg(F.min("text").alias("text")), "text", "signature").select(
+        "before", F.struct("text", "signature").alias("first"))
+    window = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), "hash", "text")
+    placed = signature(ranged, "text", "signature").withColumn(
+        "after", F.lead(F.struct("text", "signature")).over(window))
     after = F.coalesce("after", "first")
-    return joined.select(*docs.columns, *[after[c].alias(f"next_{c}") for c in columns])
+    return placed.join(firsts, F.col("range") == F.col("before"), "left").select(
+        "doc_id", "text", "signature", after["text"].alias("next_text"), after["signature"].alias("next_signature"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -128,7 +137,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     an empty table gives an empty result; other columns are not read.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = with_next(signature(texts, "text", "signature"), ["text", "signature"])
+    signed = with_next(texts)
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
