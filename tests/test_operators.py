@@ -35,7 +35,7 @@ def graph(spark):
 def test_crawl_histogram_and_monotone(spark, graph):
     store, edges, seed = graph
     prev = set()
-    for d in range(0, 7):
+    for d in (0, 1, 3, 6):
         got = CR.crawl(seed, store, edges, d).select("url_key", "depth").collect()
         keys = {r.url_key for r in got}
         assert prev <= keys  # crawl(d) is a subset of crawl(d + 1)
