@@ -117,3 +117,31 @@ def test_whole_table(spark):
     got = S.score_documents(docs).collect()
     check_base(got, rows)
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
+
+
+def test_joined_values_are_the_tree(spark, monkeypatch):
+    """The sum of the joined n-gram values is the tree's gain, also with few places for hot values."""
+    rows = [r for r in corpus(150) if r[0] is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = docs.filter(~(S.fold(docs.doc_id, 10) == 0))
+    vocabulary = S._vocabulary(train).cache()
+    tree = S.grow(train, vocabulary, sum(r.n for r in vocabulary.collect()), vocabulary.count())
+    want = sorted((d, sum(tree.gains(tree.ids(S.tokens(x)))) / math.log(10)) for d, x in rows)
+    assert any(g > 1 for _, g in want)
+    for slots in (20, 3):
+        monkeypatch.setattr(S, "HOT_SLOTS", slots)
+        got = sorted((r.doc_id, r.score - r.base_score) for r in S.score_documents(docs).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-6)
+
+
+def test_rare_states_stay_in_a_large_corpus(spark):
+    """A context seen 6 times is a state whatever the number of tokens."""
+    rare = "quux corge grault garply"
+    train = [d for d in range(100) if not held(d)]
+    rows = [(d, rare + " end") for d in train[:6]] + [(d, "the " * 10_000) for d in train[6:80]]
+    rows.append((next(d for d in range(100) if held(d)), rare))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in S.score_documents(docs).collect() if r.held_out]
+    assert len(got) == 1 and got[0].train_tokens > 700_000
+    assert got[0].score > got[0].base_score + 9

@@ -1,31 +1,37 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 The tree's root is the smoothed distribution of single tokens. A context (the
-last one, two, ... words) may become a state if it makes up at least
-``context_share`` of the training tokens, and is retained if its next-token
-counts diverge from its parent's distribution by more than the description
-length of what is stored for them. A state stores the next tokens that differ
-significantly (discounted counts) and leaves the rest of its mass to the
-parent's distribution, renormalised; so each state's distribution sums to one.
-A token is scored by the longest suffix of the words before it that is a state.
-
-Levels are counted one after the other: each pass over the training texts
-counts, per task, what follows the contexts found frequent by the pass before,
-and Spark sums the counts. Shares bound what comes to the driver: at most
-``1 / symbol_share`` symbols, ``1 / context_share`` contexts and ``1 /
-pair_share`` stored pairs a level,
-whatever the size of the corpus. Vocabulary and pair counts are exact.
-
-The tree only ever adds to or takes from a token's root probability. Tokens
-outside the bounded symbol set can't be stored anywhere, so their root
-probability is joined in afterwards from the whole vocabulary.
+last one, two, ... words) seen ``least`` times may become a state, and is
+retained if its next-token counts diverge from its parent's distribution by
+more than the description length of what is stored for them. A state stores
+the next tokens that differ significantly (discounted counts) and leaves the
+rest of its mass to the parent's distribution, renormalised; so each state's
+distribution sums to one. A token is scored by the longest suffix of the words
+before it that is a state.
+
+The model is a set of tables that grows with the corpus; no share of it
+bounds what is kept. An n-gram is known by a 64-bit hash, made from those of
+the n-gram without its last word (``ctx``, its context) and without its first
+(``suf``, the same token one level up). Levels are counted one after the
+other; an n-gram is counted if both parts may be in the table before, which a
+bitmap of fixed size tells: a false yes costs a row and changes nothing.
+
+A token's log gain over the root is a sum over the n-grams that end at or
+before it: ``rest`` for each retained context and a correction for each stored
+token. So a text's gain is the sum of one value per n-gram in it, which is a
+join of the texts' n-grams with the table of values. The values that are used
+most are looked up in a table of fixed size before that join, so a hot context
+adds no rows to it.
 """
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
@@ -55,6 +61,8 @@ class Level:
 
 @dataclass
 class Tree:
+    """A model held whole in one process, for small corpora."""
+
     symbols: dict[bytes, int]
     #: log root probability of each symbol
     root: np.ndarray
@@ -109,14 +117,63 @@ class Tree:
         return self.step_gain(level, states, ids, self.parent_gain(level - 1, self.levels[level - 1].parent[states], ids))
 
 
-def _numbered(batch: pa.RecordBatch, tree: Tree) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """All tokens of a batch of texts in one row, their ids, and where each text starts."""
+#: A bitmap has 64 << MAP_WORDS bits, the table of hot values 1 << HOT_SLOTS places.
+MAP_WORDS = 21
+HOT_SLOTS = 20
+
+
+def _mix(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    """What ``F.xxhash64(ctx, suf)`` gives for longs."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = np.full(len(ctx), 42, np.uint64)
+    for part in (ctx, suf):
+        h = h + p5 + np.uint64(8)
+        h ^= turn(part.view(np.uint64) * p2, 31) * p1
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return h.view(np.int64)
+
+
+class _Keys(dict):
+    """64-bit keys of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 20:
+            self.clear()
+        key = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return key
+
+
+def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of a batch of texts in one row: words, their keys, where each
+    text starts, and each token's place in its text."""
     words: list[bytes] = []
     starts = []
     for text in batch.column("text").to_pylist():
         starts.append(len(words))
         words += tokens(text)
-    return words, tree.ids(words), np.array(starts, np.int64)
+    found = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
+    first = np.array(starts, np.int64)
+    return words, found, first, np.arange(len(words)) - np.repeat(first, np.diff(np.append(first, len(words))))
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """One bit for the first bits of each ``key``: at most ``1 << MAP_WORDS`` rows come to the driver."""
+    word = F.shiftrightunsigned("key", 64 - MAP_WORDS).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - MAP_WORDS}) & 63 as int))")
+    got = keys.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << MAP_WORDS, np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    top = keys.view(np.uint64) >> np.uint64(58 - MAP_WORDS)
+    return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) > 0
 
 
 def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
@@ -142,101 +199,134 @@ def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _followers(docs: DataFrame, tree: Tree, level: int, most: int = 1 << 21) -> DataFrame:
-    """Counts ``n`` of tokens after contexts of ``level`` words: ``state, symbol``."""
-    width = len(tree.symbols)
+def _ngrams(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 22) -> DataFrame:
+    """Counts ``ctx, suf, n`` of the n-grams one word longer than those of the
+    last of ``maps`` (bitmaps of the counted n-grams of 1, 2, ... words)."""
+    length = len(maps) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        keys = _Keys()
 
         def full():
-            codes, n = np.unique(np.concatenate(held), return_counts=True)
+            ctx, suf = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            for i in range(0, len(codes), 1 << 18):
-                part = codes[i:i + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(part // width), pa.array(part % width),
-                                                  pa.array(n[i:i + (1 << 18)])], names=["state", "symbol", "n"])
+            _, at, n = np.unique(_mix(ctx, suf), return_index=True, return_counts=True)
+            for i in range(0, len(at), 1 << 18):
+                part = at[i:i + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([pa.array(ctx[part]), pa.array(suf[part]), pa.array(n[i:i + (1 << 18)])],
+                                                 names=["ctx", "suf", "n"])
 
         for batch in slices(batches, "text"):
-            _, ids, _ = _numbered(batch, tree)
-            states = np.zeros(len(ids), np.int64)
-            for k in range(1, level + 1):
-                states = tree.contexts(ids, k, states)
-            ok = (states >= 0) & (ids >= 0)
-            held.append(states[ok] * width + ids[ok])
-            if sum(map(len, held)) > most:
+            _, found, _, place = _numbered(batch, keys)
+            # the places where an n-gram of the table may end, and its key
+            ok, key = _maybe(maps[0], found), found
+            for m in range(2, length + 1):
+                at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= m - 1)) + 1
+                ctx, suf = key[at - 1], key[at]
+                if m < length:
+                    longer = _mix(ctx, suf)
+                    at, longer = (x[_maybe(maps[m - 1], longer)] for x in (at, longer))
+                    ok, key = np.zeros(len(found), bool), np.zeros(len(found), np.int64)
+                    ok[at], key[at] = True, longer
+            held.append((ctx, suf))
+            if sum(len(x) for x, _ in held) > most:
                 yield from full()
         if held:
             yield from full()
 
-    return docs.select("text").mapInArrow(run, "state long, symbol long, n long").groupBy("state", "symbol").agg(
-        F.sum("n").alias("n"))
-
-
-def _settle(tree: Tree, parent: np.ndarray, totals: np.ndarray, rows, total: int, discount: float) -> Level:
-    """Divergence tests of one level. ``rows``: state, symbol, n sorted by code;
-    ``totals``: occurrences of each context."""
-    root = tree.root
-    state, symbol, n = rows
-    level = len(tree.levels) + 1
-    above = tree.parent_gain(level - 1, parent[state], symbol) + root[symbol]
-    own = np.log((n - discount) / totals[state])
-    cost = 0.5 * np.log(max(total, 2))
-    keep = n * (own - above) > cost
-    state, symbol, n, own, above = (x[keep] for x in (state, symbol, n, own, above))
-    sums = lambda x: np.bincount(state, weights=x, minlength=len(totals))
-    stored, covered = sums(np.exp(own)), sums(np.exp(above))
-    rest = np.log(np.maximum(1 - stored, 1e-12)) - np.log(np.maximum(1 - covered, 1e-12))
-    divergence = sums(n * (own - above)) + (totals - sums(n)) * rest
-    retained = divergence > cost * (np.bincount(state, minlength=len(totals)) + 1)
-    rest = np.where(retained, rest, np.nan)
-    keep = retained[state]
-    return Level(parent, rest, (state * len(tree.symbols) + symbol)[keep], (own - root[symbol])[keep])
-
-
-def grow(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, depth: int = 3,
-         context_share: float = 2e-5, pair_share: float = 5e-6, symbol_share: float = 1e-6, discount: float = 0.5) -> Tree:
-    """The tree of the training texts ``docs`` (text)."""
-    least = max(2, int(np.ceil(pair_share * total)))
-    found = vocabulary.filter(F.col("n") >= max(2, int(np.ceil(symbol_share * total)))).orderBy(
-        F.desc("n"), "token").collect()
+    return docs.select("text").mapInArrow(run, "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+
+
+def _words(vocabulary: DataFrame) -> DataFrame:
+    """``key, n`` of the tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _Keys()
+        for batch in batches:
+            found = [keys[word] for word in batch.column("token").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column("n")], names=["key", "n"])
+
+    return vocabulary.select("token", "n").mapInArrow(run, "key long, n long")
+
+
+def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, depth: int = 3, least: int = 2,
+          discount: float = 0.5, parts: tuple[str, ...] = ()) -> list[tuple[DataFrame, DataFrame]]:
+    """Per level of the training texts ``docs`` (text): the counted n-grams
+    ``key, n, p, adj`` (``p``: log probability at this level, ``adj``: NULL if
+    not stored) with ``parts`` of ``ctx, suf``, and the retained contexts
+    ``key, n, rest``."""
+    cost = 0.5 * float(np.log(max(total, 2)))
+    words = _words(vocabulary).filter(F.col("n") >= least)
+    last = cut(words.withColumn("p", F.log((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1)))), "tree-level")
+    maps, levels = [], []
+    for _ in range(depth):
+        maps.append(_bitmap(last))
+        counted = _ngrams(docs, maps).filter(F.col("n") >= least)
+        tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
+                     .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
+        own, above = F.log((F.col("n") - discount) / F.col("total")), F.col("above")
+        kept = F.col("n") * (own - above) > cost
+        rest = F.log(F.greatest(1 - F.col("stored"), F.lit(1e-12))) - F.log(F.greatest(1 - F.col("covered"), F.lit(1e-12)))
+        rests = cut(tested.filter(kept).groupBy("ctx", "total").agg(
+            F.sum(F.exp(own)).alias("stored"), F.sum(F.exp(above)).alias("covered"), F.count("*").alias("tokens"),
+            F.sum("n").alias("n"), F.sum(F.col("n") * (own - above)).alias("gain"))
+            .withColumn("rest", rest)
+            .filter(F.col("gain") + (F.col("total") - F.col("n")) * F.col("rest") > cost * (F.col("tokens") + 1))
+            .select(F.col("ctx").alias("key"), F.col("total").alias("n"), "rest"), "tree-states")
+        p = F.when(F.col("rest").isNull(), above).when(kept, own).otherwise(above + F.col("rest"))
+        last = cut(tested.join(rests.select(F.col("key").alias("ctx"), "rest"), "ctx", "left").select(
+            F.xxhash64("ctx", "suf").alias("key"), "n", p.alias("p"),
+            F.when(kept, own - above - F.col("rest")).alias("adj"), *parts), "tree-level")
+        drop_cut(tested)
+        _release(docs)
+        levels.append((last, rests))
+    return levels
+
+
+def _release(docs: DataFrame) -> None:
+    """Let Spark delete the shuffle files of plans that nothing holds any more."""
+    gc.collect()
+    docs.sparkSession._jvm.System.gc()
+
+
+def _values(levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``key, n, value``: what an n-gram adds to the log gain of a text that holds it."""
+    parts = [part for level, rests in levels for part in (
+        rests.select("key", "n", F.col("rest").alias("value")),
+        level.filter(F.col("adj").isNotNull()).select("key", "n", F.col("adj").alias("value")))]
+    return reduce(DataFrame.unionAll, parts).groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
+
+
+def grow(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, **settings) -> Tree:
+    """The model of the training texts ``docs`` (text) as a tree on the driver: for small corpora."""
+    found = vocabulary.orderBy(F.desc("n"), "token").collect()
     counts = np.array([r["n"] for r in found], float)
-    root = np.log((counts + 0.1) / (total + 0.1 * (distinct + 1)))
-    tree = Tree({bytes(r["token"]): i for i, r in enumerate(found)}, root)
+    tree = Tree({bytes(r["token"]): i for i, r in enumerate(found)}, np.log((counts + 0.1) / (total + 0.1 * (distinct + 1))))
     if not found:
         return tree
-    frequent = max(2, int(np.ceil(context_share * total)))
-    # contexts of one word; the end token is followed by nothing
-    end = tree.symbols.get(END, -1)
-    words = np.flatnonzero(counts >= frequent)
-    words = words[words != end]
-    tree.steps.append((words.astype(np.int64), np.arange(len(words))))
-    parent, totals = np.zeros(len(words), np.int64), counts[words]
-    names = [(int(w),) for w in words]  # most recent word first
-    for level in range(1, depth + 1):
-        if not len(parent):
-            break
-        table = cut(_followers(docs, tree, level).filter(F.col("n") >= least), "tree-counts")
-        got = table.orderBy("state", "symbol").toArrow()
-        drop_cut(table)
-        state, symbol, n = (got.column(c).to_numpy() for c in ("state", "symbol", "n"))
-        tree.levels.append(_settle(tree, parent, totals, (state, symbol, n), total, discount))
-        if level == depth:
-            break
-        # a context and what follows it is a context of the next length, if frequent and its suffix is one
-        number = {name: i for i, name in enumerate(names)}
-        longer = [((int(b), *names[s]), int(c)) for s, b, c in zip(state, symbol, n) if c >= frequent and b != end]
-        longer = sorted((name, c) for name, c in longer if name[:-1] in number)
-        codes = np.array([number[name[:-1]] * len(tree.symbols) + name[-1] for name, _ in longer], np.int64)
-        order = np.argsort(codes)
-        tree.steps.append((codes[order], order))
-        parent = np.array([number[name[:-1]] for name, _ in longer], np.int64)
-        totals = np.array([c for _, c in longer], float)
-        names = [name for name, _ in longer]
+    keys, width = _Keys(), len(found)
+    # of each n-gram by key: its first and last word, and its number as a context
+    first = {keys[word]: i for word, i in tree.symbols.items()}
+    final, states = dict(first), {key: (i, 0) for key, i in first.items()}
+    for level, rests in model(docs, vocabulary, total, distinct, parts=("ctx", "suf"), **settings):
+        order = sorted((parent * width + word, key, parent) for key, (word, parent) in states.items())
+        number = {key: i for i, (_, key, _) in enumerate(order)}
+        tree.steps.append((np.array([code for code, _, _ in order], np.int64), np.arange(len(order))))
+        rest = np.full(len(order), np.nan)
+        for r in rests.collect():
+            rest[number[r["key"]]] = r["rest"]
+        rows = level.collect()
+        stored = sorted((number[r["ctx"]] * width + final[r["suf"]], r["p"]) for r in rows if r["adj"] is not None)
+        codes = np.array([code for code, _ in stored], np.int64)
+        tree.levels.append(Level(np.array([parent for _, _, parent in order], np.int64), rest, codes,
+                                 np.array([own for _, own in stored]) - tree.root[codes % width]))
+        states = {r["key"]: (first[r["ctx"]], number[r["suf"]]) for r in rows if r["suf"] in number}
+        first, final = ({r["key"]: old[r[part]] for r in rows} for old, part in ((first, "ctx"), (final, "suf")))
     return tree
 
 
-def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, **settings) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth: int = 3, **settings) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score`` (log10).
 
@@ -249,35 +339,69 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, **sett
     train = docs.select("doc_id", "text").filter(~held)
     vocabulary = cut(_vocabulary(train), "tree-vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = grow(train, vocabulary, total, distinct, **settings)
+    values = cut(_values(model(train, vocabulary, total, distinct, depth=depth, **settings)), "tree-values")
+    _release(docs)
+    slot = F.shiftrightunsigned("key", 64 - HOT_SLOTS)
+    hot = cut(values.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "key", "value")).alias("top")).select(
+        "slot", "top.key", "top.value"), "tree-hot")
+    got = hot.toArrow()
+    hot_keys, hot_values = np.zeros(1 << HOT_SLOTS, np.int64), np.zeros(1 << HOT_SLOTS)
+    hot_keys[got.column("slot").to_numpy()] = got.column("key").to_numpy()
+    hot_values[got.column("slot").to_numpy()] = got.column("value").to_numpy()
+    others = values.join(hot.select("key"), "key", "left_anti").select("key", "value")
+    known = _bitmap(others)
     norm = np.log10(total + 0.1 * (distinct + 1))
-    base = tree.root / np.log(10)
+    # a fixed number of common tokens is scored in place, all others by the join
+    found = vocabulary.filter(F.col("n") >= max(2, int(np.ceil(1e-6 * total)))).collect()
+    common_base = {bytes(r["token"]): float(np.log10(r["n"] + 0.1) - norm) for r in found}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _Keys()
         for batch in slices(batches, "text", 4 << 20):
-            words, ids, starts = _numbered(batch, tree)
-            rare = ids < 0
-            places = np.flatnonzero(rare)
-            per_text = np.add.reduceat(rare.astype(np.int64), starts)
-            common = np.where(rare, 0.0, base[ids] if len(base) else 0.0)
-            values = pa.array([words[i] for i in places], pa.binary())
-            offsets = pa.array(np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32))
+            words, key, starts, place = _numbered(batch, keys)
+            base = np.fromiter(map(common_base.get, words, repeat(np.nan)), float, len(words))
+            rare = np.isnan(base)
+            per_text = lambda x: np.add.reduceat(x, starts)
+            offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            gain, text = np.zeros(len(words)), np.cumsum(place == 0) - 1
+            far_key, far_text = [], []
+            for m in range(1, depth + 2):
+                at = np.flatnonzero(place >= m - 1)
+                if m > 1:
+                    longer = np.zeros(len(words), np.int64)
+                    longer[at] = _mix(key[at - 1], key[at])
+                    key = longer
+                here = key[at]
+                top = here.view(np.uint64) >> np.uint64(64 - HOT_SLOTS)
+                hit = hot_keys[top] == here
+                gain[at[hit]] += hot_values[top[hit]]
+                at = at[~hit & _maybe(known, here)]
+                far_key.append(key[at])
+                far_text.append(text[at])
+            far_key, far_text = np.concatenate(far_key), np.concatenate(far_text)
+            order = np.argsort(far_text, kind="stable")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(np.append(starts, len(ids)))),
-                 pa.array(np.add.reduceat(common, starts)),
-                 pa.array(np.add.reduceat(tree.gains(ids), starts) / np.log(10)),
-                 pa.ListArray.from_arrays(offsets, values)],
-                names=["doc_id", "n_tokens", "common", "gain", "rare"])
+                [batch.column("doc_id"), pa.array(np.diff(np.append(starts, len(words)))),
+                 pa.array(per_text(np.where(rare, 0.0, base))), pa.array(per_text(gain) / np.log(10)),
+                 pa.ListArray.from_arrays(offsets(per_text(rare.astype(np.int64))),
+                                          pa.array([words[i] for i in np.flatnonzero(rare)], pa.binary())),
+                 pa.ListArray.from_arrays(offsets(np.bincount(far_text, minlength=len(starts))), pa.array(far_key[order]))],
+                names=["doc_id", "n_tokens", "common", "gain", "rare", "far"])
 
     scored = cut(docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, common double, gain double, rare array<binary>")
+        run, "doc_id long, n_tokens long, common double, gain double, rare array<binary>, far array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "tree-scored")
     c = F.coalesce("n", F.lit(0))
-    joined = scored.select("row", F.explode("rare").alias("token")).join(vocabulary, "token", "left")
-    sums = joined.groupBy("row").agg(
-        F.sum(F.log10(c + 0.1) - F.lit(float(norm))).alias("uncommon"), F.sum((c == 0).cast("long")).alias("unknown"))
-    base_score = F.col("common") + F.coalesce("uncommon", F.lit(0.0))
-    return scored.drop("rare").join(sums, "row", "left").select(
+    joined = scored.select("row", F.explode("rare").alias("token")).join(vocabulary, "token", "left").select(
+        "row", (F.log10(c + 0.1) - F.lit(float(norm))).alias("base"), (c == 0).cast("long").alias("unknown"),
+        F.lit(0.0).alias("gain"))
+    farther = scored.select("row", F.explode("far").alias("key")).join(others, "key").select(
+        "row", F.lit(0.0), F.lit(0).cast("long"), F.col("value") / float(np.log(10)))
+    sums = joined.unionAll(farther).groupBy("row").agg(
+        F.sum("base").alias("uncommon"), F.sum("unknown").alias("unknown"), F.sum("gain").alias("more"))
+    zero = lambda name: F.coalesce(name, F.lit(0.0))
+    base_score = F.col("common") + zero("uncommon")
+    return scored.drop("rare", "far").join(sums, "row", "left").select(
         "doc_id", held.alias("held_out"), "n_tokens",
         (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        base_score.alias("base_score"), (base_score + F.col("gain")).alias("score"))
+        base_score.alias("base_score"), (base_score + F.col("gain") + zero("more")).alias("score"))
