@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from webkb.llm import decontam as D
 
@@ -96,3 +97,59 @@ def test_native(spark):
     _, _, a, b = frames(spark)
     plan = D.contaminated(a, b)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_masks_find_every_stretch():
+    """Every placement of the substitutions that the verdict allows leaves a mask whole."""
+    for need in range(1, 14):
+        allowed = max(k for k in range(need) if need - k >= 0.8 * need)
+        for gone in combinations(range(need), allowed):
+            assert any(not {at + p for p in mask} & set(gone)
+                       for span, mask in D.masks_for(need) for at in range(need - span + 1)), (need, gone)
+
+
+def brute_without_masks(docs, items, least=13, share=0.8):
+    """The verdict alone: any alignment, any stretch."""
+    out = {}
+    for d, text in docs:
+        w = WORDS.findall((text or "").lower())
+        for i, item in items:
+            v = WORDS.findall((item or "").lower())
+            need = min(least, len(v))
+            for shift in range(-len(v) + 1, len(w)) if v else ():
+                lo, hi = max(0, -shift), min(len(v), len(w) - shift)
+                eq = [v[p] == w[p + shift] for p in range(lo, hi)]
+                if any(sum(eq[a:a + need]) >= share * need for a in range(len(eq) - need + 1)):
+                    row = (sum(eq), hi - lo, len(v))
+                    out[(d, i)] = max(out.get((d, i), row), row)
+    return sorted(((d, i, n, o, e) for (d, i), (e, o, n) in out.items()), key=str)
+
+
+def compare(spark, docs, items):
+    want = brute_without_masks(docs, items)
+    a = spark.createDataFrame([(d, t, 1, "x", 1) for d, t in docs], SCHEMA)
+    b = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, words string")
+    assert found(D.contaminated(a, b)) == want
+    return want
+
+
+def test_recall_of_long_items(spark):
+    items = [(n, " ".join(f"i{n}x{p}" for p in range(n))) for n in (13, 15, 16, 20, 40)]
+    docs = []
+    for n, text in items:
+        w = text.split()
+        for gone in [(), (4, 9), *combinations(range(13), 2), tuple(range(4, n, 5)), *combinations(range(0, n, 2), 3)]:
+            docs.append((len(docs), " ".join(["a", "b", *("x" if p in gone else u for p, u in enumerate(w)), "c"])))
+    want = compare(spark, docs, items)
+    assert len(want) > 5 * 80
+
+
+def test_recall_of_short_items(spark):
+    items = [(n, " ".join(f"i{n}x{p}" for p in range(n))) for n in range(13)] + [(None, "Two words")]
+    docs = [(900, "two, WORDS"), (901, "two other words"), (902, None)]
+    for n, text in items[:13]:
+        w = text.split()
+        for gone in [(), *((p,) for p in range(n)), *combinations(range(n), 2)]:
+            docs.append((len(docs), " ".join(["a", *("x" if p in gone else u for p, u in enumerate(w)), "c"])))
+    want = compare(spark, docs, items)
+    assert {r[1] for r in want} == {*range(1, 13), None}

@@ -1,7 +1,9 @@
 """Benchmark decontamination with spaced seeds, in DataFrame functions alone.
 
-A mask names the places of a ``SPAN``-word window that count; the others may
-hold anything, so a substituted word spoils only the masks that look at it.
+A mask names the places of a window of words that count; the others may hold
+anything, so a substituted word spoils only the masks that look at it. The
+masks are chosen so that every overlap that passes the verdict has a hit;
+items too short for them have masks of their own length.
 The words under each mask are hashed at every position of the training texts
 and of the benchmark items and joined. A hit fixes how the two texts align
 (a diagonal); around it the aligned words are compared one by one, and the
@@ -21,14 +23,34 @@ from pyspark.sql import functions as F
 
 from webkb.llm.common import cut
 
-#: The places of a window that each mask reads.
-SPAN = 12
+#: The places of a window of ``SPAN`` words that each mask reads.
+#: Any two places of 13 words in a row are spared by one of the first
+#: ``LONG_MASKS`` masks at some window inside them, and any two places of 10, 11
+#: or 12 words by one of all masks, so every stretch that passes the verdict
+#: (80% equal) has a hit. Tests enumerate this.
+SPAN = 10
 MASKS = (
-    (0, 1, 2, 4, 5, 8, 10, 11),
-    (0, 1, 3, 5, 6, 7, 9, 11),
-    (0, 2, 3, 4, 6, 8, 9, 11),
-    (0, 1, 4, 6, 7, 8, 10, 11),
+    (0, 1, 3, 4, 6, 8, 9),
+    (0, 2, 4, 5, 6, 8, 9),
+    (0, 1, 2, 3, 4, 7, 8),
+    (0, 1, 4, 5, 6, 7, 8),
+    (1, 2, 3, 5, 9),
+    (2, 3, 6, 7, 8),
+    (0, 1, 4, 7, 9),
+    (5, 6, 7, 8, 9),
+    (0, 2, 3, 4, 5),
 )
+LONG_MASKS = 4
+
+
+def masks_for(need: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Windows of words (their length) and the places read in them that find
+    every stretch of ``need`` words with at least 80% equal."""
+    if need >= SPAN:
+        return [(SPAN, mask) for mask in (MASKS[:LONG_MASKS] if need >= 13 else MASKS)]
+    if need < 5:  # all words
+        return [(need, tuple(range(need)))]
+    return [(need, tuple(p for p in range(need) if p != out)) for out in range(need)]  # all but one
 
 
 def word_hashes(text: Column) -> Column:
@@ -37,17 +59,25 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeded(texts: DataFrame) -> DataFrame:
+def seeded(texts: DataFrame, masks: list[tuple[int, tuple[int, ...]]], length: Column | None = None) -> DataFrame:
     """``texts`` (..., words) with one row per window and mask: ``at``, ``seed``.
 
+    ``length``: the words of the stretches to be found in a text, whose masks
+    are the only ones used there; without it all masks are.
+
     The windows are generated beside the array they index: generators, hashes
     and the join that follows run as one compiled stage, so the array is not
     copied per window.
     """
-    count = F.size("words") - SPAN
+    count = F.size("words") - min(span for span, _ in masks)
     windows = texts.withColumn("at", F.explode(F.when(count >= 0, F.sequence(F.lit(0), count))))
-    return windows.withColumn("seed", F.explode(F.array(*[
-        F.xxhash64(F.lit(m), *[F.col("words")[F.col("at") + p] for p in mask]) for m, mask in enumerate(MASKS)])))
+    seeds = []
+    for m, (span, mask) in enumerate(masks):
+        use = F.col("at") + span <= F.size("words")
+        if length is not None:
+            use &= length.isin([n for n in range(1, 14) if (span, mask) in masks_for(n)])
+        seeds.append(F.when(use, F.xxhash64(F.lit(m), *[F.col("words")[F.col("at") + p] for p in mask])))
+    return windows.withColumn("seed", F.explode(F.array(*seeds))).filter(F.col("seed").isNotNull())
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = 13, least_equal: float = 0.8,
@@ -60,36 +90,44 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = 13, least
     ``least_words`` words (of the whole item, where that is shorter) has at
     least ``least_equal`` of its words equal at the same places.
 
-    Items and documents of fewer than ``SPAN`` words give no evidence and no
-    row; a NULL text counts as empty, a NULL item_id is an item like any
-    other. Repeated documents and items give the same rows as single ones. An
+    Items and documents without words give no evidence and no row; a NULL text
+    counts as empty, a NULL item_id is an item like any other. Repeated documents and items give the same rows as single ones. An
     empty table on either side gives an empty result.
     """
     keys = [c for c in docs.columns if c != "text"]
+    if least_words < 13 or least_equal < 0.8:
+        raise ValueError("the masks find stretches of at least 13 words, 80% equal")
     items = cut(benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("item"))
-                .filter(F.size("item") >= SPAN).distinct(), "decontam-items")
-    windows = items.agg(F.coalesce(F.sum(F.size("item") - SPAN + 1), F.lit(0))).first()[0] * len(MASKS)
+                .filter(F.size("item") >= 1).distinct(), "decontam-items")
+    length = F.least(F.size("item"), F.lit(13))
+    windows, masks = 0, []
+    for need, n, total in items.groupBy(length).agg(F.count("*"), F.sum(F.size("item"))).sort(F.desc(length)).collect():
+        here = masks_for(need)
+        windows += sum(total - n * (span - 1) for span, _ in here)
+        masks += [m for m in here if m not in masks]
+    masks = masks or masks_for(13)
     blocks = max(1, -(-windows // block_windows))
     words = docs.select(*[F.col(f"`{k}`") for k in keys], word_hashes(F.coalesce("text", F.lit(""))).alias("words"))
     passes = []
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block) if blocks > 1 else items
-        passes.append(_verified(_hits(words, part, keys), keys, least_words, least_equal))
+        passes.append(_verified(_hits(words, part, keys, masks), keys, least_words, least_equal))
     every = reduce(DataFrame.unionByName, passes)
     best = F.max(F.struct("equal_words", "overlap_words", "item_words")).alias("best")
     return every.groupBy(*keys, "item_id").agg(best).select(
         *keys, "item_id", "best.item_words", "best.overlap_words", "best.equal_words")
 
 
-def _hits(words: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+def _hits(words: DataFrame, items: DataFrame, keys: list[str], masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
     """One row per hit: the item, and the words of the document aligned with
     it from item word ``first`` on."""
-    reference = seeded(items.withColumnRenamed("item", "words")).select(
+    need = F.least(F.size("words"), F.lit(13))
+    reference = seeded(items.withColumnRenamed("item", "words"), masks, need).select(
         "item_id", F.col("words").alias("item"), F.col("at").alias("item_at"), "seed")
     shift = F.col("at") - F.col("item_at")
     first = F.greatest(F.lit(0), -shift)
     n = F.least(F.size("item"), F.size("words") - shift) - first
-    return seeded(words).join(F.broadcast(reference), "seed").select(
+    return seeded(words, masks).join(F.broadcast(reference), "seed").select(
         *keys, "item_id", "item", "item_at", first.alias("first"),
         F.slice("words", first + shift + 1, n).alias("aligned"))
 
