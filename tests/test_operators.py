@@ -464,3 +464,19 @@ def test_default_domain_cap_is_group_limit(spark):
 
     p = TB.read_table(spark, SF001, "pages").select("url")
     assert "WindowGroupLimit" in plan(FL.domain_cap(p, 1000))
+
+
+def test_stream_landings_keep_their_partitions(spark, monkeypatch):
+    """Each landing of stream_two_batches is one micro-batch of all its files, not of one file."""
+    from webkb.plans import queries as Q
+
+    seen, whole, cut = [], Q.SI.ingest_batch, Q.checkpoint
+    monkeypatch.setattr(Q, "checkpoint", lambda df: cut(df.repartition(4)))
+
+    def ingest(pages, assets, job, root, version, **kw):
+        seen.append((version, pages.select(F.input_file_name()).distinct().count()))
+        whole(pages, assets, job, root, version, **kw)
+
+    monkeypatch.setattr(Q.SI, "ingest_batch", ingest)
+    Q.QUERIES["stream_two_batches"](spark, "/root/testdata/sf0.001")
+    assert [v for v, _ in seen] == [0, 1] and all(n > 1 for _, n in seen)

@@ -885,17 +885,18 @@ def q_stream_ingest(spark, sf_dir):
     union all select 'reject', element_id, reason from again""",
 )
 def q_stream_two_batches(spark, sf_dir):
-    """Two landed files, two micro-batches, the second with every page again and other content:
+    """Two landed folders, two micro-batches, the second with every page again and other content:
     metadata keeps the first writer, page objects the last, refused rows and broken PDFs are listed
     once (T01, T02, W01, W02, K09)."""
     pages, _, assets = _fx_inputs(spark, sf_dir)
     pages = checkpoint(pages)
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
-    pages.coalesce(1).write.parquet(landing)
-    pages.withColumn("html", F.concat("html", F.lit("<!-- again -->"))).coalesce(1).write.mode("append").parquet(landing)
-    stream = SI.read_page_stream(spark, landing, max_files_per_trigger=1)
-    SI.stream_ingest(stream, assets, JOB, root, scratch_path(spark, "stream-ckpt"),
-                     extractor_factory=FX.fx_extractor).awaitTermination()
+    progress = scratch_path(spark, "stream-ckpt")
+    again = pages.withColumn("html", F.concat("html", F.lit("<!-- again -->")))
+    for i, landed in enumerate((pages, again)):
+        landed.write.parquet(f"{landing}/{i}")
+        SI.stream_ingest(SI.read_page_stream(spark, f"{landing}/*"), assets, JOB, root, progress,
+                         extractor_factory=FX.fx_extractor).awaitTermination()
     kind = lambda df, name, key, value: df.select(
         F.lit(name).alias("kind"), F.col(key).alias("key"), F.col(value).alias("value"))
     read = lambda name: spark.read.parquet(f"{root}/{name}")
