@@ -1,0 +1,107 @@
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from webkb.llm import audit
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+DOCS = "doc_id long, text string, source string, part string, n string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def brute_counts(text):
+    words = WORD.findall(text)
+    return (len(words), len(set(words)), len(re.findall("[A-Z]", text)), len(text), len(re.findall("[#$%&*|]", text)))
+
+
+def brute(docs, labels):
+    sets = Counter()
+    parts = set()
+    for doc_id, text, source, *_ in docs:
+        text = text or ""
+        words, distinct, capitals, points, symbols = brute_counts(text)
+        copy = doc_id is not None and any(
+            (t or "") == text and d is not None and d < doc_id for d, t, *_ in docs)
+        fails = "".join(f for f, bad in zip("ABCDE", (words < 200, 100 * distinct < 50 * words, 100 * capitals > 2 * points,
+                                                      symbols > 0, copy)) if bad)
+        good = doc_id is not None and any(d == doc_id and q == 1 for d, q, _ in labels)
+        toxic = doc_id is not None and any(d == doc_id and x == 1 for d, _, x in labels)
+        sets[source or "", fails, good, toxic] += 1
+        parts.add(source or "")
+    rows, shapley = {}, Counter()
+    for part in parts:
+        mine = [(f, g, t, n) for (p, f, g, t), n in sets.items() if p == part]
+        for order in map("".join, permutations("ABCDE")):
+            for step, here in enumerate(order):
+                before = set(order[:step])
+                out = [(f, g, t, n) for f, g, t, n in mine if not before & set(f)]
+                gone = [r for r in out if here in r[0]]
+                removed = sum(r[3] for r in gone)
+                rows[part, order, step + 1] = [
+                    sum(r[3] for r in out) - removed, removed,
+                    sum(n for f, _, _, n in mine if here in f and before & set(f)), sum(n for f, _, _, n in mine if f == here),
+                    sum(r[3] for r in gone if r[1]), sum(r[3] for r in gone if r[2])]
+                shapley[part, here] += removed
+    return {k: (*v, shapley[k[0], k[1][k[2] - 1]]) for k, v in rows.items()}
+
+
+def found(spark, docs, labels):
+    got = audit.audit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    assert len({tuple(r[:3]) for r in got}) == len(got)
+    return {tuple(r[:3]): tuple(r[3:]) for r in got}
+
+
+def test_every_order_against_brute_force(spark):
+    many = " ".join(f"w{i}" for i in range(210))
+    rng = np.random.default_rng(3)
+    texts = [None, "", " ", "Hello", "ÄÖ é — x", many, many + " #", many.upper(), "a " * 250, "A " * 250, "a|" * 300,
+             "x" * 100, "y" * 200 + " " + "y" * 200, "   a", "\x0b\x0c\x1c a"]
+    docs = [(int(i), texts[rng.integers(len(texts))], ["web", "forum", None, ""][rng.integers(4)], "clash", "x")
+            for i in range(150)]
+    docs += [(None, many, "web", "", ""), (None, many, "web", "", ""), (5, many, "web", "", ""), (5, many, "web", "", ""),
+             (5, "Hello", None, "", "")]
+    labels = [(int(i), int(rng.integers(2)), int(rng.integers(2))) for i in range(0, 120, 2)] + [(5, 1, 0), (5, 0, 1), (None, 1, 1),
+                                                                                               (9, None, None)]
+    assert found(spark, docs, labels) == brute(docs, labels)
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], []) == {}
+    assert found(spark, [(1, "a", "web", "", "")], [])["web", "ABCDE", 1] == (0, 1, 0, 1, 0, 0, 120)
+
+
+def counts(texts):
+    got = audit.measure([t.encode() for t in texts])
+    return list(zip(*(got[c].tolist() for c in ("words", "distinct", "capitals", "points", "symbols"))))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAbZ# |\t\né中\U0001f600\x1f\x00"), max_size=60), min_size=1, max_size=6))
+def test_measures_any_texts(texts):
+    assert counts(texts) == [brute_counts(t) for t in texts]
+
+
+def test_long_words_and_long_texts():
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abC"), n)) for n in (7, 8, 9, 15, 16, 17, 63, 64, 65, 66, 500, 20000) for _ in range(3)]
+    texts = [" ".join(rng.choice(words, 400)), "word " * 200_000, "", " ".join(f"{i}" for i in range(100_000)), words[-1][:-1] + "b " + words[-1]]
+    assert counts(texts) == [brute_counts(t) for t in texts]
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    """With one hash for all, every word is found by comparing spans alone."""
+    monkeypatch.setattr(audit.Spans, "hashes", lambda self: np.zeros(len(self.start), np.uint64))
+    texts = ["a b a c abcdefghi abcdefghj abcdefghi", "a b", "x" * 70 + " " + "x" * 69 + "y " + "x" * 70]
+    assert counts(texts) == [brute_counts(t) for t in texts]
+
+
+def test_source_that_holds_most_rows(spark):
+    docs = [(i, "copy " * 300, "hot" if i % 3 else "cold", "", "") for i in range(600)]
+    got = found(spark, docs, [(0, 1, 1)])
+    assert got["hot", "EABCD", 1][:2] == (0, 400)
+    assert got["cold", "EABCD", 1][:2] == (1, 199)
+    assert got["cold", "EABCD", 3][4:6] == (1, 1)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webkb.llm import (
-    arc, decontam, mixing, oracles, order_minhash, quality, simhash, substrings, suffix_tree, token_counts, toxicity)
+    arc, audit, decontam, fim, mixing, oracles, order_minhash, pivots, quality, simhash, substrings, suffix_tree,
+    token_counts, toxicity)
 from webkb.llm.common import read
 
 
@@ -51,6 +52,18 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc.archive_pages(read(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_pivot_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -65,6 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_tree": op8_suffix_tree,
         "op9_simhash": op9_simhash,
         "op10_arc_to_warc": op10_arc_to_warc,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_pivot_neighbours": op12_pivot_neighbours,
+        "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -76,6 +92,8 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontamination": oracles.DECONTAMINATION,
         "op5_substring_dedup": oracles.SUBSTRINGS,
         "op10_arc_to_warc": oracles.ARCHIVES,
+        "op11_filter_audit": oracles.FILTER_AUDIT,
+        "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {k: v for k, v in found.items() if v}
