@@ -473,9 +473,9 @@ def test_stream_landings_keep_their_partitions(spark, monkeypatch):
     seen, whole, cut = [], Q.SI.ingest_batch, Q.checkpoint
     monkeypatch.setattr(Q, "checkpoint", lambda df: cut(df.repartition(4)))
 
-    def ingest(pages, assets, job, root, version, **kw):
-        seen.append((version, pages.select(F.input_file_name()).distinct().count()))
-        whole(pages, assets, job, root, version, **kw)
+    def ingest(pages, assets, job, root, run, **kw):
+        seen.append((int(run.rsplit("/", 1)[1]), pages.select(F.input_file_name()).distinct().count()))
+        whole(pages, assets, job, root, run, **kw)
 
     monkeypatch.setattr(Q.SI, "ingest_batch", ingest)
     Q.QUERIES["stream_two_batches"](spark, "/root/testdata/sf0.001")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from webkb.conf import DEFAULT_IMAGE_CONTENT_TYPE, PDF_METHODS
 from webkb.functions.html import markdown_udf
 from webkb.functions.paths import checksum, element_id, processed_path, raw_path
-from webkb.operators.store import first_writer
+from webkb.operators.store import flag_first
 from webkb.schema import PDF_BLOCK, QUARANTINE
 from webkb.session import checkpoint
 
@@ -155,11 +155,12 @@ def pdf_blocks(results: DataFrame) -> DataFrame:
 # Content dispatch: type URL / PDF / Image
 # ---------------------------------------------------------------------------
 def first_per_type(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(firsts, again)``: the first writer of each element and type, and the
-    rows that come after it. What an element's content comes to depends on its
-    URL and type alone, so the later rows need no content."""
-    firsts, again = first_writer(elements.withColumn("_t", F.concat_ws(" ", "element_id", "type")), "_t")
-    return firsts.drop("_t"), again.drop("_t")
+    """``(firsts, again)`` of a materialized table: the first writer of each
+    element and type, and the rows that come after it, decided in one plan.
+    What an element's content comes to depends on its URL and type alone, so
+    the later rows need no content."""
+    flagged = checkpoint(flag_first(elements.withColumn("_t", F.concat_ws(" ", "element_id", "type")), "_t").drop("_t"))
+    return flagged.filter("is_first").drop("is_first"), flagged.filter("not is_first").drop("is_first")
 
 
 def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, job: str,
@@ -183,7 +184,6 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     if not materialized:
         elements = checkpoint(elements)
     firsts, duplicates = first_per_type(elements)
-    firsts = checkpoint(firsts)
 
     # Pages: the HTML is read once to be converted and once to be stored.
     pages = pages.filter(F.col("url").isNotNull())

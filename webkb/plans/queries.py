@@ -208,7 +208,7 @@ def q_canonical_urls(spark, sf_dir):
 from webkb.functions import paths as PA  # noqa: E402
 from webkb.operators import assets as AS  # noqa: E402
 from webkb.operators import store as ST  # noqa: E402
-from webkb.session import checkpoint, scratch_path  # noqa: E402
+from webkb.session import checkpoint, delete_path, scratch_path  # noqa: E402
 
 
 @register(
@@ -505,6 +505,15 @@ def q_object_manifest(spark, sf_dir):
     return raw.select(*cols).unionByName(done.select(*cols))
 
 
+def _write_raw_pages(pages, root):
+    """One batch run that stores the raw objects of ``pages``."""
+    content = F.encode("html", "UTF-8")
+    ST.write_objects(pages.withColumn("element_id", PA.element_id("url", F.lit(JOB))).select(
+        PA.raw_path(F.lit(JOB), "element_id", F.lit("URL")).alias("path"), "element_id", content.alias("content"),
+        F.lit("text/html").alias("content_type"), PA.checksum(content).alias("checksum"),
+        F.col("page_id").alias("order_key"), F.lit(JOB).alias("job_id"), F.lit("raw").alias("stage")), root)
+
+
 @register(
     "objects_rerun",
     f"""with o as (
@@ -519,18 +528,10 @@ def q_object_manifest(spark, sf_dir):
 def q_objects_rerun(spark, sf_dir):
     """The raw pages written by one run, and the pages of even length again with other content by
     a second: one row per path, the newest content (W02, K01)."""
-    p = TB.read_table(spark, sf_dir, "pages").withColumn("element_id", PA.element_id("url", F.lit(JOB)))
+    p = TB.read_table(spark, sf_dir, "pages")
     root = scratch_path(spark, "rerun")
-
-    def write(pages, html):
-        content = F.encode(html, "UTF-8")
-        ST.write_objects(pages.select(
-            PA.raw_path(F.lit(JOB), "element_id", F.lit("URL")).alias("path"), "element_id", content.alias("content"),
-            F.lit("text/html").alias("content_type"), PA.checksum(content).alias("checksum"),
-            F.col("page_id").alias("order_key"), F.lit(JOB).alias("job_id"), F.lit("raw").alias("stage")), root)
-
-    write(p, F.col("html"))
-    write(p.filter(F.length("html") % 2 == 0), F.concat("html", F.lit("<!-- again -->")))
+    _write_raw_pages(p, root)
+    _write_raw_pages(p.filter(F.length("html") % 2 == 0).withColumn("html", F.concat("html", F.lit("<!-- again -->"))), root)
     return ST.manifest(TB.read_objects(spark, root, JOB)).select("path", "checksum", "size")
 
 
@@ -854,6 +855,7 @@ def q_kb_search_site(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from webkb.plans.pipeline import build_kb  # noqa: E402
 from webkb.streaming import ingest as SI  # noqa: E402
+from webkb.streaming import keyed as SK  # noqa: E402
 
 
 @register("stream_ingest", f"with {O.metadata_sql()} select * from meta")
@@ -909,6 +911,65 @@ def q_stream_two_batches(spark, sf_dir):
             .unionByName(kind(stored.select("element_id", "reason").distinct(), "reject", "element_id", "reason")))
 
 
+@register(
+    "stream_stateful",
+    f"""with {O.fx_cte()}, {O.elements_cte()},
+    land as (select page_id, 0 as batch, '' as mark from fx where page_id % 3 = 0
+      union all select page_id, 1, '<!-- 1 -->' from fx where page_id % 3 < 2
+      union all select page_id, 2, '<!-- 2 -->' from fx),
+    r as (select e.*, batch, mark, row_number() over (partition by element_id order by batch, depth, coalesce(parent_url, ''),
+            {O.KIND_RANK_SQL}, pos, e.page_id) as rn from els e join land l on l.page_id = e.page_id)
+    select r.element_id, r.url as "URL", r.type, r.parent_id, cast(r.batch as bigint) as batch,
+      case when r.type = 'URL' then sha256(concat(fx.html, r.mark)) else '' end as checksum
+    from r join fx on fx.page_id = r.page_id where rn = 1""",
+)
+def q_stream_stateful(spark, sf_dir):
+    """Three landings that repeat pages with other content, the stream restarted from its checkpoint
+    before each: the state store keeps the first writer of every element (T02, W01)."""
+    pages = checkpoint(FX.fx(spark, sf_dir))
+    landing, root, progress = (scratch_path(spark, n) for n in ("landing", "index", "stream-ckpt"))
+    for i, most in enumerate((1, 2, 3)):
+        landed = pages.filter(F.col("page_id") % 3 < most)
+        (landed.withColumn("html", F.concat("html", F.lit(f"<!-- {i} -->"))) if i else landed).write.parquet(f"{landing}/{i}")
+        SK.stream_stateful(SI.read_page_stream(spark, f"{landing}/*"), JOB, root, progress).awaitTermination()
+    return SK.read_index(spark, root)
+
+
+@register(
+    "objects_mixed",
+    f"""with {O.fx_cte()},
+    o as (select url, page_id, 0 as version, html as content from fx
+      union all select url, page_id, 1, concat(html, '<!-- second -->') from fx where page_id % 2 = 0
+      union all select url, page_id, 2, concat(html, '<!-- streamed -->') from fx where page_id % 3 = 0
+      union all select url, page_id, 3, concat(html, '<!-- last -->') from fx where page_id % 5 = 0),
+    n as (select *, row_number() over (partition by url order by version desc, page_id desc) as rn from o)
+    select concat('{JOB}/raw/', sha256(url), '_{JOB}.html') as path, sha256(encode(content)) as checksum,
+      octet_length(encode(content)) as size from n where rn = 1""",
+)
+def q_objects_mixed(spark, sf_dir):
+    """One store written by two batch runs, a stream with a fresh checkpoint, a third batch run and a
+    replay of the stream's micro-batch (its commit is gone, as after a driver loss): every page's
+    newest content is served, whoever wrote it (W02, T01, K01)."""
+    pages, _, assets = _fx_inputs(spark, sf_dir)
+    pages = checkpoint(pages)
+    root, landing, progress = (scratch_path(spark, n) for n in ("mixed", "landing", "stream-ckpt"))
+    marked = lambda n, mark: pages.filter(F.col("page_id") % n == 0).withColumn("html", F.concat("html", F.lit(mark)))
+
+    def stream():
+        SI.stream_ingest(SI.read_page_stream(spark, landing), assets, JOB, root, progress,
+                         extractor_factory=FX.fx_extractor).awaitTermination()
+
+    _write_raw_pages(pages, f"{root}/objects")
+    _write_raw_pages(marked(2, "<!-- second -->"), f"{root}/objects")
+    marked(3, "<!-- streamed -->").write.parquet(landing)
+    stream()
+    _write_raw_pages(marked(5, "<!-- last -->"), f"{root}/objects")
+    delete_path(spark, f"{progress}/commits")
+    stream()
+    objects = TB.read_objects(spark, f"{root}/objects", JOB, "raw").filter("content_type = 'text/html'")
+    return ST.manifest(objects).select("path", "checksum", "size")
+
+
 def _build_kb_sql(max_depth: int) -> str:
     head = f"""recursive {_crawl_ctes(max_depth)},
     crawl as (select k.page_id, c.d as depth from reach c join keys k on k.url_key = c.u),

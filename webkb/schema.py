@@ -23,6 +23,9 @@ METADATA_COLUMNS = [f.name for f in METADATA.fields]
 # Stored metadata adds the partition column job_id.
 METADATA_STORED = T.StructType(METADATA.fields + [T.StructField("job_id", S, False)])
 
+# As its files are laid out: by job, type and the leading digits of the key.
+METADATA_FILES = T.StructType(METADATA_STORED.fields + [T.StructField("key_prefix", S, False)])
+
 # Parsed items of one page: links, areas and images in document order.
 PARSED_ITEM = T.StructType(
     [

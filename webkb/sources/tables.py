@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webkb.functions.urls import canonical_url
-from webkb.schema import ASSET, FETCH, METADATA_STORED, OBJECT
+from webkb.schema import ASSET, FETCH, METADATA_FILES, METADATA_STORED, OBJECT
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,7 +105,7 @@ def read_metadata(spark: SparkSession, root: str, type_: str | None = None, elem
                   with_job: bool = False) -> DataFrame:
     """Stored metadata; ``type`` prunes partitions, ``element_id`` is pushed
     to the Parquet reader."""
-    df = spark.read.schema(METADATA_STORED).parquet(root).select(*METADATA_STORED.fieldNames())
+    df = spark.read.schema(METADATA_FILES).parquet(root).select(*METADATA_STORED.fieldNames())
     if type_ is not None:
         df = df.filter(F.col("type") == type_)
     if element_id is not None:
