@@ -142,15 +142,3 @@ def test_bfs_level_moves_only_candidates(spark):
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
         else:
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
-def test_search_postings_are_not_joined_unsplit(spark):
-    """With broadcasts off, the only shuffles of postings are by term before counting is done
-    and by document; the common word's rows are plain join input that a skew split can take."""
-    from webkb.operators import search as SE
-
-    docs = spark.createDataFrame([(i, "the cat " + "the " * i) for i in range(50)], "doc_id long, text string")
-    rows = SE.term_counts(docs.select("doc_id", SE.tokenize("text").alias("toks")))
-    assert {(r.doc_id, r.term): (r.tf, r.dl) for r in rows.collect()} == {
-        **{(i, "the"): (i + 1, i + 2) for i in range(50)}, **{(i, "cat"): (1, i + 2) for i in range(50)}}
-    assert "Exchange" not in plan(rows)

@@ -800,7 +800,7 @@ SEARCH_K = 10
 SEARCH_SITES = ["example.org"]
 
 
-def _bm25_sql(docs_sql: str, site_pred: str | None = None) -> str:
+def _bm25_sql(docs_sql: str, site_pred: str | None = None, queries: str = "select item_id as query_id, text from benchmark") -> str:
     tok = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
     cand = f"where p.doc_id in (select doc_id from docs where {site_pred})" if site_pred else ""
     return f"""docs as ({docs_sql}),
@@ -808,7 +808,7 @@ def _bm25_sql(docs_sql: str, site_pred: str | None = None) -> str:
     dl as (select doc_id, len(toks) as dl from d),
     st as (select count(*) as n, avg(dl) as avgdl from dl),
     q as (select distinct query_id, term from
-          (select item_id as query_id, unnest({tok.format(c='text')}) as term from benchmark) t0),
+          (select query_id, unnest({tok.format(c='text')}) as term from ({queries}) t1) t0),
     tok as (select doc_id, unnest(toks) as term from d),
     post as (select term, doc_id, count(*) as tf from tok where term in (select term from q) group by all),
     dfq as (select term, count(*) as df from post group by term),
@@ -850,6 +850,18 @@ def q_kb_search_site(spark, sf_dir):
     return r.select("query_id", "rank", "doc_id", F.round(F.col("score") * 1e6).cast("long").alias("score_e6"))
 
 
+@register("kb_search_again", "with " + _bm25_sql(
+    "select doc_id, text from documents", queries="select conv_id as query_id, text from conversations where turn = 0"))
+def q_kb_search_again(spark, sf_dir):
+    """A stored index over all documents, searched for the benchmark and then, without reading a
+    document, for the first turn of every conversation (L01)."""
+    root = SE.build_index(TB.read_table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "index"))
+    for table, key, keep in (("benchmark", "item_id", "true"), ("conversations", "conv_id", "turn = 0")):
+        qs = TB.read_table(spark, sf_dir, table).filter(keep).select(F.col(key).alias("query_id"), "text")
+        r = SE.search_index(spark, root, qs, SEARCH_K)
+    return r.select("query_id", "rank", "doc_id", F.round(F.col("score") * 1e6).cast("long").alias("score_e6"))
+
+
 # ---------------------------------------------------------------------------
 # Steps 8 and 9: streaming ingest, whole job
 # ---------------------------------------------------------------------------
