@@ -187,6 +187,38 @@ def test_robots_patterns(spark):
     assert as_bot["http://h.example/pub"] is False and as_bot["http://g.example/x"] is True
 
 
+def test_robots_many_rules_on_one_host(spark):
+    """100,000 rules of one host, nested prefixes and patterns among them, against each URL's own longest match."""
+    import random
+    import re as r_
+
+    rng = random.Random(2)
+    paths = {"/" + "/".join(f"d{rng.randrange(40)}" for _ in range(rng.randrange(1, 5))) for _ in range(150_000)}
+    plain = [("h.example", "*", rng.choice(["allow", "disallow"]), p) for p in sorted(paths)][:100_000]
+    patterns = [("h.example", "*", "disallow", "/*/d7/"), ("h.example", "*", "allow", "/d1*d2$"), ("h.example", "*", "disallow", "/d3$"),
+                ("h.example", "*", "allow", "*?x=1"), ("g.example", "*", "disallow", "/"), ("g.example", "*", "allow", "/")]
+    rules = spark.createDataFrame(plain + patterns, "host string, agent string, directive string, path string")
+    urls = ["http://h.example" + "".join(f"/d{rng.randrange(41)}" for _ in range(rng.randrange(0, 6))) + rng.choice(["", "/", "?x=1"])
+            for _ in range(400)] + ["http://g.example/a", "http://z.example/", "http://h.example/d3", None]
+    by_path = {}
+    for _, _, directive, p in plain:
+        by_path[p] = max(by_path.get(p, False), directive == "allow")
+    want = {}
+    for u in urls[:-4] + urls[-2:-1]:
+        pq = u.removeprefix("http://h.example")
+        pq = pq if pq.startswith("/") else "/" + pq
+        hits = [(n, by_path[pq[:n]]) for n in range(len(pq) + 1) if pq[:n] in by_path]
+        for _, _, directive, p in patterns[:4]:
+            if r_.match("^" + r_.escape(p.rstrip("$")).replace(r"\*", ".*") + ("$" if p.endswith("$") else ""), pq):
+                hits.append((len(p), directive == "allow"))
+        want[u] = max(hits)[1] if hits else True
+    want |= {"http://g.example/a": True, "http://z.example/": True, None: True}
+    frame = spark.createDataFrame([(u, i) for i, u in enumerate(urls + urls[:3])], "url string, n int")
+    rows = FL.robots_filter(frame, rules).collect()
+    assert len(rows) == len(urls) + 3 and {r.url: r.allowed for r in rows} == want
+    assert set(want.values()) == {True, False}
+
+
 def test_domain_cap_brute_force(spark):
     p = TB.read_table(spark, SF001, "pages").select("url")
     got = sorted(r.url for r in FL.domain_cap(p, 2).collect())

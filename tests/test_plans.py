@@ -142,3 +142,37 @@ def test_bfs_level_moves_only_candidates(spark):
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
         else:
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_levels_read_what_their_frontier_can_meet(spark):
+    """Rows of the edge and visited tables that a level's scans produce follow the number of its keys."""
+    rows = spark.range(40_000).selectExpr("sha2(cast(id as string), 256) as src", "id as dst")
+    table = CR.Bucketed(spark, "src", 8).append(rows)
+
+    def read(n):
+        keys = rows.filter(F.col("dst") < n).select("src")
+        found = CR._only(table.read(), "src", keys)
+        assert keys.join(found, "src").count() == n
+        if not n:
+            return 0, len(found.collect())
+        found.collect()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return scan.metrics().apply("numFiles").value(), len(found.collect())
+
+    assert read(0) == (0, 0)
+    assert read(1) == (1, 1)
+    assert read(500)[1] == 500
+    assert read(CR.SENT_KEYS + 1) == (8, 40_000)
+    table.drop(files=True)
+
+
+def test_crawls_agree_whatever_is_sent(spark, monkeypatch):
+    fxp = FX.fx(spark, SF001)
+    store = TB.page_store(fxp)
+    edges = LK.link_edges(LK.parse_pages(store))
+    seed = TB.seeds(spark, fxp.filter("page_id = 0").select("url"))
+    found = []
+    for sent in (0, 2, 1000):
+        monkeypatch.setattr(CR, "SENT_KEYS", sent)
+        found.append(sorted(map(tuple, CR.crawl(seed, store, edges, 6).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 5

@@ -5,9 +5,11 @@ edge table and the visited set are written once as tables bucketed by URL
 key in the shared folder (a written table keeps its hash layout across
 jobs, which a checkpoint does not under adaptive execution). A level then
 shuffles only the frontier and its candidate edges: neither the edges nor
-the visited set move again, though each level reads them. Rows are dealt to
-their bucket before the write, so a write makes one file per bucket. Each
-level is appended to the visited table (partitioned by depth), which cuts
+the visited set move again. Rows are dealt to their bucket and sorted by key
+before the write, so a write makes one sorted file per bucket. A small
+frontier is sent to the scan of the edges, and its candidates to that of the
+visited set: buckets and row groups that cannot hold their keys are not read.
+Each level is appended to the visited table (partitioned by depth), which cuts
 lineage and lets a lost executor recompute one level only.
 """
 
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 from webkb.functions.urls import host
 from webkb.session import checkpoint, delete_path, scratch_path
 
+#: Up to so many keys of a level are sent to the scans they meet.
+SENT_KEYS = 1000
+
 CRAWLED = "url_key string, url string, page_id bigint, parent_key string, depth int"
 
 
@@ -40,7 +45,7 @@ class Bucketed:
         self.made = False
 
     def append(self, df: DataFrame) -> Bucketed:
-        w = df.repartition(self.buckets, self.key).write.mode("append").bucketBy(self.buckets, self.key)
+        w = df.repartition(self.buckets, self.key).write.mode("append").bucketBy(self.buckets, self.key).sortBy(self.key)
         if self.partition_by:
             w = w.partitionBy(self.partition_by)
         (w if self.made else w.option("path", self.path)).saveAsTable(self.name)
@@ -64,6 +69,16 @@ def page_edges(edges: DataFrame, store: DataFrame, buckets: int) -> Bucketed:
     return Bucketed(edges.sparkSession, "src", buckets).append(edges.select("src", "dst").join(keys, "dst"))
 
 
+def _only(table: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of a bucketed ``table`` that can meet ``keys`` (one column):
+    all of them, unless there are few keys. What is read differs, not what a
+    join with ``keys`` gives."""
+    few = keys.limit(SENT_KEYS + 1).collect()
+    if len(few) > SENT_KEYS:
+        return table
+    return table.filter(F.col(key).isin([r[0] for r in few]) if few else F.lit(False))
+
+
 def _within_cap(new: DataFrame, visited: DataFrame | None, cap: int | None) -> DataFrame:
     """The candidates of a level that their hosts still have room for, in
     order of URL. Ranks above the cap are cut before the shuffle as well."""
@@ -109,13 +124,14 @@ def crawl(seeds: DataFrame, store: DataFrame, edges: DataFrame, max_depth: int,
         for d in range(1, max_depth + 1):
             visited, pe = visited_table.read(), pe_table.read()
             frontier = visited.filter(F.col("depth") == d - 1).select(F.col("url_key").alias("src"))
-            cand = (
-                frontier.join(pe, "src")
+            cand = checkpoint(
+                frontier.join(_only(pe, "src", frontier), "src")
                 .groupBy("dst")  # partial aggregation collapses duplicate arrivals map-side
                 .agg(F.min("src").alias("parent_key"), F.first("dst_page_id").alias("page_id"),
                      F.first("dst_url").alias("url"))
             )
-            new = cand.join(visited.select(F.col("url_key").alias("dst")), "dst", "left_anti").select(
+            seen = _only(visited, "url_key", cand.select("dst"))
+            new = cand.join(seen.select(F.col("url_key").alias("dst")), "dst", "left_anti").select(
                 F.col("dst").alias("url_key"), "url", "page_id", "parent_key", F.lit(d).alias("depth")
             )
             visited_table.append(_within_cap(new, visited, max_per_host))

@@ -31,10 +31,12 @@ def _rule_regex(path: Column) -> Column:
     return F.when(path.endswith("$"), F.concat(rx, F.lit("$"))).otherwise(rx)
 
 
-def robots_rules_by_host(rules: DataFrame, agent: str = "*") -> DataFrame:
-    """Rules of the group that applies to ``agent`` (its own group when the
-    host has one, else ``*``), one array per host. A robots file is
-    bounded in size, so the array per host is bounded."""
+def robots_rules(rules: DataFrame, agent: str = "*") -> DataFrame:
+    """Rules of the groups that apply to ``agent`` (its own group when the host
+    has one, else ``*``): ``host, path, allow, head, is_pattern, regex``.
+    ``head`` is what stands before the first ``*`` or the closing ``$``: a URL
+    that matches starts with it, and one that starts with it matches unless
+    the rule is a pattern."""
     r = rules.select(
         F.lower("host").alias("host"), F.lower("agent").alias("agent"), F.lower("directive").alias("directive"),
         "path",
@@ -43,34 +45,33 @@ def robots_rules_by_host(rules: DataFrame, agent: str = "*") -> DataFrame:
     r = r.join(own, "host", "left").filter(
         (F.col("agent") == agent.lower()) | F.col("_own").isNull() | F.lit(agent == "*")
     )
-    return r.groupBy("host").agg(
-        F.collect_list(
-            F.struct(
-                F.col("path").alias("path"),
-                (F.col("directive") == "allow").alias("allow"),
-                (F.col("path").contains("*") | F.col("path").endswith("$")).alias("is_pattern"),
-                _rule_regex(F.col("path")).alias("regex"),
-            )
-        ).alias("rules")
-    )
+    path = F.col("path")
+    return r.select("host", "path", (F.col("directive") == "allow").alias("allow")).distinct().select(
+        "*", F.regexp_replace(F.substring_index(path, "*", 1), r"\$$", "").alias("head"),
+        (path.contains("*") | path.endswith("$")).alias("is_pattern"), _rule_regex(path).alias("regex"))
 
 
 def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = "*", url_col: str = "url") -> DataFrame:
     """Adds ``allowed`` and ``rule``: the longest matching rule wins, allow
-    wins a tie, no rule means allowed. One equi-join on host; the
-    matching runs on the per-host rule array, so URLs are not regrouped."""
-    by_host = robots_rules_by_host(rules, agent)
-    u = urls.withColumn("_host", host(url_col)).withColumn("_pq", path_and_query(url_col))
-    j = u.join(by_host.withColumnRenamed("host", "_host"), "_host", "left")
-    pq = F.col("_pq")
-    hits = F.filter(
-        F.coalesce(F.col("rules"), F.array().cast(by_host.schema["rules"].dataType)),
-        lambda r: F.when(r["is_pattern"], F.regexp_like(pq, r["regex"])).otherwise(pq.startswith(r["path"])),
-    )
-    best = F.array_max(F.transform(hits, lambda r: F.struct(F.length(r["path"]).alias("n"), r["allow"].alias("allow"),
-                                                           r["path"].alias("path"))))
-    return j.withColumn("_best", best).select(
-        *urls.columns,
+    wins a tie, no rule means allowed.
+
+    A longest-prefix match by equality: a URL joins the rules of its host on
+    its own prefixes, of the lengths that the heads of that host's rules have
+    (no more of them than a path has characters, whatever the number of
+    rules). The rules of a host are never in one row or one task. Only the
+    distinct URLs take part; the other columns meet the verdicts of those
+    that a rule matched."""
+    r = robots_rules(rules, agent)
+    lengths = r.groupBy("host").agg(F.collect_set(F.length("head")).alias("lengths"))
+    u = urls.select(F.col(url_col).alias("_url")).distinct().select(
+        "_url", host("_url").alias("host"), path_and_query("_url").alias("_pq"))
+    prefixes = u.join(lengths, "host").select(
+        "_url", "_pq", "host", F.explode(F.filter("lengths", lambda n: n <= F.length("_pq"))).alias("_n")).withColumn(
+        "head", F.substring(F.col("_pq"), F.lit(1), F.col("_n")))
+    hits = prefixes.join(r, ["host", "head"]).filter(~F.col("is_pattern") | F.regexp_like("_pq", F.col("regex")))
+    best = hits.groupBy("_url").agg(F.max(F.struct(F.length("path").alias("n"), "allow", "path")).alias("_best"))
+    return urls.join(best, F.col(url_col) == F.col("_url"), "left").select(
+        *[urls[c] for c in urls.columns],
         F.coalesce(F.col("_best.allow"), F.lit(True)).alias("allowed"),
         F.col("_best.path").alias("rule"),
     )
