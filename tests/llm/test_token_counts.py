@@ -49,3 +49,26 @@ def test_pieces_do_not_change_tokens():
 def test_empty(spark):
     none = T.histogram(spark.createDataFrame([], SCHEMA))
     assert none.count() == 0 and T.truncated_total(none, 5) == 0 and T.quantile(none, 0.5) is None
+
+
+def test_runs_of_blanks_are_one_piece():
+    """Cut out of the pattern or not, with and without a word after them: the same tokens."""
+    enc = T.encoding(open(T.VOCABULARY, "rb").read())
+    rng = random.Random(8)
+    short = T.re.compile(T.BLANKS.pattern.replace("{10000,}", "{3,}"))
+    for _ in range(400):
+        text = "".join(rng.choice(["a", "B's", "é", "\n", "\n", " ", " ", "  ", "\t", "\x1c", "\u3000", "\xa0", "1", "."])
+                       for _ in range(rng.randrange(60)))
+        assert T.token_count(enc, text, short) == len(enc.encode_ordinary(text))
+
+
+def test_very_long_runs_of_blanks(spark):
+    n = 2_000_000
+    texts = [" " * n, " " * n + "word", "word" + "\n" * n + "word", "a" + " \n" * (n // 2) + " b"]
+    enc = T.encoding(open(T.VOCABULARY, "rb").read())
+    piece = lambda t: len(enc._encode_single_piece(t))
+    want = [piece(texts[0]), piece(" " * (n - 1)) + piece(" word"), 2 * piece("word") + piece("\n" * (n - 1)) + piece("\n"),
+            piece("a") + piece(" \n" * (n // 2)) + piece(" b")]
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["length"]: r["docs"] for r in T.histogram(docs).collect()}
+    assert got == {w: want.count(w) for w in want}

@@ -12,6 +12,7 @@ no window holds more than a block's lengths or the number of blocks.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,9 @@ from webkb.llm.common import cut, slices
 #: Fixed value: how byte-level BPE of this vocabulary splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Runs of at least this many blanks are cut out of what the pattern splits: it backtracks through a run.
+LONG_RUN = 10_000
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def encoding(vocabulary: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
@@ -42,11 +46,11 @@ def lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTER
         ranks = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(ranks, pattern).encode_ordinary
+        bpe = encoding(ranks, pattern)
         for batch in slices(batches, "text"):
             found: dict[int, int] = {}
             for text in batch.column("text").to_pylist():
-                n = sum(len(encode(part)) for part in pieces(text or ""))
+                n = token_count(bpe, text or "")
                 found[n] = found.get(n, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
                                              names=["length", "docs"])
@@ -54,6 +58,19 @@ def lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTER
     return docs.select("text").mapInArrow(run, "length long, docs long")
 
 
+def token_count(bpe: tiktoken.Encoding, text: str, runs: re.Pattern = BLANKS) -> int:
+    """Tokens of a whole text. A long run of blanks is one piece of the
+    pattern, but for its last blank where a word follows, which goes with the
+    word; such a piece is encoded by itself."""
+    total = at = 0
+    for run in runs.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        total += sum(len(bpe.encode_ordinary(part)) for part in pieces(text[at:run.start()]))
+        total += len(bpe._encode_single_piece(text[run.start():end]))
+        at = end
+    return total + sum(len(bpe.encode_ordinary(part)) for part in pieces(text[at:]))
+
+
 def pieces(text: str, most: int = 1 << 20) -> Iterator[str]:
     """A text in pieces of about ``most`` characters, cut where a letter
     follows a line break that follows a letter: the pattern never merges
@@ -70,14 +87,15 @@ def pieces(text: str, most: int = 1 << 20) -> Iterator[str]:
     yield text[start:]
 
 
-def histogram(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN, block: int = 1024) -> DataFrame:
+def histogram(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN, block: int = 256) -> DataFrame:
     """One row per distinct length: ``length, docs, docs_from, tokens_from``
     (documents of at least that length, and their tokens), ``docs_all,
     tokens_all, truncated_total`` (tokens left when every document is cut at
     that length) and ``quantile`` (share of documents of at most that length).
 
-    A NULL or empty text has length 0; other columns are not read; an empty
-    table gives an empty result.
+    A NULL or empty text has length 0; a text may be as long as a task's memory
+    allows, blanks without end included; repeated rows count each; other
+    columns are not read; an empty table gives an empty result.
     """
     counts = cut(lengths(docs, vocabulary, pattern).groupBy("length").agg(F.sum("docs").alias("docs"))
                  .withColumn("block", F.floor(F.col("length") / block)), "token-counts")
