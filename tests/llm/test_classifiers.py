@@ -2,8 +2,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from webkb.llm import quality, toxicity
+from webkb.llm.labelled import sample
 
 PATH = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, label int, order long, score double"
@@ -73,3 +75,18 @@ def test_keep_good(spark):
     assert kept.columns == docs.columns
     want = sorted(r.doc_id for r in quality.score_documents(docs, labels).collect() if r.predicted)
     assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+def test_a_label_of_long_texts_only_is_learned_too(spark):
+    """Texts within the bound come first; a label that has none of them gives the starts of its longest."""
+    docs = spark.createDataFrame([(i, "short text " + str(i)) for i in range(40)] + [(i, "long " * 5000) for i in range(40, 60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 40)) for i in range(60)], "doc_id long, quality int")
+    got, odds = sample(docs, labels, "quality", F.lit(True), 10, 1000)
+    assert got["label"].tolist() == [0] * 10 + [1] * 10 and odds == 20.5 / 40.5
+    assert all(len(t) == 1000 for t in got["text"][10:]) and all(len(t) < 20 for t in got["text"][:10])
+    mixed = docs.withColumn("text", F.when(F.col("doc_id") == 47, F.lit("few")).otherwise(F.col("text")))
+    got, _ = sample(mixed, labels, "quality", F.lit(True), 3, 1000)
+    assert got["text"].tolist()[3] == b"few" and len(got) == 6
+    none, odds = sample(docs, labels.limit(0), "quality", F.lit(True), 3, 1000)
+    assert len(none) == 0 and odds == 1.0
