@@ -1,7 +1,9 @@
 import random
 import re
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from webkb.llm import mixing
 
@@ -108,3 +110,19 @@ def test_ranks(spark):
     got = {r.source: r["rank"] for r in mixing.ranked(df).collect()}
     want = sorted(names, key=lambda s: (s is None, (s or "").encode()))
     assert got == {n: i for i, n in enumerate(want)}
+
+
+def test_many_equal_rows_are_one_row_while_picks_are_drawn(spark, monkeypatch):
+    """20,000 copies of one row, far beyond a group: no group sees more than one of them."""
+    rows = [(1, "a b c", "hot")] * 20_000 + [(i, "x " * (i % 7), "hot" if i % 2 else "cold") for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, group_rows=64)
+    per = got.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    found = {r.doc_id: r for r in per.collect()}
+    assert found[1].n == 20_000 and len(found) == 399
+    by_source = {r.source_size: r for r in got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()}
+    assert all(abs(r.taken - r.target) <= 64 for r in by_source.values())
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, mixing.mix(docs.repartition(7), group_rows=64).collect()))
+    group = pd.DataFrame({"doc_id": [1, 2], "row": [0, 0], "size": [3, 2], "source_size": [1, 1], "target": [1.0, 1.0],
+                            "whole": [0, 0], "same": [20_000, 1], "share": [0.25, 0.25], "draw": [0.5, 0.5]})
+    assert mixing._pick(group)["picked"].tolist() == [5000, 0]

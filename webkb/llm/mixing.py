@@ -14,6 +14,8 @@ taken stay within a short document of the group's share.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -71,16 +73,17 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
 
 
 def _pick(group: pd.DataFrame) -> pd.DataFrame:
-    """``picked`` 0 or 1 per document of one group: seeded, and near the share."""
+    """``picked``, how many of the ``same`` equal documents of each row of one
+    group are taken once more: seeded, and near the share."""
     group = group.sort_values(["size", "draw"], ascending=[False, True], kind="stable")
     picked, owed = [], 0.0
-    for size, share, draw in zip(group["size"], group["share"], group["draw"]):
-        owed += share * size
-        take = size > 0 and owed > draw * size
-        owed -= size if take else 0
-        picked.append(int(take))
+    for size, share, draw, same in zip(group["size"], group["share"], group["draw"], group["same"]):
+        owed += share * size * same
+        take = min(same, max(0, math.ceil(owed / size - draw))) if size > 0 else 0
+        owed -= size * take
+        picked.append(take)
     return group.assign(picked=np.array(picked, np.int64))[["doc_id", "row", "size", "source_size", "target",
-                                                            "whole", "picked"]]
+                                                            "whole", "same", "picked"]]
 
 
 def shares(docs: DataFrame, budget_share: float = 1.5, max_epochs: float = 2.0,
@@ -90,7 +93,9 @@ def shares(docs: DataFrame, budget_share: float = 1.5, max_epochs: float = 2.0,
 
     A NULL source is a source of its own; sources without words have target 0.
     Draws depend on (doc_id, row, seed) alone, so reruns agree and equal rows
-    are interchangeable. An empty table gives an empty result.
+    are interchangeable: they are one row with a count while picks are drawn,
+    however many there are. A NULL doc_id is an id like any other. An empty
+    table gives an empty result.
     """
     sources = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
@@ -103,14 +108,18 @@ def shares(docs: DataFrame, budget_share: float = 1.5, max_epochs: float = 2.0,
         (epochs - F.floor(epochs)).alias("share"),
         F.greatest(F.lit(1), F.ceil(F.col("docs") / group_rows)).cast("long").alias("salts")), "mix-plan")
     bits = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("row"))
-    joined = docs.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "row", "size", "source", "source_size", "target", "whole", "share",
+    distinct = docs.groupBy("doc_id", "row", "size", "source").agg(F.count("*").alias("same"))
+    joined = distinct.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "row", "size", "same", "source", "source_size", "target", "whole", "share",
         F.pmod(bits, F.col("salts")).alias("salt"),
         (F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("row")), 11)
          / F.lit(float(1 << 53))).alias("draw"))
     picked = joined.groupBy("source", "salt").applyInPandas(
-        _pick, "doc_id long, row long, size long, source_size long, target double, whole long, picked long")
-    return picked.withColumn("copies", F.col("whole") + F.col("picked")).drop("whole", "picked")
+        _pick, "doc_id long, row long, size long, source_size long, target double, whole long, same long, picked long")
+    # the first ``picked`` of the equal rows are taken once more
+    every = picked.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("same"))))
+    return every.withColumn("copies", F.col("whole") + (F.col("nth") <= F.col("picked")).cast("long")).drop(
+        "whole", "same", "picked", "nth")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
