@@ -3,9 +3,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from webkb.llm import substrings
 from webkb.llm.automaton import SuffixAutomaton
+from webkb.llm.common import text_key
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, first long, t1 string, n_chars long"
@@ -101,3 +103,16 @@ def test_automaton_first_ranks():
                 at = [r for t, r in seqs for j in range(len(t) - 3) if t[j:j + 4] == s[i:i + 4]]
                 want.append(min(at) if at else None)
             assert a.first_ranks(s, 4) == want
+
+
+def test_long_texts_of_one_repeated_word(spark):
+    """Two texts of one word beyond the bound are routed window by window: one window in all."""
+    rows = [(1, "same " * 3000), (2, "same " * 2500 + "end"), (3, "other " * 60), (4, "a b " * 1200), (5, "b a " * 1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.n_removed for r in substrings.digest(docs).collect()}
+    rank = docs.select(F.col("doc_id").alias("rank"), *text_key(), "text")
+    split = {r.first: r.spans for r in substrings.repeated(rank, hot_words=500).collect()}
+    whole = {r.first: r.spans for r in substrings.repeated(rank).collect()}
+    covered = lambda spans: {i for s in spans or () for i in range(s.start, s.start + s.windows)}
+    assert {d: covered(s) for d, s in split.items()} == {d: covered(s) for d, s in whole.items()}
+    assert kept == {1: 0, 2: 2500, 3: 0, 4: 0, 5: 2600}

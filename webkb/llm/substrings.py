@@ -15,10 +15,11 @@ Anchors only choose who meets: a hash collision costs work, never a result.
 
 Hot groups: equal texts are one text with its smallest doc_id before any
 segment is made, and equal segments are aggregated before the shuffle. An
-anchor with more than ``hot`` segments is routed window by window (each
-window by its own hash), so its windows spread over all shards and equal ones
-collapse map-side. A shard holds blocks of at most ``block_words`` words plus
-one group, and a group has at most ``hot`` segments.
+anchor with more than ``hot`` segments, or whose segments have more than
+``hot_words`` words in all (a long text of one repeated word is one segment),
+is routed window by window (each window by its own hash), so its windows
+spread over all shards and equal ones collapse map-side. A shard holds blocks
+of at most ``block_words`` words plus one group of at most ``hot_words``.
 """
 
 from __future__ import annotations
@@ -200,7 +201,7 @@ def _matched(segments: DataFrame, window: int, block_words: int) -> DataFrame:
 
 
 def repeated(docs: DataFrame, window: int = 50, gram: int = 16, hot: int = 2048,
-             block_words: int = 100_000) -> DataFrame:
+             block_words: int = 100_000, hot_words: int = 200_000) -> DataFrame:
     """``docs`` (rank, t1, t2, text) to one row per text: ``t1, t2``, its
     smallest rank ``first`` and ``spans``, the runs of windows (start,
     windows) of the text that also start in a document with a smaller rank
@@ -208,8 +209,10 @@ def repeated(docs: DataFrame, window: int = 50, gram: int = 16, hot: int = 2048,
     """
     found = cut(_segments(docs, window, gram), "substring-segments")
     shared = cut(found.groupBy("anchor").agg(
-        F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.count("*").alias("rows"))
-        .filter("lo != hi").select("anchor", (F.col("rows") > hot).alias("split")), "substring-anchors")
+        F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.count("*").alias("rows"),
+        F.sum(F.col("windows") + (window - 1)).alias("words"))
+        .filter("lo != hi").select("anchor", ((F.col("rows") > hot) | (F.col("words") > hot_words)).alias("split")),
+        "substring-anchors")
     firsts = cut(docs.groupBy("t1", "t2").agg(F.min("rank").alias("first")), "substring-firsts")
     wanted = cut(found.join(shared, "anchor").groupBy("t1", "t2").agg(
         F.collect_set(F.struct("start", "windows", "anchor", "split")).alias("wanted")).join(firsts, ["t1", "t2"]),
@@ -289,7 +292,9 @@ def remove(docs: DataFrame, window: int = 50, gram: int = 16, hot: int = 2048) -
 
     A text that loses words becomes its kept words joined by one space and
     ``n_chars`` (where the table has it) its new length; a text that loses all
-    its words is dropped; every other row is unchanged.
+    its words is dropped; every other row is unchanged. A NULL or empty text
+    stays as it is; a NULL doc_id ranks after every other; rows that repeat a
+    doc_id do not make each other's words go.
     """
     marked = _marked(docs, window, gram, hot)
     names = docs.columns
