@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tree_model import grow
 from webkb.llm import suffix_tree as S
 
 SCHEMA = "doc_id long, text string, score double, row long, n string"
@@ -68,7 +69,7 @@ def test_distributions_sum_to_one(spark):
     vocabulary = S._vocabulary(train).cache()
     total, distinct = sum(r.n for r in vocabulary.collect()), vocabulary.count()
     counts = {bytes(r.token): r.n for r in vocabulary.collect()}
-    tree = S.grow(train, vocabulary, total, distinct)
+    tree = grow(train, vocabulary, total, distinct)
     assert len(tree.levels) == 3 and any((~np.isnan(lv.rest)).any() for lv in tree.levels[1:])
     names = list(counts) + [b"\x00new"]
     for context in ([], [b"red"], [b"one", b"two"], [b"red", b"green"], [b"zzz", b"blue"], [b"a", b"red", b"blue"]):
@@ -85,7 +86,7 @@ def test_longest_suffix(spark):
     train = spark.createDataFrame(rows, "doc_id long, text string")
     vocabulary = S._vocabulary(train).cache()
     total, distinct = sum(r.n for r in vocabulary.collect()), vocabulary.count()
-    tree = S.grow(train, vocabulary, total, distinct)
+    tree = grow(train, vocabulary, total, distinct)
     text = tree.ids(S.tokens(rows[30][1]))
     got = tree.gains(text)
     width = len(tree.symbols)
@@ -125,7 +126,7 @@ def test_joined_values_are_the_tree(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     train = docs.filter(~(S.fold(docs.doc_id, 10) == 0))
     vocabulary = S._vocabulary(train).cache()
-    tree = S.grow(train, vocabulary, sum(r.n for r in vocabulary.collect()), vocabulary.count())
+    tree = grow(train, vocabulary, sum(r.n for r in vocabulary.collect()), vocabulary.count())
     want = sorted((d, sum(tree.gains(tree.ids(S.tokens(x)))) / math.log(10)) for d, x in rows)
     assert any(g > 1 for _, g in want)
     for slots in (20, 3):
@@ -145,3 +146,39 @@ def test_rare_states_stay_in_a_large_corpus(spark):
     got = [r for r in S.score_documents(docs).collect() if r.held_out]
     assert len(got) == 1 and got[0].train_tokens > 700_000
     assert got[0].score > got[0].base_score + 9
+
+
+def test_numbered_tokens_are_the_tokens():
+    import pyarrow as pa
+
+    texts = [None, "", " ", "a", "  A b\x0bC\x0c\rd\n\te  ", "É\x1cx \x85y", "word " * 50, "\x00 \x1f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]).slice(1)
+    distinct, codes, key, first, place = S._numbered(batch, S._Keys())
+    want = [S.tokens(t) for t in texts[1:]]
+    assert [distinct[c] for c in codes] == [w for ws in want for w in ws]
+    assert first.tolist() == [sum(map(len, want[:i])) for i in range(len(want))]
+    assert place.tolist() == [i for ws in want for i in range(len(ws))]
+    keys = S._Keys()
+    assert key.tolist() == [keys[w] for ws in want for w in ws]
+
+
+def test_no_repeated_ngram_is_left_out(spark):
+    """All bigrams that occur twice, in one text or in two, are in the bitmap; of the others hardly any."""
+    import random
+
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(40))) for _ in range(120)] + ["x x x", "only here", "twice over", "twice over"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    every = ~np.zeros(1 << S.MAP_WORDS, np.uint64)
+    keys, counts = S._Keys(), {}
+    for t in texts:
+        words = S.tokens(t)
+        for a, b in zip(words, words[1:]):
+            k = int(S._mix(np.array([keys[a]]), np.array([keys[b]]))[0])
+            counts[k] = counts.get(k, 0) + 1
+    bitmap = S._repeated(docs, [every])
+    found = dict(zip(counts, S._maybe(bitmap, np.array(list(counts))).tolist()))
+    assert all(found[k] for k, n in counts.items() if n > 1)
+    assert sum(found[k] for k, n in counts.items() if n == 1) <= 2
+    got = S._ngrams(docs, [every], bitmap).filter("n > 1").collect()
+    assert sorted(r.n for r in got) == sorted(n for n in counts.values() if n > 1)

@@ -16,6 +16,10 @@ the n-gram without its last word (``ctx``, its context) and without its first
 other; an n-gram is counted if both parts may be in the table before, which a
 bitmap of fixed size tells: a false yes costs a row and changes nothing.
 
+Most n-grams occur once and are dropped by the minimum count. They are left
+out before the count: a first pass sends four bytes of each hash, and only
+n-grams whose bytes occur twice are counted by the second.
+
 A token's log gain over the root is a sum over the n-grams that end at or
 before it: ``rest`` for each retained context and a correction for each stored
 token. So a text's gain is the sum of one value per n-gram in it, which is a
@@ -29,13 +33,13 @@ from __future__ import annotations
 import gc
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from functools import reduce
 from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,74 +53,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [*utf8(text).lower().split(), END]
 
 
-@dataclass
-class Level:
-    """States for contexts of one length, by number."""
-
-    parent: np.ndarray  # the suffix's number one level up
-    rest: np.ndarray  # log of what multiplies the parent's distribution; NaN: not retained
-    codes: np.ndarray  # sorted: state * symbols + token
-    gains: np.ndarray  # log of the stored probability over the root's
-
-
-@dataclass
-class Tree:
-    """A model held whole in one process, for small corpora."""
-
-    symbols: dict[bytes, int]
-    #: log root probability of each symbol
-    root: np.ndarray
-    #: per level: sorted codes (state above * symbols + earlier word) and the states they lead to
-    steps: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    levels: list[Level] = field(default_factory=list)
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.symbols.get, words, repeat(-1)), np.int64, len(words))
-
-    def contexts(self, ids: np.ndarray, level: int, above: np.ndarray) -> np.ndarray:
-        """For each place the number of its context of ``level`` words, -1 if there is none."""
-        codes, states = self.steps[level - 1]
-        out = np.full(len(ids), -1, np.int64)
-        if not len(codes) or len(ids) <= level:
-            return out
-        earlier = np.full(len(ids), -1, np.int64)
-        earlier[level:] = ids[:-level]
-        ok = np.flatnonzero((above >= 0) & (earlier >= 0))
-        code = above[ok] * len(self.symbols) + earlier[ok]
-        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-        out[ok] = np.where(codes[at] == code, states[at], -1)
-        return out
-
-    def step_gain(self, level: int, states: np.ndarray, ids: np.ndarray, gain: np.ndarray) -> np.ndarray:
-        """Log gains over the root, given those of the level above."""
-        of = self.levels[level - 1]
-        at = np.flatnonzero(states >= 0)
-        at = at[~np.isnan(of.rest[states[at]])]
-        out = gain.copy()
-        out[at] += of.rest[states[at]]
-        if len(of.codes):
-            known = at[ids[at] >= 0]
-            code = states[known] * len(self.symbols) + ids[known]
-            place = np.minimum(np.searchsorted(of.codes, code), len(of.codes) - 1)
-            hit = of.codes[place] == code
-            out[known[hit]] = of.gains[place[hit]]
-        return out
-
-    def gains(self, ids: np.ndarray) -> np.ndarray:
-        """Log of each token's probability over its root probability."""
-        gain, states = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-        for level in range(1, len(self.levels) + 1):
-            states = self.contexts(ids, level, states)
-            gain = self.step_gain(level, states, ids, gain)
-        return gain
-
-    def parent_gain(self, level: int, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Log gains of tokens after given states of ``level`` (0: the root)."""
-        if level == 0:
-            return np.zeros(len(ids))
-        return self.step_gain(level, states, ids, self.parent_gain(level - 1, self.levels[level - 1].parent[states], ids))
-
-
 #: A bitmap has 64 << MAP_WORDS bits, the table of hot values 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
@@ -148,17 +84,25 @@ class _Keys(dict):
         return key
 
 
-def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens of a batch of texts in one row: words, their keys, where each
-    text starts, and each token's place in its text."""
-    words: list[bytes] = []
-    starts = []
-    for text in batch.column("text").to_pylist():
-        starts.append(len(words))
-        words += tokens(text)
-    found = np.fromiter(map(keys.__getitem__, words), np.int64, len(words))
-    first = np.array(starts, np.int64)
-    return words, found, first, np.arange(len(words)) - np.repeat(first, np.diff(np.append(first, len(words))))
+def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of a batch of texts in one row: the distinct ones, the number
+    of each token among them, its key, where each text starts, and each
+    token's place in its text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column("text"), "")))
+    # a blank at either end leaves an empty part; the empty token is the end of each text
+    coded = pa.concat_arrays([parts.flatten(), pa.array([""], pa.string())]).dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    codes = coded.indices.to_numpy()
+    end, codes = codes[-1], codes[:-1]
+    text = np.repeat(np.arange(batch.num_rows), parts.value_lengths().to_numpy())
+    full = codes != end
+    codes, text = codes[full], text[full]
+    out = np.full(len(codes) + batch.num_rows, end, np.int64)
+    out[np.arange(len(codes)) + text] = codes
+    sizes = np.bincount(text, minlength=batch.num_rows) + 1
+    first = np.cumsum(sizes) - sizes
+    found = np.fromiter(map(keys.__getitem__, distinct), np.int64, len(distinct))
+    return distinct, out, found[out], first, np.arange(len(out)) - np.repeat(first, sizes)
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -181,6 +125,7 @@ def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        keys = _Keys()
 
         def full():
             out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
@@ -189,20 +134,100 @@ def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
             return out
 
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                counts.update(tokens(text))
-                if len(counts) > most:
-                    yield full()
+            distinct, codes, *_ = _numbered(batch, keys)
+            times = np.bincount(codes, minlength=len(distinct))
+            counts.update({word: n for word, n in zip(distinct, times.tolist()) if n})
+            if len(counts) > most:
+                yield full()
         if counts:
             yield full()
 
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _ngrams(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 22) -> DataFrame:
-    """Counts ``ctx, suf, n`` of the n-grams one word longer than those of the
+def _parts(batch: pa.RecordBatch, keys: _Keys, maps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``ctx, suf`` of the n-grams of a batch one word longer than those of the
     last of ``maps`` (bitmaps of the counted n-grams of 1, 2, ... words)."""
     length = len(maps) + 1
+    _, _, found, _, place = _numbered(batch, keys)
+    # the places where an n-gram of the table may end, and its key
+    ok, key = _maybe(maps[0], found), found
+    for m in range(2, length + 1):
+        at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= m - 1)) + 1
+        ctx, suf = key[at - 1], key[at]
+        if m < length:
+            longer = _mix(ctx, suf)
+            at, longer = (x[_maybe(maps[m - 1], longer)] for x in (at, longer))
+            ok, key = np.zeros(len(found), bool), np.zeros(len(found), np.int64)
+            ok[at], key[at] = True, longer
+    return ctx, suf
+
+
+def _repeated(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 23) -> np.ndarray:
+    """A bitmap of the n-grams (as in :func:`_parts`) that may occur twice.
+
+    Keys are dealt to 256 slices by their first byte; a task sends the next
+    four bytes of each key it has found, once, apart by whether it has found
+    it twice. A slice's bytes that come twice set its part of the bitmap. An
+    n-gram that occurs twice is never missed; the parts, of fixed size, come
+    to the driver."""
+    width = (64 << MAP_WORDS) // 256 // 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        keys = _Keys()
+
+        def full():
+            key, n = np.unique(np.concatenate(held).view(np.uint64) >> np.uint64(24), return_counts=True)
+            held.clear()
+            low, many = key.astype(np.uint32), n > 1
+            edges = np.searchsorted(key, np.arange(257, dtype=np.uint64) << np.uint64(32))
+            rows = [(i, low[a:b][~many[a:b]].tobytes(), low[a:b][many[a:b]].tobytes())
+                    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                                              names=["slice", "once", "more"])
+
+        for batch in slices(batches, "text"):
+            held.append(_mix(*_parts(batch, keys, maps)))
+            if sum(map(len, held)) > most:
+                yield full()
+        if sum(map(len, held)):
+            yield full()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, once, more = None, [], []
+
+        def bits():
+            low, n = np.unique(np.frombuffer(b"".join(once), np.uint32), return_counts=True)
+            low = np.concatenate([low[n > 1], np.frombuffer(b"".join(more), np.uint32)])
+            cells = np.zeros(width * 8, bool)
+            cells[low >> np.uint32(32 - (width * 8).bit_length() + 1)] = True
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array(
+                [np.packbits(cells, bitorder="little").tobytes()], pa.binary())], names=["slice", "bits"])
+
+        for batch in batches:
+            for part, few, many in zip(*(batch.column(c).to_pylist() for c in ("slice", "once", "more"))):
+                if part != now:
+                    if now is not None:
+                        yield bits()
+                    now, once, more = part, [], []
+                once.append(few)
+                more.append(many)
+        if now is not None:
+            yield bits()
+
+    sent = docs.select("text").mapInArrow(run, "slice int, once binary, more binary")
+    got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, bits binary"), "tree-repeated")
+    out = np.zeros((256, width // 8), np.uint64)
+    for row in got.collect():
+        out[row["slice"]] = np.frombuffer(row["bits"], "<u8")
+    drop_cut(got)
+    return out.ravel()
+
+
+def _ngrams(docs: DataFrame, maps: list[np.ndarray], wanted: np.ndarray, most: int = 1 << 22) -> DataFrame:
+    """Counts ``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be
+    in the bitmap ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -218,18 +243,9 @@ def _ngrams(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 22) -> Dat
                                                  names=["ctx", "suf", "n"])
 
         for batch in slices(batches, "text"):
-            _, found, _, place = _numbered(batch, keys)
-            # the places where an n-gram of the table may end, and its key
-            ok, key = _maybe(maps[0], found), found
-            for m in range(2, length + 1):
-                at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= m - 1)) + 1
-                ctx, suf = key[at - 1], key[at]
-                if m < length:
-                    longer = _mix(ctx, suf)
-                    at, longer = (x[_maybe(maps[m - 1], longer)] for x in (at, longer))
-                    ok, key = np.zeros(len(found), bool), np.zeros(len(found), np.int64)
-                    ok[at], key[at] = True, longer
-            held.append((ctx, suf))
+            ctx, suf = _parts(batch, keys, maps)
+            again = _maybe(wanted, _mix(ctx, suf))
+            held.append((ctx[again], suf[again]))
             if sum(len(x) for x, _ in held) > most:
                 yield from full()
         if held:
@@ -262,7 +278,8 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     maps, levels = [], []
     for _ in range(depth):
         maps.append(_bitmap(last))
-        counted = _ngrams(docs, maps).filter(F.col("n") >= least)
+        counted = _ngrams(docs, maps, _repeated(docs, maps) if least > 1 else ~np.zeros_like(maps[0])).filter(
+            F.col("n") >= least)
         tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
                      .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
         own, above = F.log((F.col("n") - discount) / F.col("total")), F.col("above")
@@ -298,34 +315,6 @@ def _values(levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
 
 
-def grow(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, **settings) -> Tree:
-    """The model of the training texts ``docs`` (text) as a tree on the driver: for small corpora."""
-    found = vocabulary.orderBy(F.desc("n"), "token").collect()
-    counts = np.array([r["n"] for r in found], float)
-    tree = Tree({bytes(r["token"]): i for i, r in enumerate(found)}, np.log((counts + 0.1) / (total + 0.1 * (distinct + 1))))
-    if not found:
-        return tree
-    keys, width = _Keys(), len(found)
-    # of each n-gram by key: its first and last word, and its number as a context
-    first = {keys[word]: i for word, i in tree.symbols.items()}
-    final, states = dict(first), {key: (i, 0) for key, i in first.items()}
-    for level, rests in model(docs, vocabulary, total, distinct, parts=("ctx", "suf"), **settings):
-        order = sorted((parent * width + word, key, parent) for key, (word, parent) in states.items())
-        number = {key: i for i, (_, key, _) in enumerate(order)}
-        tree.steps.append((np.array([code for code, _, _ in order], np.int64), np.arange(len(order))))
-        rest = np.full(len(order), np.nan)
-        for r in rests.collect():
-            rest[number[r["key"]]] = r["rest"]
-        rows = level.collect()
-        stored = sorted((number[r["ctx"]] * width + final[r["suf"]], r["p"]) for r in rows if r["adj"] is not None)
-        codes = np.array([code for code, _ in stored], np.int64)
-        tree.levels.append(Level(np.array([parent for _, _, parent in order], np.int64), rest, codes,
-                                 np.array([own for _, own in stored]) - tree.root[codes % width]))
-        states = {r["key"]: (first[r["ctx"]], number[r["suf"]]) for r in rows if r["suf"] in number}
-        first, final = ({r["key"]: old[r[part]] for r in rows} for old, part in ((first, "ctx"), (final, "suf")))
-    return tree
-
-
 def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth: int = 3, **settings) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score`` (log10).
@@ -358,8 +347,8 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = _Keys()
         for batch in slices(batches, "text", 4 << 20):
-            words, key, starts, place = _numbered(batch, keys)
-            base = np.fromiter(map(common_base.get, words, repeat(np.nan)), float, len(words))
+            distinct, words, key, starts, place = _numbered(batch, keys)
+            base = np.fromiter(map(common_base.get, distinct, repeat(np.nan)), float, len(distinct))[words]
             rare = np.isnan(base)
             per_text = lambda x: np.add.reduceat(x, starts)
             offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
@@ -384,7 +373,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
                 [batch.column("doc_id"), pa.array(np.diff(np.append(starts, len(words)))),
                  pa.array(per_text(np.where(rare, 0.0, base))), pa.array(per_text(gain) / np.log(10)),
                  pa.ListArray.from_arrays(offsets(per_text(rare.astype(np.int64))),
-                                          pa.array([words[i] for i in np.flatnonzero(rare)], pa.binary())),
+                                          pa.array([distinct[i] for i in words[rare]], pa.binary())),
                  pa.ListArray.from_arrays(offsets(np.bincount(far_text, minlength=len(starts))), pa.array(far_key[order]))],
                 names=["doc_id", "n_tokens", "common", "gain", "rare", "far"])
 
