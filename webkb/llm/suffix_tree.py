@@ -40,6 +40,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def tokens(text: str | None) -> list[bytes]:
     return [*utf8(text).lower().split(), END]
 
 
-#: A bitmap has 64 << MAP_WORDS bits, the table of hot values 1 << HOT_SLOTS places.
+#: A bitmap has at most 64 << MAP_WORDS bits, the table of hot values at most 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
 
@@ -105,18 +106,25 @@ def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarr
     return distinct, out, found[out], first, np.arange(len(out)) - np.repeat(first, sizes)
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """One bit for the first bits of each ``key``: at most ``1 << MAP_WORDS`` rows come to the driver."""
-    word = F.shiftrightunsigned("key", 64 - MAP_WORDS).alias("word")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - MAP_WORDS}) & 63 as int))")
+def _bits(n: int) -> int:
+    """The size of a bitmap for ``n`` keys: a cell in eight or sixteen is set, up to the largest size there is."""
+    return min(6 + MAP_WORDS, max(12, int(8 * n).bit_length()))
+
+
+def _bitmap(keys: DataFrame) -> Broadcast:
+    """One bit for the first bits of each ``key``: at most ``1 << MAP_WORDS``
+    rows come to the driver, and are sent to each executor once."""
+    bits = _bits(keys.count())
+    word = F.shiftrightunsigned("key", 64 - bits + 6).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 as int))")
     got = keys.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << MAP_WORDS, np.uint64)
+    out = np.zeros(1 << bits - 6, np.uint64)
     out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return out
+    return keys.sparkSession.sparkContext.broadcast(out)
 
 
 def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    top = keys.view(np.uint64) >> np.uint64(58 - MAP_WORDS)
+    top = keys.view(np.uint64) >> np.uint64(59 - len(bitmap).bit_length())
     return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) > 0
 
 
@@ -145,33 +153,32 @@ def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _parts(batch: pa.RecordBatch, keys: _Keys, maps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _parts(batch: pa.RecordBatch, keys: _Keys, maps: list[Broadcast]) -> tuple[np.ndarray, np.ndarray]:
     """``ctx, suf`` of the n-grams of a batch one word longer than those of the
     last of ``maps`` (bitmaps of the counted n-grams of 1, 2, ... words)."""
     length = len(maps) + 1
     _, _, found, _, place = _numbered(batch, keys)
     # the places where an n-gram of the table may end, and its key
-    ok, key = _maybe(maps[0], found), found
+    ok, key = _maybe(maps[0].value, found), found
     for m in range(2, length + 1):
         at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= m - 1)) + 1
         ctx, suf = key[at - 1], key[at]
         if m < length:
             longer = _mix(ctx, suf)
-            at, longer = (x[_maybe(maps[m - 1], longer)] for x in (at, longer))
+            at, longer = (x[_maybe(maps[m - 1].value, longer)] for x in (at, longer))
             ok, key = np.zeros(len(found), bool), np.zeros(len(found), np.int64)
             ok[at], key[at] = True, longer
     return ctx, suf
 
 
-def _repeated(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 23) -> np.ndarray:
+def _repeated(docs: DataFrame, maps: list[Broadcast], most: int = 1 << 23) -> Broadcast:
     """A bitmap of the n-grams (as in :func:`_parts`) that may occur twice.
 
     Keys are dealt to 256 slices by their first byte; a task sends the next
     four bytes of each key it has found, once, apart by whether it has found
     it twice. A slice's bytes that come twice set its part of the bitmap. An
-    n-gram that occurs twice is never missed; the parts, of fixed size, come
+    n-gram that occurs twice is never missed; the parts, of bounded size, come
     to the driver."""
-    width = (64 << MAP_WORDS) // 256 // 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -197,35 +204,45 @@ def _repeated(docs: DataFrame, maps: list[np.ndarray], most: int = 1 << 23) -> n
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, once, more = None, [], []
 
-        def bits():
+        def twice():
             low, n = np.unique(np.frombuffer(b"".join(once), np.uint32), return_counts=True)
             low = np.concatenate([low[n > 1], np.frombuffer(b"".join(more), np.uint32)])
-            cells = np.zeros(width * 8, bool)
-            cells[low >> np.uint32(32 - (width * 8).bit_length() + 1)] = True
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array(
-                [np.packbits(cells, bitorder="little").tobytes()], pa.binary())], names=["slice", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([low.tobytes()], pa.binary())],
+                                              names=["slice", "low"])
 
         for batch in batches:
             for part, few, many in zip(*(batch.column(c).to_pylist() for c in ("slice", "once", "more"))):
                 if part != now:
                     if now is not None:
-                        yield bits()
+                        yield twice()
                     now, once, more = part, [], []
                 once.append(few)
                 more.append(many)
         if now is not None:
-            yield bits()
+            yield twice()
 
     sent = docs.select("text").mapInArrow(run, "slice int, once binary, more binary")
-    got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, bits binary"), "tree-repeated")
-    out = np.zeros((256, width // 8), np.uint64)
-    for row in got.collect():
+    got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, low binary"), "tree-repeated")
+    bits = _bits(got.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0)
+    cells = max(64, 1 << bits - 8)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked = []
+            for low in batch.column("low").to_pylist():
+                part = np.zeros(cells, bool)
+                part[np.frombuffer(low, np.uint32) >> np.uint32(33 - cells.bit_length())] = True
+                marked.append(np.packbits(part, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(marked, pa.binary())], names=["slice", "bits"])
+
+    out = np.zeros((256, cells // 64), np.uint64)
+    for row in got.mapInArrow(mark, "slice int, bits binary").collect():
         out[row["slice"]] = np.frombuffer(row["bits"], "<u8")
     drop_cut(got)
-    return out.ravel()
+    return docs.sparkSession.sparkContext.broadcast(out.ravel())
 
 
-def _ngrams(docs: DataFrame, maps: list[np.ndarray], wanted: np.ndarray, most: int = 1 << 22) -> DataFrame:
+def _ngrams(docs: DataFrame, maps: list[Broadcast], wanted: Broadcast, most: int = 1 << 22) -> DataFrame:
     """Counts ``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be
     in the bitmap ``wanted``."""
 
@@ -244,7 +261,7 @@ def _ngrams(docs: DataFrame, maps: list[np.ndarray], wanted: np.ndarray, most: i
 
         for batch in slices(batches, "text"):
             ctx, suf = _parts(batch, keys, maps)
-            again = _maybe(wanted, _mix(ctx, suf))
+            again = _maybe(wanted.value, _mix(ctx, suf))
             held.append((ctx[again], suf[again]))
             if sum(len(x) for x, _ in held) > most:
                 yield from full()
@@ -278,8 +295,8 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     maps, levels = [], []
     for _ in range(depth):
         maps.append(_bitmap(last))
-        counted = _ngrams(docs, maps, _repeated(docs, maps) if least > 1 else ~np.zeros_like(maps[0])).filter(
-            F.col("n") >= least)
+        wanted = _repeated(docs, maps) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
+        counted = _ngrams(docs, maps, wanted).filter(F.col("n") >= least)
         tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
                      .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
         own, above = F.log((F.col("n") - discount) / F.col("total")), F.col("above")
@@ -296,8 +313,11 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
             F.xxhash64("ctx", "suf").alias("key"), "n", p.alias("p"),
             F.when(kept, own - above - F.col("rest")).alias("adj"), *parts), "tree-level")
         drop_cut(tested)
+        wanted.destroy()
         _release(docs)
         levels.append((last, rests))
+    for sent in maps:
+        sent.destroy()
     return levels
 
 
@@ -330,11 +350,12 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     values = cut(_values(model(train, vocabulary, total, distinct, depth=depth, **settings)), "tree-values")
     _release(docs)
-    slot = F.shiftrightunsigned("key", 64 - HOT_SLOTS)
+    slots = min(HOT_SLOTS, max(8, values.count().bit_length()))
+    slot = F.shiftrightunsigned("key", 64 - slots)
     hot = cut(values.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "key", "value")).alias("top")).select(
         "slot", "top.key", "top.value"), "tree-hot")
     got = hot.toArrow()
-    hot_keys, hot_values = np.zeros(1 << HOT_SLOTS, np.int64), np.zeros(1 << HOT_SLOTS)
+    hot_keys, hot_values = np.zeros(1 << slots, np.int64), np.zeros(1 << slots)
     hot_keys[got.column("slot").to_numpy()] = got.column("key").to_numpy()
     hot_values[got.column("slot").to_numpy()] = got.column("value").to_numpy()
     others = values.join(hot.select("key"), "key", "left_anti").select("key", "value")
@@ -361,10 +382,10 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
                     longer[at] = _mix(key[at - 1], key[at])
                     key = longer
                 here = key[at]
-                top = here.view(np.uint64) >> np.uint64(64 - HOT_SLOTS)
+                top = here.view(np.uint64) >> np.uint64(64 - slots)
                 hit = hot_keys[top] == here
                 gain[at[hit]] += hot_values[top[hit]]
-                at = at[~hit & _maybe(known, here)]
+                at = at[~hit & _maybe(known.value, here)]
                 far_key.append(key[at])
                 far_text.append(text[at])
             far_key, far_text = np.concatenate(far_key), np.concatenate(far_text)
