@@ -3,6 +3,11 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
 written as Parquet and reread as the next stage's ``docs``. All stages but
 the last return the columns of ``docs``.
+
+In every stage a NULL text is an empty one, rows without a doc_id are rows like
+any other (and rank last where ids are compared), repeated rows stay as many as
+they are unless the stage removes copies, columns the stage does not read pass
+through, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
