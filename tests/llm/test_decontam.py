@@ -153,3 +153,45 @@ def test_recall_of_short_items(spark):
             docs.append((len(docs), " ".join(["a", *("x" if p in gone else u for p, u in enumerate(w)), "c"])))
     want = compare(spark, docs, items)
     assert {r[1] for r in want} == {*range(1, 13), None}
+
+
+def test_repeated_words_give_a_hit_per_alignment(spark):
+    item, n = "the " * 200, 20_000
+    a = spark.createDataFrame([(1, "the " * n, 1, "x", 1), (2, "a the " * 3000, 1, "x", 1)], SCHEMA)
+    b = spark.createDataFrame([(1, item, "x"), (2, "the a " * 100, "x")], "item_id long, text string, words string")
+    assert found(D.contaminated(a, b)) == [(1, 1, 200, 200, 200), (2, 2, 200, 200, 200)]
+    masks = D.masks_for(13)
+    words = a.select("doc_id", D.word_hashes(D.F.col("text")).alias("words"))
+    items = b.select("item_id", D.word_hashes(D.F.col("text")).alias("item")).withColumn("key", D.F.xxhash64("item"))
+    hits = D._hits(words, items, D.F.lit(True), ["doc_id"], masks)
+    assert hits.filter("doc_id = 1 and item_id = 1").count() <= len(masks) * (n + 200)
+
+
+def test_long_item_is_split_by_place(spark):
+    rng = random.Random(8)
+    w = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    a = spark.createDataFrame([(1, " ".join(w[9000:9030]), 1, "x", 1), (2, " ".join(w), 1, "x", 1), (3, "w1 w2", 1, "x", 1),
+                               (4, " ".join(f"v{i}" if i % 5 == 4 else x for i, x in enumerate(w[19_970:])), 1, "x", 1)], SCHEMA)
+    b = spark.createDataFrame([(1, " ".join(w), "x"), (2, "", "x")], "item_id long, text string, words string")
+    want = [(1, 1, 20_000, 30, 30), (2, 1, 20_000, 20_000, 20_000), (4, 1, 20_000, 30, 24)]
+    assert found(D.contaminated(a, b)) == want
+    assert found(D.contaminated(a, b, block_windows=30_000)) == want
+
+
+def test_blocks_cover_each_window_once(spark):
+    """No block holds much more than its bound, in windows and in words sent with them."""
+    sizes = [5, 9, 12, 13, 40, 40, 41, 300, 2000]
+    b = spark.createDataFrame([(i, " ".join(f"i{i}x{p}" for p in range(n))) for i, n in enumerate(sizes)],
+                              "item_id long, text string")
+    items = b.select("item_id", D.word_hashes(D.F.col("text")).alias("item")).withColumns(
+        {"key": D.F.xxhash64("item_id", "item"), "windows": D.window_count(D.F.size("item"))})
+    blocks, masks = D.blocks_of(items, 1000)
+    need = D.F.least(D.F.size("words"), D.F.lit(13))
+    every = []
+    for of, places in blocks:
+        part = items.filter(of)
+        rows = [tuple(r) for r in D.seeded(part.select("key", D.F.col("item").alias("words")), masks, need)
+                .withColumnRenamed("at", "item_at").filter(places).select("key", "item_at", "seed").collect()]
+        assert len(rows) <= 2000
+        every += rows
+    assert len(every) == len(set(every)) == sum(r.windows for r in items.collect())

@@ -9,9 +9,15 @@ and of the benchmark items and joined. A hit fixes how the two texts align
 (a diagonal); around it the aligned words are compared one by one, and the
 overlap counts if enough of them are equal.
 
-The benchmark's hashes are broadcast in blocks whose size is proven by a count
-of its windows (``block_windows`` a block); a larger benchmark takes more
-passes over the documents instead of a larger broadcast.
+Along an alignment only the first of consecutive windows that are equal word
+by word is a hit, so texts of one repeated word give a hit per alignment and
+mask, not one per pair of places.
+
+What is broadcast are the benchmark's windows (hashes and places) and, once
+each, the words of the items they are from. Both come in blocks of about
+``block_windows`` windows by a count taken before; an item of more is a block
+of its own or several, split by place. A larger benchmark takes more passes
+over the documents instead of a larger broadcast.
 """
 
 from __future__ import annotations
@@ -80,75 +86,117 @@ def seeded(texts: DataFrame, masks: list[tuple[int, tuple[int, ...]]], length: C
     return windows.withColumn("seed", F.explode(F.array(*seeds))).filter(F.col("seed").isNotNull())
 
 
+def window_before(words: str, at: str) -> Column:
+    """Hash of the ``SPAN`` words from the place before ``at`` on."""
+    return F.xxhash64(*[F.get(words, F.col(at) + (p - 1)) for p in range(SPAN)])
+
+
+def window_count(size: Column) -> Column:
+    """Windows under all their masks of an item of ``size`` words."""
+    def of(need: int) -> Column:
+        return reduce(Column.__add__, [F.greatest(F.lit(0), size - (span - 1)) for span, _ in masks_for(need)])
+
+    counts = F.when(size >= 13, of(13))
+    for need in range(1, 13):
+        counts = counts.when(size == need, of(need))
+    return counts.cast("long")
+
+
+def blocks_of(items: DataFrame, block_windows: int) -> tuple[list[tuple[Column, Column]], list]:
+    """Conditions on items and on the places ``item_at`` of their windows, each
+    of about ``block_windows`` windows at most, that cover ``items`` (key, item,
+    windows) once; and the masks that the items need."""
+    split = F.col("windows") > block_windows // 4
+    length = F.least(F.size("item"), F.lit(13))
+    small = items.groupBy(length, split).agg(F.sum("windows")).sort(F.desc(length)).collect()
+    masks = []
+    for need, _, _ in small:
+        masks += [m for m in masks_for(need) if m not in masks]
+    n = -(-sum(total for _, long, total in small if not long) // block_windows)
+    blocks = [(~split & (F.pmod(F.col("key"), F.lit(n)) == b), F.lit(True)) for b in range(n)]
+    # a block of such an item each, so their list is no longer than that of the passes
+    for key, size, windows in items.filter(split).select("key", F.size("item"), "windows").sort("key").collect():
+        step = -(-size // -(-windows // block_windows))
+        blocks += [(F.col("key") == key, (F.col("item_at") >= low) & (F.col("item_at") < low + step))
+                   for low in range(0, size, step)]
+    return blocks, masks
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = 13, least_equal: float = 0.8,
              block_windows: int = 500_000) -> DataFrame:
     """Verified overlaps of ``docs`` (text and any key columns) with
     ``benchmark`` (item_id, text): the key columns with ``item_id,
     item_words, overlap_words, equal_words`` of the best alignment.
 
-    Two texts overlap if along one alignment, around a hit, a stretch of
+    Two texts overlap if along one alignment that has a hit a stretch of
     ``least_words`` words (of the whole item, where that is shorter) has at
     least ``least_equal`` of its words equal at the same places.
 
     Items and documents without words give no evidence and no row; a NULL text
-    counts as empty, a NULL item_id is an item like any other. Repeated documents and items give the same rows as single ones. An
-    empty table on either side gives an empty result.
+    counts as empty, a NULL item_id is an item like any other. Repeated documents and
+    items give the same rows as single ones. An empty table on either side gives
+    an empty result. Very long texts and items are compared whole; a pair of
+    texts that repeat a few words costs a probe per pair of equal windows, and a
+    comparison per alignment.
     """
     keys = [c for c in docs.columns if c != "text"]
     if least_words < 13 or least_equal < 0.8:
         raise ValueError("the masks find stretches of at least 13 words, 80% equal")
-    items = cut(benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("item"))
-                .filter(F.size("item") >= 1).distinct(), "decontam-items")
-    length = F.least(F.size("item"), F.lit(13))
-    windows, masks = 0, []
-    for need, n, total in items.groupBy(length).agg(F.count("*"), F.sum(F.size("item"))).sort(F.desc(length)).collect():
-        here = masks_for(need)
-        windows += sum(total - n * (span - 1) for span, _ in here)
-        masks += [m for m in here if m not in masks]
-    masks = masks or masks_for(13)
-    blocks = max(1, -(-windows // block_windows))
+    item = word_hashes(F.coalesce("text", F.lit("")))
+    items = cut(benchmark.select("item_id", item.alias("item")).filter(F.size("item") >= 1).distinct()
+                .withColumns({"key": F.xxhash64("item_id", "item"), "windows": window_count(F.size("item"))}),
+                "decontam-items")
+    blocks, masks = blocks_of(items, block_windows)
+    blocks, masks = blocks or [(F.lit(False), F.lit(False))], masks or masks_for(13)
     words = docs.select(*[F.col(f"`{k}`") for k in keys], word_hashes(F.coalesce("text", F.lit(""))).alias("words"))
-    passes = []
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block) if blocks > 1 else items
-        passes.append(_verified(_hits(words, part, keys, masks), keys, least_words, least_equal))
-    every = reduce(DataFrame.unionByName, passes)
+    every = reduce(DataFrame.unionByName, [
+        _verified(_hits(words, items.filter(of), places, keys, masks), keys, least_words, least_equal)
+        for of, places in blocks])
     best = F.max(F.struct("equal_words", "overlap_words", "item_words")).alias("best")
     return every.groupBy(*keys, "item_id").agg(best).select(
         *keys, "item_id", "best.item_words", "best.overlap_words", "best.equal_words")
 
 
-def _hits(words: DataFrame, items: DataFrame, keys: list[str], masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
+def _hits(words: DataFrame, items: DataFrame, places: Column, keys: list[str],
+          masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
     """One row per hit: the item, and the words of the document aligned with
     it from item word ``first`` on."""
     need = F.least(F.size("words"), F.lit(13))
-    reference = seeded(items.withColumnRenamed("item", "words"), masks, need).select(
-        "item_id", F.col("words").alias("item"), F.col("at").alias("item_at"), "seed")
+    windows = seeded(items.select("key", F.col("item").alias("words")), masks, need).withColumnRenamed("at", "item_at")
+    before = F.when((F.col("item_at") >= 1) & (F.col("item_at") + (SPAN - 1) <= F.size("words")),
+                    window_before("words", "item_at"))
+    windows = windows.filter(places).select(F.col("seed").alias("item_seed"), "key", "item_at", before.alias("before"))
+    texts = items.select(F.col("key").alias("item_key"), "item_id", "item")
+    first_of_run = F.col("before").isNull() | (F.col("before") != window_before("words", "at"))
     shift = F.col("at") - F.col("item_at")
     first = F.greatest(F.lit(0), -shift)
     n = F.least(F.size("item"), F.size("words") - shift) - first
-    return seeded(words, masks).join(F.broadcast(reference), "seed").select(
-        *keys, "item_id", "item", "item_at", first.alias("first"),
-        F.slice("words", first + shift + 1, n).alias("aligned"))
+    return (seeded(words, masks)
+            .join(F.broadcast(windows), (F.col("seed") == F.col("item_seed")) & first_of_run)
+            .join(F.broadcast(texts), F.col("key") == F.col("item_key"))
+            .select(*keys, "item_id", "item", first.alias("first"),
+                    F.slice("words", first + shift + 1, n).alias("aligned")))
 
 
 def _verified(hits: DataFrame, keys: list[str], least_words: int, least_equal: float) -> DataFrame:
-    """Compare the aligned words around each hit; keep alignments that hold."""
+    """Compare the aligned words of each hit; keep alignments with a stretch that holds."""
     n, item_words = F.size("aligned"), F.size("item")
-    need = F.least(F.lit(least_words), item_words)
     equal = F.zip_with(F.slice("item", F.col("first") + 1, n), F.col("aligned"),
                        lambda a, b: F.when(a == b, 1).otherwise(0))
-    # the best stretch of ``need`` aligned words that meets the window of the hit
-    hit = F.col("item_at") - F.col("first")
-    low = F.greatest(F.lit(0), hit - F.col("need") + 1)
-    high = F.least(n - F.col("need"), hit + SPAN - 1)
-    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
-    stretch = F.when(n >= F.col("need"), F.array_max(F.transform(
-        F.sequence(low, F.greatest(low, high)), lambda i: total(F.slice("equal", i + 1, F.col("need"))))))
+
+    def slide(state: Column, i: Column) -> Column:
+        gone = F.when(i >= F.col("need"), F.get("equal", (i - F.col("need")).cast("int"))).otherwise(0)
+        here = state["sum"] + F.get("equal", i) - gone
+        return F.struct(here.alias("sum"), F.when(i >= F.col("need") - 1, F.greatest(state["best"], here))
+                        .otherwise(state["best"]).alias("best"))
+
+    start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("best"))
+    stretch = F.when(n >= F.col("need"), F.aggregate(F.sequence(F.lit(0), n - 1), start, slide, lambda s: s["best"]))
     # a generator, as a filter would move into the join and take it out of compiled code
-    compared = hits.withColumns({"equal": equal, "need": need}).withColumn("stretch", stretch)
+    compared = hits.withColumns({"equal": equal, "need": F.least(F.lit(least_words), item_words)}).withColumn("stretch", stretch)
     holds = F.col("stretch") >= F.col("need") * least_equal
-    row = F.struct(item_words.alias("item_words"), n.alias("overlap_words"), total(F.col("equal")).alias("equal_words"))
+    total = F.aggregate("equal", F.lit(0), lambda s, x: s + x)
+    row = F.struct(item_words.alias("item_words"), n.alias("overlap_words"), total.alias("equal_words"))
     return compared.select(*keys, "item_id", F.explode(F.when(holds, F.array(row))).alias("row")).select(
         *keys, "item_id", "row.*")
 
