@@ -387,11 +387,13 @@ def test_build_kb_hooks(spark):
 
 
 def test_export_objects_one_file_each(spark, tmp_path):
+    from webkb.operators import export as EX
+
     df = spark.createDataFrame([("J/raw/a.html", bytearray(b"<p>a</p>")), ("J/processed/a.md", bytearray(b"a"))],
                                "path string, content binary")
     with pytest.raises(ValueError):
-        ST.export_objects(df, str(tmp_path))
-    listing = ST.export_objects(df, f"file://{tmp_path}")
+        EX.export_objects(df, str(tmp_path))
+    listing = EX.export_objects(df, f"file://{tmp_path}")
     assert sorted(tuple(r) for r in listing.collect()) == [("J/processed/a.md", 1), ("J/raw/a.html", 8)]
     assert (tmp_path / "J/raw/a.html").read_bytes() == b"<p>a</p>"
 

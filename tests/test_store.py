@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webkb.functions import paths as PA
+from webkb.operators import export as EX
 from webkb.operators import store as ST
 from webkb.session import delete_path, scratch_path
 from webkb.sources import tables as TB
@@ -171,3 +172,75 @@ def test_paths_of_elements_are_hex_prefixed(spark):
     """The digits that lay out the table are those of the id's hash."""
     got = spark.range(1).select(PA.element_id(F.lit("0"), F.lit(JOB)).alias("k")).first().k
     assert got == key(0)
+
+
+def objects(spark, texts, order=None):
+    return spark.createDataFrame(
+        [(f"{JOB}/raw/{i}.html", f"{i}", bytearray(t.encode()), "text/html", hashlib.sha256(t.encode()).hexdigest(), order, JOB, "raw")
+         for i, t in texts],
+        "path string, element_id string, content binary, content_type string, checksum string, order_key long, job_id string, "
+        "stage string").coalesce(1)
+
+
+def held(df):
+    return sorted((r.path.rsplit("/", 1)[1], r.content.decode()) for r in df.select("path", "content").collect())
+
+
+def file_names(spark, root):
+    return {r[0] for r in TB.object_rows(spark, root).select("file_path").distinct().collect()}
+
+
+def test_compaction_rewrites_the_files_with_overwritten_rows_alone(spark):
+    root = scratch_path(spark, "t-compact") + "/a b"
+    for texts in ([(1, "one"), (2, "two")], [(3, "three"), (4, "")], [(5, "five")]):
+        ST.write_objects(objects(spark, texts), root)
+    old = file_names(spark, root)
+    assert ST.compact_objects(spark, root) == [] and file_names(spark, root) == old
+    ST.write_objects(objects(spark, [(2, "two again"), (6, "six"), (6, "six")]), root)
+    want = [("1.html", "one"), ("2.html", "two again"), ("3.html", "three"), ("4.html", ""), ("5.html", "five"), ("6.html", "six")]
+    assert held(TB.read_objects(spark, root)) == want
+    before = file_names(spark, root)
+    replaced = ST.compact_objects(spark, root)
+    after = file_names(spark, root)
+    assert len(replaced) == 2 and after & before == before - set(replaced) and len(old & after) == 2
+    assert held(TB.read_object_rows(spark, root)) == held(TB.read_objects(spark, root)) == want
+    assert ST.compact_objects(spark, root) == []
+
+
+def test_compaction_that_ended_in_between(spark, monkeypatch):
+    """New files written, old ones not deleted: readers see each object once, the next run finishes."""
+    root = scratch_path(spark, "t-compact")
+    for texts in ([(1, "one"), (2, "two")], [(2, "two again")]):
+        ST.write_objects(objects(spark, texts), root)
+    with monkeypatch.context() as m:
+        m.setattr(ST, "delete_path", lambda *a, **k: None)
+        ST.compact_objects(spark, root)
+    want = [("1.html", "one"), ("2.html", "two again")]
+    assert len(held(TB.read_object_rows(spark, root))) > 2
+    assert held(TB.read_objects(spark, root)) == want
+    ST.compact_objects(spark, root)
+    assert held(TB.read_object_rows(spark, root)) == want
+
+
+def test_compaction_reads_the_files_it_replaces(spark):
+    root = scratch_path(spark, "t-compact")
+    for n in range(6):
+        ST.write_objects(objects(spark, [(n, f"text {n}")]), root)
+    ST.write_objects(objects(spark, [(3, "again")]), root)
+    rows = TB.object_rows(spark, root)
+    file = rows.filter("element_id = '3'").first()["file_path"]
+    assert scan_metrics(rows.filter(F.col("file_path").isin([file])))["numFiles"] == 1
+
+
+def test_failed_export_lists_nothing(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    good = objects(spark, [(1, "one"), (2, "two")]).select("path", "content")
+    bad = good.unionByName(objects(spark, [(3, "three")]).select(F.raise_error(F.lit("no content")).cast("string").alias("path"), "content"))
+    with pytest.raises(Exception):
+        EX.export_objects(bad, root, run="first")
+    assert not [p for p in (tmp_path / EX.LISTINGS).rglob("*") if p.is_file()]
+    listed = EX.export_objects(good, root, run="second")
+    assert sorted(tuple(r) for r in listed.collect()) == [(f"{JOB}/raw/1.html", 3), (f"{JOB}/raw/2.html", 3)]
+    assert (tmp_path / JOB / "raw/2.html").read_bytes() == b"two"
+    assert EX.export_objects(good.limit(0), root).count() == 0
+    assert not list(tmp_path.rglob("*.pending"))

@@ -25,6 +25,7 @@ from webkb.conf import ELEMENT_TYPES
 from webkb.operators.elements import meta_columns, order_struct
 from webkb.schema import METADATA_COLUMNS, METADATA_FILES, METADATA_STORED, OBJECT, QUARANTINE, REJECT
 from webkb.session import checkpoint, delete_path
+from webkb.sources.tables import object_rows, overwritten_rows
 
 KEY_LAYOUT = ("job_id", "type", "key_prefix")
 #: Leading digits of an element id that name a partition: 16 to the power of it a job and type.
@@ -284,38 +285,29 @@ def manifest(objects: DataFrame) -> DataFrame:
     )
 
 
-def export_objects(objects: DataFrame, root: str) -> DataFrame:
-    """One file per object under ``root/<path>`` (the folder layout of the
-    object store); each task writes its own objects in Arrow batches and the
-    listing ``(path, size)`` of what was written is returned.
+def compact_objects(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> list[str]:
+    """Take overwritten rows out of the store at ``root`` for good; the files
+    that were replaced are returned.
 
-    ``root`` is a URI with a scheme that pyarrow can write and every executor
-    reaches; a bare path would name each executor's own disk and is refused.
-    A path is written whole or replaced, so a retried task leaves no doubles."""
-    if "://" not in root:
-        raise ValueError(f"export needs a URI with a scheme, not {root!r}")
-
-    def write(batches):
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-
-        fs, base = pafs.FileSystem.from_uri(root)
-        for batch in batches:
-            paths, sizes = batch.column("path").to_pylist(), []
-            for path, content in zip(paths, batch.column("content").to_pylist()):
-                target = f"{base}/{path}"
-                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                with fs.open_output_stream(target) as f:
-                    f.write(content or b"")
-                sizes.append(len(content or b""))
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())],
-                                             names=["path", "size"])
-
-    return checkpoint(objects.select("path", "content").mapInArrow(write, "path string, size bigint"))
+    Only files that hold such rows are read and rewritten, content included;
+    all others stay as they are. The rows that remain are appended first and
+    the old files deleted then. In between, and after a crash in between,
+    readers count a row that is in two files once, and the next compaction
+    finishes the work. File names come to the driver, rows don't."""
+    rows = object_rows(spark, root, job_id, stage)
+    old = checkpoint(overwritten_rows(rows))
+    held = rows.select("file", F.col("file_path")).distinct().join(old.select("file").distinct(), "file", "left_semi")
+    files = [r["file_path"] for r in held.collect()]
+    if files:
+        kept = rows.filter(F.col("file_path").isin(files)).join(old, ["path", "version", "row", "file"], "left_anti")
+        kept.select(*OBJECT.fieldNames()).write.mode("append").partitionBy("job_id", "stage").parquet(root)
+        for file in files:
+            delete_path(spark, file, encoded=True)
+    return files
 
 
 __all__ = [
     "first_writer", "last_writer", "validate_metadata", "split_rejects", "ensure_table", "insert_metadata",
-    "write_objects", "claim_version", "stored_keys", "flag_first", "write_quarantine", "write_rejects", "append_new", "manifest", "export_objects",
+    "write_objects", "claim_version", "stored_keys", "flag_first", "write_quarantine", "write_rejects", "append_new", "manifest", "compact_objects",
     "METADATA_COLUMNS",
 ]

@@ -207,8 +207,9 @@ def q_canonical_urls(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from webkb.functions import paths as PA  # noqa: E402
 from webkb.operators import assets as AS  # noqa: E402
+from webkb.operators import export as EX  # noqa: E402
 from webkb.operators import store as ST  # noqa: E402
-from webkb.session import checkpoint, delete_path, scratch_path  # noqa: E402
+from webkb.session import checkpoint, delete_path, qualified, scratch_path  # noqa: E402
 
 
 @register(
@@ -514,8 +515,7 @@ def _write_raw_pages(pages, root):
         F.col("page_id").alias("order_key"), F.lit(JOB).alias("job_id"), F.lit("raw").alias("stage")), root)
 
 
-@register(
-    "objects_rerun",
+_RERUN_SQL = (
     f"""with o as (
       select concat('{JOB}/raw/', sha256(url), '_{JOB}.html') as path, page_id, 0 as version, encode(html) as content
       from pages
@@ -523,16 +523,32 @@ def _write_raw_pages(pages, root):
       select concat('{JOB}/raw/', sha256(url), '_{JOB}.html'), page_id, 1, encode(concat(html, '<!-- again -->')) from pages
       where length(html) % 2 = 0),
     n as (select *, row_number() over (partition by path order by version desc, page_id desc) as rn from o)
-    select path, sha256(content) as checksum, octet_length(content) as size from n where rn = 1""",
+    select path, sha256(content) as checksum, octet_length(content) as size from n where rn = 1"""
 )
+
+
+@register("objects_rerun", _RERUN_SQL)
 def q_objects_rerun(spark, sf_dir):
     """The raw pages written by one run, and the pages of even length again with other content by
     a second: one row per path, the newest content (W02, K01)."""
+    return ST.manifest(TB.read_objects(spark, _two_runs(spark, sf_dir), JOB)).select("path", "checksum", "size")
+
+
+def _two_runs(spark, sf_dir):
     p = TB.read_table(spark, sf_dir, "pages")
     root = scratch_path(spark, "rerun")
     _write_raw_pages(p, root)
     _write_raw_pages(p.filter(F.length("html") % 2 == 0).withColumn("html", F.concat("html", F.lit("<!-- again -->"))), root)
-    return ST.manifest(TB.read_objects(spark, root, JOB)).select("path", "checksum", "size")
+    return root
+
+
+@register("objects_compacted", _RERUN_SQL)
+def q_objects_compacted(spark, sf_dir):
+    """As objects_rerun, and the files that hold overwritten rows rewritten: every row that the
+    store then holds, without the reader's own choice of the last writer (W02, S05)."""
+    root = _two_runs(spark, sf_dir)
+    ST.compact_objects(spark, root, JOB)
+    return ST.manifest(TB.read_object_rows(spark, root, JOB)).select("path", "checksum", "size")
 
 
 @register(
@@ -541,18 +557,17 @@ def q_objects_rerun(spark, sf_dir):
     where page_id in (select max(page_id) from pages group by url)""",
 )
 def q_objects_exported(spark, sf_dir):
-    """One file per raw page object under a URI of the shared folder, listed by reading the files
-    back (K10)."""
+    """One file per raw page object under the shared folder, written by a data source that commits;
+    the committed listing, joined with the files read back (K10)."""
     p = TB.read_table(spark, sf_dir, "pages").select("page_id", "html", PA.element_id("url", F.lit(JOB)).alias("id"))
-    last = p.groupBy("id").agg(F.max_by(F.encode("html", "UTF-8"), "page_id").alias("content"))
-    root = scratch_path(spark, "export")
-    root = root if "://" in root or root.startswith("file:") else f"file://{root}"
-    ST.export_objects(last.select(PA.raw_path(F.lit(JOB), "id", F.lit("URL")).alias("path"), "content"),
-                      root.replace("file:/", "file:///", 1) if not root.startswith("file://") and root.startswith("file:/")
-                      else root)
-    files = TB.asset_store(spark, f"{root}/{JOB}/raw", "binaryFile")
-    return files.select(F.concat(F.lit(f"{JOB}/raw/"), F.substring_index("url", "/", -1)).alias("path"),
-                        F.length("content").cast("long").alias("size"))
+    last = p.groupBy("id").agg(F.max("page_id").alias("page_id"))
+    root = qualified(spark, scratch_path(spark, "export"))
+    listed = EX.export_objects(p.join(last, ["id", "page_id"], "left_semi").select(
+        PA.raw_path(F.lit(JOB), "id", F.lit("URL")).alias("path"), F.encode("html", "UTF-8").alias("content")), root)
+    files = TB.asset_store(spark, f"{root}/{JOB}/raw", "binaryFile").select(
+        F.concat(F.lit(f"{JOB}/raw/"), F.substring_index("url", "/", -1)).alias("path"),
+        F.length("content").cast("long").alias("size"))
+    return listed.join(files, ["path", "size"], "full").select("path", "size")
 
 
 def _meta_fx(spark, sf_dir):

@@ -81,7 +81,16 @@ def checkpoint(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder that nothing reads any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+def delete_path(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Remove a folder or file that nothing reads any more; ``encoded``: the
+    path is a percent-encoded URI, as Spark's file metadata gives it."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with the scheme of the file system that Spark reads it by."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri

@@ -76,15 +76,31 @@ def fetch_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCH).parquet(path)
 
 
-def read_object_rows(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
-    """All stored object rows, overwritten ones included; ``job_id`` and
-    ``stage`` filters prune partitions."""
-    df = spark.read.schema(OBJECT).parquet(root).select(*OBJECT.fieldNames())
+def object_rows(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
+    """All stored object rows with the file each is in (``file_path``, and its
+    hash ``file``); ``job_id`` and ``stage`` filters prune partitions."""
+    df = spark.read.schema(OBJECT).parquet(root).select(*OBJECT.fieldNames(), "_metadata.file_path")
     if job_id is not None:
         df = df.filter(F.col("job_id") == job_id)
     if stage is not None:
         df = df.filter(F.col("stage") == stage)
-    return df
+    return df.withColumn("file", F.xxhash64("file_path"))
+
+
+def read_object_rows(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
+    """All stored object rows, overwritten ones included; ``job_id`` and
+    ``stage`` filters prune partitions."""
+    return object_rows(spark, root, job_id, stage).select(*OBJECT.fieldNames())
+
+
+def overwritten_rows(rows: DataFrame) -> DataFrame:
+    """``path, version, row, file`` of the object rows that a later writer of
+    their path, or the same row in another file (a compaction that did not come
+    to its end), makes obsolete. Decided on narrow columns."""
+    order = F.struct("version", F.coalesce("order_key", F.lit(-1)).alias("o"), "checksum", "row", "file")
+    keys = rows.select("path", "version", "order_key", "checksum", "row", "file")
+    last = keys.groupBy("path").agg(F.max(order).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return keys.join(last, "path").filter(order != F.col("last")).select("path", "version", "row", "file")
 
 
 def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stage: str | None = None) -> DataFrame:
@@ -93,12 +109,8 @@ def read_objects(spark: SparkSession, root: str, job_id: str | None = None, stag
     Writers only append. Which rows were overwritten is decided on the narrow
     columns, and those rows are taken out by an anti-join: their number is
     that of the overwrites, so the content of the others stays in place."""
-    df = read_object_rows(spark, root, job_id, stage)
-    order = F.struct("version", F.coalesce("order_key", F.lit(-1)).alias("o"), "checksum", "row")
-    keys = df.select("path", "version", "order_key", "checksum", "row")
-    last = keys.groupBy("path").agg(F.max(order).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    old = keys.join(last, "path").filter(order != F.col("last")).select("path", "version", "row")
-    return df.join(old, ["path", "version", "row"], "left_anti").select(*OBJECT.fieldNames())
+    df = object_rows(spark, root, job_id, stage)
+    return df.join(overwritten_rows(df), ["path", "version", "row", "file"], "left_anti").select(*OBJECT.fieldNames())
 
 
 def read_metadata(spark: SparkSession, root: str, type_: str | None = None, element_id: str | None = None,
