@@ -15,11 +15,12 @@ Anchors only choose who meets: a hash collision costs work, never a result.
 
 Hot groups: equal texts are one text with its smallest doc_id before any
 segment is made, and equal segments are aggregated before the shuffle. An
-anchor with more than ``hot`` segments, or whose segments have more than
-``hot_words`` words in all (a long text of one repeated word is one segment),
+anchor with more than ``hot`` segments, or with one of more than ``hot_words``
+words (a long text of one repeated word is one segment),
 is routed window by window (each window by its own hash), so its windows
 spread over all shards and equal ones collapse map-side. A shard holds blocks
-of at most ``block_words`` words plus one group of at most ``hot_words``.
+of at most ``block_words`` words plus one group of at most ``hot`` segments,
+which have 84 words at most unless their text repeats itself.
 """
 
 from __future__ import annotations
@@ -210,8 +211,8 @@ def repeated(docs: DataFrame, window: int = 50, gram: int = 16, hot: int = 2048,
     found = cut(_segments(docs, window, gram), "substring-segments")
     shared = cut(found.groupBy("anchor").agg(
         F.min("t1").alias("lo"), F.max("t1").alias("hi"), F.count("*").alias("rows"),
-        F.sum(F.col("windows") + (window - 1)).alias("words"))
-        .filter("lo != hi").select("anchor", ((F.col("rows") > hot) | (F.col("words") > hot_words)).alias("split")),
+        F.max(F.col("windows") + (window - 1)).alias("longest"))
+        .filter("lo != hi").select("anchor", ((F.col("rows") > hot) | (F.col("longest") > hot_words)).alias("split")),
         "substring-anchors")
     firsts = cut(docs.groupBy("t1", "t2").agg(F.min("rank").alias("first")), "substring-firsts")
     wanted = cut(found.join(shared, "anchor").groupBy("t1", "t2").agg(
