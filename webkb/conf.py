@@ -93,3 +93,5 @@ class JobConf:
     max_requests_per_domain: int | None = None
     user_agent: str = "*"
     partitions: int | None = None
+    cache_ttl_secs: int = CACHE_EXPIRATION_SECS
+    extractor_version: str | None = None

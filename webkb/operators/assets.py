@@ -10,6 +10,7 @@ object is written or a PDF is converted.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from webkb.conf import DEFAULT_IMAGE_CONTENT_TYPE, PDF_METHODS
 from webkb.functions.html import markdown_udf
 from webkb.functions.paths import checksum, element_id, processed_path, raw_path
+from webkb.operators.cache import PAGE_CONVERTER, content_key, convert_once, options_key
 from webkb.operators.store import flag_first
 from webkb.schema import PDF_BLOCK, QUARANTINE
 from webkb.session import checkpoint
@@ -166,12 +168,19 @@ def first_per_type(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
 def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, job: str,
                      pdf_method: str = "auto", extractor_factory: Callable | None = None,
                      remove=("footer", "header"), retain_images: bool = False,
-                     materialized: bool = False) -> dict[str, DataFrame]:
+                     materialized: bool = False, conversions: str | None = None,
+                     extractor_version: str | None = None) -> dict[str, DataFrame]:
     """Fill checksum and content paths per element and build the objects.
 
     ``materialized=True`` says ``elements`` is already a checkpoint (it is
     then read as is instead of being checkpointed again).
 
+    ``conversions`` names a cache of conversions: contents that it has are not
+    converted again, new ones are added to it. PDFs take part if
+    ``extractor_version`` tells the extractor from others. ``made`` is then in
+    the result: ``(type, url, made)`` per page and PDF, true if this call
+    converted its content.
+
     Returns ``rows`` (the first element of each id and type, with metadata
     fields), ``duplicates`` (the elements after it), ``objects`` (raw and
     processed content) and ``quarantine`` (pages and PDFs whose conversion
@@ -188,8 +197,18 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     # Pages: the HTML is read once to be converted and once to be stored.
     pages = pages.filter(F.col("url").isNotNull())
     md = markdown_udf(remove, retain_images)
-    converted_pages = checkpoint(pages.select("page_id", "url", md("url", "html").alias("_d")).select(
-        "page_id", "url", "_d.markdown", "_d.error"))
+    made = []
+    if conversions is None:
+        converted_pages = checkpoint(pages.select("page_id", "url", md("url", "html").alias("_d")).select(
+            "page_id", "url", "_d.markdown", "_d.error"))
+    else:
+        options = options_key("page", converter=PAGE_CONVERTER, remove=list(remove), retain_images=retain_images)
+        done = convert_once(
+            pages.select(F.col("page_id").alias("id"), content_key("url", "html").alias("key"), "url", "html"),
+            lambda d: d.select("key", md("url", "html").alias("_d")).select("key", "_d.markdown", "_d.error"),
+            options, conversions).withColumnRenamed("id", "page_id")
+        converted_pages = done.join(pages.select("page_id", "url"), "page_id")
+        made.append(converted_pages.select(F.lit("URL").alias("type"), "url", "made"))
     page_errors = converted_pages.filter(F.col("error").isNotNull()).select("page_id", F.col("error").alias("page_error"))
     url_rows = firsts.filter(F.col("type") == "URL")
     if "page_checksum" in firsts.columns:  # taken in the parse pass
@@ -215,8 +234,15 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     pdfs = ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content")
     if extractor_factory is None:
         converted = pages.sparkSession.createDataFrame([], PDF_RESULT_SCHEMA)
-    else:
+    elif conversions is None or extractor_version is None:
         converted = checkpoint(pdf_to_markdown(pdfs, pdf_method, extractor_factory))
+    else:
+        done = convert_once(
+            pdfs.select(F.col("key").alias("id"), content_key("content").alias("key"), "content"),
+            lambda d: pdf_to_markdown(d, pdf_method, extractor_factory),
+            options_key("pdf", extractor=extractor_version, method=pdf_method), conversions)
+        converted = done.drop("key").withColumnRenamed("id", "key")
+        made.append(converted.select(F.lit("PDF").alias("type"), F.col("key").alias("url"), "made"))
     pdf_errors = converted.groupBy(F.col("key").alias("url")).agg(F.min("error").alias("pdf_error"))
     asset_rows = asset_rows.join(pdf_errors, "url", "left")
     failed = (F.col("type") == "PDF") & F.col("pdf_error").isNotNull()
@@ -257,5 +283,6 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     )
     objects = page_raw.unionByName(page_md).unionByName(asset_raw).unionByName(pdf_md).withColumn(
         "checksum", checksum("content")).withColumn("job_id", job_lit)
-    return {"rows": rows, "duplicates": duplicates, "objects": objects,
-            "quarantine": quarantine.select(*QUARANTINE.fieldNames()), "converted": converted}
+    out = {"rows": rows, "duplicates": duplicates, "objects": objects,
+           "quarantine": quarantine.select(*QUARANTINE.fieldNames()), "converted": converted}
+    return out | {"made": reduce(DataFrame.unionByName, made)} if made else out

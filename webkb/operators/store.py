@@ -36,7 +36,7 @@ PUSHED_KEYS = 256
 KEPT_VERSIONS = 100
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -147,22 +147,27 @@ def stored_keys(keys: DataFrame, root: str, job_ids: list[str] | None = None) ->
     range or Bloom filter excludes them all; what is read differs, never the
     result. The driver sees one count, the digits (a fixed number of them)
     and at most ``PUSHED_KEYS`` keys."""
-    spark = keys.sparkSession
-    table = spark.read.schema(METADATA_FILES).parquet(root)
+    table = keys.sparkSession.read.schema(METADATA_FILES).parquet(root)
     if job_ids:
         table = table.filter(F.col("job_id").isin(*job_ids))
-    n, found = keys.agg(F.count("*"), F.collect_set(F.substring("element_id", 1, KEY_DIGITS))).first()
+    return reachable(table, keys, "element_id").select("element_id")
+
+
+def reachable(table: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The part of a stored ``table``, laid out by ``key_prefix`` and with a
+    Bloom filter on ``name``, that can hold one of ``keys`` (a column ``name``)."""
+    n, found = keys.agg(F.count("*"), F.collect_set(F.substring(name, 1, KEY_DIGITS))).first()
     if not n:
-        return table.select("element_id").filter(F.lit(False))
+        return table.filter(F.lit(False))
     # partitions may have been named by more or fewer digits
     prefixes = sorted({p[:i] for p in found for i in range(1, len(p) + 1)})
     table = table.filter(F.substring("key_prefix", 1, KEY_DIGITS).isin(prefixes))
     if n <= PUSHED_KEYS:
-        terms = [F.col("element_id") == r[0] for r in keys.distinct().collect()]
+        terms = [F.col(name) == r[0] for r in keys.distinct().collect()]
         while len(terms) > 1:  # a balanced tree of alternatives
             terms = [reduce(Column.__or__, terms[i:i + 2]) for i in range(0, len(terms), 2)]
         table = table.filter(terms[0])
-    return table.select("element_id")
+    return table
 
 
 def insert_metadata(rows: DataFrame, root: str, job_ids: list[str] | None = None,
@@ -215,7 +220,7 @@ def append_new(df: DataFrame, root: str, schema) -> None:
     both = ["row_hash", "row_hash2"]
     hashed = checkpoint(df.select(*names).distinct().withColumn("row_hash", F.xxhash64(*names)).withColumn(
         "row_hash2", F.xxhash64(F.lit(1), *names)).withColumn("part", F.hex(F.shiftrightunsigned("row_hash", 60))))
-    if _exists(spark, root):
+    if path_exists(spark, root):
         seen = hashed.select("job_id", "part").distinct().collect()
         old = spark.read.schema("row_hash long, row_hash2 long, job_id string, part string").parquet(root).filter(
             F.col("job_id").isin([r["job_id"] for r in seen]) & F.col("part").isin([r["part"] for r in seen]))
@@ -243,7 +248,7 @@ def claim_version(spark: SparkSession, root: str, run: str | None = None) -> int
     path = f"{root.rstrip('/')}-versions"
     schema = "run string, version long"
     version = 0
-    if _exists(spark, path):
+    if path_exists(spark, path):
         claims = spark.read.schema(schema).parquet(path)
         mine, top = claims.agg(F.max(F.when(F.col("run") == run, F.col("version"))), F.max("version")).first()
         if mine is not None:

@@ -101,3 +101,32 @@ QUARANTINE = T.StructType(
 )
 REJECT = T.StructType([T.StructField(f.name, f.dataType, True) for f in METADATA.fields]
                       + [T.StructField("reason", S, False), T.StructField("job_id", S, False)])
+
+# Kept responses, partitioned by kind ('page', 'asset') and day. ``key`` is what
+# is requested (a page's canonical URL, an asset's URL), ``ts_us`` when, in UTC.
+RESPONSE = T.StructType(
+    [
+        T.StructField("key", S, False),
+        T.StructField("page_id", T.LongType(), True),
+        T.StructField("url", S, False),
+        T.StructField("status", T.IntegerType(), True),
+        T.StructField("content_type", S, True),
+        T.StructField("content", T.BinaryType(), True),
+        T.StructField("ts_us", T.LongType(), False),
+        T.StructField("kind", S, False),
+        T.StructField("day", S, False),
+    ]
+)
+
+# Kept conversions by content, and as their files are laid out.
+CONVERSION = T.StructType(
+    [
+        T.StructField("key", S, False),
+        T.StructField("markdown", S, True),
+        T.StructField("n_pages", T.IntegerType(), True),
+        T.StructField("has_text_layer", T.BooleanType(), True),
+        T.StructField("blocks", T.ArrayType(PDF_BLOCK), True),
+    ]
+)
+CONVERSION_FILES = T.StructType(CONVERSION.fields + [T.StructField("options", S, False),
+                                                     T.StructField("key_prefix", S, False)])
