@@ -97,3 +97,34 @@ def test_warc_pieces():
     for step in (1, 7, 4096):
         got = [b for _, b in arc.parse_warc(data[i:i + step] for i in range(0, len(data), step))]
         assert got == [b for b, _ in records]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    """Records of 1 MB and more: no file outgrows the bound but by one record, none is lost."""
+    sizes = [1 << 20, 3 << 20, 10, 0, 1 << 20, 5 << 20, 2000, 1 << 20]
+    data = arc.arc_head(1, "a.arc", "1997")
+    for i, n in enumerate(sizes):
+        data += arc.arc_record(1, f"http://h/{i}", "1997", "text/plain", bytes([97 + i]) * n, "a.arc", len(data))
+    archives = spark.createDataFrame([("a.arc", gzip.compress(data))], "archive string, content binary")
+    out = str(tmp_path / "out")
+    arc.convert(archives, f"file://{out}", file_bytes=2 << 20)
+    found = {}
+    for name in sorted(os.listdir(out)):
+        if name.endswith(".gz"):
+            whole = gzip.open(os.path.join(out, name)).read()
+            blocks = {h["warc-target-uri"]: b for h, b in arc.parse_warc([whole])}
+            assert len(whole) < (2 << 20) + 4096 or len(blocks) == 1
+            assert not found.keys() & blocks.keys()
+            found |= blocks
+    assert found == {f"http://h/{i}": bytes([97 + i]) * n for i, n in enumerate(sizes)}
+
+
+@pytest.mark.parametrize("step", [1, 13, 5000])
+def test_arc_in_pieces(step):
+    bodies = [b"", b"\n\r\n", b"x" * 4000, b"last"]
+    data = arc.arc_head(2, "a", "2000")
+    for i, b in enumerate(bodies):
+        data += arc.arc_record(2, f"u{i}", "2000", "t", b, "a", len(data))
+    assert [r["content"] for r in arc.parse_arc(data[i:i + step] for i in range(0, len(data), step))] == bodies
+    with pytest.raises(ValueError):
+        list(arc.parse_arc([data[:-3]]))

@@ -10,8 +10,8 @@ from the record's content, so reruns and retried tasks give the same ones.
 Records with equal payloads of some size are written once as ``response``;
 the others become ``revisit`` records that refer to it. The choice is made on
 narrow rows (digest, size, order); payloads move once, to meet their choice.
-Spark's text writer writes the WARC files: a record ends with two line breaks,
-which is the writer's line separator.
+Spark's text writer writes the WARC files: a row is the records of one file,
+and the two line breaks that end a record are the writer's line separator.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +37,8 @@ FIELDS = {
 }
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 RECORD = "archive string, url string, ip string, date string, type string, content binary"
+#: What ends a WARC record.
+END = "\r\n\r\n"
 #: The header by which a fetched page carries its number through the archives.
 ORDER_HEADER = b"x-page-id"
 
@@ -56,36 +58,77 @@ def arc_head(version: int, archive: str, date: str) -> bytes:
     return arc_record(version, f"filedesc://{archive}", date, "text/plain", block, archive, 0)
 
 
-def parse_arc(data: bytes) -> Iterator[dict]:
-    """The records of one archive, the version block aside. A line or length
-    that doesn't fit the archive's version raises ValueError."""
-    at, version = 0, None
-    while True:
-        while data[at:at + 1] in (b"\n", b"\r"):
-            at += 1
-        if at >= len(data):
-            return
-        end = data.find(b"\n", at)
-        line = data[at:end if end >= 0 else len(data)].rstrip(b"\r").decode("utf-8", "replace").split(" ")
+class Pieces:
+    """Bytes that come in pieces, of which little more than what is looked at is held."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.data, self.at, self.gone = iter(pieces), bytearray(), 0, 0
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        del self.data[:self.at]
+        self.gone += self.at
+        self.at = 0
+        self.data.extend(piece)
+        return True
+
+    def has(self, size: int) -> bool:
+        while len(self.data) - self.at < size:
+            if not self.more():
+                return False
+        return True
+
+    def skip_breaks(self) -> bool:
+        """Past line breaks; False where nothing follows."""
+        while self.has(1):
+            if self.data[self.at] not in b"\r\n":
+                return True
+            self.at += 1
+        return False
+
+    def upto(self, mark: bytes) -> bytes | None:
+        """What comes before the next ``mark``, which is passed; None where there is none."""
+        seen = 0
+        while (end := self.data.find(mark, self.at + seen)) < 0:
+            seen = max(len(self.data) - self.at - len(mark) + 1, 0)
+            if not self.more():
+                return None
+        out = bytes(self.data[self.at:end])
+        self.at = end + len(mark)
+        return out
+
+    def take(self, size: int) -> bytes:
+        out = bytes(self.data[self.at:self.at + size])
+        self.at += size
+        return out
+
+
+def parse_arc(data: bytes | Iterable[bytes]) -> Iterator[dict]:
+    """The records of one archive, whole or in pieces, the version block aside.
+    A line or length that doesn't fit the archive's version raises ValueError."""
+    data, version = Pieces([data] if isinstance(data, bytes) else data), None
+    while data.skip_breaks():
+        at = data.gone + data.at
+        line = (data.upto(b"\n") or b"").rstrip(b"\r").decode("utf-8", "replace").split(" ")
         if version is None:
             if not line[0].startswith("filedesc:") or not line[-1].isdigit():
                 raise ValueError("an ARC file starts with its version block")
-            block = data[end + 1:end + 1 + int(line[-1])]
-            version = int(block.split(b" ", 1)[0])
+            data.has(int(line[-1]))
+            version = int(data.take(int(line[-1])).split(b" ", 1)[0])
             if version not in FIELDS:
                 raise ValueError(f"ARC version {version}")
-            at = end + 1 + int(line[-1])
             continue
         fields = FIELDS[version]
         if len(line) != len(fields) or not line[-1].isdigit():
             raise ValueError(f"not a version {version} record line at byte {at}")
         record = dict(zip(fields, line))
-        start, length = end + 1, int(record["length"])
-        if start + length > len(data):
-            raise ValueError(f"record at byte {at} declares {length} bytes, {len(data) - start} are left")
-        record["content"] = data[start:start + length]
+        length = int(record["length"])
+        if not data.has(length):
+            raise ValueError(f"record at byte {at} declares {length} bytes, {len(data.data) - data.at} are left")
+        record["content"] = data.take(length)
         yield record
-        at = start + length
 
 
 def arc_files(spark: SparkSession, path: str) -> DataFrame:
@@ -102,9 +145,7 @@ def records(archives: DataFrame) -> DataFrame:
             for archive, data in zip(batch.column("archive").to_pylist(), batch.column("content").to_pylist()):
                 rows, held = [], 0
                 data = data or b""
-                if data[:2] == b"\x1f\x8b":
-                    data = b"".join(_inflated(data))
-                for r in parse_arc(data):
+                for r in parse_arc(_inflated(data) if data[:2] == b"\x1f\x8b" else data):
                     rows.append((archive, r["url"], r["ip"], r["date"], r["type"], r["content"]))
                     held += len(r["content"])
                     if held > 4 << 20:
@@ -209,8 +250,9 @@ def warc_record(url: str, date: str, kind: str, content: bytes, ident: str, dige
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def convert(archives: DataFrame, path: str, revisit_bytes: int = 1000, file_records: int = 2000) -> None:
-    """Write the records of ARC ``archives`` (archive, content) as gzipped WARC files under ``path``.
+def convert(archives: DataFrame, path: str, revisit_bytes: int = 1000, file_bytes: int = 16 << 20) -> None:
+    """Write the records of ARC ``archives`` (archive, content) as gzipped WARC files under ``path``,
+    each of about ``file_bytes`` bytes before compression, or of one larger record.
 
     Of the records with equal payloads of at least ``revisit_bytes`` bytes the
     one with the largest order number (the ``X-Page-Id`` header) is written in
@@ -227,53 +269,44 @@ def convert(archives: DataFrame, path: str, revisit_bytes: int = 1000, file_reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["url", "date", "type", "content", "id", "digest", "original"]
+        file, size = [], 0
         for batch in slices(batches, "content"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([warc_record(*row) for row in zip(*(batch.column(c).to_pylist() for c in names))], pa.binary())],
-                names=["record"])
+            for row in zip(*(batch.column(c).to_pylist() for c in names)):
+                record = warc_record(*row)
+                if file and size + len(record) > file_bytes:
+                    yield _file(file)
+                    file, size = [], 0
+                file.append(record)
+                size += len(record)
+        if file:
+            yield _file(file)
 
     warc = joined.select("url", "date", "type", "content", "id", "digest", original.alias("original")).mapInArrow(
-        run, "record binary")
-    (warc.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n")
-     .option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path))
+        run, "records binary")
+    (warc.select(F.col("records").cast("string").alias("value")).write.option("lineSep", END)
+     .option("compression", "gzip").option("maxRecordsPerFile", 1).text(path))
 
 
-def parse_warc(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of each record, by declared lengths,
-    holding little more than one record and one piece at a time."""
-    data, at, pieces = bytearray(), 0, iter(pieces)
+def _file(file: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([END.encode().join(file)], pa.binary())], names=["records"])
 
-    def more() -> bool:
-        nonlocal at
-        piece = next(pieces, None)
-        if piece is None:
-            return False
-        del data[:at]
-        at = 0
-        data.extend(piece)
-        return True
 
-    while True:
-        while True:
-            while at < len(data) and data[at] in b"\r\n":
-                at += 1
-            if at < len(data) or not more():
-                break
-        if at >= len(data):
-            return
-        while (end := data.find(b"\r\n\r\n", at)) < 0:
-            if not more():
-                raise ValueError("a WARC record ends within its header")
-        lines = data[at:end].decode("utf-8").split("\r\n")
+def parse_warc(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (lower-case names) and block of each record, by declared lengths,
+    holding little more than one record and one piece at a time."""
+    data = Pieces(pieces)
+    while data.skip_breaks():
+        head = data.upto(b"\r\n\r\n")
+        if head is None:
+            raise ValueError("a WARC record ends within its header")
+        lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        length, head = int(headers["content-length"]), end + 4 - at
-        while len(data) - at < head + length:
-            if not more():
-                raise ValueError("a WARC record ends before its declared length")
-        yield headers, bytes(data[at + head:at + head + length])
-        at += head + length
+        length = int(headers["content-length"])
+        if not data.has(length):
+            raise ValueError("a WARC record ends before its declared length")
+        yield headers, data.take(length)
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
