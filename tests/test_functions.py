@@ -1,5 +1,6 @@
 """Golden rows for the scalar expressions (values from the fixture notes)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from webkb.functions import paths as PA
@@ -88,3 +89,30 @@ def test_site_match(spark):
     assert one(spark, c, "a.example.org") is True
     assert one(spark, c, "example.org") is True
     assert one(spark, c, "badexample.org") is False
+
+
+@pytest.mark.parametrize("url,want", [
+    ("http://h/a/./b/../c", "http://h/a/c"), ("http://h/../..", "http://h/"), ("http://h/a/..", "http://h/"),
+    ("http://h/a/.", "http://h/a/"), ("http://h//a//../b", "http://h//a/b"), ("http://h/...", "http://h/..."),
+    ("http://h:80/x", "http://h/x"), ("http://h:/x", "http://h/x"), ("https://h:0443", "https://h/"),
+    ("https://h:80/", "https://h:80/"), ("http://H:8080/", "http://h:8080/"), ("ftp://h:21/f", "ftp://h/f"),
+    ("http://h/%7euser/%41", "http://h/~user/A"), ("http://h/%c3%a9", "http://h/%C3%A9"), ("http://h/\u00e9", "http://h/%C3%A9"),
+    ("http://h/a b|c", "http://h/a%20b%7Cc"), ("http://h/100%", "http://h/100%25"), ("http://h/%zz", "http://h/%25zz"),
+    ("http://h/a%2Fb%2e%2e/", "http://h/a%2Fb../"), ("http://h/%2e%2E/x", "http://h/x"), ("http://h/\U0001f600", "http://h/%F0%9F%98%80"),
+    ("http://h/?b=%61&a=%26#f", "http://h/?a=%26&b=a"), ("http://h?q=a b+c", "http://h/?q=a%20b+c"), ("mailto:a b@h", "mailto:a b@h"),
+    ("http://h/plain?x=/./y", "http://h/plain?x=/./y"), (None, None), ("", ""),
+])
+def test_url_normal_form(spark, url, want):
+    got = one(spark, U.canonical_url(F.col("v")), url)
+    assert got == want
+    assert url is None or one(spark, U.canonical_url(F.col("v")), got) == want  # a normal form stays as it is
+
+
+def test_spellings_of_one_page_are_one_request(spark):
+    from conftest import SF001
+    from webkb.sources import fixtures as FX
+
+    rows = FX.fx_spellings(spark, SF001).withColumn("k", U.canonical_url("raw")).withColumn("own", U.canonical_url("url"))
+    assert rows.filter("spelling < 3 and k <> own").count() == 0 < rows.filter("spelling < 3 and raw <> url").count()
+    per_page = rows.filter("spelling in (3, 4)").groupBy("page_id").agg(F.countDistinct("k").alias("n"))
+    assert per_page.filter("n <> 1").count() == 0

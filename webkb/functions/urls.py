@@ -48,10 +48,43 @@ def path_extension(path_col) -> Column:
     return F.lower(F.regexp_extract(_c(path_col), r"/\.*[^/.][^/]*\.([^./]*)$", 1))
 
 
+#: Characters that a URL holds as they are, '%' aside (a fixed value: unreserved and reserved).
+_KEPT = r"A-Za-z0-9._~!#$&'()*+,/:;=?@\[\]\-"
+_PIECES = rf"%[0-9A-Fa-f]{{2}}|[{_KEPT}]+|[^{_KEPT}%]+|%"
+#: Not in normal form, as far as one look tells.
+_ODD = rf"[^{_KEPT}]|/\.|^[^/]+//[^/?]*:[0-9]*(?:[/?]|$)"
+DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21"}
+
+
+def percent_normal(col) -> Column:
+    """Normal form of percent-encoding: triplets of unreserved characters are
+    decoded, all others upper-cased; a '%' that opens no triplet and every
+    character that a URL cannot hold are encoded (UTF-8)."""
+    def one(piece: Column) -> Column:
+        char = F.chr(F.conv(F.substring(piece, 2, 2), 16, 10).cast("int"))
+        triplet = F.when(char.rlike("^[A-Za-z0-9._~-]$"), char).otherwise(F.upper(piece))
+        other = F.when(piece.rlike(rf"^[{_KEPT}]"), piece).otherwise(F.replace(F.url_encode(piece), F.lit("+"), F.lit("%20")))
+        return F.when(piece == "%", F.lit("%25")).when(F.substring(piece, 1, 1) == "%", triplet).otherwise(other)
+
+    return F.array_join(F.transform(F.regexp_extract_all(_c(col), F.lit(_PIECES), F.lit(0)), one), "")
+
+
+def remove_dot_segments(path) -> Column:
+    """An absolute path without '.' and '..' segments; '..' at the root stays there."""
+    segments = F.split(F.substring(_c(path), 2, 1 << 30), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda found, s: F.when(s == ".", found).when(
+        s == "..", F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0)))).otherwise(F.concat(found, F.array(s))))
+    ends = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
+        F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, ends), "/"))
+
+
 def canonical_url(col) -> Column:
-    """Request identity: fragment dropped, scheme and host lower-cased,
-    empty path made '/', query arguments sorted. Non-hierarchical URLs
-    (mailto:, data:) only lose their fragment."""
+    """Request identity: fragment dropped, scheme and host lower-cased, the
+    scheme's own port dropped, path and query in the normal form of
+    percent-encoding, dot segments resolved, empty path made '/', query
+    arguments sorted. Non-hierarchical URLs (mailto:, data:) only lose their
+    fragment. A URL that is plain already takes the short way."""
     u = drop_fragment(col)
     sch = F.lower(F.regexp_extract(u, _PARTS, 1))
     auth = F.lower(F.regexp_extract(u, _PARTS, 2))
@@ -59,10 +92,18 @@ def canonical_url(col) -> Column:
     has_q = F.regexp_extract(u, _PARTS, 4) != ""
     q = F.regexp_extract(u, _PARTS, 5)
     path = F.when(path == "", F.lit("/")).otherwise(path)
-    sorted_q = F.array_join(F.array_sort(F.split(q, "&")), "&")
-    tail = F.when(has_q & (q != ""), F.concat(F.lit("?"), sorted_q)).otherwise(F.lit(""))
+
+    def joined(auth: Column, path: Column, q: Column) -> Column:
+        sorted_q = F.array_join(F.array_sort(F.split(q, "&")), "&")
+        tail = F.when(has_q & (q != ""), F.concat(F.lit("?"), sorted_q)).otherwise(F.lit(""))
+        return F.concat(sch, F.lit("://"), auth, path, tail)
+
+    own = F.regexp_replace(auth, ":$", "")
+    for name, port in DEFAULT_PORTS.items():
+        own = F.when(sch == name, F.regexp_replace(auth, f":(?:0*{port})?$", "")).otherwise(own)
+    normal = joined(own, remove_dot_segments(percent_normal(path)), percent_normal(q))
     hierarchical = F.regexp_extract(u, _PARTS, 1) != ""
-    return F.when(hierarchical, F.concat(sch, F.lit("://"), auth, path, tail)).otherwise(u)
+    return F.when(hierarchical & u.rlike(_ODD), normal).when(hierarchical, joined(auth, path, q)).otherwise(u)
 
 
 def denied_extension_regex() -> str:

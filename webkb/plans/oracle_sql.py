@@ -27,14 +27,29 @@ def resolve(base: str, href: str) -> str:
 def canonical(u: str) -> str:
     """SQL form of the canonical request URL."""
     v = f"regexp_replace({u}, '#.*$', '')"
-    p = PARTS_RE
-    return f"""(case when regexp_extract({v}, '{p}', 1) <> '' then concat(
-        lower(regexp_extract({v}, '{p}', 1)), '://', lower(regexp_extract({v}, '{p}', 2)),
-        case when regexp_extract({v}, '{p}', 3) = '' then '/' else regexp_extract({v}, '{p}', 3) end,
-        case when regexp_extract({v}, '{p}', 5) <> ''
-             then concat('?', array_to_string(list_sort(string_split(regexp_extract({v}, '{p}', 5), '&')), '&'))
-             else '' end)
-      else {v} end)"""
+    return f"(case when regexp_extract({v}, '{PARTS_RE}', 1) <> '' then {normal_url(u)} else {v} end)"
+
+
+def normal_url(u: str) -> str:
+    """SQL form of the request URL of a hierarchical URL in any spelling, without
+    the engine's short way for plain ones. Dot segments are resolved on a growing text here, not on a list."""
+    kept = r"A-Za-z0-9._~!#$&''()*+,/:;=?@\[\]\-"
+    v = f"regexp_replace({u}, '#.*$', '')"
+    part = lambda i: f"regexp_extract({v}, '{PARTS_RE}', {i})"
+    char = "chr(cast(concat('0x', substr(t, 2, 2)) as integer))"
+    pieces = lambda x: f"regexp_extract_all({x}, '%[0-9A-Fa-f]{{2}}|[{kept}]+|[^{kept}%]+|%')"
+    plain = lambda x: f"""array_to_string(list_transform({pieces(x)}, lambda t:
+      case when t = '%' then '%25' when starts_with(t, '%') and regexp_full_match({char}, '[A-Za-z0-9._~-]') then {char}
+           when starts_with(t, '%') then upper(t) when regexp_matches(t, '^[{kept}]') then t else url_encode(t) end), '')"""
+    segments = f"(string_split({plain(part(3))}, '/'))[2:]"
+    path = f"""concat(list_reduce({segments}, lambda a, s: case s when '.' then a
+      when '..' then regexp_replace(a, '/[^/]*$', '') else concat(a, '/', s) end, ''),
+      case when list_last({segments}) in ('.', '..') then '/' else '' end)"""
+    port = f"""case lower({part(1)}) when 'http' then ':0*80$|:$' when 'https' then ':0*443$|:$'
+      when 'ftp' then ':0*21$|:$' else ':$' end"""
+    return f"""concat(lower({part(1)}), '://', regexp_replace(lower({part(2)}), {port}, ''),
+      case when {part(3)} = '' then '/' else {path} end, case when {part(5)} <> '' then
+        concat('?', array_to_string(list_sort(string_split({plain(part(5))}, '&')), '&')) else '' end)"""
 
 
 FOLLOW_SCHEMES_SQL = "('http', 'https', 'ftp', 'file')"

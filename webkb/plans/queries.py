@@ -202,6 +202,20 @@ def q_canonical_urls(spark, sf_dir):
                     U.is_followable("url").alias("followable"))
 
 
+@register(
+    "url_normal_forms",
+    f"""select page_id, spelling, raw, {O.normal_url('raw')} as url_key,
+      spelling < 3 and {O.normal_url('raw')} = {O.canonical('url')} as same from ({FX.duck_fx_spellings()}) r""",
+)
+def q_url_normal_forms(spark, sf_dir):
+    """Request URL of every page URL in six other spellings (dot segments, default and other ports,
+    escaped and bare characters), and whether it is that of the page (E12)."""
+    key = U.canonical_url("raw")
+    return FX.fx_spellings(spark, sf_dir).select(
+        "page_id", "spelling", "raw", key.alias("url_key"),
+        ((F.col("spelling") < 3) & (key == U.canonical_url("url"))).alias("same"))
+
+
 # ---------------------------------------------------------------------------
 # Step 3: content fields, assets, dispatch
 # ---------------------------------------------------------------------------

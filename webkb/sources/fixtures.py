@@ -100,6 +100,32 @@ def fx_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql_text(FX_ROBOTS_SQL, "spark", pages="{pages}"), pages=pages)
 
 
+#: Page URLs in other spellings; the same text in both dialects.
+SPELLINGS = """
+select page_id, url, spelling, case spelling
+    when 0 then concat(sch, '://', h, '/./a/%2e%2E', tail)
+    when 1 then concat(upper(sch), '://', h, case when sch = 'https' then ':443' else ':80' end, tail)
+    when 2 then concat(sch, '://', h, replace(tail, 'e', '%65'))
+    when 3 then concat(sch, '://', h, '/na\u00efve \u00e9|"q"', tail)
+    when 4 then concat(sch, '://', h, '/na%c3%afve%20%C3%A9%7c%22q%22', tail)
+    else concat(sch, '://', h, ':8080/../../%zz%2Fb/.', tail) end as raw
+from (select page_id, url, spelling, split_part(url, '://', 1) as sch,
+        split_part(split_part(url, '://', 2), '/', 1) as h,
+        substr(url, length(split_part(url, '://', 1)) + length(split_part(split_part(url, '://', 2), '/', 1)) + 4) as tail
+      from {pages} cross join {six}) t
+"""
+
+
+def fx_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, spelling, raw)``: each page URL in six other spellings."""
+    return spark.sql(SPELLINGS.replace("{six}", "(select explode(sequence(0, 5)) as spelling) s"),
+                     pages=_read(spark, sf_dir, "pages"))
+
+
+def duck_fx_spellings() -> str:
+    return SPELLINGS.format(pages="pages", six="(select unnest(range(6)) as spelling) s")
+
+
 BROKEN_DOC = "doc_id % 50 = 7"
 BROKEN_ASSET = "length(url) % 11 = 0"
 
