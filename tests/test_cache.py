@@ -30,19 +30,19 @@ def _items(spark, texts):
 def test_equal_contents_are_converted_once(spark):
     root, seen = scratch_path(spark, "t-conv"), []
     first = _items(spark, [("a", "x"), ("b", "x"), ("b", "x"), ("c", "y"), ("d", None), ("e", ""), ("f", "bad")])
-    got = {(r.id, r.markdown, r.error, r.made) for r in CA.convert_once(first, _convert(seen), "o", root).collect()}
+    got = {(r.id, r.markdown, r.error, r.made) for r in CA.convert_once(first, _convert(seen), "o", root)[1].collect()}
     assert got == {("a", "X", None, True), ("b", "X", None, True), ("c", "Y", None, True), ("d", None, None, True),
                    ("e", "", None, True), ("f", None, "refused", True)}
     assert len(seen[0]) == len(set(seen[0])) == 5  # x, y, NULL, '', bad
     # the next job: other ids, one new content; what failed is tried again
     second = _items(spark, [("g", "x"), ("h", "z"), ("f", "bad"), ("e", "")])
-    again = {r.id: (r.markdown, r.made) for r in CA.convert_once(second, _convert(seen), "o", root).collect()}
+    again = {r.id: (r.markdown, r.made) for r in CA.convert_once(second, _convert(seen), "o", root)[1].collect()}
     assert again["g"] == ("X", False) and again["h"] == ("Z", True) and again["e"] == ("", False)
     assert again["f"][1] and len(seen[1]) == 2
     # other options are other conversions, an empty table is none
-    CA.convert_once(second.filter("id = 'g'"), _convert(seen), "p", root).collect()
+    CA.convert_once(second.filter("id = 'g'"), _convert(seen), "p", root)[0].collect()
     assert len(seen[2]) == 1
-    assert CA.convert_once(second.limit(0), _convert(seen), "o", root).count() == 0
+    assert CA.convert_once(second.limit(0), _convert(seen), "o", root)[1].count() == 0
 
 
 def test_many_contents_by_join(spark):
@@ -52,9 +52,9 @@ def test_many_contents_by_join(spark):
                                 F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
                                     F.concat(F.lit("t"), F.col("id"))).alias("text"))
     items = ids.select("id", CA.content_key("text").alias("key"), "text")
-    out = CA.convert_once(items, _convert(seen), "o", root)
+    out = CA.convert_once(items, _convert(seen), "o", root)[1]
     assert out.count() == n and out.filter("made").count() == n and len(seen[0]) == n - n // 3 + 1
-    out = CA.convert_once(items, _convert(seen), "o", root)
+    out = CA.convert_once(items, _convert(seen), "o", root)[1]
     assert out.filter("made").count() == 0 and seen[1] == []
     assert out.join(items.select("id", "text"), "id").filter(F.col("markdown") != F.upper("text")).count() == 0
 

@@ -201,15 +201,16 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     if conversions is None:
         converted_pages = checkpoint(pages.select("page_id", "url", md("url", "html").alias("_d")).select(
             "page_id", "url", "_d.markdown", "_d.error"))
+        page_outcomes = converted_pages
     else:
         options = options_key("page", converter=PAGE_CONVERTER, remove=list(remove), retain_images=retain_images)
-        done = convert_once(
-            pages.select(F.col("page_id").alias("id"), content_key("url", "html").alias("key"), "url", "html"),
+        outcomes, done = convert_once(
+            pages.select(F.struct("page_id", "url").alias("id"), content_key("url", "html").alias("key"), "url", "html"),
             lambda d: d.select("key", md("url", "html").alias("_d")).select("key", "_d.markdown", "_d.error"),
-            options, conversions).withColumnRenamed("id", "page_id")
-        converted_pages = done.join(pages.select("page_id", "url"), "page_id")
-        made.append(converted_pages.select(F.lit("URL").alias("type"), "url", "made"))
-    page_errors = converted_pages.filter(F.col("error").isNotNull()).select("page_id", F.col("error").alias("page_error"))
+            options, conversions)
+        page_outcomes, converted_pages = outcomes.select("id.*", "error"), done.select("id.*", "markdown", "error")
+        made.append(outcomes.select(F.lit("URL").alias("type"), "id.url", "made"))
+    page_errors = page_outcomes.filter(F.col("error").isNotNull()).select("page_id", F.col("error").alias("page_error"))
     url_rows = firsts.filter(F.col("type") == "URL")
     if "page_checksum" in firsts.columns:  # taken in the parse pass
         firsts = firsts.drop("page_checksum")
@@ -233,17 +234,18 @@ def process_elements(elements: DataFrame, pages: DataFrame, assets: DataFrame, j
     ok_assets = assets.filter(F.col("status") == 200).join(types, "url")
     pdfs = ok_assets.filter(F.col("type") == "PDF").select(F.col("url").alias("key"), "content")
     if extractor_factory is None:
-        converted = pages.sparkSession.createDataFrame([], PDF_RESULT_SCHEMA)
+        converted = pdf_outcomes = pages.sparkSession.createDataFrame([], PDF_RESULT_SCHEMA)
     elif conversions is None or extractor_version is None:
-        converted = checkpoint(pdf_to_markdown(pdfs, pdf_method, extractor_factory))
+        converted = pdf_outcomes = checkpoint(pdf_to_markdown(pdfs, pdf_method, extractor_factory))
     else:
-        done = convert_once(
+        pdf_outcomes, done = convert_once(
             pdfs.select(F.col("key").alias("id"), content_key("content").alias("key"), "content"),
             lambda d: pdf_to_markdown(d, pdf_method, extractor_factory),
             options_key("pdf", extractor=extractor_version, method=pdf_method), conversions)
         converted = done.drop("key").withColumnRenamed("id", "key")
-        made.append(converted.select(F.lit("PDF").alias("type"), F.col("key").alias("url"), "made"))
-    pdf_errors = converted.groupBy(F.col("key").alias("url")).agg(F.min("error").alias("pdf_error"))
+        pdf_outcomes = pdf_outcomes.drop("key").withColumnRenamed("id", "key")
+        made.append(pdf_outcomes.select(F.lit("PDF").alias("type"), F.col("key").alias("url"), "made"))
+    pdf_errors = pdf_outcomes.groupBy(F.col("key").alias("url")).agg(F.min("error").alias("pdf_error"))
     asset_rows = asset_rows.join(pdf_errors, "url", "left")
     failed = (F.col("type") == "PDF") & F.col("pdf_error").isNotNull()
 

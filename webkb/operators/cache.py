@@ -106,9 +106,10 @@ def content_key(*parts) -> Column:
 
 
 def convert_once(items: DataFrame, convert: Callable[[DataFrame], DataFrame], options: str,
-                 root: str) -> DataFrame:
-    """``(id, key, markdown, n_pages, has_text_layer, blocks, error, made)``
-    per distinct ``(id, key)`` of ``items``.
+                 root: str) -> tuple[DataFrame, DataFrame]:
+    """``(outcomes, conversions)``: per distinct ``(id, key)`` of ``items`` the
+    narrow ``id, key, error, made``, which is materialized, and the same with
+    ``markdown, n_pages, has_text_layer, blocks``, read from the cache.
 
     ``items`` have an ``id``, the ``key`` of their content and what
     ``convert`` reads; ``convert`` returns ``key``, ``error`` and what it has of
@@ -137,8 +138,7 @@ def convert_once(items: DataFrame, convert: Callable[[DataFrame], DataFrame], op
     (laid.write.mode("append").option("parquet.bloom.filter.enabled#key", "true")
      .option("parquet.bloom.filter.adaptive.enabled", "true").partitionBy("options", "key_prefix").parquet(root))
     failed = made.filter(F.col("error").isNotNull()).groupBy("key").agg(F.min("error").alias("error"))
-    by_key = kept(narrow.select("key")).withColumn("error", F.lit(None).cast("string")).unionByName(
-        failed, allowMissingColumns=True)
-    flagged = narrow.join(todo.select("key", F.lit(True).alias("made")), "key", "left").withColumn(
-        "made", F.coalesce("made", F.lit(False)))
-    return flagged.join(by_key, "key").select("id", *CONVERSION.fieldNames(), "error", "made")
+    outcomes = checkpoint(
+        narrow.join(todo.select("key", F.lit(True).alias("made")), "key", "left").join(failed, "key", "left")
+        .select("id", "key", "error", F.coalesce("made", F.lit(False)).alias("made")))
+    return outcomes, outcomes.join(kept(narrow.select("key")), "key", "left")

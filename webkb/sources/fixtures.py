@@ -112,18 +112,18 @@ select page_id, url, spelling, case spelling
 from (select page_id, url, spelling, split_part(url, '://', 1) as sch,
         split_part(split_part(url, '://', 2), '/', 1) as h,
         substr(url, length(split_part(url, '://', 1)) + length(split_part(split_part(url, '://', 2), '/', 1)) + 4) as tail
-      from {pages} cross join {six}) t
+      from (select page_id, url, {six} as spelling from {pages}) p) t
 """
 
 
 def fx_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, url, spelling, raw)``: each page URL in six other spellings."""
-    return spark.sql(SPELLINGS.replace("{six}", "(select explode(sequence(0, 5)) as spelling) s"),
+    return spark.sql(SPELLINGS.replace("{six}", "explode(sequence(0, 5))"),
                      pages=_read(spark, sf_dir, "pages"))
 
 
 def duck_fx_spellings() -> str:
-    return SPELLINGS.format(pages="pages", six="(select unnest(range(6)) as spelling) s")
+    return SPELLINGS.format(pages="pages", six="unnest(range(6))")
 
 
 BROKEN_DOC = "doc_id % 50 = 7"
