@@ -1,5 +1,9 @@
 """Tables of many files, and steps whose memory or time must not follow the size of a batch."""
 
+import pyarrow as pa
+
+from webkb.functions import html as H
+from webkb.operators import assets as AS
 from webkb.plans import queries as Q
 
 
@@ -11,3 +15,30 @@ def test_stream_ingest_reads_a_table_of_many_files(spark, tmp_path):
     want = Q.QUERIES["metadata_first_writer"](spark, str(tmp_path)).collect()
     assert len(want) > 12 and sorted(got, key=lambda r: (r.element_id, r.type)) == sorted(
         want, key=lambda r: (r.element_id, r.type))
+
+
+def _pages(n):
+    url = pa.array([f"http://h.example.org/{i}" for i in range(n)])
+    return url, pa.array([None if i % 100 == 7 else f"<p>{i}</p><a href='/{i}.pdf'>x</a>" for i in range(n)])
+
+
+def test_pages_leave_python_in_slices():
+    url, html = _pages(1000)
+    for udf in (H.parse_html_udf, H.markdown_udf()):
+        out = list(udf.func(iter([(url, html), (url.slice(0, 0), html.slice(0, 0))])))
+        assert max(map(len, out)) <= H.SLICE_ROWS and sum(map(len, out)) == 1000
+    links = [i["value"] for part in H.parse_html_udf.func(iter([(url, html)])) for page in part.to_pylist()
+             for i in page["items"]]
+    assert links == [f"/{i}.pdf" for i in range(1000) if i % 100 != 7]
+
+
+def test_slices_are_bounded_by_bytes():
+    big = pa.array(["x" * (H.SLICE_BYTES // 2 + 1), "y", None, "z" * (3 * H.SLICE_BYTES), "a"])
+    assert list(H.held_slices(big)) == [(0, 3), (3, 1), (4, 1)]
+
+
+def test_files_leave_python_in_slices():
+    files = pa.RecordBatch.from_pydict({"key": [str(i) for i in range(600)], "content": [b"t%d" % i for i in range(600)]})
+    out = list(AS._pdf_partition("auto", lambda method: lambda content: content.decode())(iter([files])))
+    assert max(b.num_rows for b in out) <= H.SLICE_ROWS
+    assert [r["markdown"] for b in out for r in b.to_pylist()] == [f"t{i}" for i in range(600)]
