@@ -1,9 +1,13 @@
 """Tables of many files, and steps whose memory or time must not follow the size of a batch."""
 
+import time
+
+import numpy as np
 import pyarrow as pa
 
 from webkb.functions import html as H
 from webkb.operators import assets as AS
+from webkb.operators import search as SE
 from webkb.plans import queries as Q
 
 
@@ -42,3 +46,27 @@ def test_files_leave_python_in_slices():
     out = list(AS._pdf_partition("auto", lambda method: lambda content: content.decode())(iter([files])))
     assert max(b.num_rows for b in out) <= H.SLICE_ROWS
     assert [r["markdown"] for b in out for r in b.to_pylist()] == [f"t{i}" for i in range(600)]
+
+
+def test_a_block_is_scored_for_many_queries_at_once():
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(300)]
+    rows, factor = {}, np.zeros((300, SE.BLOCK))
+    for i, w in enumerate(words):
+        places = np.sort(rng.permutation(SE.BLOCK)[:max(2, 1500 // (i + 1))])
+        rows[w] = np.stack([places, np.ones(len(places)), np.full(len(places), 10)], 1).astype("<i4").tobytes(), 1.0
+        factor[i, places] = 1.0
+    queries = [(q, [(words[i], 1.0 + float(rng.random())) for i in
+                    np.unique(np.append(np.arange(20), rng.integers(20, 300, 20)))]) for q in range(3000)]
+    scorer = SE.BlockScorer(queries, 10, 1.2, 0.75, 10.0)
+    began = time.perf_counter()
+    scorer.block(0, rows, None)
+    # one query after the other took some milliseconds each
+    assert time.perf_counter() - began < 1.2
+    got = {}
+    for q, d, s in scorer.rows():
+        got.setdefault(q, []).append((d, round(s, 9)))
+    for q, terms in queries[::100]:
+        total = sum(w * factor[words.index(t)] for t, w in terms)
+        best = sorted(np.flatnonzero(total).tolist(), key=lambda d: (-round(total[d], 9), d))[:10]
+        assert got[q] == [(d, round(float(total[d]), 9)) for d in best]
