@@ -9,6 +9,7 @@ from webkb.functions import html as H
 from webkb.operators import assets as AS
 from webkb.operators import search as SE
 from webkb.plans import queries as Q
+from webkb.session import scratch_path
 
 
 def test_stream_ingest_reads_a_table_of_many_files(spark, tmp_path):
@@ -70,3 +71,12 @@ def test_a_block_is_scored_for_many_queries_at_once():
         total = sum(w * factor[words.index(t)] for t, w in terms)
         best = sorted(np.flatnonzero(total).tolist(), key=lambda d: (-round(total[d], 9), d))[:10]
         assert got[q] == [(d, round(float(total[d]), 9)) for d in best]
+
+
+def test_index_rows_of_a_folder_are_written_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(SE, "BLOCK_BITS", 3)
+    monkeypatch.setattr(SE, "BLOCK", 8)
+    docs = spark.createDataFrame([(i, f"common w{i % 50}") for i in range(600)], "doc_id long, text string")
+    root = SE.build_index(docs, scratch_path(spark, "t-index"), parts=1)
+    rows = spark.read.schema(SE.POSTINGS).parquet(f"{root}/postings")
+    assert len(rows.inputFiles()) > 3  # one file a folder, however many documents, before
