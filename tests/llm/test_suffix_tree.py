@@ -182,3 +182,44 @@ def test_no_repeated_ngram_is_left_out(spark):
     assert sum(found[k] for k, n in counts.items() if n == 1) <= 0.3 * len(counts)
     got = S._ngrams(docs, [every], bitmap).filter("n > 1").collect()
     assert sorted(r.n for r in got) == sorted(n for n in counts.values() if n > 1)
+
+
+def test_python_steps_hold_a_bounded_part_of_a_partition():
+    """What a step of a task holds does not follow the number of words of its partition."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    words = np.char.add("w", np.random.default_rng(4).integers(0, 400_000, 4_000_000).astype(str))
+    texts = pa.array([" ".join(words[i:i + 400].tolist()) for i in range(0, len(words), 400)], pa.string())
+    del words
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    every = SimpleNamespace(value=~np.zeros(1 << 10, np.uint64))
+    for step, least in ((lambda: S._counted(iter([batch]), [every], every, S.HELD_KEYS), 3_900_000),
+                        (lambda: S._sent(iter([batch]), [every], 8, S.HELD_KEYS), 3_900_000)):
+        tracemalloc.start()
+        n = 0
+        for part in step():
+            if "n" in part.schema.names:
+                n += int(part.column("n").to_numpy().sum())
+            else:
+                n += sum(len(x) // 4 for c in ("once", "more") for x in part.column(c).to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n >= least and peak < 150 << 20, peak
+    keys = S._Keys()
+    for i in range(200_000):
+        keys[b"%d" % i]
+    assert len(keys) <= S.KEPT_KEYS
+
+
+def test_slices_of_keys_follow_the_corpus(spark):
+    """More tokens are dealt to more slices, which mark the same n-grams."""
+    texts = [f"a{i} b{i} c{i % 50} d{i % 50}" for i in range(400)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    every = spark.sparkContext.broadcast(~np.zeros(1 << S.MAP_WORDS, np.uint64))
+    maps = [S._repeated(docs, [every], total) for total in (0, 3_000 * S.SLICE_KEYS)]
+    assert maps[1].value.size == 1 << 12 and maps[0].value.size == 256
+    counted = [sorted(map(tuple, S._ngrams(docs, [every], m).filter("n > 1").collect())) for m in maps]
+    assert counted[0] == counted[1] and len(counted[0]) == 100

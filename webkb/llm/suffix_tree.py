@@ -57,6 +57,13 @@ def tokens(text: str | None) -> list[bytes]:
 #: A bitmap has at most 64 << MAP_WORDS bits, the table of hot values at most 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
+#: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, distinct words with
+#: their keys, words or n-grams before they are passed on, about so many keys of a slice (see ``_repeated``).
+TEXT_BYTES = 2 << 20
+KEPT_KEYS = 1 << 16
+HELD_WORDS = 100_000
+HELD_KEYS = 1 << 20
+SLICE_KEYS = 1 << 20
 
 
 def _mix(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
@@ -79,7 +86,7 @@ class _Keys(dict):
     """64-bit keys of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) >= KEPT_KEYS:
             self.clear()
         key = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
         return key
@@ -128,7 +135,7 @@ def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
+def _vocabulary(docs: DataFrame, most: int = HELD_WORDS) -> DataFrame:
     """Training tokens and how often they occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +148,7 @@ def _vocabulary(docs: DataFrame, most: int = 300_000) -> DataFrame:
             counts.clear()
             return out
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             distinct, codes, *_ = _numbered(batch, keys)
             times = np.bincount(codes, minlength=len(distinct))
             counts.update({word: n for word, n in zip(distinct, times.tolist()) if n})
@@ -171,63 +178,73 @@ def _parts(batch: pa.RecordBatch, keys: _Keys, maps: list[Broadcast]) -> tuple[n
     return ctx, suf
 
 
-def _repeated(docs: DataFrame, maps: list[Broadcast], most: int = 1 << 23) -> Broadcast:
-    """A bitmap of the n-grams (as in :func:`_parts`) that may occur twice.
-
-    Keys are dealt to 256 slices by their first byte; a task sends the next
-    four bytes of each key it has found, once, apart by whether it has found
-    it twice. A slice's bytes that come twice set its part of the bitmap. An
-    n-gram that occurs twice is never missed; the parts, of bounded size, come
-    to the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        keys = _Keys()
-
-        def full():
-            key, n = np.unique(np.concatenate(held).view(np.uint64) >> np.uint64(24), return_counts=True)
-            held.clear()
-            low, many = key.astype(np.uint32), n > 1
-            edges = np.searchsorted(key, np.arange(257, dtype=np.uint64) << np.uint64(32))
-            rows = [(i, low[a:b][~many[a:b]].tobytes(), low[a:b][many[a:b]].tobytes())
-                    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
-                                              names=["slice", "once", "more"])
-
-        for batch in slices(batches, "text"):
-            held.append(_mix(*_parts(batch, keys, maps)))
-            if sum(map(len, held)) > most:
-                yield full()
-        if sum(map(len, held)):
-            yield full()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, once, more = None, [], []
-
-        def twice():
-            low, n = np.unique(np.frombuffer(b"".join(once), np.uint32), return_counts=True)
-            low = np.concatenate([low[n > 1], np.frombuffer(b"".join(more), np.uint32)])
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([low.tobytes()], pa.binary())],
-                                              names=["slice", "low"])
+def _sent(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], top: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``slice, once, more``: of the keys found in about ``most`` n-grams at a
+    time (as in :func:`_parts`), the four bytes after the first ``top`` bits,
+    apart by whether they were found twice."""
+    held: list[np.ndarray] = []
+    keys = _Keys()
+
+    def full():
+        key, n = np.unique(np.concatenate(held).view(np.uint64) >> np.uint64(32 - top), return_counts=True)
+        held.clear()
+        low, many = key.astype(np.uint32), n > 1
+        at = np.flatnonzero(np.diff(key >> np.uint64(32), prepend=~np.uint64(0)))
+        for i in range(0, len(at), 1024):
+            starts, ends = at[i:i + 1024], np.append(at[i + 1:i + 1025], len(key))[:1024]
+            rows = [(int(key[a]) >> 32, low[a:b][~many[a:b]].tobytes(), low[a:b][many[a:b]].tobytes())
+                    for a, b in zip(starts.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                names=["slice", "once", "more"])
 
-        for batch in batches:
-            for part, few, many in zip(*(batch.column(c).to_pylist() for c in ("slice", "once", "more"))):
-                if part != now:
-                    if now is not None:
-                        yield twice()
-                    now, once, more = part, [], []
-                once.append(few)
-                more.append(many)
-        if now is not None:
-            yield twice()
-
-    sent = docs.select("text").mapInArrow(run, "slice int, once binary, more binary")
-    got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(merge, "slice int, low binary"), "tree-repeated")
+    for batch in slices(batches, "text", TEXT_BYTES):
+        held.append(_mix(*_parts(batch, keys, maps)))
+        if sum(map(len, held)) > most:
+            yield from full()
+    if sum(map(len, held)):
+        yield from full()
+
+
+def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``slice, low``: of the rows of :func:`_sent`, sorted by slice, the bytes that were found twice."""
+    now, once, more = None, [], []
+
+    def found():
+        low, n = np.unique(np.frombuffer(b"".join(once), np.uint32), return_counts=True)
+        low = np.concatenate([low[n > 1], np.frombuffer(b"".join(more), np.uint32)])
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([low.tobytes()], pa.binary())],
+                                          names=["slice", "low"])
+
+    for batch in slices(batches, "once", TEXT_BYTES):
+        for part, few, many in zip(*(batch.column(c).to_pylist() for c in ("slice", "once", "more"))):
+            if part != now:
+                if now is not None:
+                    yield found()
+                now, once, more = part, [], []
+            once.append(few)
+            more.append(many)
+    if now is not None:
+        yield found()
+
+
+def _repeated(docs: DataFrame, maps: list[Broadcast], total: int = 0, most: int = HELD_KEYS) -> Broadcast:
+    """A bitmap of the n-grams (as in :func:`_parts`) that may occur twice,
+    of texts with ``total`` tokens.
+
+    Keys are dealt to slices by their first bits, so many that a slice has
+    about ``SLICE_KEYS`` keys at most; a task sends the next four bytes of the
+    keys it has found, apart by whether it has found them twice. A slice's
+    bytes that come twice set its part of the bitmap. An n-gram that occurs
+    twice is never missed; the parts, of bounded size, come to the driver."""
+    top = min(MAP_WORDS - 5, max(8, int(total // SLICE_KEYS).bit_length()))
+    sent = docs.select("text").mapInArrow(lambda b: _sent(b, maps, top, most), "slice int, once binary, more binary")
+    got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(_twice, "slice int, low binary"), "tree-repeated")
     bits = _bits(got.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0)
-    cells = max(64, 1 << bits - 8)
+    cells = max(64, 1 << max(0, bits - top))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "low", TEXT_BYTES):
             marked = []
             for low in batch.column("low").to_pylist():
                 part = np.zeros(cells, bool)
@@ -235,40 +252,43 @@ def _repeated(docs: DataFrame, maps: list[Broadcast], most: int = 1 << 23) -> Br
                 marked.append(np.packbits(part, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(marked, pa.binary())], names=["slice", "bits"])
 
-    out = np.zeros((256, cells // 64), np.uint64)
+    out = np.zeros((1 << top, cells // 64), np.uint64)
     for row in got.mapInArrow(mark, "slice int, bits binary").collect():
         out[row["slice"]] = np.frombuffer(row["bits"], "<u8")
     drop_cut(got)
     return docs.sparkSession.sparkContext.broadcast(out.ravel())
 
 
-def _ngrams(docs: DataFrame, maps: list[Broadcast], wanted: Broadcast, most: int = 1 << 22) -> DataFrame:
-    """Counts ``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be
-    in the bitmap ``wanted``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        keys = _Keys()
-
-        def full():
-            ctx, suf = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            _, at, n = np.unique(_mix(ctx, suf), return_index=True, return_counts=True)
-            for i in range(0, len(at), 1 << 18):
-                part = at[i:i + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(ctx[part]), pa.array(suf[part]), pa.array(n[i:i + (1 << 18)])],
-                                                 names=["ctx", "suf", "n"])
-
-        for batch in slices(batches, "text"):
-            ctx, suf = _parts(batch, keys, maps)
-            again = _maybe(wanted.value, _mix(ctx, suf))
-            held.append((ctx[again], suf[again]))
-            if sum(len(x) for x, _ in held) > most:
-                yield from full()
-        if held:
+def _counted(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], wanted: Broadcast, most: int) -> Iterator[pa.RecordBatch]:
+    """``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be in
+    ``wanted``, summed over about ``most`` of them at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    keys = _Keys()
+
+    def full():
+        ctx, suf = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        _, at, n = np.unique(_mix(ctx, suf), return_index=True, return_counts=True)
+        for i in range(0, len(at), 1 << 18):
+            part = at[i:i + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(ctx[part]), pa.array(suf[part]), pa.array(n[i:i + (1 << 18)])],
+                                             names=["ctx", "suf", "n"])
+
+    for batch in slices(batches, "text", TEXT_BYTES):
+        ctx, suf = _parts(batch, keys, maps)
+        again = _maybe(wanted.value, _mix(ctx, suf))
+        held.append((ctx[again], suf[again]))
+        if sum(len(x) for x, _ in held) > most:
             yield from full()
+    if held:
+        yield from full()
 
-    return docs.select("text").mapInArrow(run, "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+
+def _ngrams(docs: DataFrame, maps: list[Broadcast], wanted: Broadcast, most: int = HELD_KEYS) -> DataFrame:
+    """Counts ``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be
+    in the bitmap ``wanted``."""
+    counted = docs.select("text").mapInArrow(lambda b: _counted(b, maps, wanted, most), "ctx long, suf long, n long")
+    return counted.groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
 
 
 def _words(vocabulary: DataFrame) -> DataFrame:
@@ -295,7 +315,7 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     maps, levels = [], []
     for _ in range(depth):
         maps.append(_bitmap(last))
-        wanted = _repeated(docs, maps) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
+        wanted = _repeated(docs, maps, total) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
         counted = _ngrams(docs, maps, wanted).filter(F.col("n") >= least)
         tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
                      .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
@@ -367,7 +387,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = _Keys()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", TEXT_BYTES):
             distinct, words, key, starts, place = _numbered(batch, keys)
             base = np.fromiter(map(common_base.get, distinct, repeat(np.nan)), float, len(distinct))[words]
             rare = np.isnan(base)
