@@ -107,3 +107,36 @@ def test_lookup_reads_the_days_that_can_hold_it(spark):
     assert "PartitionFilters" in plan and "2024-01-04" in plan
     noon = datetime(2024, 1, 5, 12, tzinfo=UTC)
     assert [r.ts_us for r in fresh.collect()] == [int(noon.timestamp()) * 1_000_000]
+
+
+def test_a_job_takes_its_pages_from_the_store_once(spark, tmp_path):
+    """The HTML of the page table is read to parse it, and to set the reached pages aside; what converts,
+    stores and caches them does not read it again. Duplicate, cached and NULL pages come out as before."""
+    from webkb.conf import JobConf
+    from webkb.functions.urls import canonical_url
+    from webkb.operators import links as LK
+    from webkb.plans.pipeline import build_kb
+
+    rows = [(i, f"http://h.example.org/{i}", f"<p>t{i}</p><a href='/{i + 1}'>x</a><a href='/{i + 1}'>y</a>") for i in range(8)]
+    rows += [(20, "http://H.example.org/3#a", "<p>again</p>"), (21, "http://h.example.org/8", None), (22, None, "<p>n</p>")]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    pages = made.mapInArrow(counted, made.schema)
+    assets = spark.createDataFrame([], "url string, status int, content_type string, content binary")
+    conf = JobConf(job_ts="2024-01-02 03:04:05", max_depth=20, seeds=["http://h.example.org/0"])
+    out = build_kb(spark, pages, assets, conf, str(tmp_path / "kb"), cache=str(tmp_path / "cache"))
+    assert sorted(r.page_id for r in out["crawled"].collect()) == [*range(8), 21]
+    got = {r.URL: r.raw_content_path != "" for r in out["metadata"].collect()}
+    assert sorted(got) == [f"http://h.example.org/{i}" for i in range(8)]
+    assert sum(r.stage == "raw" for r in out["objects"].collect()) == 8
+    # keys of the store, the parse, the seeds' level, the edges' targets and the pages set aside
+    assert read.value <= 16 * len(rows), read.value / len(rows)
+    parsed = LK.parse_pages(made.withColumn("url_key", canonical_url("url")), ("url_key",))
+    plain = LK.link_edges(parsed.drop("url_key")).collect()
+    assert sorted(LK.link_edges(parsed).collect()) == sorted(plain) and len(plain) == 8
