@@ -209,9 +209,8 @@ def test_python_steps_hold_a_bounded_part_of_a_partition():
         tracemalloc.stop()
         assert n >= least and peak < 150 << 20, peak
     keys = S._Keys()
-    for i in range(200_000):
-        keys[b"%d" % i]
-    assert len(keys) <= S.KEPT_KEYS
+    assert keys.of(np.array([b"a", b"\xff\x00", b""], object)).tolist() == [keys[b"a"], keys[b"\xff\x00"], keys[b""]]
+    assert not keys and len(keys.of(np.array([], object))) == 0
 
 
 def test_slices_of_keys_follow_the_corpus(spark):
@@ -223,3 +222,12 @@ def test_slices_of_keys_follow_the_corpus(spark):
     assert maps[1].value.size == 1 << 12 and maps[0].value.size == 256
     counted = [sorted(map(tuple, S._ngrams(docs, [every], m).filter("n > 1").collect())) for m in maps]
     assert counted[0] == counted[1] and len(counted[0]) == 100
+
+
+def test_a_lean_model_has_the_stored_ngrams(spark):
+    docs = spark.createDataFrame([(x,) for _, x in corpus()], "text string")
+    vocabulary = S._vocabulary(docs).cache()
+    total, distinct = vocabulary.selectExpr("sum(n)", "count(*)").first()
+    full, lean = (S._values(S.model(docs, vocabulary, total, distinct, stored_only=lean)) for lean in (False, True))
+    rows = [sorted((r.key, r.n, round(r.value, 9)) for r in v.collect()) for v in (full, lean)]
+    assert rows[0] == rows[1] and len(rows[0]) > 10

@@ -31,13 +31,12 @@ adds no rows to it.
 from __future__ import annotations
 
 import gc
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -57,12 +56,10 @@ def tokens(text: str | None) -> list[bytes]:
 #: A bitmap has at most 64 << MAP_WORDS bits, the table of hot values at most 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
-#: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, distinct words with
-#: their keys, words or n-grams before they are passed on, about so many keys of a slice (see ``_repeated``).
-TEXT_BYTES = 2 << 20
-KEPT_KEYS = 1 << 16
-HELD_WORDS = 100_000
-HELD_KEYS = 1 << 20
+#: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, n-grams before they
+#: are passed on, about so many keys of a slice (see ``_repeated``).
+TEXT_BYTES = 1 << 20
+HELD_KEYS = 1 << 19
 SLICE_KEYS = 1 << 20
 
 
@@ -85,21 +82,21 @@ def _mix(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
 class _Keys(dict):
     """64-bit keys of words."""
 
+    def of(self, words: np.ndarray) -> np.ndarray:
+        return pd.util.hash_array(words, categorize=False).view(np.int64)
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_KEYS:
-            self.clear()
-        key = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return key
+        return int(self.of(np.array([word], object))[0])
 
 
-def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of a batch of texts in one row: the distinct ones, the number
     of each token among them, its key, where each text starts, and each
     token's place in its text."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column("text"), "")))
     # a blank at either end leaves an empty part; the empty token is the end of each text
     coded = pa.concat_arrays([parts.flatten(), pa.array([""], pa.string())]).dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
     codes = coded.indices.to_numpy()
     end, codes = codes[-1], codes[:-1]
     text = np.repeat(np.arange(batch.num_rows), parts.value_lengths().to_numpy())
@@ -109,8 +106,7 @@ def _numbered(batch: pa.RecordBatch, keys: _Keys) -> tuple[list[bytes], np.ndarr
     out[np.arange(len(codes)) + text] = codes
     sizes = np.bincount(text, minlength=batch.num_rows) + 1
     first = np.cumsum(sizes) - sizes
-    found = np.fromiter(map(keys.__getitem__, distinct), np.int64, len(distinct))
-    return distinct, out, found[out], first, np.arange(len(out)) - np.repeat(first, sizes)
+    return distinct, out, keys.of(distinct)[out], first, np.arange(len(out)) - np.repeat(first, sizes)
 
 
 def _bits(n: int) -> int:
@@ -135,27 +131,17 @@ def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _vocabulary(docs: DataFrame, most: int = HELD_WORDS) -> DataFrame:
+def _vocabulary(docs: DataFrame) -> DataFrame:
     """Training tokens and how often they occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
         keys = _Keys()
-
-        def full():
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
-                                              pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
-            counts.clear()
-            return out
-
-        for batch in slices(batches, "text", TEXT_BYTES):
+        for batch in slices(batches, "text", 2 * TEXT_BYTES):
             distinct, codes, *_ = _numbered(batch, keys)
             times = np.bincount(codes, minlength=len(distinct))
-            counts.update({word: n for word, n in zip(distinct, times.tolist()) if n})
-            if len(counts) > most:
-                yield full()
-        if counts:
-            yield full()
+            found = times > 0
+            yield pa.RecordBatch.from_arrays([pa.array(distinct[found], pa.binary()), pa.array(times[found], pa.int64())],
+                                             names=["token", "n"])
 
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -297,18 +283,19 @@ def _words(vocabulary: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = _Keys()
         for batch in batches:
-            found = [keys[word] for word in batch.column("token").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column("n")], names=["key", "n"])
+            found = keys.of(batch.column("token").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("n")], names=["key", "n"])
 
     return vocabulary.select("token", "n").mapInArrow(run, "key long, n long")
 
 
 def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, depth: int = 3, least: int = 2,
-          discount: float = 0.5, parts: tuple[str, ...] = ()) -> list[tuple[DataFrame, DataFrame]]:
+          discount: float = 0.5, parts: tuple[str, ...] = (), stored_only: bool = False) -> list[tuple[DataFrame, DataFrame]]:
     """Per level of the training texts ``docs`` (text): the counted n-grams
     ``key, n, p, adj`` (``p``: log probability at this level, ``adj``: NULL if
     not stored) with ``parts`` of ``ctx, suf``, and the retained contexts
-    ``key, n, rest``."""
+    ``key, n, rest``. With ``stored_only`` the n-grams that are not stored are
+    left out, and deleted when the next level is made."""
     cost = 0.5 * float(np.log(max(total, 2)))
     words = _words(vocabulary).filter(F.col("n") >= least)
     last = cut(words.withColumn("p", F.log((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1)))), "tree-level")
@@ -316,9 +303,13 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     for _ in range(depth):
         maps.append(_bitmap(last))
         wanted = _repeated(docs, maps, total) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
-        counted = _ngrams(docs, maps, wanted).filter(F.col("n") >= least)
+        _release(docs)
+        counted = cut(_ngrams(docs, maps, wanted).filter(F.col("n") >= least), "tree-counted")
+        _release(docs)
         tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
                      .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
+        drop_cut(counted)
+        _release(docs)
         own, above = F.log((F.col("n") - discount) / F.col("total")), F.col("above")
         kept = F.col("n") * (own - above) > cost
         rest = F.log(F.greatest(1 - F.col("stored"), F.lit(1e-12))) - F.log(F.greatest(1 - F.col("covered"), F.lit(1e-12)))
@@ -329,13 +320,18 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
             .filter(F.col("gain") + (F.col("total") - F.col("n")) * F.col("rest") > cost * (F.col("tokens") + 1))
             .select(F.col("ctx").alias("key"), F.col("total").alias("n"), "rest"), "tree-states")
         p = F.when(F.col("rest").isNull(), above).when(kept, own).otherwise(above + F.col("rest"))
-        last = cut(tested.join(rests.select(F.col("key").alias("ctx"), "rest"), "ctx", "left").select(
+        shorter, last = last, cut(tested.join(rests.select(F.col("key").alias("ctx"), "rest"), "ctx", "left").select(
             F.xxhash64("ctx", "suf").alias("key"), "n", p.alias("p"),
             F.when(kept, own - above - F.col("rest")).alias("adj"), *parts), "tree-level")
         drop_cut(tested)
         wanted.destroy()
+        if stored_only:
+            drop_cut(shorter)
+        del tested, shorter
         _release(docs)
-        levels.append((last, rests))
+        levels.append((cut(last.filter(F.col("adj").isNotNull()), "tree-stored") if stored_only else last, rests))
+    if stored_only:
+        drop_cut(last)
     for sent in maps:
         sent.destroy()
     return levels
@@ -368,7 +364,8 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     train = docs.select("doc_id", "text").filter(~held)
     vocabulary = cut(_vocabulary(train), "tree-vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    values = cut(_values(model(train, vocabulary, total, distinct, depth=depth, **settings)), "tree-values")
+    values = cut(_values(model(train, vocabulary, total, distinct, depth=depth, stored_only=True,
+                               **settings)), "tree-values")
     _release(docs)
     slots = min(HOT_SLOTS, max(8, values.count().bit_length()))
     slot = F.shiftrightunsigned("key", 64 - slots)
@@ -389,7 +386,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
         keys = _Keys()
         for batch in slices(batches, "text", TEXT_BYTES):
             distinct, words, key, starts, place = _numbered(batch, keys)
-            base = np.fromiter(map(common_base.get, distinct, repeat(np.nan)), float, len(distinct))[words]
+            base = np.fromiter(map(common_base.get, distinct.tolist(), repeat(np.nan)), float, len(distinct))[words]
             rare = np.isnan(base)
             per_text = lambda x: np.add.reduceat(x, starts)
             offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
@@ -414,7 +411,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
                 [batch.column("doc_id"), pa.array(np.diff(np.append(starts, len(words)))),
                  pa.array(per_text(np.where(rare, 0.0, base))), pa.array(per_text(gain) / np.log(10)),
                  pa.ListArray.from_arrays(offsets(per_text(rare.astype(np.int64))),
-                                          pa.array([distinct[i] for i in words[rare]], pa.binary())),
+                                          pa.array(distinct[words[rare]], pa.binary())),
                  pa.ListArray.from_arrays(offsets(np.bincount(far_text, minlength=len(starts))), pa.array(far_key[order]))],
                 names=["doc_id", "n_tokens", "common", "gain", "rare", "far"])
 
