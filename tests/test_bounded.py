@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 from webkb.functions import html as H
+from webkb.llm import common as C
+from webkb.llm import simhash as SH
 from webkb.operators import assets as AS
 from webkb.operators import search as SE
 from webkb.plans import queries as Q
@@ -80,3 +82,32 @@ def test_index_rows_of_a_folder_are_written_in_pieces(spark, monkeypatch):
     root = SE.build_index(docs, scratch_path(spark, "t-index"), parts=1)
     rows = spark.read.schema(SE.POSTINGS).parquet(f"{root}/postings")
     assert len(rows.inputFiles()) > 3  # one file a folder, however many documents, before
+
+
+def test_batches_of_a_read_table_are_bounded_by_bytes(spark, tmp_path):
+    spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('x', 20000) as text").write.parquet(
+        str(tmp_path / "documents.parquet"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    spark.conf.unset(C.BATCH_CONF)
+    got = C.read(spark, str(tmp_path), "documents").coalesce(1).mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 3000
+    assert max(r.bytes for r in got) < 2 * C.BATCH_BYTES  # 60 MB in one batch before
+    spark.conf.set(C.BATCH_CONF, str(1 << 20))
+    C.read(spark, str(tmp_path), "documents")
+    assert spark.conf.get(C.BATCH_CONF) == str(1 << 20)
+    spark.conf.unset(C.BATCH_CONF)
+
+
+def test_texts_become_python_objects_in_pieces(spark):
+    half = C.PIECE_BYTES // 2 + 1
+    got = list(C.pieces(pa.array(["x" * half, None, "y" * half, "", "z"])))
+    assert [len(p) for p in got] == [2, 3] and got[0][1] is None
+    texts = [None, "", "a b c d", "x " * C.PIECE_BYTES, "tail of it"] + [f"word{i} and {i % 7}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r.fp for r in docs.select("doc_id", SH.fingerprint_column().alias("fp")).collect()}
+    assert [found[i] % (1 << 64) for i in range(len(texts))] == [SH.fingerprint(t) for t in texts]
+    assert min(found.values()) < 0 < max(found.values())

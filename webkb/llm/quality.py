@@ -10,16 +10,13 @@ byte value, that is, a convolution over one-hot bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webkb.llm.common import fold, slices, utf8
+from webkb.llm.common import fold, text_column, utf8
 from webkb.llm.labelled import sample
 
 WIDTH = 8
@@ -134,11 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, rows: int = 1500
 def scores(net: Network):
     """The probability of label 1 as a column of ``text``."""
 
-    @F.pandas_udf("double")
-    def quality(texts: pd.Series) -> pd.Series:
-        return pd.Series([net.score(utf8(t)) for t in texts], index=texts.index, dtype="float64")
-
-    return quality(F.col("text"))
+    return text_column("double", lambda: lambda text: net.score(utf8(text)))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds: int = 4,

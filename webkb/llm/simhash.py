@@ -17,12 +17,11 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webkb.llm.common import cut, utf8
+from webkb.llm.common import cut, text_column, utf8
 from webkb.llm.components import components
 
 BITS = 64
@@ -53,12 +52,11 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 def fingerprint_column(shingle: int = 3, seed: int = 42):
     """The fingerprint as a signed long column of ``text``."""
 
-    @F.pandas_udf("long")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64),
-                         index=texts.index)
+    def signed(text: str | None) -> int:
+        bits = fingerprint(text, shingle, seed)
+        return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
-    return simhash(F.col("text"))
+    return text_column("long", lambda: signed)
 
 
 def ball(half: int) -> list[int]:

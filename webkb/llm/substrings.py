@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webkb.llm.automaton import SuffixAutomaton
-from webkb.llm.common import cut, drop_cut, slices, text_key, utf8
+from webkb.llm.common import PIECE_BYTES, cut, drop_cut, slices, text_key, utf8
 
 #: Rank of a NULL doc_id: after every other, and never smaller than itself.
 LAST = (1 << 63) - 1
@@ -300,10 +300,16 @@ def remove(docs: DataFrame, window: int = 50, gram: int = 16, hot: int = 2048) -
     marked = _marked(docs, window, gram, hot)
     names = docs.columns
 
-    @F.udf("string", useArrow=True)
-    def kept(text, copy, spans):
-        n, words = _kept(text, copy, spans, window)
-        return text if len(words) == n else b" ".join(words).decode("utf-8", "surrogatepass")
+    @F.arrow_udf("string")
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            batch = pa.RecordBatch.from_arrays(list(columns), names=["text", "copy", "spans"])
+            for part in slices([batch], "text", PIECE_BYTES):
+                out = []
+                for text, copy, spans in zip(*(c.to_pylist() for c in part.columns)):
+                    n, words = _kept(text, copy, spans, window)
+                    out.append(text if len(words) == n else b" ".join(words).decode("utf-8", "surrogatepass"))
+                yield pa.array(out, pa.string())
 
     text = F.when(F.col("__copy") | F.col("__spans").isNotNull(),
                   kept(F.col("text"), F.col("__copy"), F.col("__spans"))).otherwise(F.col("text"))

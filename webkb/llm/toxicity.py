@@ -19,12 +19,11 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webkb.llm.common import fold, utf8
+from webkb.llm.common import fold, text_column, utf8
 from webkb.llm.labelled import sample
 
 #: Bytes of a window, and from one window's start to the next.
@@ -185,12 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, rows: int = 1000
 def scores(model: Model):
     """The probability of label 1 as a column of ``text``."""
 
-    @F.pandas_udf("double")
-    def toxicity(texts: pd.Series) -> pd.Series:
+    def make():
         score = model.scorer()
-        return pd.Series([score(utf8(t)) for t in texts], index=texts.index, dtype="float64")
+        return lambda text: score(utf8(text))
 
-    return toxicity(F.col("text"))
+    return text_column("double", make)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds: int = 5,
