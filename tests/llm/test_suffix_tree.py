@@ -231,3 +231,15 @@ def test_a_lean_model_has_the_stored_ngrams(spark):
     full, lean = (S._values(S.model(docs, vocabulary, total, distinct, stored_only=lean)) for lean in (False, True))
     rows = [sorted((r.key, r.n, round(r.value, 9)) for r in v.collect()) for v in (full, lean)]
     assert rows[0] == rows[1] and len(rows[0]) > 10
+
+
+def test_level_tables_go_once_their_values_are_written(spark):
+    import os
+
+    from webkb.session import shared_dir
+
+    docs = spark.createDataFrame(corpus(60), "doc_id long, text string")
+    before = set(os.listdir(shared_dir(spark)))
+    assert S.score_documents(docs).count() == docs.count()
+    left = {f[:-13] for f in set(os.listdir(shared_dir(spark))) - before}
+    assert "tree-values" in left and not left & {"tree-stored", "tree-states", "tree-level", "tree-tested", "tree-counted"}

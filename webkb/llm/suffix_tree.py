@@ -364,8 +364,12 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     train = docs.select("doc_id", "text").filter(~held)
     vocabulary = cut(_vocabulary(train), "tree-vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    values = cut(_values(model(train, vocabulary, total, distinct, depth=depth, stored_only=True,
-                               **settings)), "tree-values")
+    levels = model(train, vocabulary, total, distinct, depth=depth, stored_only=True, **settings)
+    values = cut(_values(levels), "tree-values")
+    for level, rests in levels:
+        drop_cut(level)
+        drop_cut(rests)
+    del levels
     _release(docs)
     slots = min(HOT_SLOTS, max(8, values.count().bit_length()))
     slot = F.shiftrightunsigned("key", 64 - slots)
@@ -418,6 +422,8 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     scored = cut(docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, common double, gain double, rare array<binary>, far array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "tree-scored")
+    # the files of the joins that made the hot values and the bitmap
+    _release(docs)
     c = F.coalesce("n", F.lit(0))
     joined = scored.select("row", F.explode("rare").alias("token")).join(vocabulary, "token", "left").select(
         "row", (F.log10(c + 0.1) - F.lit(float(norm))).alias("base"), (c == 0).cast("long").alias("unknown"),
