@@ -243,3 +243,58 @@ def test_level_tables_go_once_their_values_are_written(spark):
     assert S.score_documents(docs).count() == docs.count()
     left = {f[:-13] for f in set(os.listdir(shared_dir(spark))) - before}
     assert "tree-values" in left and not left & {"tree-stored", "tree-states", "tree-level", "tree-tested", "tree-counted"}
+
+
+def test_one_join_at_a_time(spark, monkeypatch):
+    """No table that a join has read is left when the next is written: scratch space is that of one join."""
+    import os
+
+    written, cut, dropped, drop_cut = [], S.cut, [], S.drop_cut
+    live = lambda: {os.path.basename(p)[:-13] for p in written if p not in dropped}
+    seen = {}
+
+    def watched(df, name, *more):
+        seen.setdefault(name, []).append(live())
+        out = cut(df, name, *more)
+        written.append(out.cut_path)
+        return out
+
+    monkeypatch.setattr(S, "cut", watched)
+    monkeypatch.setattr(S, "drop_cut", lambda df: (dropped.append(df.cut_path), drop_cut(df)))
+    docs = spark.createDataFrame(corpus(60), "doc_id long, text string")
+    assert S.score_documents(docs).count() == docs.count()
+    assert len(seen["tree-tested"]) == 3
+    assert not any(x & {"tree-counted", "tree-repeated"} for x in seen["tree-tested"])
+    assert not any(x & {"tree-higher", "tree-counted"} for x in seen["tree-states"])
+    assert "tree-tokens" not in seen["tree-tested"][-1] and "tree-far" in seen
+    assert not any("tree-tested" in x or "tree-tokens" in x for x in seen["tree-values"])
+
+
+def test_dealt_counts_are_exact(spark):
+    """Counts that tasks send by slices, few at a time, add up to those of the texts and of their numbered tokens."""
+    from collections import Counter
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 40, rng.integers(0, 60))) for _ in range(150)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    every = spark.sparkContext.broadcast(~np.zeros(1 << S.MAP_WORDS, np.uint64))
+    keys = S._Keys()
+    want = Counter((keys[a], keys[b]) for t in texts for a, b in zip(S.tokens(t), S.tokens(t)[1:]))
+    for table in (docs, S._coded(docs)):
+        for least in (1, 3):
+            got = S._ngrams(table, [every], every, 3_000 * S.SLICE_KEYS, least, 200).collect()
+            assert sorted((r.ctx, r.suf, r.n) for r in got) == sorted((*k, n) for k, n in want.items() if n >= least)
+
+
+def test_most_used_values_are_looked_up_in_place(spark):
+    rows = [(int(k), int(n), float(k % 97)) for k, n in zip(np.random.default_rng(6).integers(-2**63, 2**63 - 1, 3000), range(2, 3002))]
+    values = spark.createDataFrame(rows, "key long, n long, value double")
+    for slots in (8, 12):
+        keys, found = S._hot(values, slots)
+        by_key = {k: v for k, _, v in rows}
+        place = lambda k: (k % 2**64) >> (64 - slots)
+        used = [(k, n) for k, n, _ in rows if keys[place(k)] == k]
+        assert len(used) > 0.7 * min(len(keys), len(rows) / 2) and all(found[place(k)] == by_key[k] for k, _ in used)
+        top = max(rows, key=lambda r: r[1])
+        assert keys[place(top[0])] == top[0]
+    assert not S._hot(values.limit(0), 8)[0].any()

@@ -56,10 +56,11 @@ def tokens(text: str | None) -> list[bytes]:
 #: A bitmap has at most 64 << MAP_WORDS bits, the table of hot values at most 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
-#: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, n-grams before they
-#: are passed on, about so many keys of a slice (see ``_repeated``).
+#: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, bytes of text in a
+#: row of tokens (larger rows name a token less often), n-grams before they are passed on, about so many keys of a slice (see ``_repeated``).
 TEXT_BYTES = 1 << 20
-HELD_KEYS = 1 << 19
+CODED_BYTES = 1 << 22
+HELD_KEYS = 1 << 20
 SLICE_KEYS = 1 << 20
 
 
@@ -146,11 +147,41 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _parts(batch: pa.RecordBatch, keys: _Keys, maps: list[Broadcast]) -> tuple[np.ndarray, np.ndarray]:
-    """``ctx, suf`` of the n-grams of a batch one word longer than those of the
-    last of ``maps`` (bitmaps of the counted n-grams of 1, 2, ... words)."""
+def _coded(docs: DataFrame) -> DataFrame:
+    """The texts of about ``CODED_BYTES`` in a row: ``keys`` of the distinct
+    tokens, ``codes`` (the number of each token among them) and ``sizes`` of the
+    texts. The levels go over this, so words are found and hashed once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _Keys()
+        for batch in slices(batches, "text", CODED_BYTES):
+            distinct, codes, _, first, _ = _numbered(batch, keys)
+            row = keys.of(distinct), codes.astype(np.int32), np.diff(np.append(first, len(codes))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(x)], pa.array(x)) for x in row],
+                                             names=["keys", "codes", "sizes"])
+
+    return docs.select("text").mapInArrow(run, "keys array<long>, codes array<int>, sizes array<int>")
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The key and the place in its text of each token, of texts or of rows of :func:`_coded`, some texts at a time."""
+    hashed = _Keys()
+    for batch in batches:
+        if "text" in batch.schema.names:
+            for part in slices([batch], "text", TEXT_BYTES):
+                _, _, key, _, place = _numbered(part, hashed)
+                yield key, place
+            continue
+        for i in range(batch.num_rows):
+            keys, codes, sizes = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in ("keys", "codes", "sizes"))
+            yield keys[codes], np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _parts(found: np.ndarray, place: np.ndarray, maps: list[Broadcast]) -> tuple[np.ndarray, np.ndarray]:
+    """``ctx, suf`` of the n-grams, among tokens as of :func:`_tokens`, one word
+    longer than those of the last of ``maps`` (bitmaps of the counted n-grams
+    of 1, 2, ... words)."""
     length = len(maps) + 1
-    _, _, found, _, place = _numbered(batch, keys)
     # the places where an n-gram of the table may end, and its key
     ok, key = _maybe(maps[0].value, found), found
     for m in range(2, length + 1):
@@ -169,7 +200,6 @@ def _sent(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], top: int, mo
     time (as in :func:`_parts`), the four bytes after the first ``top`` bits,
     apart by whether they were found twice."""
     held: list[np.ndarray] = []
-    keys = _Keys()
 
     def full():
         key, n = np.unique(np.concatenate(held).view(np.uint64) >> np.uint64(32 - top), return_counts=True)
@@ -184,8 +214,8 @@ def _sent(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], top: int, mo
                 [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
                 names=["slice", "once", "more"])
 
-    for batch in slices(batches, "text", TEXT_BYTES):
-        held.append(_mix(*_parts(batch, keys, maps)))
+    for found, place in _tokens(batches):
+        held.append(_mix(*_parts(found, place, maps)))
         if sum(map(len, held)) > most:
             yield from full()
     if sum(map(len, held)):
@@ -214,6 +244,11 @@ def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found()
 
 
+def _top(total: int) -> int:
+    """By how many first bits the keys of ``total`` tokens are dealt to slices."""
+    return min(MAP_WORDS - 5, max(8, int(total // SLICE_KEYS).bit_length()))
+
+
 def _repeated(docs: DataFrame, maps: list[Broadcast], total: int = 0, most: int = HELD_KEYS) -> Broadcast:
     """A bitmap of the n-grams (as in :func:`_parts`) that may occur twice,
     of texts with ``total`` tokens.
@@ -223,8 +258,8 @@ def _repeated(docs: DataFrame, maps: list[Broadcast], total: int = 0, most: int
     keys it has found, apart by whether it has found them twice. A slice's
     bytes that come twice set its part of the bitmap. An n-gram that occurs
     twice is never missed; the parts, of bounded size, come to the driver."""
-    top = min(MAP_WORDS - 5, max(8, int(total // SLICE_KEYS).bit_length()))
-    sent = docs.select("text").mapInArrow(lambda b: _sent(b, maps, top, most), "slice int, once binary, more binary")
+    top = _top(total)
+    sent = docs.mapInArrow(lambda b: _sent(b, maps, top, most), "slice int, once binary, more binary")
     got = cut(sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(_twice, "slice int, low binary"), "tree-repeated")
     bits = _bits(got.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0)
     cells = max(64, 1 << max(0, bits - top))
@@ -249,7 +284,6 @@ def _counted(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], wanted: B
     """``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be in
     ``wanted``, summed over about ``most`` of them at a time."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    keys = _Keys()
 
     def full():
         ctx, suf = (np.concatenate(x) for x in zip(*held))
@@ -260,8 +294,8 @@ def _counted(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], wanted: B
             yield pa.RecordBatch.from_arrays([pa.array(ctx[part]), pa.array(suf[part]), pa.array(n[i:i + (1 << 18)])],
                                              names=["ctx", "suf", "n"])
 
-    for batch in slices(batches, "text", TEXT_BYTES):
-        ctx, suf = _parts(batch, keys, maps)
+    for found, place in _tokens(batches):
+        ctx, suf = _parts(found, place, maps)
         again = _maybe(wanted.value, _mix(ctx, suf))
         held.append((ctx[again], suf[again]))
         if sum(len(x) for x, _ in held) > most:
@@ -270,11 +304,55 @@ def _counted(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], wanted: B
         yield from full()
 
 
-def _ngrams(docs: DataFrame, maps: list[Broadcast], wanted: Broadcast, most: int = HELD_KEYS) -> DataFrame:
-    """Counts ``ctx, suf, n`` of the n-grams (as in :func:`_parts`) that may be
-    in the bitmap ``wanted``."""
-    counted = docs.select("text").mapInArrow(lambda b: _counted(b, maps, wanted, most), "ctx long, suf long, n long")
-    return counted.groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+def _dealt(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    """``slice, ctx, suf, n``: the rows of :func:`_counted`, which come by key, as one row a slice of keys."""
+    for batch in batches:
+        ctx, suf, n = (c.to_numpy() for c in batch.columns)
+        part = (_mix(ctx, suf).view(np.uint64) >> np.uint64(64 - top)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, columns = part[order], (ctx[order], suf[order], n[order].astype(np.uint32))
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(starts[1:], len(part))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[starts]), *(pa.array([x[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())
+                                       for x in columns)], names=["slice", "ctx", "suf", "n"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """``ctx, suf, n`` of the n-grams found ``least`` times in the rows of :func:`_dealt`, sorted by slice."""
+    now, held = None, []
+
+    def found():
+        ctx, suf, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.int64, np.int64, np.uint32)))
+        key = _mix(ctx, suf)
+        order = np.argsort(key)
+        starts = np.flatnonzero(np.diff(key[order], prepend=~key[order[0]]))
+        sums = np.add.reduceat(n[order].astype(np.int64), starts)
+        at = order[starts[sums >= least]]
+        return pa.RecordBatch.from_arrays([pa.array(ctx[at]), pa.array(suf[at]), pa.array(sums[sums >= least])],
+                                          names=["ctx", "suf", "n"])
+
+    for batch in slices(batches, "ctx", TEXT_BYTES):
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "ctx", "suf", "n"))):
+            if part != now and held:
+                yield found()
+                held = []
+            now = part
+            held.append(row)
+    if held:
+        yield found()
+
+
+def _ngrams(docs: DataFrame, maps: list[Broadcast], wanted: Broadcast, total: int = 0, least: int = 1,
+            most: int = HELD_KEYS) -> DataFrame:
+    """Counts ``ctx, suf, n``, of ``least`` at least, of the n-grams (as in
+    :func:`_parts`) that may be in the bitmap ``wanted``, of texts with
+    ``total`` tokens. A task sends its counts by slices of their keys (as in
+    :func:`_repeated`), an n-gram's counts are summed in its slice."""
+    top = _top(total)
+    dealt = docs.mapInArrow(lambda b: _dealt(_counted(b, maps, wanted, most), top), "slice int, ctx binary, suf binary, n binary")
+    return dealt.repartition("slice").sortWithinPartitions("slice").mapInArrow(
+        lambda b: _summed(b, least), "ctx long, suf long, n long")
 
 
 def _words(vocabulary: DataFrame) -> DataFrame:
@@ -300,15 +378,26 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     words = _words(vocabulary).filter(F.col("n") >= least)
     last = cut(words.withColumn("p", F.log((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1)))), "tree-level")
     maps, levels = [], []
-    for _ in range(depth):
+    coded = cut(_coded(docs), "tree-tokens")
+    for number in range(depth):
         maps.append(_bitmap(last))
-        wanted = _repeated(docs, maps, total) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
+        wanted = _repeated(coded, maps, total) if least > 1 else docs.sparkSession.sparkContext.broadcast(~np.zeros(1, np.uint64))
         _release(docs)
-        counted = cut(_ngrams(docs, maps, wanted).filter(F.col("n") >= least), "tree-counted")
+        counted = cut(_ngrams(coded, maps, wanted, total, least), "tree-counted")
+        if number == depth - 1:
+            drop_cut(coded)
         _release(docs)
-        tested = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), "suf")
-                     .join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx"), "tree-tested")
+        # one join at a time, so that the shuffle files of one go before the next; hashed joins sort neither side,
+        # and what is hashed is a partition of the level before
+        higher = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")).hint("shuffle_hash"), "suf"),
+                     "tree-higher")
         drop_cut(counted)
+        del counted
+        _release(docs)
+        tested = cut(higher.join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")).hint("shuffle_hash"), "ctx"),
+                     "tree-tested")
+        drop_cut(higher)
+        del higher
         _release(docs)
         own, above = F.log((F.col("n") - discount) / F.col("total")), F.col("above")
         kept = F.col("n") * (own - above) > cost
@@ -320,18 +409,22 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
             .filter(F.col("gain") + (F.col("total") - F.col("n")) * F.col("rest") > cost * (F.col("tokens") + 1))
             .select(F.col("ctx").alias("key"), F.col("total").alias("n"), "rest"), "tree-states")
         p = F.when(F.col("rest").isNull(), above).when(kept, own).otherwise(above + F.col("rest"))
-        shorter, last = last, cut(tested.join(rests.select(F.col("key").alias("ctx"), "rest"), "ctx", "left").select(
+        _release(docs)
+        if stored_only:
+            drop_cut(last)
+        level = tested.join(rests.select(F.col("key").alias("ctx"), "rest").hint("shuffle_hash"), "ctx", "left").select(
             F.xxhash64("ctx", "suf").alias("key"), "n", p.alias("p"),
-            F.when(kept, own - above - F.col("rest")).alias("adj"), *parts), "tree-level")
+            F.when(kept, own - above - F.col("rest")).alias("adj"), *parts)
+        stored = F.col("adj").isNotNull()
+        if stored_only and number == depth - 1:
+            levels.append((cut(level.filter(stored), "tree-stored"), rests))
+        else:
+            last = cut(level, "tree-level")
+            levels.append((cut(last.filter(stored), "tree-stored") if stored_only else last, rests))
         drop_cut(tested)
         wanted.destroy()
-        if stored_only:
-            drop_cut(shorter)
-        del tested, shorter
+        del tested, level
         _release(docs)
-        levels.append((cut(last.filter(F.col("adj").isNotNull()), "tree-stored") if stored_only else last, rests))
-    if stored_only:
-        drop_cut(last)
     for sent in maps:
         sent.destroy()
     return levels
@@ -351,6 +444,26 @@ def _values(levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
 
 
+def _hot(values: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """``key, value`` of the values used most, by the first ``slots`` bits of
+    their keys: about two for a place come to the driver, that used most has it."""
+    use = F.floor(F.log2("n") * 16)
+    enough, least = 0, None
+    for row in sorted(values.groupBy(use.alias("use")).count().collect(), reverse=True):
+        enough += row["count"]
+        if enough > 2 << slots:
+            break
+        least = row["use"]
+    keys, found = np.zeros(1 << slots, np.int64), np.zeros(1 << slots)
+    if least is not None:
+        got = values.filter(use >= least).toArrow()
+        n, key, value = (got.column(c).to_numpy() for c in ("n", "key", "value"))
+        order = np.argsort(n, kind="stable")
+        at = (key.view(np.uint64) >> np.uint64(64 - slots))[order]
+        keys[at], found[at] = key[order], value[order]
+    return keys, found
+
+
 def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth: int = 3, **settings) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score`` (log10).
@@ -372,15 +485,8 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     del levels
     _release(docs)
     slots = min(HOT_SLOTS, max(8, values.count().bit_length()))
-    slot = F.shiftrightunsigned("key", 64 - slots)
-    hot = cut(values.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "key", "value")).alias("top")).select(
-        "slot", "top.key", "top.value"), "tree-hot")
-    got = hot.toArrow()
-    hot_keys, hot_values = np.zeros(1 << slots, np.int64), np.zeros(1 << slots)
-    hot_keys[got.column("slot").to_numpy()] = got.column("key").to_numpy()
-    hot_values[got.column("slot").to_numpy()] = got.column("value").to_numpy()
-    others = values.join(hot.select("key"), "key", "left_anti").select("key", "value")
-    known = _bitmap(others)
+    hot_keys, hot_values = _hot(values, slots)
+    known = _bitmap(values)
     norm = np.log10(total + 0.1 * (distinct + 1))
     # a fixed number of common tokens is scored in place, all others by the join
     found = vocabulary.filter(F.col("n") >= max(2, int(np.ceil(1e-6 * total)))).collect()
@@ -425,16 +531,17 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     # the files of the joins that made the hot values and the bitmap
     _release(docs)
     c = F.coalesce("n", F.lit(0))
-    joined = scored.select("row", F.explode("rare").alias("token")).join(vocabulary, "token", "left").select(
-        "row", (F.log10(c + 0.1) - F.lit(float(norm))).alias("base"), (c == 0).cast("long").alias("unknown"),
-        F.lit(0.0).alias("gain"))
-    farther = scored.select("row", F.explode("far").alias("key")).join(others, "key").select(
-        "row", F.lit(0.0), F.lit(0).cast("long"), F.col("value") / float(np.log(10)))
-    sums = joined.unionAll(farther).groupBy("row").agg(
-        F.sum("base").alias("uncommon"), F.sum("unknown").alias("unknown"), F.sum("gain").alias("more"))
+    # one join at a time here as well
+    rare = cut(scored.select("row", F.explode("rare").alias("token")).join(vocabulary.hint("shuffle_hash"), "token", "left")
+               .groupBy("row").agg(F.sum(F.log10(c + 0.1) - F.lit(float(norm))).alias("uncommon"),
+                                   F.sum((c == 0).cast("long")).alias("unknown")), "tree-rare")
+    _release(docs)
+    far = cut(scored.select("row", F.explode("far").alias("key")).join(values.select("key", "value").hint("shuffle_hash"), "key")
+              .groupBy("row").agg((F.sum("value") / float(np.log(10))).alias("more")), "tree-far")
+    _release(docs)
     zero = lambda name: F.coalesce(name, F.lit(0.0))
     base_score = F.col("common") + zero("uncommon")
-    return scored.drop("rare", "far").join(sums, "row", "left").select(
+    return scored.drop("rare", "far").join(rare, "row", "left").join(far, "row", "left").select(
         "doc_id", held.alias("held_out"), "n_tokens",
         (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         base_score.alias("base_score"), (base_score + F.col("gain") + zero("more")).alias("score"))
