@@ -56,6 +56,8 @@ def tokens(text: str | None) -> list[bytes]:
 #: A bitmap has at most 64 << MAP_WORDS bits, the table of hot values at most 1 << HOT_SLOTS places.
 MAP_WORDS = 21
 HOT_SLOTS = 20
+#: The last join takes the keys in so many shares, by their first bits.
+FAR_BITS = 2
 #: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, bytes of text in a
 #: row of tokens (larger rows name a token less often), n-grams before they are passed on, about so many keys of a slice (see ``_repeated``).
 TEXT_BYTES = 1 << 20
@@ -536,9 +538,15 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
                .groupBy("row").agg(F.sum(F.log10(c + 0.1) - F.lit(float(norm))).alias("uncommon"),
                                    F.sum((c == 0).cast("long")).alias("unknown")), "tree-rare")
     _release(docs)
-    far = cut(scored.select("row", F.explode("far").alias("key")).join(values.select("key", "value").hint("shuffle_hash"), "key")
-              .groupBy("row").agg((F.sum("value") / float(np.log(10))).alias("more")), "tree-far")
-    _release(docs)
+    # a share of the keys at a time: together, their shuffle files outweigh the table of scores
+    share = F.shiftrightunsigned("key", 64 - FAR_BITS)
+    sums = []
+    for i in range(1 << FAR_BITS):
+        sums.append(cut(scored.select("row", F.explode("far").alias("key")).filter(share == i).join(
+            values.filter(share == i).select("key", "value").hint("shuffle_hash"), "key")
+            .groupBy("row").agg((F.sum("value") / float(np.log(10))).alias("more")), "tree-far"))
+        _release(docs)
+    far = reduce(DataFrame.unionAll, sums).groupBy("row").agg(F.sum("more").alias("more"))
     zero = lambda name: F.coalesce(name, F.lit(0.0))
     base_score = F.col("common") + zero("uncommon")
     return scored.drop("rare", "far").join(rare, "row", "left").join(far, "row", "left").select(
