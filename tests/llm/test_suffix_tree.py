@@ -286,6 +286,52 @@ def test_dealt_counts_are_exact(spark):
             assert sorted((r.ctx, r.suf, r.n) for r in got) == sorted((*k, n) for k, n in want.items() if n >= least)
 
 
+def test_steps_over_tokens_are_bounded_and_exact(monkeypatch):
+    """N-grams are made some tokens at a time, of long texts too: each of them once, and little is held."""
+    import tracemalloc
+    from collections import Counter
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    every = SimpleNamespace(value=~np.zeros(1 << 10, np.uint64))
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 30, n)) for n in (0, 1, 200, 3, 50)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    monkeypatch.setattr(S, "STEP_TOKENS", 7)
+    monkeypatch.setattr(S, "MIXED_KEYS", 5)
+    keys = S._Keys()
+    for length in (2, 3, 4):
+        want = Counter()
+        for text in texts:
+            found = np.array([keys[w] for w in S.tokens(text)])
+            for _ in range(length - 2):
+                found = S._mix(found[:-1], found[1:])
+            want.update(zip(found[:-1].tolist(), found[1:].tolist()))
+        got = Counter()
+        for part in S._counted(iter([batch]), [every] * (length - 1), every, 20):
+            for row in part.to_pylist():
+                got[row["ctx"], row["suf"]] += row["n"]
+        assert got == want
+    monkeypatch.undo()
+    codes = rng.integers(0, 50_000, 3_000_000).astype("<i4")
+    row = keys.of(np.char.add("w", np.arange(50_000).astype(str)).astype(object)).tobytes(), codes.tobytes(), np.full(7500, 400, "<i4").tobytes()
+    coded = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], names=["keys", "codes", "sizes"])
+    tracemalloc.start()
+    assert sum(int(p.column("n").to_numpy().sum()) for p in S._counted(iter([coded]), [every] * 3, every, 1 << 16)) == 7500 * 397
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20, peak  # all tokens of a row at once: some 300 MB
+
+
+def test_a_join_is_hashed_only_if_its_partitions_are_small(spark):
+    table = spark.range(100).selectExpr("id as key")
+    most = S.HASHED_ROWS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows, kind in ((most, "ShuffledHashJoin"), (most + 1, "SortMergeJoin")):
+        joined = table.selectExpr("key + 1 as key").join(S._hashed(table, rows), "key")
+        assert kind in joined._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_most_used_values_are_looked_up_in_place(spark):
     rows = [(int(k), int(n), float(k % 97)) for k, n in zip(np.random.default_rng(6).integers(-2**63, 2**63 - 1, 3000), range(2, 3002))]
     values = spark.createDataFrame(rows, "key long, n long, value double")

@@ -59,11 +59,16 @@ HOT_SLOTS = 20
 #: The last join takes the keys in so many shares, by their first bits.
 FAR_BITS = 2
 #: What a Python step holds, whatever the size of its partition: bytes of text and of sent keys, bytes of text in a
-#: row of tokens (larger rows name a token less often), n-grams before they are passed on, about so many keys of a slice (see ``_repeated``).
+#: row of tokens (larger rows name a token less often), tokens whose n-grams are made at once, n-grams before they are
+#: passed on, about so many keys of a slice (see ``_repeated``), keys mixed at once.
 TEXT_BYTES = 1 << 20
-CODED_BYTES = 1 << 22
+CODED_BYTES = 1 << 21
+STEP_TOKENS = 1 << 16
 HELD_KEYS = 1 << 20
-SLICE_KEYS = 1 << 20
+SLICE_KEYS = 1 << 19
+MIXED_KEYS = 1 << 15
+#: A hashed side of a join is held whole, a partition at a time, and never spilled: with more rows in one, both are sorted.
+HASHED_ROWS = 1 << 20
 
 
 def _mix(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
@@ -71,15 +76,22 @@ def _mix(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                                  0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
-    h = np.full(len(ctx), 42, np.uint64)
-    for part in (ctx, suf):
-        h = h + p5 + np.uint64(8)
-        h ^= turn(part.view(np.uint64) * p2, 31) * p1
-        h = turn(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h ^= h >> np.uint64(32)
-    return h.view(np.int64)
+    out = np.empty(len(ctx), np.uint64)
+    for i in range(0, len(ctx), MIXED_KEYS):
+        h = out[i:i + MIXED_KEYS]
+        h[:] = 42
+        for part in (ctx, suf):
+            h += p5 + np.uint64(8)
+            h ^= turn(part[i:i + MIXED_KEYS].view(np.uint64) * p2, 31) * p1
+            h[:] = turn(h, 27)
+            h *= p1
+            h += p4
+            h ^= h >> np.uint64(33)
+            h *= p2
+            h ^= h >> np.uint64(29)
+            h *= p3
+            h ^= h >> np.uint64(32)
+    return out.view(np.int64)
 
 
 class _Keys(dict):
@@ -152,31 +164,42 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
 def _coded(docs: DataFrame) -> DataFrame:
     """The texts of about ``CODED_BYTES`` in a row: ``keys`` of the distinct
     tokens, ``codes`` (the number of each token among them) and ``sizes`` of the
-    texts. The levels go over this, so words are found and hashed once."""
+    texts, as bytes of 64- and 32-bit numbers: as arrays, a reader would hold all
+    of a file's at once. The levels go over this, so words are found and hashed once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = _Keys()
         for batch in slices(batches, "text", CODED_BYTES):
             distinct, codes, _, first, _ = _numbered(batch, keys)
-            row = keys.of(distinct), codes.astype(np.int32), np.diff(np.append(first, len(codes))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(x)], pa.array(x)) for x in row],
-                                             names=["keys", "codes", "sizes"])
+            row = keys.of(distinct), codes.astype("<i4"), np.diff(np.append(first, len(codes))).astype("<i4")
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], names=["keys", "codes", "sizes"])
 
-    return docs.select("text").mapInArrow(run, "keys array<long>, codes array<int>, sizes array<int>")
+    return docs.select("text").mapInArrow(run, "keys binary, codes binary, sizes binary")
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The key and the place in its text of each token, of texts or of rows of :func:`_coded`, some texts at a time."""
+def _tokens(batches: Iterator[pa.RecordBatch], lead: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The key and the place in its text of each token, of texts or of rows of
+    :func:`_coded`: ``STEP_TOKENS`` at a time, led by the ``lead`` tokens before
+    them, so that of n-grams one word longer each ends in one step."""
     hashed = _Keys()
-    for batch in batches:
-        if "text" in batch.schema.names:
-            for part in slices([batch], "text", TEXT_BYTES):
-                _, _, key, _, place = _numbered(part, hashed)
-                yield key, place
-            continue
-        for i in range(batch.num_rows):
-            keys, codes, sizes = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in ("keys", "codes", "sizes"))
-            yield keys[codes], np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+    def rows() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            if "text" in batch.schema.names:
+                for part in slices([batch], "text", TEXT_BYTES):
+                    distinct, codes, _, _, place = _numbered(part, hashed)
+                    yield hashed.of(distinct), codes, place
+                continue
+            for i in range(batch.num_rows):
+                keys, codes, sizes = (np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+                                      for c, kind in (("keys", "<i8"), ("codes", "<i4"), ("sizes", "<i4")))
+                first = np.cumsum(sizes, dtype=np.int32) - sizes
+                yield keys, codes, np.arange(len(codes), dtype=np.int32) - np.repeat(first, sizes)
+
+    for keys, codes, place in rows():
+        for i in range(0, len(codes), STEP_TOKENS):
+            step = slice(max(0, i - lead), i + STEP_TOKENS)
+            yield keys[codes[step]], place[step]
 
 
 def _parts(found: np.ndarray, place: np.ndarray, maps: list[Broadcast]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +239,7 @@ def _sent(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], top: int, mo
                 [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
                 names=["slice", "once", "more"])
 
-    for found, place in _tokens(batches):
+    for found, place in _tokens(batches, len(maps)):
         held.append(_mix(*_parts(found, place, maps)))
         if sum(map(len, held)) > most:
             yield from full()
@@ -290,13 +313,19 @@ def _counted(batches: Iterator[pa.RecordBatch], maps: list[Broadcast], wanted: B
     def full():
         ctx, suf = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        _, at, n = np.unique(_mix(ctx, suf), return_index=True, return_counts=True)
+        key = _mix(ctx, suf)
+        # as by np.unique, which makes more copies
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+        at, n = order[starts], np.diff(starts, append=len(key))
+        del key, order, starts
         for i in range(0, len(at), 1 << 18):
             part = at[i:i + (1 << 18)]
             yield pa.RecordBatch.from_arrays([pa.array(ctx[part]), pa.array(suf[part]), pa.array(n[i:i + (1 << 18)])],
                                              names=["ctx", "suf", "n"])
 
-    for found, place in _tokens(batches):
+    for found, place in _tokens(batches, len(maps)):
         ctx, suf = _parts(found, place, maps)
         again = _maybe(wanted.value, _mix(ctx, suf))
         held.append((ctx[again], suf[again]))
@@ -391,12 +420,13 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
         _release(docs)
         # one join at a time, so that the shuffle files of one go before the next; hashed joins sort neither side,
         # and what is hashed is a partition of the level before
-        higher = cut(counted.join(last.select(F.col("key").alias("suf"), F.col("p").alias("above")).hint("shuffle_hash"), "suf"),
+        rows = last.count()
+        higher = cut(counted.join(_hashed(last.select(F.col("key").alias("suf"), F.col("p").alias("above")), rows), "suf"),
                      "tree-higher")
         drop_cut(counted)
         del counted
         _release(docs)
-        tested = cut(higher.join(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")).hint("shuffle_hash"), "ctx"),
+        tested = cut(higher.join(_hashed(last.select(F.col("key").alias("ctx"), F.col("n").alias("total")), rows), "ctx"),
                      "tree-tested")
         drop_cut(higher)
         del higher
@@ -414,7 +444,7 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
         _release(docs)
         if stored_only:
             drop_cut(last)
-        level = tested.join(rests.select(F.col("key").alias("ctx"), "rest").hint("shuffle_hash"), "ctx", "left").select(
+        level = tested.join(_hashed(rests.select(F.col("key").alias("ctx"), "rest"), rests.count()), "ctx", "left").select(
             F.xxhash64("ctx", "suf").alias("key"), "n", p.alias("p"),
             F.when(kept, own - above - F.col("rest")).alias("adj"), *parts)
         stored = F.col("adj").isNotNull()
@@ -432,6 +462,12 @@ def model(docs: DataFrame, vocabulary: DataFrame, total: int, distinct: int, dep
     return levels
 
 
+def _hashed(table: DataFrame, rows: int) -> DataFrame:
+    """``table``, of ``rows`` rows, as the side of a join that is hashed, if its partitions are small enough."""
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.hint("shuffle_hash" if rows <= HASHED_ROWS * partitions else "merge")
+
+
 def _release(docs: DataFrame) -> None:
     """Let Spark delete the shuffle files of plans that nothing holds any more."""
     gc.collect()
@@ -486,7 +522,8 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
         drop_cut(rests)
     del levels
     _release(docs)
-    slots = min(HOT_SLOTS, max(8, values.count().bit_length()))
+    kept = values.count()
+    slots = min(HOT_SLOTS, max(8, kept.bit_length()))
     hot_keys, hot_values = _hot(values, slots)
     known = _bitmap(values)
     norm = np.log10(total + 0.1 * (distinct + 1))
@@ -534,7 +571,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     _release(docs)
     c = F.coalesce("n", F.lit(0))
     # one join at a time here as well
-    rare = cut(scored.select("row", F.explode("rare").alias("token")).join(vocabulary.hint("shuffle_hash"), "token", "left")
+    rare = cut(scored.select("row", F.explode("rare").alias("token")).join(_hashed(vocabulary, distinct), "token", "left")
                .groupBy("row").agg(F.sum(F.log10(c + 0.1) - F.lit(float(norm))).alias("uncommon"),
                                    F.sum((c == 0).cast("long")).alias("unknown")), "tree-rare")
     _release(docs)
@@ -543,7 +580,7 @@ def score_documents(docs: DataFrame, folds: int = 10, test_fold: int = 0, depth:
     sums = []
     for i in range(1 << FAR_BITS):
         sums.append(cut(scored.select("row", F.explode("far").alias("key")).filter(share == i).join(
-            values.filter(share == i).select("key", "value").hint("shuffle_hash"), "key")
+            _hashed(values.filter(share == i).select("key", "value"), kept >> FAR_BITS), "key")
             .groupBy("row").agg((F.sum("value") / float(np.log(10))).alias("more")), "tree-far"))
         _release(docs)
     far = reduce(DataFrame.unionAll, sums).groupBy("row").agg(F.sum("more").alias("more"))
